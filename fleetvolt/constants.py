@@ -51,6 +51,12 @@ DROPPED_TABLE_COLUMNS = ("PayloadData", "index", "AssetId", "OrganizationId")
 # application they read "%Y-%m-%d %H:%M:%S.%f", "%d/%m/%Y %H:%M", "%m/%d/%Y %H:%M".
 TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss.SSSSSS", "d/M/yyyy H:m", "M/d/yyyy H:m")
 TIME_FORMAT_NAMES = ("iso_fraction", "day_first", "month_first")
+# Text shapes that can match each format; other text is rejected without trying to parse it.
+TIME_FORMAT_SHAPES = (
+    r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\.\d{1,9}$",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$",
+)
 LABEL_FORMAT = "dMMMyy"                # e.g. 5Jan26; parsing accepts 05Jan26 too
 DISPLAY_FORMAT = "d MMM yyyy"          # e.g. 5 Jan 2026
 DISPLAY_DAY_MONTH = "d MMMM"           # e.g. 5 January

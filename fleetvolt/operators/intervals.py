@@ -3,10 +3,14 @@
 A plain ``lead(ts) OVER (PARTITION BY asset ORDER BY ts)`` puts every reading of one asset
 into one task; an asset with a third of all rows would then need a third of the data in one
 task. Here the window runs over ``(asset, time bucket)`` instead, so a hot asset is spread
-over as many tasks as it has buckets. Only the last row of each bucket needs the next
-bucket's first time; those boundary rows (one per asset and bucket) are fixed up with a window
-over a small per-(asset, bucket) table. Both branches read the same shuffle (Spark reuses the
-exchange), and the big side is never joined: the fixed boundary rows are unioned back.
+over as many tasks as it has buckets.
+
+One window pass over ``(asset, bucket)`` gives every row the next time inside its bucket and
+the bucket's first time. Only the last row of each bucket (one row per asset and bucket) still
+needs a value: the first time of the asset's next non-empty bucket, which a second window over
+just those tail rows, ordered by bucket, provides. The body rows and the tail rows come from
+the same shuffle (Spark reuses the exchange); the fixed tails are unioned back, so the big side
+is never joined.
 """
 
 from __future__ import annotations
@@ -23,22 +27,20 @@ def with_next_time(df: DataFrame, key: str = "AssetId", ts: str = "EventTime", t
                    out: str = "NextTime", bucket_minutes: int = 24 * 60) -> DataFrame:
     """Add ``out`` = time of the next row of the same ``key`` in ``(ts, tiebreak)`` order
     (NULL for the last row). Rows with a NULL time sort first, as in SQL Server; ties on
-    time are ordered by ``tiebreak`` so the result is deterministic."""
+    time are ordered by ``tiebreak`` so the result is deterministic.
+
+    ``bucket_minutes`` bounds the work per task: a task holds one (asset, bucket) at a time,
+    so the largest task is the busiest asset's busiest bucket, not the busiest asset."""
     bucket = F.coalesce(F.floor(minute_index(ts) / F.lit(bucket_minutes)), F.lit(_NULL_BUCKET))
-    w = Window.partitionBy(key, "_b").orderBy(F.col(ts).asc_nulls_first(),
-                                             F.col(tiebreak).asc_nulls_first())
+    order = [F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first()]
+    w = Window.partitionBy(key, "_b").orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     x = (df.withColumn("_b", bucket.cast("long"))
          .withColumn("_in", F.lead(ts).over(w))
          .withColumn("_tail", F.lead(F.lit(1)).over(w).isNull())
-         .withColumn("_rn", F.row_number().over(w)))
-    body = x.where(~F.col("_tail")).withColumn(out, F.col("_in"))
-    heads = x.where(F.col("_rn") == 1).select(F.col(key).alias("_hk"), F.col("_b").alias("_hb"),
-                                              F.col(ts).alias("_head"))
-    nxt = heads.withColumn(
-        "_next_head", F.lead("_head").over(Window.partitionBy("_hk").orderBy("_hb"))
-    ).drop("_head")
-    tails = x.where(F.col("_tail"))
-    fixed = (tails.join(nxt, F.col(key).eqNullSafe(F.col("_hk")) & (F.col("_b") == F.col("_hb")), "left")
-             .withColumn(out, F.col("_next_head")))
+         .withColumn("_head", F.first(ts).over(whole)))
     cols = df.columns + [out]
-    return body.select(*cols).unionByName(fixed.select(*cols))
+    body = x.where(~F.col("_tail")).withColumn(out, F.col("_in"))
+    tails = x.where(F.col("_tail")).withColumn(
+        out, F.lead("_head").over(Window.partitionBy(key).orderBy(F.col("_b").asc())))
+    return body.select(*cols).unionByName(tails.select(*cols))

@@ -37,17 +37,23 @@ def label_quality(parsed: DataFrame, valid: Sequence[str] = K.MODES) -> DataFram
             .groupBy("PayloadMode").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def _parses(text: str, fmt: str):
-    return F.try_to_timestamp(F.col(text), F.lit(fmt))
+def _parses(text: str, fmt: str, shape: str | None = None):
+    """Parsed value or NULL. A cheap shape test runs first, so that text that cannot match is
+    rejected without a (slow, exception-based) failed parse."""
+    parsed = F.try_to_timestamp(F.col(text), F.lit(fmt))
+    return parsed if shape is None else F.when(F.col(text).rlike(shape), parsed)
 
 
 def time_format_choice(df: DataFrame, column: str, by: Sequence[str] = (),
-                       formats: Sequence[str] = K.TIME_FORMATS) -> DataFrame:
+                       formats: Sequence[str] = K.TIME_FORMATS,
+                       shapes: Sequence[str | None] | None = None) -> DataFrame:
     """Which of ``formats`` parses *every* non-NULL value of ``column`` (first one wins):
     one aggregate pass. Returns ``by`` columns plus ``format_index`` (1-based, NULL when no
     format fits all values) and ``n_values`` (non-NULL count)."""
     c = F.col(column)
-    oks = [F.bool_and(c.isNull() | _parses(column, f).isNotNull()).alias(f"_ok{i}")
+    if shapes is None:
+        shapes = K.TIME_FORMAT_SHAPES if tuple(formats) == K.TIME_FORMATS else [None] * len(formats)
+    oks = [F.bool_and(c.isNull() | _parses(column, f, shapes[i]).isNotNull()).alias(f"_ok{i}")
            for i, f in enumerate(formats)]
     agg = df.groupBy(*by).agg(F.count(c).alias("n_values"), *oks)
     choice = F.lit(None).cast("int")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetvolt import constants as K
 from fleetvolt.config import PowerBands, SectionSpec
+from fleetvolt.functions.bands import power_band
 from fleetvolt.functions.dates import date_label, display_date, parse_label
 from fleetvolt.functions.devices import is_numbered_series
 from fleetvolt.functions.timecalc import date_lit, day_at_hour
@@ -26,6 +27,7 @@ from fleetvolt.operators import sections as S
 from fleetvolt.operators.dwell import dwell_statistics, reading_intervals
 from fleetvolt.operators.fleet import active_device_ids, active_devices, org_device_counts, total_device_count
 from fleetvolt.plans import jobs as J
+from fleetvolt.session import materialize
 from fleetvolt.sources import standin as SI
 
 # ---- stand-in parameters (FIXTURES.md section 2) ------------------------------------------
@@ -68,8 +70,13 @@ class _T:
     def snapshot(self, as_of=AS_OF):
         return L.latest_snapshot(self.readings, self.assets, self.orgs, as_of, BANDS)
 
-    def members(self, active=None):
-        return S.assign_sections(self.snapshot(), SECTIONS, AS_OF, RECENCY, self.allow, active)
+    def members(self, active=None, snap=None):
+        snap = self.snapshot() if snap is None else snap
+        return S.assign_sections(snap, SECTIONS, AS_OF, RECENCY, self.allow, active)
+
+    def shared_snapshot(self):
+        """The snapshot materialized once, for queries that read it twice."""
+        return materialize(self.snapshot())
 
     def active(self):
         return active_device_ids(self.av, DEVICE_TYPE)
@@ -132,6 +139,16 @@ def _fleet(t: _T) -> DataFrame:
                                 bands=BANDS).stats
 
 
+def _shares(t: _T) -> DataFrame:
+    snap = t.shared_snapshot()
+    return S.cohort_shares(snap, t.members(snap=snap))
+
+
+def _low_battery(t: _T) -> DataFrame:
+    snap = t.shared_snapshot()
+    return S.low_battery(snap, t.members(snap=snap), "new_panel")
+
+
 def _tables(t: _T) -> DataFrame:
     return S.section_tables(t.members(), SECTIONS)
 
@@ -145,9 +162,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_snapshot": _q(lambda t: J.daily_snapshot(t.readings, t.assets, t.orgs, TODAY, BANDS)),
         "multi_date_snapshot": _q(lambda t: J.multi_date_snapshot(t.readings, t.assets, t.orgs, WEEK_DATES, BANDS)),
         "power_band_exclusive": _q(lambda t: t.readings.select(
-            "ID", "Voltage", L.power_band("Voltage", BANDS).alias("PowerMode"))),
+            "ID", "Voltage", power_band("Voltage", BANDS).alias("PowerMode"))),
         "power_band_inclusive": _q(lambda t: t.readings.select(
-            "ID", "Voltage", L.power_band("Voltage", BANDS, inclusive=True, null_band="Critical").alias("PowerMode"))),
+            "ID", "Voltage", power_band("Voltage", BANDS, inclusive=True, null_band="Critical").alias("PowerMode"))),
         "voltage_profile": _q(lambda t: P.voltage_profile(t.snapshot())),
         # legacy source
         "recent_sample": _q(lambda t: L.recent_sample(t.bursts, SAMPLE_CUSTOMER)),
@@ -177,10 +194,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "section_members": _q(lambda t: t.members()),
         "section_mode_counts": _q(lambda t: S.section_mode_counts(t.members())),
         "section_mode_summary": _q(lambda t: S.section_mode_summary(t.members(), SECTIONS)),
-        "cohort_shares": _q(lambda t: S.cohort_shares(t.snapshot(), t.members())),
+        "cohort_shares": _q(_shares),
         "section_table": _q(_tables),
         "section_preview": _q(lambda t: S.section_preview(_tables(t), K.PREVIEW_LIMIT)),
-        "low_battery": _q(lambda t: S.low_battery(t.snapshot(), t.members(), "new_panel")),
+        "low_battery": _q(_low_battery),
         "daily_section_report": _q(_section_report),
         "weekly_trend": _q(_weekly),
         # calendar

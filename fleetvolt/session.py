@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +65,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="fleetvolt-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df, name: str = "intermediate"):
+    """Cut the lineage of a small intermediate result that a plan uses more than once (such
+    as a snapshot: one row per device), so the expensive part above it runs exactly once.
+
+    The result is written as a parquet table into the shared folder named by
+    ``spark.checkpoint.dir`` and read back: it survives the loss of executors (unlike a cache
+    or a local checkpoint), is computed once (a reliable RDD checkpoint would compute it a
+    second time to write it), and later scans of it still get column pruning and pushdown."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetvolt-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
