@@ -26,3 +26,10 @@ def parse_label(label: Column | str) -> Column:
 def display_date(d: Column | str, with_year: bool = True) -> Column:
     """Heading text: ``5 Jan 2026``, or ``5 January`` when ``with_year`` is False."""
     return F.date_format(_c(d), K.DISPLAY_FORMAT if with_year else K.DISPLAY_DAY_MONTH)
+
+
+def snapshot_file_name(d: Column | str, source: Column | str) -> Column:
+    """Name of a stored snapshot file: ``latest_batt_<label>_<source>.csv``. ``source`` is a
+    source name (text) or a column holding one."""
+    src = F.lit(source) if isinstance(source, str) else source
+    return F.concat(F.lit(K.SNAPSHOT_PREFIX), date_label(d), F.lit("_"), src, F.lit(K.SNAPSHOT_SUFFIX))

@@ -98,8 +98,7 @@ def latest_as_of_many(readings: DataFrame, dates: list[date], hour: int = 0,
     cuts = [ntz(day_at_hour(d, hour)) for d in ds]
     n = len(ds)
     r = _valid(readings, valid_min).where(F.col("EventTime") <= cuts[-1])
-    cut_arr = F.array(*cuts)
-    k = F.size(F.filter(cut_arr, lambda c: c < F.col("EventTime"))) if n > 1 else F.lit(0)
+    k = _cut_index(ds, hour, "EventTime")
     w = Window.partitionBy("AssetId", "_k").orderBy(F.col("EventTime").desc_nulls_last(),
                                                     F.col("ID").desc_nulls_last())
     top = (r.withColumn("_k", k).withColumn("_rn", F.row_number().over(w))
@@ -113,6 +112,23 @@ def latest_as_of_many(readings: DataFrame, dates: list[date], hour: int = 0,
                       F.col("EventTime").alias("EventTimeUTC"), "Voltage")
 
 
+def _cut_index(ds: list[date], hour: int, ts: str) -> F.Column:
+    """Index of the first cut-off at or after column ``ts`` (= number of cut-offs before it).
+
+    Consecutive days (the usual calendar) need only arithmetic: whole days since the first
+    cut-off, rounded up. Other date lists scan the (short) array of cut-offs."""
+    if len(ds) == 1:
+        return F.lit(0)
+    if all((b - a).days == 1 for a, b in zip(ds, ds[1:])):
+        day_us = 24 * 3600 * 1_000_000
+        first = day_at_hour(ds[0], hour).isoformat(sep=" ")
+        return F.expr(
+            f"CAST(GREATEST(0, (timestampdiff(MICROSECOND, TIMESTAMP_NTZ '{first}', `{ts}`) "
+            f"+ {day_us - 1}) div {day_us}) AS INT)")
+    cuts = F.array(*[ntz(day_at_hour(d, hour)) for d in ds])
+    return F.size(F.filter(cuts, lambda c: c < F.col(ts)))
+
+
 def legacy_latest(bursts: DataFrame, customer: str, id_prefix: str,
                   report_date: date | None = None, now: datetime | None = None,
                   lookback_months: int | None = K.LOOKBACK_MONTHS,

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from fleetvolt import constants as K
 from fleetvolt import schemas
+from fleetvolt.functions.dates import snapshot_file_name
 from fleetvolt.schemas import conform
 
 
@@ -106,8 +107,7 @@ def snapshot_files(spark, sf_dir) -> DataFrame:
     ev = _t(spark, sf_dir, "events")
     src = F.when(F.col("user_id") % 2 == 0, F.lit(K.SOURCE_CURRENT)).otherwise(F.lit(K.SOURCE_LEGACY))
     pairs = ev.select(F.to_date("ts").alias("d"), src.alias("src")).distinct()
-    return pairs.select(F.concat(F.lit(K.SNAPSHOT_PREFIX), F.date_format("d", K.LABEL_FORMAT),
-                                 F.lit("_"), F.col("src"), F.lit(K.SNAPSHOT_SUFFIX)).alias("file_name"))
+    return pairs.select(snapshot_file_name("d", F.col("src")).alias("file_name"))
 
 
 def sent_labels(spark, sf_dir) -> DataFrame:

@@ -1,0 +1,11 @@
+"""Scheduling notes: there is no streaming operator.
+
+The reporting workload is a batch poll once a day: each run reads the readings up to a
+cut-off, stores a snapshot, and builds reports from stored snapshots. There are no
+watermarks, event-time windows, state or late-data rules to reproduce, so nothing here
+runs a streaming query. A late reading changes a snapshot only if that snapshot has not
+been stored yet; re-running a date after deleting its run row rebuilds it.
+
+To run the daily poll on a schedule, call ``fleetvolt.plans.runner.run_daily_report`` from
+the cluster's scheduler with an explicit report date.
+"""

@@ -1,5 +1,7 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from fleetvolt.functions.dates import date_label, display_date, parse_label
 from fleetvolt.operators import calendar as C
 
@@ -43,3 +45,25 @@ def test_missing_unsent_gaps(spark):
     assert uns == [date(2026, 1, 5), date(2026, 1, 6), date(2026, 1, 8)]
     gaps = {r.report_date: r.gap for r in C.snapshot_gaps(cat, date(2026, 1, 8), days=4).collect()}
     assert gaps == {date(2026, 1, 7): "missing", date(2026, 1, 8): "not_preferred"}
+
+
+def test_device_list_csv_with_bom_and_crlf(spark, tmp_dir):
+    import os
+
+    from fleetvolt.sources.tables import device_list
+
+    p = os.path.join(tmp_dir, "list.csv")
+    with open(p, "wb") as f:
+        f.write(b"\xef\xbb\xbfDeviceID\r\nA0000310\r\nA0000316\r\nA0000310\r\n\r\n")
+    got = sorted(r.DeviceID for r in device_list(spark, p).collect())
+    assert got == ["A0000310", "A0000316"]
+
+
+def test_snapshot_file_names_round_trip(spark):
+    from fleetvolt.functions.dates import snapshot_file_name
+
+    d = spark.createDataFrame([(date(2026, 1, 5), "smbs"), (date(2026, 11, 25), "debug")], "d date, s string")
+    names = d.select(snapshot_file_name("d", F.col("s")).alias("file_name"))
+    assert sorted(r.file_name for r in names.collect()) == ["latest_batt_25Nov26_debug.csv", "latest_batt_5Jan26_smbs.csv"]
+    back = sorted(tuple(r) for r in C.catalogue_from_files(names).collect())
+    assert back == [(date(2026, 1, 5), "smbs"), (date(2026, 11, 25), "debug")]

@@ -74,15 +74,18 @@ def test_multi_date_equals_single_date(spark):
                 data.append((i, 1, a if a < 5 else None, f"2024-01-{day:02d} {h:02d}:00:00", v))
     # ties: same time, different id
     data.append((10_001, 1, 0, "2024-01-05 06:00:00", 3.9))
+    data.append((10_002, 1, 1, "2024-01-04 06:00:00", 3.9))   # exactly on a 06:00 cut-off
     r = readings(spark, data)
-    dates = [date(2024, 1, d) for d in (1, 3, 4, 5, 8, 12)]
-    multi = L.latest_as_of_many(r, dates)
-    got = rows(multi, "report_date", "AssetId", "ReportID", "Voltage")
-    want = []
-    for d in dates:
-        one = L.latest_reading(r, datetime(d.year, d.month, d.day))
-        want += [(d,) + t for t in rows(one, "AssetId", "ReportID", "Voltage")]
-    assert sorted(got, key=str) == sorted(want, key=str) and len(got) > 20
+    for dates, hour in (([date(2024, 1, d) for d in (1, 3, 4, 5, 8, 12)], 0),
+                        ([date(2024, 1, d) for d in range(2, 10)], 0),
+                        ([date(2024, 1, d) for d in range(2, 10)], 6)):
+        multi = L.latest_as_of_many(r, dates, hour=hour)
+        got = rows(multi, "report_date", "AssetId", "ReportID", "Voltage")
+        want = []
+        for d in dates:
+            one = L.latest_reading(r, datetime(d.year, d.month, d.day, hour))
+            want += [(d,) + t for t in rows(one, "AssetId", "ReportID", "Voltage")]
+        assert sorted(got, key=str) == sorted(want, key=str) and len(got) > 20
 
 
 def test_one_row_per_asset_on_test_data(spark):
