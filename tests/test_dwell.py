@@ -42,8 +42,8 @@ def test_intervals_drop_last_reading(spark):
 
 
 def _registry(spark):
-    av = asset_view(spark, [(1, "A1", "t1", 7, "Zim", "Solar", "Active"), (2, "A2", "t2", 7, "Zim", "Solar", "Active"),
-                            (3, "A3", "t3", 8, "Other", "Solar", "Active"), (4, "A4", "t4", 7, "Zim", "Solar", "Retired")])
+    av = asset_view(spark, [(1, "A1", "t1", 7, "Acme", "Solar", "Active"), (2, "A2", "t2", 7, "Acme", "Solar", "Active"),
+                            (3, "A3", "t3", 8, "Other", "Solar", "Active"), (4, "A4", "t4", 7, "Acme", "Solar", "Retired")])
     a = assets(spark, [(1, "A1", "t1", 7, 100), (2, "A2", "t2", 7, None), (3, "A3", "t3", 8, 200), (4, "A4", "t4", 7, 100)])
     return av, a
 

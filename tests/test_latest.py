@@ -24,42 +24,42 @@ def test_cut_offs_current_midnight_and_legacy_noon(spark):
                          (3, 1, 10, "2024-01-05 12:00:00", 3.3), (4, 1, 10, "2024-01-05 23:59:00", 3.3)])
     snap = J.daily_snapshot(r, assets(spark, []), orgs(spark, []), date(2024, 1, 5))
     assert [x.ReportID for x in snap.collect()] == [2]          # midnight inclusive, same day excluded
-    b = bursts(spark, [(i, "A01", "n", t, "Battery Level 3.30 Power mode High", "Zim", 1)
+    b = bursts(spark, [(i, "A01", "n", t, "Battery Level 3.30 Power mode High", "Acme", 1)
                        for i, t in [(1, "2024-01-05 00:00:00"), (2, "2024-01-05 12:00:00"), (3, "2024-01-05 23:59:00")]])
-    leg = L.legacy_latest(b, "zim", "A0", report_date=date(2024, 1, 5)).collect()
+    leg = L.legacy_latest(b, "acme", "A0", report_date=date(2024, 1, 5)).collect()
     assert [x.ID for x in leg] == [2]                           # noon inclusive
 
 
 def test_lookback_month_end(spark):
-    b = bursts(spark, [(1, "A01", "n", "2024-02-28 23:59:59", "Battery Level 3.30", "ZIM", 1),
-                       (2, "A02", "n", "2024-02-29 00:00:00", "Battery Level 3.30", "ZIM", 1),
-                       (3, "A03", "n", "2023-02-28 00:00:00", "Battery Level 3.30", "ZIM", 1)])
-    got = rows(L.legacy_latest(b, "Zim", "A0", report_date=date(2024, 6, 29)), "ID")
+    b = bursts(spark, [(1, "A01", "n", "2024-02-28 23:59:59", "Battery Level 3.30", "ACME", 1),
+                       (2, "A02", "n", "2024-02-29 00:00:00", "Battery Level 3.30", "ACME", 1),
+                       (3, "A03", "n", "2023-02-28 00:00:00", "Battery Level 3.30", "ACME", 1)])
+    got = rows(L.legacy_latest(b, "Acme", "A0", report_date=date(2024, 6, 29)), "ID")
     assert got == [(2,)]   # 29 Jun - 4 months = 29 Feb
-    b2 = bursts(spark, [(1, "A01", "n", "2023-02-28 00:00:00", "Battery Level 3.30", "ZIM", 1),
-                        (2, "A02", "n", "2023-02-27 23:59:59", "Battery Level 3.30", "ZIM", 1)])
-    got2 = rows(L.legacy_latest(b2, "zim", "A0", report_date=date(2023, 6, 30)), "ID")
+    b2 = bursts(spark, [(1, "A01", "n", "2023-02-28 00:00:00", "Battery Level 3.30", "ACME", 1),
+                        (2, "A02", "n", "2023-02-27 23:59:59", "Battery Level 3.30", "ACME", 1)])
+    got2 = rows(L.legacy_latest(b2, "acme", "A0", report_date=date(2023, 6, 30)), "ID")
     assert got2 == [(1,)]  # 30 Jun - 4 months = 28 Feb (month end clamps)
 
 
 def test_legacy_filters(spark):
     b = bursts(spark, [
-        (1, "A01", "n", "2024-01-01 00:00:00", "Battery Level 3.30 Power mode High", "zim", 1),
-        (2, "A02", "n", "2024-01-01 00:00:00", "Battery Level 0.50 Power mode Low", "ZIM", 1),
-        (3, "A03", "n", "2024-01-01 00:00:00", "Battery Level 3.30", "ZIM", 2),
-        (4, "B04", "n", "2024-01-01 00:00:00", "Battery Level 3.30", "ZIM", 1),
+        (1, "A01", "n", "2024-01-01 00:00:00", "Battery Level 3.30 Power mode High", "acme", 1),
+        (2, "A02", "n", "2024-01-01 00:00:00", "Battery Level 0.50 Power mode Low", "ACME", 1),
+        (3, "A03", "n", "2024-01-01 00:00:00", "Battery Level 3.30", "ACME", 2),
+        (4, "B04", "n", "2024-01-01 00:00:00", "Battery Level 3.30", "ACME", 1),
         (5, "A05", "n", "2024-01-01 00:00:00", "Battery Level 3.30", "Other", 1),
-        (6, "A06", "n", "2024-01-01 00:00:00", "no level", "ZIM", 1)])
-    got = rows(L.legacy_latest(b, "Zim", "A0", report_date=date(2024, 1, 2)), "ID")
+        (6, "A06", "n", "2024-01-01 00:00:00", "no level", "ACME", 1)])
+    got = rows(L.legacy_latest(b, "Acme", "A0", report_date=date(2024, 1, 2)), "ID")
     assert got == [(1,)]
 
 
 def test_enrich_uses_reading_org_and_keeps_unmatched(spark):
     r = readings(spark, [(1, 7, 10, "2024-01-01 00:00:00", 3.4), (2, 8, 99, "2024-01-01 00:00:00", 3.4)])
     a = assets(spark, [(10, "A0001", "truck 1", 5, 1)])
-    o = orgs(spark, [(7, "Zim"), (5, "Other")])
+    o = orgs(spark, [(7, "Acme"), (5, "Other")])
     out = {x.AssetId: x for x in L.enrich(L.latest_reading(r), a, o).collect()}
-    assert out[10].DeviceID == "A0001" and out[10].DeviceName == "truck 1" and out[10].CustomerName == "Zim"
+    assert out[10].DeviceID == "A0001" and out[10].DeviceName == "truck 1" and out[10].CustomerName == "Acme"
     assert out[99].DeviceID is None and out[99].CustomerName is None
 
 
@@ -96,8 +96,8 @@ def test_one_row_per_asset_on_test_data(spark):
 
 
 def test_recent_sample_is_top_n(spark):
-    b = bursts(spark, [(i, "A01", "n", f"2024-01-{i:02d} 00:00:00", "x", "Zim", 1) for i in range(1, 21)])
-    got = [x.ID for x in L.recent_sample(b, "zim", 5).collect()]
+    b = bursts(spark, [(i, "A01", "n", f"2024-01-{i:02d} 00:00:00", "x", "Acme", 1) for i in range(1, 21)])
+    got = [x.ID for x in L.recent_sample(b, "acme", 5).collect()]
     assert got == [20, 19, 18, 17, 16]
 
 

@@ -10,9 +10,9 @@ from helpers import rows, snapshot
 
 AS_OF = datetime(2024, 6, 30)
 SPECS = [
-    SectionSpec("new", "Zim", listed_or_series=True, series_prefix="A0"),
-    SectionSpec("cser", "Zim", id_prefix="C", table_modes=("Critical", "Low")),
-    SectionSpec("sam", "samskip"),
+    SectionSpec("new", "Acme", listed_or_series=True, series_prefix="A0"),
+    SectionSpec("cser", "Acme", id_prefix="C", table_modes=("Critical", "Low")),
+    SectionSpec("sam", "borealis"),
 ]
 
 
@@ -26,16 +26,16 @@ def test_numbered_series_ids(spark):
 def _snap(spark):
     t = "2024-06-29 00:00:00"
     return snapshot(spark, [
-        (1, 1, "ZIM", 1, "A0006001", "truck 1", t, 3.1, "Critical"),     # series
-        (2, 1, "zim", 2, "A0000001", "A0000001", t, 3.1, "Critical"),    # unpaired
-        (3, 1, "Zim", 3, "A0000002", "a0000002", t, 3.2, "Low"),         # case differs -> paired, listed
-        (4, 1, "Zim", 4, "A0000003", None, t, 3.2, "Low"),               # NULL name -> dropped
-        (5, 1, "Zim", 5, "C123", "box", t, 3.25, "Medium"),
-        (6, 2, "Samskip", 6, "X1", "y1", t, 3.4, "High"),
-        (7, 2, "Samskip", 7, "X2", "y2", "2024-04-07 00:00:00", 3.1, "Critical"),   # exactly 12 weeks before
-        (8, 2, "Samskip", 8, "X3", "y3", "2024-04-06 23:59:59", 3.1, "Critical"),   # one second beyond
-        (9, 2, "Samskip", 9, "X4", "y4", "2024-09-22 00:00:00", 3.1, "Critical"),   # 12 weeks after (future)
-        (10, 1, "Zim", 10, "A0006002", "t", t, None, "Unknown"),
+        (1, 1, "ACME", 1, "A0006001", "truck 1", t, 3.1, "Critical"),     # series
+        (2, 1, "acme", 2, "A0000001", "A0000001", t, 3.1, "Critical"),    # unpaired
+        (3, 1, "Acme", 3, "A0000002", "a0000002", t, 3.2, "Low"),         # case differs -> paired, listed
+        (4, 1, "Acme", 4, "A0000003", None, t, 3.2, "Low"),               # NULL name -> dropped
+        (5, 1, "Acme", 5, "C123", "box", t, 3.25, "Medium"),
+        (6, 2, "Borealis", 6, "X1", "y1", t, 3.4, "High"),
+        (7, 2, "Borealis", 7, "X2", "y2", "2024-04-07 00:00:00", 3.1, "Critical"),   # exactly 12 weeks before
+        (8, 2, "Borealis", 8, "X3", "y3", "2024-04-06 23:59:59", 3.1, "Critical"),   # one second beyond
+        (9, 2, "Borealis", 9, "X4", "y4", "2024-09-22 00:00:00", 3.1, "Critical"),   # 12 weeks after (future)
+        (10, 1, "Acme", 10, "A0006002", "t", t, None, "Unknown"),
     ])
 
 
@@ -55,9 +55,9 @@ def test_active_none_versus_empty(spark):
 
 
 def test_summary_zero_filled_and_counts_sum(spark):
-    m = S.assign_sections(_snap(spark), SPECS + [SectionSpec("hmm", "hmm")], AS_OF, timedelta(weeks=12))
-    s = {r.section: r for r in S.section_mode_summary(m, SPECS + [SectionSpec("hmm", "hmm")]).collect()}
-    assert s["hmm"].members == 0 and (s["hmm"].Critical, s["hmm"].Low, s["hmm"].Medium) == (0, 0, 0)
+    m = S.assign_sections(_snap(spark), SPECS + [SectionSpec("cobalt", "cobalt")], AS_OF, timedelta(weeks=12))
+    s = {r.section: r for r in S.section_mode_summary(m, SPECS + [SectionSpec("cobalt", "cobalt")]).collect()}
+    assert s["cobalt"].members == 0 and (s["cobalt"].Critical, s["cobalt"].Low, s["cobalt"].Medium) == (0, 0, 0)
     assert (s["sam"].members, s["sam"].Critical) == (3, 2)
     counts = S.section_mode_counts(m).groupBy("section").agg(F.sum("n").alias("t"))
     assert {r.section: r.t for r in counts.collect()} == {k: v.members for k, v in s.items() if v.members}

@@ -19,10 +19,10 @@ def _tables(spark):
     r = readings(spark, [(i, 1, 1 + i % 3, f"2024-01-{1 + i % 9:02d} {i % 24:02d}:00:00", 3.0 + (i % 6) / 10)
                          for i in range(1, 120)])
     a = assets(spark, [(1, "A0006001", "t1", 1, 1), (2, "A0000002", "t2", 1, 1), (3, "C3", "t3", 1, 2)])
-    o = orgs(spark, [(1, "Zim")])
-    av = asset_view(spark, [(1, "A0006001", "t1", 1, "Zim", "Solar", "Active"),
-                            (2, "A0000002", "t2", 1, "Zim", "Solar", "Active"),
-                            (3, "C3", "t3", 1, "Zim", "Solar", "Retired")])
+    o = orgs(spark, [(1, "Acme")])
+    av = asset_view(spark, [(1, "A0006001", "t1", 1, "Acme", "Solar", "Active"),
+                            (2, "A0000002", "t2", 1, "Acme", "Solar", "Active"),
+                            (3, "C3", "t3", 1, "Acme", "Solar", "Retired")])
     return RN.Tables(r, a, o, av)
 
 
@@ -53,7 +53,7 @@ def test_backfill_and_weekly(spark, tmp_dir):
         assert rows(st.read([d]), "AssetId", "ReportID") == \
             rows(J.daily_snapshot(t.readings, t.assets, t.organizations, d), "AssetId", "ReportID")
     log = os.path.join(tmp_dir, "sent")
-    specs = [SectionSpec("zim", "zim")]
+    specs = [SectionSpec("acme", "acme")]
     trend = RN.run_weekly_trend(t, st, date(2024, 1, 10), specs, "Solar", datetime(2024, 1, 10),
                                 sent_log=log, recipients=2)
     got = {r.report_date: r.members for r in trend.collect()}
@@ -65,7 +65,7 @@ def test_weekly_stops_on_missing_snapshot(spark, tmp_dir):
     t = _tables(spark)
     st = SnapshotStore(spark, tmp_dir)
     with pytest.raises(RN.IncompleteWeek):
-        RN.run_weekly_trend(t, st, date(2023, 12, 31), [SectionSpec("zim", "zim")], None, datetime(2024, 1, 1))
+        RN.run_weekly_trend(t, st, date(2023, 12, 31), [SectionSpec("acme", "acme")], None, datetime(2024, 1, 1))
 
 
 def test_sent_log_append_is_idempotent(spark, tmp_dir):
@@ -83,9 +83,9 @@ def test_legacy_snapshot_files(spark, tmp_dir):
             f.write(f"### METADATA ###\nquery_time,{secs}\n### DATA ###\n{header}\n" + "\n".join(lines) + "\n")
 
     cur = "ReportID,OrganizationId,CustomerName,AssetId,DeviceID,DeviceName,EventTimeUTC,Voltage,PowerMode"
-    put("latest_batt_5Jan26_smbs.csv", 12.5, cur, ["1,7,Zim,10,A01,t1,2026-01-04 10:00:00,3.31,High",
-                                                  "2,7,Zim,11,A02,t2,2026-01-04 11:00:00,,Unknown"])
-    put("latest_batt_6Jan26_smbs.csv", 3.0, cur, ["3,7,Zim,10,A01,t1,2026-01-05 10:00:00,3.2,Low"])
+    put("latest_batt_5Jan26_smbs.csv", 12.5, cur, ["1,7,Acme,10,A01,t1,2026-01-04 10:00:00,3.31,High",
+                                                  "2,7,Acme,11,A02,t2,2026-01-04 11:00:00,,Unknown"])
+    put("latest_batt_6Jan26_smbs.csv", 3.0, cur, ["3,7,Acme,10,A01,t1,2026-01-05 10:00:00,3.2,Low"])
     leg = "DeviceID,DeviceName,EventTimeUTC,PayloadData,Voltage,PowerMode"
     put("latest_batt_6Jan26_debug.csv", 1.0, leg, ["A01,t1,5/1/2026 10:00,Battery Level 3.20 Power mode Low,3.2,Low"])
     put("latest_batt_7Jan26_debug.csv", 2.0, leg, ["A01,t1,13/1/2026 9:00,Battery Level 3.40,3.4,High"])
