@@ -35,10 +35,10 @@ def with_next_time(df: DataFrame, key: str = "AssetId", ts: str = "EventTime", t
     order = [F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first()]
     w = Window.partitionBy(key, "_b").orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    x = (df.withColumn("_b", bucket.cast("long"))
-         .withColumn("_in", F.lead(ts).over(w))
-         .withColumn("_tail", F.lead(F.lit(1)).over(w).isNull())
-         .withColumn("_head", F.first(ts).over(whole)))
+    x = df.withColumn("_b", bucket.cast("long")).withColumns({
+        "_in": F.lead(ts).over(w),
+        "_tail": F.lead(F.lit(1)).over(w).isNull(),
+        "_head": F.first(ts).over(whole)})
     cols = df.columns + [out]
     body = x.where(~F.col("_tail")).withColumn(out, F.col("_in"))
     tails = x.where(F.col("_tail")).withColumn(

@@ -101,15 +101,15 @@ def latest_as_of_many(readings: DataFrame, dates: list[date], hour: int = 0,
     k = _cut_index(ds, hour, "EventTime")
     w = Window.partitionBy("AssetId", "_k").orderBy(F.col("EventTime").desc_nulls_last(),
                                                     F.col("ID").desc_nulls_last())
-    top = (r.withColumn("_k", k).withColumn("_rn", F.row_number().over(w))
-           .where(F.col("_rn") == 1))
+    top = r.withColumn("_k", k).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     nxt = F.lead("_k").over(Window.partitionBy("AssetId").orderBy("_k"))
     span = F.sequence(F.col("_k"), F.coalesce(F.col("_next"), F.lit(n)) - 1)
     date_arr = F.array(*[date_lit(d) for d in ds])
-    out = (top.withColumn("_next", nxt).withColumn("_i", F.explode(span))
-           .withColumn("report_date", F.element_at(date_arr, F.col("_i") + 1)))
-    return out.select("report_date", F.col("ID").alias("ReportID"), "OrganizationId", "AssetId",
-                      F.col("EventTime").alias("EventTimeUTC"), "Voltage")
+    out = top.withColumn("_next", nxt).select(
+        F.explode(span).alias("_i"), F.col("ID").alias("ReportID"), "OrganizationId", "AssetId",
+        F.col("EventTime").alias("EventTimeUTC"), "Voltage")
+    return out.select(F.element_at(date_arr, F.col("_i") + 1).alias("report_date"),
+                      "ReportID", "OrganizationId", "AssetId", "EventTimeUTC", "Voltage")
 
 
 def _cut_index(ds: list[date], hour: int, ts: str) -> F.Column:

@@ -16,8 +16,7 @@ from fleetvolt.functions.payload import payload_mode, payload_voltage
 def parse_payload(df: DataFrame, column: str = "PayloadData") -> DataFrame:
     """Add ``Voltage`` (NULL when the payload has no decimal level) and ``PayloadMode``
     (the label word, or ``None``)."""
-    return (df.withColumn("Voltage", payload_voltage(column))
-            .withColumn("PayloadMode", payload_mode(column)))
+    return df.withColumns({"Voltage": payload_voltage(column), "PayloadMode": payload_mode(column)})
 
 
 def drop_unparsed(parsed: DataFrame) -> DataFrame:

@@ -38,8 +38,8 @@ def with_listed_flag(snapshot: DataFrame, allow_list: DataFrame | None) -> DataF
     if allow_list is None:
         return snapshot.withColumn(LISTED, F.lit(False))
     lst = allow_list.select(F.col("DeviceID").alias("_lid")).where("_lid IS NOT NULL").distinct()
-    return (snapshot.join(lst, snapshot.DeviceID == lst._lid, "left")
-            .withColumn(LISTED, F.col("_lid").isNotNull()).drop("_lid"))
+    j = snapshot.join(lst, snapshot.DeviceID == lst._lid, "left")
+    return j.select(*[snapshot[c] for c in snapshot.columns], F.col("_lid").isNotNull().alias(LISTED))
 
 
 def section_predicate(spec: SectionSpec, as_of: datetime, window: timedelta) -> Column:

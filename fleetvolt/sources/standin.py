@@ -32,8 +32,17 @@ from fleetvolt.functions.dates import snapshot_file_name
 from fleetvolt.schemas import conform
 
 
+_READS: dict = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan of one test table. The test tables are read-only, so each is resolved (file
+    listing, footer schema) once per session and the same scan is reused by every stand-in."""
+    key = (id(spark), sf_dir, name)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df
 
 
 def _asset_name(key: F.Column, name: F.Column) -> F.Column:
