@@ -56,14 +56,16 @@ def dwell_readings(readings: DataFrame, asset_view: DataFrame, assets: DataFrame
     r = filter_orgs(readings, "OrganizationId", organization_id, organization_ids)
     av = filter_orgs(active_filter(asset_view, device_type), "OrganizationId",
                      organization_id, organization_ids)
-    r = r.join(av.select("AssetId"), "AssetId", "left_semi")
+    # the distinct set (IN semantics) also lets Catalyst drop joins the view needs only for
+    # names, so the planner sees its true, small size and broadcasts it
+    r = r.join(av.select("AssetId").distinct(), "AssetId", "left_semi")
     if exclude_asset_group_id is not None:
         keep = assets.where(F.col("AssetGroupId") != F.lit(exclude_asset_group_id))
         if organization_id is not None:
             keep = keep.where(F.col("OrganizationId") == F.lit(int(organization_id)))
-            r = r.join(keep.select(F.col("ID").alias("AssetId")), "AssetId", "left_semi")
+            r = r.join(keep.select(F.col("ID").alias("AssetId")).distinct(), "AssetId", "left_semi")
         else:
-            k = keep.select(F.col("ID").alias("AssetId"), "OrganizationId")
+            k = keep.select(F.col("ID").alias("AssetId"), "OrganizationId").distinct()
             r = r.join(k, ["AssetId", "OrganizationId"], "left_semi")
     return r
 

@@ -29,13 +29,18 @@ def with_next_time(df: DataFrame, key: str = "AssetId", ts: str = "EventTime", t
     (NULL for the last row). Rows with a NULL time sort first, as in SQL Server; ties on
     time are ordered by ``tiebreak`` so the result is deterministic.
 
-    ``bucket_minutes`` bounds the work per task: a task holds one (asset, bucket) at a time,
-    so the largest task is the busiest asset's busiest bucket, not the busiest asset."""
+    Work per window group is bounded by quantities that do not grow with the fleet or the
+    history: the body window holds one asset-bucket (at most a device's readings per
+    ``bucket_minutes``, limited by its reporting rate), and the tail window holds one row per
+    bucket of one asset (at most the length of the history in buckets)."""
     bucket = F.coalesce(F.floor(minute_index(ts) / F.lit(bucket_minutes)), F.lit(_NULL_BUCKET))
     order = [F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first()]
     w = Window.partitionBy(key, "_b").orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    x = df.withColumn("_b", bucket.cast("long")).withColumns({
+    # An explicit exchange on (key, bucket): an upstream shuffle on the key alone would also
+    # satisfy the window's requirement and bring back one task per asset, so it is not left
+    # to the planner.
+    x = df.withColumn("_b", bucket.cast("long")).repartition(key, "_b").withColumns({
         "_in": F.lead(ts).over(w),
         "_tail": F.lead(F.lit(1)).over(w).isNull(),
         "_head": F.first(ts).over(whole)})
