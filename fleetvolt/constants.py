@@ -34,6 +34,9 @@ LEGACY_CUTOFF_HOUR = 12                # legacy as-of is noon of the report date
 WEEK_DAYS = 7                          # weekly report covers 7 dates, today included
 MINUTES_PER_YEAR = 365 * 24 * 60
 
+# Partition column of a readings / uplinks table stored by day (optional; see sources.tables).
+DATE_PARTITION = "event_date"
+
 # ---- Fixed values: devices -----------------------------------------------------------------
 ACTIVE_STATUS = "Active"
 SERIES_MIN = 6000                      # "6000-series": last four characters all digits, >= 6000

@@ -34,6 +34,25 @@ def _valid(readings: DataFrame, valid_min: float | None) -> DataFrame:
     return readings if valid_min is None else readings.where(F.col("Voltage") > F.lit(valid_min))
 
 
+def time_range(df: DataFrame, ts: str, lo: datetime | F.Column | None = None,
+               hi: datetime | None = None) -> DataFrame:
+    """``lo <= ts <= hi`` (either bound optional). When the table is stored partitioned by day
+    (a ``event_date`` column), the same bounds are also written on that column, so that whole
+    days outside the range are never listed or read (Spark does not derive a partition filter
+    from a timestamp bound by itself)."""
+    part = K.DATE_PARTITION in df.columns
+    if lo is not None:
+        lo_c = ntz(lo) if isinstance(lo, datetime) else lo
+        df = df.where(F.col(ts) >= lo_c)
+        if part:
+            df = df.where(F.col(K.DATE_PARTITION) >= F.to_date(lo_c))
+    if hi is not None:
+        df = df.where(F.col(ts) <= ntz(hi))
+        if part:
+            df = df.where(F.col(K.DATE_PARTITION) <= F.lit(hi.date().isoformat()).cast("date"))
+    return df
+
+
 def latest_reading(readings: DataFrame, as_of: datetime | None = None,
                    valid_min: float | None = K.VALID_MIN_VOLTS) -> DataFrame:
     """Newest valid reading per asset with ``EventTime <= as_of`` (no bound when None).
@@ -41,9 +60,7 @@ def latest_reading(readings: DataFrame, as_of: datetime | None = None,
     Ties on time go to the larger reading id. Returns ``ReportID, OrganizationId, AssetId,
     EventTimeUTC, Voltage``. The validity and time filters reach the parquet scan.
     """
-    r = _valid(readings, valid_min)
-    if as_of is not None:
-        r = r.where(F.col("EventTime") <= ntz(as_of))
+    r = time_range(_valid(readings, valid_min), "EventTime", hi=as_of)
     w = Window.partitionBy("AssetId").orderBy(F.col("EventTime").desc_nulls_last(),
                                               F.col("ID").desc_nulls_last())
     top = r.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
@@ -95,9 +112,8 @@ def latest_as_of_many(readings: DataFrame, dates: list[date], hour: int = 0,
     ds = sorted(set(dates))
     if not ds:
         raise ValueError("dates must not be empty")
-    cuts = [ntz(day_at_hour(d, hour)) for d in ds]
     n = len(ds)
-    r = _valid(readings, valid_min).where(F.col("EventTime") <= cuts[-1])
+    r = time_range(_valid(readings, valid_min), "EventTime", hi=day_at_hour(ds[-1], hour))
     k = _cut_index(ds, hour, "EventTime")
     w = Window.partitionBy("AssetId", "_k").orderBy(F.col("EventTime").desc_nulls_last(),
                                                     F.col("ID").desc_nulls_last())
@@ -149,13 +165,12 @@ def legacy_latest(bursts: DataFrame, customer: str, id_prefix: str,
         & p.contains(K.PAYLOAD_MARKER) & ~p.contains(K.PAYLOAD_ZERO))
     months = F.expr(f"INTERVAL '{lookback_months}' MONTH") if lookback_months is not None else None
     if report_date is not None:
-        if months is not None:
-            b = b.where(F.col("EventTimeUTC") >= ntz(day_at_hour(report_date)) - months)
-        b = b.where(F.col("EventTimeUTC") <= ntz(day_at_hour(report_date, cutoff_hour)))
+        lo = ntz(day_at_hour(report_date)) - months if months is not None else None
+        b = time_range(b, "EventTimeUTC", lo, day_at_hour(report_date, cutoff_hour))
     elif months is not None:
         if now is None:
             raise ValueError("now is required for a relative look-back")
-        b = b.where(F.col("EventTimeUTC") >= ntz(now) - months)
+        b = time_range(b, "EventTimeUTC", ntz(now) - months)
     w = Window.partitionBy("DeviceID").orderBy(F.col("EventTimeUTC").desc_nulls_last(),
                                                F.col("ID").desc_nulls_last())
     top = b.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)

@@ -81,12 +81,13 @@ DEVICE_LIST = T.StructType([T.StructField("DeviceID", T.StringType())])
 SENT_DATES = T.StructType([T.StructField("report_date", T.DateType())])
 
 
-def conform(df, schema: T.StructType):
-    """Select and cast ``df`` to ``schema`` (missing columns become typed NULLs)."""
+def conform(df, schema: T.StructType, keep: tuple[str, ...] = ()):
+    """Select and cast ``df`` to ``schema`` (missing columns become typed NULLs); columns
+    named in ``keep`` are passed through when present."""
     from pyspark.sql import functions as F
 
     have = set(df.columns)
     return df.select([
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema.fields
-    ])
+    ] + [F.col(c) for c in keep if c in have])

@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from pyspark.sql import functions as F
+
+from fleetvolt import constants as K
 from fleetvolt import schemas
 from fleetvolt.schemas import conform
 
@@ -27,7 +30,17 @@ def read_table(spark: SparkSession, path_or_name: str, schema: T.StructType,
         df = spark.table(path_or_name)
     else:
         df = spark.read.format(format).options(**options).load(path_or_name)
-    return conform(df, schema)
+    return conform(df, schema, keep=(K.DATE_PARTITION,))   # day partition kept for pruning
+
+
+def write_by_day(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
+    """Store a readings / uplinks table partitioned by the day of ``ts`` (column
+    ``event_date``), the layout the time-bounded operators prune on. ``overwrite`` replaces
+    only the days present in ``df`` (dynamic partition overwrite), so reloading a day is
+    idempotent."""
+    (df.withColumn(K.DATE_PARTITION, F.to_date(F.col(ts)))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(K.DATE_PARTITION).parquet(path))
 
 
 def readings(spark, path, **kw):

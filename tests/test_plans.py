@@ -33,3 +33,22 @@ def test_multi_date_pushes_cutoff_and_has_no_calendar_join(spark):
 def test_readings_scan_prunes_columns(spark):
     p = _plan(L.latest_reading(SI.readings(spark, SF)))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in p
+
+
+def test_day_partitioned_readings_are_pruned(spark, tmp_dir):
+    from datetime import date, datetime
+
+    from fleetvolt.sources import tables
+
+    path = f"{tmp_dir}/readings"
+    tables.write_by_day(SI.readings(spark, SF), path, "EventTime")
+    r = tables.readings(spark, path)
+    assert "event_date" in r.columns
+    got = L.latest_reading(r, datetime(2024, 1, 10))
+    p = _plan(got)
+    assert "PartitionFilters: [isnotnull(event_date" in p and "(event_date" in p and "2024-01-10" in p
+    want = L.latest_reading(SI.readings(spark, SF), datetime(2024, 1, 10))
+    key = lambda x: x.AssetId
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    multi = L.latest_as_of_many(r, [date(2024, 1, 8), date(2024, 1, 9)])
+    assert "PartitionFilters: [isnotnull(event_date" in _plan(multi)
