@@ -149,6 +149,11 @@ def _low_battery(t: _T) -> DataFrame:
     return S.low_battery(snap, t.members(snap=snap), "new_panel")
 
 
+def _shares_by_customer(t: _T) -> DataFrame:
+    snap = t.shared_snapshot()
+    return S.cohort_shares(snap, t.members(snap=snap), paired_only=False, customer=SECTIONS[0].customer)
+
+
 def _tables(t: _T) -> DataFrame:
     return S.section_tables(t.members(), SECTIONS)
 
@@ -169,6 +174,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # legacy source
         "recent_sample": _q(lambda t: L.recent_sample(t.bursts, SAMPLE_CUSTOMER)),
         "legacy_latest": _q(lambda t: L.legacy_latest(t.bursts, LEGACY_CUSTOMER, LEGACY_PREFIX, LEGACY_DATE)),
+        "legacy_latest_relative": _q(lambda t: L.legacy_latest(t.bursts, LEGACY_CUSTOMER, LEGACY_PREFIX, now=AS_OF)),
+        "payload_rejects": _q(lambda t: P.unparsed_count(P.parse_payload(t.bursts))),
         "payload_parse": _q(lambda t: P.drop_unparsed(P.parse_payload(t.bursts)).select(
             "ID", "DeviceID", "Voltage", "PayloadMode")),
         "label_quality": _q(lambda t: P.label_quality(P.drop_unparsed(P.parse_payload(t.bursts)))),
@@ -195,6 +202,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "section_mode_counts": _q(lambda t: S.section_mode_counts(t.members())),
         "section_mode_summary": _q(lambda t: S.section_mode_summary(t.members(), SECTIONS)),
         "cohort_shares": _q(_shares),
+        "cohort_shares_by_customer": _q(_shares_by_customer),
         "section_table": _q(_tables),
         "section_preview": _q(lambda t: S.section_preview(_tables(t), K.PREVIEW_LIMIT)),
         "low_battery": _q(_low_battery),
@@ -204,6 +212,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_catalogue": _q(_catalogue),
         "sent_dates": _q(lambda t: t.sent().select("report_date", date_label("report_date").alias("label"))),
         "missing_dates": _q(lambda t: C.missing_since_sent(t.catalogue(), t.sent(), TODAY)),
+        "missing_in_window": _q(lambda t: C.missing_in_window(t.catalogue(), TODAY)),
         "unsent_dates": _q(lambda t: C.unsent_dates(t.catalogue(), t.sent())),
         "snapshot_gaps": _q(lambda t: C.snapshot_gaps(t.catalogue(), TODAY)),
         "date_labels": _q(_date_labels),
