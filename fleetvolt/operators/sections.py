@@ -113,7 +113,9 @@ def cohort_shares(snapshot: DataFrame, members: DataFrame, modes: Sequence[str]
     with 2 decimals. The denominator is every such row, ``Unknown`` included, so the four
     shares can sum below 100. Every (section, mode) pair appears, with 0 when absent."""
     ids = members.select("section", F.col("DeviceID").alias("_mid")).distinct()
-    cond = is_paired("DeviceID", "DeviceName") if paired_only else \
+    # the chart tests "id differs from name" on the whole snapshot, where a missing name
+    # counts as different (the member lists themselves never contain such rows)
+    cond = F.coalesce(is_paired("DeviceID", "DeviceName"), F.lit(True)) if paired_only else \
         (F.lower(F.col("CustomerName")) == F.lit((customer or "").lower()))
     rows = snapshot.where(cond).join(ids, snapshot.DeviceID == ids._mid, "inner")
     aggs = [F.count(F.lit(1)).alias("total")] + \

@@ -88,3 +88,13 @@ def test_preview_nulls_last(spark):
     t = spark.createDataFrame([("s", "a", None), ("s", "b", 3.0), ("s", "c", 2.0)], "section string, DeviceID string, Voltage double")
     got = [r.DeviceID for r in S.section_preview(t, limit=None).orderBy("position").collect()]
     assert got == ["c", "b", "a"]
+
+
+def test_shares_count_rows_without_name_as_differing(spark):
+    snap = snapshot(spark, [
+        (1, 1, "Acme", 1, "A0006001", "t1", "2024-06-29 00:00:00", 3.1, "Critical"),
+        (2, 1, "Acme", 2, "A0006001", None, "2024-06-29 00:00:00", 3.4, "High"),     # same id, no name
+        (3, 1, "Acme", 3, "A0006001", "A0006001", "2024-06-29 00:00:00", 3.4, "High")])  # unpaired
+    m = S.assign_sections(snap, SPECS[:1], AS_OF, timedelta(weeks=12))
+    sh = {r.PowerMode: (r.n, r.total) for r in S.cohort_shares(snap, m).collect()}
+    assert sh["Critical"] == (1, 2) and sh["High"] == (1, 2)
