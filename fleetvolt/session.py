@@ -34,6 +34,11 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
     )
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
+    log_dir = os.environ.get("FLEETVOLT_EVENT_LOG")
+    if log_dir:   # stage/task timings without the UI: Spark's event log in a scratch folder
+        os.makedirs(log_dir, exist_ok=True)
+        b = (b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
+             .config("spark.eventLog.compress", "false"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
