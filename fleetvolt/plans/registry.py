@@ -163,6 +163,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # latest state
         "latest_reading": _q(lambda t: L.latest_reading(t.readings)),
         "latest_reading_as_of": _q(lambda t: L.latest_reading(t.readings, day_at_hour(EARLY_DATE))),
+        "latest_reading_incremental": _q(lambda t: L.latest_reading_incremental(
+            L.latest_reading(t.readings, day_at_hour(EARLY_DATE)), t.readings,
+            day_at_hour(EARLY_DATE), AS_OF)),
         "latest_reading_enriched": _q(lambda t: L.enrich(L.latest_reading(t.readings, AS_OF), t.assets, t.orgs)),
         "daily_snapshot": _q(lambda t: J.daily_snapshot(t.readings, t.assets, t.orgs, TODAY, BANDS)),
         "multi_date_snapshot": _q(lambda t: J.multi_date_snapshot(t.readings, t.assets, t.orgs, WEEK_DATES, BANDS)),

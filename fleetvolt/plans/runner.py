@@ -17,6 +17,7 @@ from fleetvolt import constants as K
 from fleetvolt.config import PowerBands, SectionSpec
 from fleetvolt.functions.timecalc import date_lit, day_at_hour
 from fleetvolt.operators import calendar as C
+from fleetvolt.operators import latest as L
 from fleetvolt.operators import sections as S
 from fleetvolt.operators.fleet import active_device_ids
 from fleetvolt.plans import jobs as J
@@ -40,11 +41,21 @@ class IncompleteWeek(RuntimeError):
 
 
 def run_daily_snapshot(t: Tables, store: SnapshotStore, report_date: date,
-                       bands: PowerBands = PowerBands()) -> DataFrame:
-    """G1 with load-or-compute: the stored current-source snapshot of ``report_date``."""
-    return store.load_or_compute(
-        report_date, K.SOURCE_CURRENT,
-        lambda: J.daily_snapshot(t.readings, t.assets, t.organizations, report_date, bands))
+                       bands: PowerBands = PowerBands(), incremental: bool = False) -> DataFrame:
+    """G1 with load-or-compute: the stored current-source snapshot of ``report_date``.
+
+    ``incremental=True`` builds it from the stored snapshot of the day before (when there is
+    one) and that day's readings only, instead of the whole history; see
+    ``latest_reading_incremental`` for the one assumption (no late data)."""
+    def build():
+        prev = report_date - timedelta(days=1)
+        if incremental and store.exists(prev, K.SOURCE_CURRENT):
+            latest = L.latest_reading_incremental(store.read([prev], K.SOURCE_CURRENT), t.readings,
+                                                  day_at_hour(prev), day_at_hour(report_date))
+            snap = L.with_power_mode(L.enrich(latest, t.assets, t.organizations), bands)
+            return snap.withColumn("report_date", date_lit(report_date))
+        return J.daily_snapshot(t.readings, t.assets, t.organizations, report_date, bands)
+    return store.load_or_compute(report_date, K.SOURCE_CURRENT, build)
 
 
 def run_legacy_snapshot(t: Tables, store: SnapshotStore, report_date: date, customer: str,
