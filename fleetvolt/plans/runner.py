@@ -82,14 +82,27 @@ def run_daily_report(t: Tables, store: SnapshotStore, report_date: date,
 
 
 def backfill(t: Tables, store: SnapshotStore, dates: Sequence[date],
-             bands: PowerBands = PowerBands()) -> list[date]:
+             bands: PowerBands = PowerBands(), incremental: bool = False) -> list[date]:
     """Compute and store the current-source snapshots of ``dates`` that are missing, in one
-    pass over the readings (no loop over dates). Returns the dates computed."""
+    pass over the readings (no loop over dates). Returns the dates computed.
+
+    ``incremental=True``: when the snapshot of the day before the first missing date is
+    stored, its rows stand in for all older readings (they are the latest of them), so only
+    the readings after that day's cut-off are read (same no-late-data assumption as
+    ``latest_reading_incremental``)."""
     have = {r.report_date for r in store.catalogue().where(
         F.col("report_date").isin([date_lit(d) for d in dates])).select("report_date").distinct().collect()}
     todo = sorted(set(dates) - have)
     if todo:
-        snaps = J.multi_date_snapshot(t.readings, t.assets, t.organizations, todo, bands)
+        readings = t.readings
+        prev = todo[0] - timedelta(days=1)
+        if incremental and store.exists(prev, K.SOURCE_CURRENT):
+            old = store.read([prev], K.SOURCE_CURRENT).select(
+                F.col("ReportID").alias("ID"), "OrganizationId", "AssetId",
+                F.col("EventTimeUTC").alias("EventTime"), "Voltage")
+            new = L.time_range(t.readings, "EventTime", day_at_hour(prev), lo_inclusive=False)
+            readings = old.unionByName(new.select(*old.columns))
+        snaps = J.multi_date_snapshot(readings, t.assets, t.organizations, todo, bands)
         store.write(snaps, K.SOURCE_CURRENT, todo)
     return todo
 

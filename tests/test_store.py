@@ -129,3 +129,14 @@ def test_incremental_latest_on_test_data(spark):
     full = L.latest_reading(r, datetime(2024, 1, 27))
     cols = ("AssetId", "ReportID", "EventTimeUTC", "Voltage", "OrganizationId")
     assert rows(inc, *cols) == rows(full, *cols)
+
+
+def test_incremental_backfill_equals_full(spark, tmp_dir):
+    t = _tables(spark)
+    st = SnapshotStore(spark, tmp_dir)
+    RN.run_daily_snapshot(t, st, date(2024, 1, 3))
+    done = RN.backfill(t, st, [date(2024, 1, d) for d in range(3, 9)], incremental=True)
+    assert done == [date(2024, 1, d) for d in range(4, 9)]
+    for d in done:
+        assert rows(st.read([d]), "AssetId", "ReportID", "PowerMode") == \
+            rows(J.daily_snapshot(t.readings, t.assets, t.organizations, d), "AssetId", "ReportID", "PowerMode")
