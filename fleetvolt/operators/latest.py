@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from fleetvolt import constants as K
 from fleetvolt.config import PowerBands
 from fleetvolt.functions.bands import power_band
+from fleetvolt.functions.text import equals_ignore_case
 from fleetvolt.functions.timecalc import date_lit, day_at_hour, ntz
 
 LATEST_COLUMNS = ["ReportID", "OrganizationId", "AssetId", "EventTimeUTC", "Voltage"]
@@ -180,7 +181,7 @@ def legacy_latest(bursts: DataFrame, customer: str, id_prefix: str,
     """
     p = F.col("PayloadData")
     b = bursts.where(
-        (F.lower(F.col("CustomerName")) == F.lit(customer.lower()))
+        equals_ignore_case("CustomerName", customer)
         & (F.col("FPort") == port)
         & F.col("DeviceID").startswith(id_prefix)
         & p.contains(K.PAYLOAD_MARKER) & ~p.contains(K.PAYLOAD_ZERO))
@@ -201,6 +202,6 @@ def legacy_latest(bursts: DataFrame, customer: str, id_prefix: str,
 def recent_sample(bursts: DataFrame, customer: str, n: int = K.SAMPLE_ROWS) -> DataFrame:
     """The newest ``n`` uplinks of one customer (connectivity check). A top-k: Spark plans it
     as TakeOrderedAndProject, keeping only ``n`` rows per task."""
-    b = bursts.where(F.lower(F.col("CustomerName")) == F.lit(customer.lower()))
+    b = bursts.where(equals_ignore_case("CustomerName", customer))
     return (b.orderBy(F.col("EventTimeUTC").desc_nulls_last(), F.col("ID").desc_nulls_last())
             .limit(n).select("ID", "DeviceID", "DeviceName", "EventTimeUTC", "PayloadData"))

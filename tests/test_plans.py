@@ -52,3 +52,23 @@ def test_day_partitioned_readings_are_pruned(spark, tmp_dir):
     assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
     multi = L.latest_as_of_many(r, [date(2024, 1, 8), date(2024, 1, 9)])
     assert "PartitionFilters: [isnotnull(event_date" in _plan(multi)
+
+
+def test_customer_match_is_pushed_down(spark, tmp_dir):
+    from datetime import date
+
+    from fleetvolt import schemas
+    from fleetvolt.functions.text import equals_ignore_case
+
+    df = spark.createDataFrame([("Zeta",), ("ZETA",), ("zeta",), ("zet",), ("Other",), (None,)], "CustomerName string")
+    assert sorted(r.CustomerName for r in df.where(equals_ignore_case("CustomerName", "zEtA")).collect()) == \
+        ["ZETA", "Zeta", "zeta"]
+    path = f"{tmp_dir}/bursts"
+    SI.bursts(spark, SF).write.parquet(path)
+    b = spark.read.schema(schemas.BURSTS).parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        p = _plan(L.legacy_latest(b, "nation_1", "Customer#", report_date=date(2024, 1, 20)))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(CustomerName,NATION_1)" in p and "LessThanOrEqual(CustomerName,nation_1)" in p
