@@ -71,8 +71,7 @@ def assign_sections(snapshot: DataFrame, specs: Sequence[SectionSpec], as_of: da
         s = with_listed_flag(s, allow_list)
     names = F.array_compact(F.array(*[
         F.when(section_predicate(sp, as_of, window), F.lit(sp.name)) for sp in specs]))
-    cols = [c for c in snapshot.columns]
-    return s.select(F.explode(names).alias("section"), *cols)
+    return s.select(F.explode(names).alias("section"), *snapshot.columns)
 
 
 def section_mode_counts(members: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -138,7 +137,8 @@ def section_tables(members: DataFrame, specs: Sequence[SectionSpec],
     return members.where(cond).drop(*drop)
 
 
-def table_order(by: Sequence[str] = ()) -> list:
+def table_order() -> list:
+    """Section-table order: lowest voltage first, missing voltages last, then device id."""
     return [F.col("Voltage").asc_nulls_last(), F.col("DeviceID").asc_nulls_last()]
 
 

@@ -9,7 +9,7 @@ stand-in mapping from test tables to the reporting schemas is ``fleetvolt.source
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from fleetvolt.config import PowerBands, SectionSpec
 from fleetvolt.functions.bands import power_band
 from fleetvolt.functions.dates import date_label, display_date, parse_label
 from fleetvolt.functions.devices import is_numbered_series
-from fleetvolt.functions.timecalc import date_lit, day_at_hour
+from fleetvolt.functions.timecalc import day_at_hour
 from fleetvolt.operators import calendar as C
 from fleetvolt.operators import latest as L
 from fleetvolt.operators import payload as P

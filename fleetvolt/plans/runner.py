@@ -22,7 +22,7 @@ from fleetvolt.operators import sections as S
 from fleetvolt.operators.fleet import active_device_ids
 from fleetvolt.plans import jobs as J
 from fleetvolt.sources.exports import export_overflow
-from fleetvolt.sources.sent_log import append_sent_dates, read_sent_dates
+from fleetvolt.sources.sent_log import append_sent_dates
 from fleetvolt.sources.store import SnapshotStore
 
 

@@ -9,7 +9,6 @@ folder of text parts (one part per append), readable as one text source.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from fleetvolt import schemas
