@@ -145,17 +145,21 @@ def table_order() -> list:
 def section_preview(tables: DataFrame, limit: int | None = K.PREVIEW_LIMIT,
                     by: Sequence[str] = ()) -> DataFrame:
     """First ``limit`` rows of each section table by voltage (ascending, missing last), with
-    the table's total row count and the row's position. ``limit=None`` keeps all rows.
+    the table's total row count and the row's ``position``.
 
-    ``row_number() <= limit`` is planned with a partial WindowGroupLimit, so at most
-    ``limit`` rows per section leave each task."""
+    ``row_number() <= limit`` is planned with a partial WindowGroupLimit, so at most ``limit``
+    rows per section leave each task, however large a section is. ``limit=None`` ("show
+    all") returns the whole table with ``total_rows`` and no ``position``: numbering every
+    row would need one window partition (one task) per section, so the full table is
+    ordered at the edge instead (``order.by_voltage``)."""
+    totals = tables.groupBy(*by, "section").agg(F.count(F.lit(1)).alias("total_rows"))
+    if limit is None:
+        return tables.join(totals, [*by, "section"], "inner")
     tie = [c for c in ("ReportID", "EventTimeUTC") if c in tables.columns]
     order = table_order() + [F.col(c).asc_nulls_last() for c in tie]
     w = Window.partitionBy(*by, "section").orderBy(*order)
-    totals = tables.groupBy(*by, "section").agg(F.count(F.lit(1)).alias("total_rows"))
-    ranked = tables.withColumn("position", F.row_number().over(w).cast("long"))
-    if limit is not None:
-        ranked = ranked.where(F.col("position") <= limit)
+    ranked = (tables.withColumn("position", F.row_number().over(w).cast("long"))
+              .where(F.col("position") <= limit))
     return ranked.join(totals, [*by, "section"], "inner")
 
 

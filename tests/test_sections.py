@@ -86,8 +86,12 @@ def test_tables_and_preview(spark):
 
 def test_preview_nulls_last(spark):
     t = spark.createDataFrame([("s", "a", None), ("s", "b", 3.0), ("s", "c", 2.0)], "section string, DeviceID string, Voltage double")
-    got = [r.DeviceID for r in S.section_preview(t, limit=None).orderBy("position").collect()]
+    got = [r.DeviceID for r in S.section_preview(t, limit=3).orderBy("position").collect()]
     assert got == ["c", "b", "a"]
+    from fleetvolt.operators.order import by_voltage
+    whole = S.section_preview(t, limit=None)
+    assert "position" not in whole.columns and {r.total_rows for r in whole.collect()} == {3}
+    assert [r.DeviceID for r in by_voltage(whole).collect()] == ["c", "b", "a"]
 
 
 def test_shares_count_rows_without_name_as_differing(spark):
