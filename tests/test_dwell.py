@@ -84,3 +84,23 @@ def test_total_years_rounds_half_up(spark):
     r = readings(spark, [(1, 7, 1, "2020-01-01 00:00:00", 3.4), (2, 7, 1, "2021-07-02 12:00:00", 3.4)])
     s = dwell_statistics(r, av, a, device_type="Solar").first()
     assert s.TotalYears == 2 and s.HighPercent == 100.0   # 1.5 years (547.5 days) -> 2
+
+
+def test_hot_asset_is_spread_over_tasks(spark):
+    from fleetvolt.operators import intervals
+
+    # one asset with 90% of the rows, over 24 days
+    data = [(i, 1, 1, f"2024-01-{1 + i % 24:02d} {i % 24:02d}:{i % 60:02d}:00", 3.0) for i in range(1, 2161)]
+    data += [(10_000 + i, 1, 2 + i % 10, f"2024-01-{1 + i % 24:02d} 05:00:00", 3.0) for i in range(240)]
+    r = readings(spark, data)
+    # AQE would merge these tiny partitions (it merges only partitions under the advisory
+    # size, which a hot asset's buckets are not at scale); switch that off to see the spread
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = intervals.with_next_time(r).where("AssetId = 1")
+        spread = hot.select(F.spark_partition_id().alias("p")).distinct().count()
+        plain = r.repartition("AssetId").where("AssetId = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spread >= 4      # 24 day buckets hashed over 8 shuffle partitions
+    assert plain == 1       # what a window partitioned by asset alone would do
