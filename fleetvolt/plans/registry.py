@@ -9,6 +9,7 @@ stand-in mapping from test tables to the reporting schemas is ``fleetvolt.source
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,12 +61,12 @@ class _T:
     def __init__(self, spark: SparkSession, d: str):
         self.spark, self.d = spark, d
 
-    readings = property(lambda s: SI.readings(s.spark, s.d))
-    assets = property(lambda s: SI.assets(s.spark, s.d))
-    orgs = property(lambda s: SI.organizations(s.spark, s.d))
-    av = property(lambda s: SI.asset_view(s.spark, s.d))
-    bursts = property(lambda s: SI.bursts(s.spark, s.d))
-    allow = property(lambda s: SI.device_list(s.spark, s.d))
+    readings = cached_property(lambda s: SI.readings(s.spark, s.d))
+    assets = cached_property(lambda s: SI.assets(s.spark, s.d))
+    orgs = cached_property(lambda s: SI.organizations(s.spark, s.d))
+    av = cached_property(lambda s: SI.asset_view(s.spark, s.d))
+    bursts = cached_property(lambda s: SI.bursts(s.spark, s.d))
+    allow = cached_property(lambda s: SI.device_list(s.spark, s.d))
 
     def snapshot(self, as_of=AS_OF):
         return L.latest_snapshot(self.readings, self.assets, self.orgs, as_of, BANDS)

@@ -86,8 +86,13 @@ def conform(df, schema: T.StructType, keep: tuple[str, ...] = ()):
     named in ``keep`` are passed through when present."""
     from pyspark.sql import functions as F
 
-    have = set(df.columns)
-    return df.select([
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ] + [F.col(c) for c in keep if c in have])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for f in schema.fields:
+        if f.name not in types:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif types[f.name] == f.dataType:
+            cols.append(F.col(f.name))
+        else:
+            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    return df.select(cols + [F.col(c) for c in keep if c in types])
