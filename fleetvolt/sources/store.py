@@ -56,6 +56,33 @@ class SnapshotStore:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("report_date", "source").parquet(self.runs_path))
 
+    def import_files(self, folder: str) -> DataFrame:
+        """Move snapshot CSV files of the original application (``legacy_files``) into the
+        store, both sources, keeping each file's recorded query seconds. Returns the run rows
+        of the imported snapshots. Re-importing replaces the same partitions (idempotent)."""
+        from fleetvolt import constants as K
+        from fleetvolt.sources.legacy_files import read_snapshot_files
+
+        imported = []
+        for source, schema in ((K.SOURCE_CURRENT, schemas.SNAPSHOT), (K.SOURCE_LEGACY, schemas.LEGACY_SNAPSHOT)):
+            rows, runs = read_snapshot_files(self.spark, folder, source)
+            dates = [r.report_date for r in runs.select("report_date").distinct().collect()]  # one per file
+            if not dates:
+                continue
+            typed = schemas.conform(rows, schema, keep=("report_date",))
+            (typed.withColumn("source", F.lit(source))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("report_date", "source").parquet(self.data_path))
+            counts = rows.groupBy("report_date").agg(F.count(F.lit(1)).alias("rows"))
+            run_rows = schemas.conform(runs.join(counts, "report_date", "left").fillna(0, ["rows"]),
+                                       schemas.SNAPSHOT_RUNS)
+            (run_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("report_date", "source").parquet(self.runs_path))
+            imported += [(d, source) for d in dates]
+        return self.runs().join(
+            self.spark.createDataFrame(imported, "report_date date, source string"),
+            ["report_date", "source"], "left_semi")
+
     # ---- reading --------------------------------------------------------------------------
     def runs(self) -> DataFrame:
         """``report_date, source, query_seconds, rows`` of every stored snapshot (empty when

@@ -97,6 +97,14 @@ def test_legacy_snapshot_files(spark, tmp_dir):
     rows_l, _ = read_snapshot_files(spark, tmp_dir, K.SOURCE_LEGACY)
     assert rows(rows_l, "report_date", "EventTimeUTC") == [(date(2026, 1, 6), datetime(2026, 1, 5, 10)),
                                                            (date(2026, 1, 7), datetime(2026, 1, 13, 9))]
+    # migrate into the parquet store: catalogue, rows and recorded seconds carried over
+    st = SnapshotStore(spark, os.path.join(tmp_dir, "store"))
+    for _ in range(2):   # idempotent
+        runs = st.import_files(tmp_dir)
+    assert rows(runs, "report_date", "source", "query_seconds", "rows") == [
+        (date(2026, 1, 5), "smbs", 12.5, 2), (date(2026, 1, 6), "debug", 1.0, 1), (date(2026, 1, 6), "smbs", 3.0, 1),
+        (date(2026, 1, 7), "debug", 2.0, 1)]
+    assert st.read([date(2026, 1, 5)], K.SOURCE_CURRENT).count() == 2
 
 
 def test_overflow_export(spark, tmp_dir):
