@@ -13,11 +13,12 @@ def _c(c):
 
 
 def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    # counting from year 1 keeps every difference positive, so truncation equals floor
+    return F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def minute_index(ts: Column | str) -> Column:
-    """Whole minutes from 1970-01-01 00:00 to ``ts`` (wall clock, no time zone involved)."""
+    """Whole minutes from 0001-01-01 00:00 to ``ts`` (wall clock, no time zone involved)."""
     return F.timestamp_diff("MINUTE", _epoch(), _c(ts))
 
 

@@ -14,6 +14,8 @@ def test_minute_boundaries(spark):
         "timestamp_ntz'2024-01-01 00:00:00' c, timestamp_ntz'2024-01-01 00:00:59' d")
     r = df.select(minutes_between("a", "b").alias("ab"), minutes_between("c", "d").alias("cd")).first()
     assert (r.ab, r.cd) == (1, 0)
+    old = spark.sql("SELECT timestamp_ntz'1969-12-31 23:59:30' a, timestamp_ntz'1970-01-01 00:00:30' b")
+    assert old.select(minutes_between("a", "b").alias("m")).first().m == 1
 
 
 def test_next_time_matches_plain_lead_with_hot_asset(spark):
