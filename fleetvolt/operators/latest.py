@@ -26,7 +26,6 @@ from fleetvolt.functions.bands import power_band
 from fleetvolt.functions.text import equals_ignore_case
 from fleetvolt.functions.timecalc import date_lit, day_at_hour, ntz
 
-LATEST_COLUMNS = ["ReportID", "OrganizationId", "AssetId", "EventTimeUTC", "Voltage"]
 SNAPSHOT_COLUMNS = ["ReportID", "OrganizationId", "CustomerName", "AssetId", "DeviceID",
                     "DeviceName", "EventTimeUTC", "Voltage"]
 
