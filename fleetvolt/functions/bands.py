@@ -28,3 +28,19 @@ def power_band(v: Column | str, bands: PowerBands = PowerBands(), inclusive: boo
         .when(above(bands.low), F.lit(low))
         .otherwise(F.lit(critical))
     )
+
+
+def power_band_code(v: Column | str, bands: PowerBands = PowerBands(), inclusive: bool = True,
+                    null_code: int = 3) -> Column:
+    """Band as a one-byte code (0 High, 1 Medium, 2 Low, 3 Critical, index into ``MODES``),
+    for rows that travel through a shuffle; ``band_name`` turns it back into the name."""
+    v = F.col(v) if isinstance(v, str) else v
+    above = (lambda t: v >= F.lit(t)) if inclusive else (lambda t: v > F.lit(t))
+    code = (F.when(v.isNull(), F.lit(null_code)).when(above(bands.high), F.lit(0))
+            .when(above(bands.medium), F.lit(1)).when(above(bands.low), F.lit(2)).otherwise(F.lit(3)))
+    return code.cast("tinyint")
+
+
+def band_name(code: Column | str) -> Column:
+    c = F.col(code) if isinstance(code, str) else code
+    return F.element_at(F.array(*[F.lit(m) for m in K.MODES]), c.cast("int") + 1)

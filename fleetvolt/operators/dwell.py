@@ -21,21 +21,27 @@ from pyspark.sql import functions as F
 
 from fleetvolt import constants as K
 from fleetvolt.config import PowerBands
-from fleetvolt.functions.bands import power_band
+from fleetvolt.functions.bands import band_name, power_band_code
 from fleetvolt.functions.timecalc import minutes_between, ratio_percent
 from fleetvolt.operators.fleet import active_filter, filter_orgs
 from fleetvolt.operators.intervals import with_next_time
 
 
+def _intervals(readings: DataFrame, bands: PowerBands, bucket_minutes: int) -> DataFrame:
+    """Readings with a successor: ``AssetId, ID, EventTime, NextTime, _band`` (one-byte band
+    code, so the shuffled rows stay narrow: three longs, a timestamp and a byte)."""
+    r = readings.select("ID", "AssetId", "EventTime",
+                        power_band_code("Voltage", bands, inclusive=True).alias("_band"))
+    return with_next_time(r, bucket_minutes=bucket_minutes).where(F.col("NextTime").isNotNull())
+
+
 def reading_intervals(readings: DataFrame, bands: PowerBands = PowerBands(),
                       bucket_minutes: int = 24 * 60) -> DataFrame:
     """Per reading with a successor: ``AssetId, ID, EventTime, NextTime, PowerMode,
     DurationMinutes, DurationHours``."""
-    r = readings.select("ID", "AssetId", "EventTime",
-                        power_band("Voltage", bands, inclusive=True, null_band="Critical").alias("PowerMode"))
-    x = with_next_time(r, bucket_minutes=bucket_minutes).where(F.col("NextTime").isNotNull())
+    x = _intervals(readings, bands, bucket_minutes)
     mins = minutes_between("EventTime", "NextTime")
-    return x.select("AssetId", "ID", "EventTime", "NextTime", "PowerMode",
+    return x.select("AssetId", "ID", "EventTime", "NextTime", band_name("_band").alias("PowerMode"),
                     mins.alias("DurationMinutes"), (mins / F.lit(60.0)).alias("DurationHours"))
 
 
@@ -80,10 +86,11 @@ def dwell_statistics(readings: DataFrame, asset_view: DataFrame, assets: DataFra
     ``HighPercent, MediumPercent, LowPercent, CriticalPercent`` (2 decimals, 0.0 when empty)."""
     r = dwell_readings(readings, asset_view, assets, organization_id, organization_ids,
                        exclude_asset_group_id, device_type)
-    iv = reading_intervals(r, bands, bucket_minutes)
-    sums = [F.sum(F.when(F.col("PowerMode") == m, F.col("DurationMinutes")).otherwise(F.lit(0)))
-            .alias(f"_m_{m}") for m in K.MODES]
-    agg = iv.agg(F.sum("DurationMinutes").alias("_total"), *sums)
+    iv = _intervals(r, bands, bucket_minutes).select(
+        "_band", minutes_between("EventTime", "NextTime").alias("_mins"))
+    sums = [F.sum(F.when(F.col("_band") == i, F.col("_mins")).otherwise(F.lit(0))).alias(f"_m_{m}")
+            for i, m in enumerate(K.MODES)]
+    agg = iv.agg(F.sum("_mins").alias("_total"), *sums)
     years = F.expr(f"CAST((_total * 2 + {K.MINUTES_PER_YEAR}) div {2 * K.MINUTES_PER_YEAR} AS INT)")
     return agg.select(years.alias("TotalYears"),
                       *[ratio_percent(f"_m_{m}", "_total").alias(f"{m}Percent") for m in K.MODES])

@@ -22,3 +22,13 @@ def test_band_parameters(spark):
     b = PowerBands(90, 36, 15)
     got = [r.m for r in df.select(power_band(F.col("v"), b).alias("m")).collect()]
     assert got == ["High", "Low", "Low", "Critical"]
+
+
+def test_band_code_round_trip(spark):
+    from fleetvolt.functions.bands import band_name, power_band_code
+
+    df = spark.createDataFrame([(3.30,), (3.22,), (3.18,), (3.31,), (3.0,), (None,), (0.0,)], "v double")
+    got = df.select(band_name(power_band_code("v")).alias("a"),
+                    power_band("v", inclusive=True, null_band="Critical").alias("b")).collect()
+    assert all(r.a == r.b for r in got)
+    assert dict(df.select(power_band_code("v").alias("c")).dtypes)["c"] == "tinyint"
