@@ -21,6 +21,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from fleetvolt import schemas
@@ -101,8 +102,10 @@ class SnapshotStore:
         try:
             df = self.spark.read.parquet(self.data_path)
         except AnalysisException:
-            return self.spark.createDataFrame(
-                [], schemas.SNAPSHOT.add("report_date", "date").add("source", "string"))
+            # a new StructType: ``StructType.add`` would change the shared schema in place
+            stored = T.StructType(schemas.SNAPSHOT.fields + [T.StructField("report_date", T.DateType()),
+                                                             T.StructField("source", T.StringType())])
+            return self.spark.createDataFrame([], stored)
         if source is not None:
             df = df.where(F.col("source") == source)
         if dates is not None:

@@ -148,3 +148,11 @@ def test_incremental_backfill_equals_full(spark, tmp_dir):
     for d in done:
         assert rows(st.read([d]), "AssetId", "ReportID", "PowerMode") == \
             rows(J.daily_snapshot(t.readings, t.assets, t.organizations, d), "AssetId", "ReportID", "PowerMode")
+
+
+def test_reading_an_empty_store_leaves_the_schemas_alone(spark, tmp_dir):
+    from fleetvolt import schemas
+    before = [f.name for f in schemas.SNAPSHOT.fields]
+    empty = SnapshotStore(spark, os.path.join(tmp_dir, "nothing")).read()
+    assert empty.count() == 0 and empty.columns == before + ["report_date", "source"]
+    assert [f.name for f in schemas.SNAPSHOT.fields] == before
