@@ -11,6 +11,14 @@ needs a value: the first time of the asset's next non-empty bucket, which a seco
 just those tail rows, ordered by bucket, provides. The body rows and the tail rows come from
 the same shuffle (Spark reuses the exchange); the fixed tails are unioned back, so the big side
 is never joined.
+
+A day bucket is enough for an ordinary device, but an asset with a third of all readings
+would still put a third of a day's data into one task. Such hot assets get narrower buckets:
+one aggregate per asset (row count and time span, partially aggregated in every task) finds
+the assets with more than ``hot_rows`` readings, and each of them gets a bucket width that
+holds about ``hot_rows`` readings if its readings were spread evenly over its span (never
+below one minute). Only the hot assets are broadcast, and there can be at most
+``total rows / hot_rows`` of them (two longs each), so the broadcast has a proven bound.
 """
 
 from __future__ import annotations
@@ -23,24 +31,52 @@ from fleetvolt.functions.timecalc import minute_index
 _NULL_BUCKET = -(2 ** 62)     # bucket of rows without a time; sorts before all real buckets
 
 
+# Readings per asset above which the asset gets buckets narrower than a day.
+HOT_ROWS = 2_000_000
+
+
+def hot_bucket_widths(df: DataFrame, key: str, ts: str, bucket_minutes: int, hot_rows: int) -> DataFrame:
+    """``_hk, _w``: the bucket width in minutes of every key with more than ``hot_rows`` rows,
+    chosen so that a bucket holds about ``hot_rows`` rows when the key's rows are spread evenly
+    over its time span (at least 1 minute, at most ``bucket_minutes``). A NULL key is a key
+    like any other here. At most ``rows / hot_rows`` keys qualify."""
+    m = minute_index(ts)
+    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(m).alias("_lo"), F.max(m).alias("_hi"))
+    span = F.col("_hi") - F.col("_lo") + F.lit(1)
+    width = F.least(F.lit(bucket_minutes), F.greatest(F.lit(1), F.floor(span * F.lit(hot_rows) / F.col("_n"))))
+    return stats.where(F.col("_n") > F.lit(hot_rows)).select(
+        F.col(key).alias("_hk"), width.cast("long").alias("_w"))
+
+
 def with_next_time(df: DataFrame, key: str = "AssetId", ts: str = "EventTime", tiebreak: str = "ID",
-                   out: str = "NextTime", bucket_minutes: int = 24 * 60) -> DataFrame:
+                   out: str = "NextTime", bucket_minutes: int = 24 * 60,
+                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add ``out`` = time of the next row of the same ``key`` in ``(ts, tiebreak)`` order
     (NULL for the last row). Rows with a NULL time sort first, as in SQL Server; ties on
     time are ordered by ``tiebreak`` so the result is deterministic.
 
     Work per window group is bounded by quantities that do not grow with the fleet or the
     history: the body window holds one asset-bucket (at most a device's readings per
-    ``bucket_minutes``, limited by its reporting rate), and the tail window holds one row per
-    bucket of one asset (at most the length of the history in buckets)."""
-    bucket = F.coalesce(F.floor(minute_index(ts) / F.lit(bucket_minutes)), F.lit(_NULL_BUCKET))
+    ``bucket_minutes``, limited by its reporting rate, or about ``hot_rows`` readings of a hot
+    asset), and the tail window holds one row per bucket of one asset (at most the length of
+    the history in buckets, or about ``readings / hot_rows`` for a hot asset).
+    ``hot_rows=None`` uses ``bucket_minutes`` for every key (no per-key aggregate)."""
+    width = F.lit(bucket_minutes)
+    if hot_rows is not None:
+        hot = hot_bucket_widths(df, key, ts, bucket_minutes, hot_rows)
+        df_w = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left").drop("_hk")
+        width = F.coalesce(F.col("_w"), width)
+    else:
+        df_w = df
+    # within one key the width is constant, so buckets follow the (time, id) order
+    bucket = F.coalesce(F.floor(minute_index(ts) / width), F.lit(_NULL_BUCKET))
     order = [F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first()]
     w = Window.partitionBy(key, "_b").orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # An explicit exchange on (key, bucket): an upstream shuffle on the key alone would also
     # satisfy the window's requirement and bring back one task per asset, so it is not left
     # to the planner.
-    x = df.withColumn("_b", bucket.cast("long")).repartition(key, "_b").withColumns({
+    x = df_w.withColumn("_b", bucket.cast("long")).repartition(key, "_b").withColumns({
         "_in": F.lead(ts).over(w),
         "_tail": F.lead(F.lit(1)).over(w).isNull(),
         "_head": F.first(ts).over(whole)})

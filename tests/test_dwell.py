@@ -32,8 +32,26 @@ def test_next_time_matches_plain_lead_with_hot_asset(spark):
     w = Window.partitionBy("AssetId").orderBy(F.col("EventTime").asc_nulls_first(), F.col("ID").asc_nulls_first())
     want = rows(r.withColumn("NextTime", F.lead("EventTime").over(w)), "ID", "NextTime")
     for bucket in (1, 60, 24 * 60, 7 * 24 * 60):
-        got = rows(with_next_time(r, bucket_minutes=bucket), "ID", "NextTime")
-        assert got == want, bucket
+        for hot in (None, 3, 50, 10_000):   # hot assets (NULL key included) get narrower buckets
+            got = rows(with_next_time(r, bucket_minutes=bucket, hot_rows=hot), "ID", "NextTime")
+            assert got == want, (bucket, hot)
+
+
+def test_hot_asset_gets_narrower_buckets(spark):
+    from fleetvolt.operators.intervals import hot_bucket_widths
+
+    # asset 1: 2880 readings over 2 days (2880 minutes); asset 2: 10 readings
+    data = [(i, 1, 1, f"2024-01-{1 + i // 1440:02d} {(i % 1440) // 60:02d}:{i % 60:02d}:00", 3.0) for i in range(2880)]
+    data += [(10_000 + i, 1, 2, f"2024-01-01 0{i}:00:00", 3.0) for i in range(10)]
+    r = readings(spark, data)
+    got = rows(hot_bucket_widths(r, "AssetId", "EventTime", 24 * 60, 100), "_hk", "_w")
+    assert got == [(1, 100)]          # 100 readings per bucket, about 29 buckets; asset 2 is not hot
+    assert rows(hot_bucket_widths(r, "AssetId", "EventTime", 24 * 60, 5000), "_hk", "_w") == []
+    one_min = rows(hot_bucket_widths(r, "AssetId", "EventTime", 24 * 60, 1), "_hk", "_w")
+    assert one_min == [(1, 1), (2, 54)]   # never below a minute; asset 2: 541-minute span, 10 rows
+    w = Window.partitionBy("AssetId").orderBy("EventTime", "ID")
+    want = rows(r.withColumn("NextTime", F.lead("EventTime").over(w)), "ID", "NextTime")
+    assert rows(with_next_time(r, hot_rows=100), "ID", "NextTime") == want
 
 
 def test_intervals_drop_last_reading(spark):
