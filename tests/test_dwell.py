@@ -124,3 +124,27 @@ def test_hot_asset_is_spread_over_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert spread >= 4      # 24 day buckets hashed over 8 shuffle partitions
     assert plain == 1       # what a window partitioned by asset alone would do
+
+
+def test_hot_asset_is_split_even_when_one_bucket_spans_its_history(spark):
+    from fleetvolt.operators import intervals
+
+    # 2160 readings of one asset over 24 days, and a bucket of ten years: without the hot-asset
+    # widths the asset is one window group (its rows land in one task, plus the one task of its
+    # tail row); with them it is cut into ~45 buckets
+    data = [(i, 1, 1, f"2024-01-{1 + i % 24:02d} {i % 24:02d}:{i % 60:02d}:00", 3.0) for i in range(1, 2161)]
+    data += [(10_000 + i, 1, 2 + i % 10, f"2024-01-{1 + i % 24:02d} 05:00:00", 3.0) for i in range(240)]
+    r = readings(spark, data)
+    decade = 10 * 365 * 24 * 60
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        def spread(hot_rows):
+            out = intervals.with_next_time(r, bucket_minutes=decade, hot_rows=hot_rows).where("AssetId = 1")
+            return out.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert spread(None) <= 2
+        assert spread(50) >= 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    w = Window.partitionBy("AssetId").orderBy("EventTime", "ID")
+    want = rows(r.withColumn("NextTime", F.lead("EventTime").over(w)), "ID", "NextTime")
+    assert rows(intervals.with_next_time(r, bucket_minutes=decade, hot_rows=50), "ID", "NextTime") == want
