@@ -90,7 +90,12 @@ def dwell_statistics(readings: DataFrame, asset_view: DataFrame, assets: DataFra
         "_band", minutes_between("EventTime", "NextTime").alias("_mins"))
     sums = [F.sum(F.when(F.col("_band") == i, F.col("_mins")).otherwise(F.lit(0))).alias(f"_m_{m}")
             for i, m in enumerate(K.MODES)]
-    agg = iv.agg(F.sum("_mins").alias("_total"), *sums)
+    return dwell_result(iv.agg(F.sum("_mins").alias("_total"), *sums))
+
+
+def dwell_result(agg: DataFrame) -> DataFrame:
+    """``TotalYears`` and the four percents from one row of ``_total`` (NULL when there is no
+    interval) and ``_m_<Band>`` minutes."""
     years = F.expr(f"CAST((_total * 2 + {K.MINUTES_PER_YEAR}) div {2 * K.MINUTES_PER_YEAR} AS INT)")
     return agg.select(years.alias("TotalYears"),
                       *[ratio_percent(f"_m_{m}", "_total").alias(f"{m}Percent") for m in K.MODES])
