@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import cached_property
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +22,14 @@ from fleetvolt.functions.dates import date_label, display_date, parse_label
 from fleetvolt.functions.devices import is_numbered_series
 from fleetvolt.functions.timecalc import day_at_hour
 from fleetvolt.operators import calendar as C
+from fleetvolt.operators import dwell_state as DS
 from fleetvolt.operators import latest as L
 from fleetvolt.operators import payload as P
 from fleetvolt.operators import sections as S
 from fleetvolt.operators.dwell import dwell_statistics, reading_intervals
 from fleetvolt.operators.fleet import active_device_ids, active_devices, org_device_counts, total_device_count
 from fleetvolt.plans import jobs as J
+from fleetvolt.plans import runner as RN
 from fleetvolt.session import materialize
 from fleetvolt.sources import standin as SI
 
@@ -41,6 +43,7 @@ DEVICE_TYPE = "MACHINERY"
 DWELL_ORGS = [19, 11, 10, 20, 17, 13, 16, 2]
 DWELL_ORG = 19
 EXCLUDE_GROUP = 5
+DWELL_CUT = datetime(2024, 1, 15, 12)          # cut-off of the stored dwell state
 LEGACY_CUSTOMER = "nation_19"
 LEGACY_PREFIX = "Customer#0"
 LEGACY_DATE = date(2024, 1, 30)
@@ -98,6 +101,17 @@ def _dwell(**kw):
                                          bands=BANDS, **kw))
 
 
+def _dwell_incremental(t: _T) -> DataFrame:
+    """Dwell from a state of the readings up to ``DWELL_CUT`` advanced with the later ones:
+    must equal ``dwell_by_org_list`` over the whole table."""
+    r = t.readings
+    old = DS.dwell_state(L.time_range(r, "EventTime", hi=DWELL_CUT), BANDS)
+    state = materialize(DS.advance_dwell_state(       # stored, as ``run_dwell_state`` does
+        old, L.time_range(r, "EventTime", lo=DWELL_CUT, lo_inclusive=False), BANDS))
+    return RN.fleet_dwell_from_state(RN.Tables(r, t.assets, t.orgs, t.av), state, None,
+                                     organization_ids=DWELL_ORGS, device_type=DEVICE_TYPE, bands=BANDS)
+
+
 def _time_renderings(t: _T) -> DataFrame:
     ev = t.spark.read.parquet(f"{t.d}/events.parquet").select("ts")
     long = ev.select(F.expr(
@@ -193,6 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dwell_single_org": _dwell(organization_id=DWELL_ORG),
         "dwell_excluding_group": _dwell(organization_ids=DWELL_ORGS, exclude_asset_group_id=EXCLUDE_GROUP),
         "fleet_dwell_report": _q(_fleet),
+        "dwell_incremental": _q(_dwell_incremental),
         # registry
         "active_devices": _q(lambda t: active_devices(t.av, DEVICE_TYPE)),
         "org_device_counts": _q(lambda t: org_device_counts(t.av, DWELL_ORGS, DEVICE_TYPE)),

@@ -17,6 +17,7 @@ from fleetvolt import constants as K
 from fleetvolt.config import PowerBands, SectionSpec
 from fleetvolt.functions.timecalc import date_lit, day_at_hour
 from fleetvolt.operators import calendar as C
+from fleetvolt.operators import dwell_state as DS
 from fleetvolt.operators import latest as L
 from fleetvolt.operators import sections as S
 from fleetvolt.operators.fleet import active_device_ids
@@ -139,10 +140,60 @@ def run_fleet_dwell(t: Tables, organization_ids: Sequence[int], device_type: str
                                 device_type, exclude_asset_group_id, bands)
 
 
+def _state_dir(state_path: str, cut: datetime) -> str:
+    return f"{state_path.rstrip('/')}/cut={cut:%Y%m%dT%H%M%S}"
+
+
+def _read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
+    from pyspark.sql.utils import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def run_dwell_state(t: Tables, state_path: str, cut: datetime, prev_cut: datetime | None = None,
+                    bands: PowerBands = PowerBands()) -> DataFrame:
+    """The stored dwell state of the readings up to ``cut`` (one row per asset, see
+    ``operators.dwell_state``), written under ``state_path`` (shared storage). When the state
+    of ``prev_cut`` is stored, only the readings in ``(prev_cut, cut]`` are read; otherwise the
+    whole history up to ``cut``. A stored state is reused; rewriting one is idempotent."""
+    spark = t.readings.sparkSession
+    target = _state_dir(state_path, cut)
+    have = _read_parquet(spark, target)
+    if have is not None:
+        return have
+    prev = _read_parquet(spark, _state_dir(state_path, prev_cut)) if prev_cut is not None else None
+    if prev is not None:
+        new = L.time_range(t.readings, "EventTime", lo=prev_cut, hi=cut, lo_inclusive=False)
+        state = DS.advance_dwell_state(prev, new, bands)
+    else:
+        state = DS.dwell_state(L.time_range(t.readings, "EventTime", hi=cut), bands)
+    state.write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
+
+
+def fleet_dwell_from_state(t: Tables, state: DataFrame, cut: datetime | None,
+                           organization_ids: Sequence[int] | None = None,
+                           organization_id: int | None = None, device_type: str = "",
+                           exclude_asset_group_id: int | None = None,
+                           bands: PowerBands = PowerBands()) -> DataFrame:
+    """Dwell statistics of the readings up to ``cut`` from their state. The readings are read
+    only when some selected asset has readings of several organizations (checked first; the
+    check returns at most one row)."""
+    kw = dict(organization_id=organization_id, organization_ids=organization_ids,
+              exclude_asset_group_id=exclude_asset_group_id, device_type=device_type)
+    mixed = not DS.partial_assets(state, t.asset_view, t.assets, **kw).isEmpty()
+    readings = L.time_range(t.readings, "EventTime", hi=cut) if cut is not None else t.readings
+    return DS.dwell_statistics_from_state(state, readings, t.asset_view, t.assets, bands=bands,
+                                          with_partial=mixed, **kw)
+
+
 def session_today(spark: SparkSession) -> date:
     """Today's date in the session time zone (for callers that want the wall clock)."""
     return spark.range(1).select(F.current_date().alias("d")).first().d
 
 
 __all__ = ["Tables", "IncompleteWeek", "run_daily_snapshot", "run_legacy_snapshot",
-           "run_daily_report", "backfill", "run_weekly_trend", "run_fleet_dwell", "day_at_hour"]
+           "run_daily_report", "backfill", "run_weekly_trend", "run_fleet_dwell", "run_dwell_state",
+           "fleet_dwell_from_state", "day_at_hour"]
