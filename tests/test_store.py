@@ -156,3 +156,24 @@ def test_reading_an_empty_store_leaves_the_schemas_alone(spark, tmp_dir):
     empty = SnapshotStore(spark, os.path.join(tmp_dir, "nothing")).read()
     assert empty.count() == 0 and empty.columns == before + ["report_date", "source"]
     assert [f.name for f in schemas.SNAPSHOT.fields] == before
+
+
+def test_stored_dwell_state_advances_from_previous_cut(spark, tmp_dir):
+    from fleetvolt.operators import latest as L
+    from fleetvolt.operators.dwell import dwell_statistics
+
+    t = _tables(spark)
+    path = os.path.join(tmp_dir, "dwell_state")
+    first, second = datetime(2024, 1, 4, 12), datetime(2024, 1, 8)
+    RN.run_dwell_state(t, path, first)
+    state = RN.run_dwell_state(t, path, second, prev_cut=first)     # reads only (first, second]
+    stats = ("TotalYears", "HighPercent", "MediumPercent", "LowPercent", "CriticalPercent")
+    for kw in (dict(), dict(organization_ids=[1]), dict(organization_id=1, exclude_asset_group_id=2)):
+        got = rows(RN.fleet_dwell_from_state(t, state, second, device_type="Solar", **kw), *stats)
+        want = rows(dwell_statistics(L.time_range(t.readings, "EventTime", hi=second), t.asset_view, t.assets,
+                                     device_type="Solar", **kw), *stats)
+        assert got == want, kw
+    # a stored state is reused as it is (the readings are not read again)
+    again = RN.run_dwell_state(t.__class__(t.readings.where("false"), t.assets, t.organizations, t.asset_view),
+                               path, second, prev_cut=first)
+    assert again.count() == state.count() == 3      # one row per asset with readings (filters come later)
