@@ -72,3 +72,15 @@ def test_customer_match_is_pushed_down(spark, tmp_dir):
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(CustomerName,NATION_1)" in p and "LessThanOrEqual(CustomerName,nation_1)" in p
+
+
+def test_hot_asset_widths_keep_one_shared_bucket_exchange(spark):
+    r = SI.readings(spark, SF)
+    for hot_rows in (None, 10):          # 10: every asset of the small table counts as hot
+        out = with_next_time(r, hot_rows=hot_rows)
+        out.collect()
+        p = _plan(out)                    # final adaptive plan after the run
+        assert "isFinalPlan=true" in p and "ReusedExchange" in p, hot_rows
+        assert "SortMergeJoin" not in p
+        if hot_rows is not None:
+            assert "BroadcastHashJoin" in p
