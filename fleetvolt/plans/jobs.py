@@ -123,6 +123,12 @@ def fleet_dwell_report(readings: DataFrame, asset_view: DataFrame, assets: DataF
     stats = dwell_statistics(readings, asset_view, assets, organization_ids=organization_ids,
                              exclude_asset_group_id=exclude_asset_group_id,
                              device_type=device_type, bands=bands)
+    return fleet_report_from_stats(stats, asset_view, organization_ids, device_type)
+
+
+def fleet_report_from_stats(stats: DataFrame, asset_view: DataFrame, organization_ids: Sequence[int],
+                            device_type: str) -> FleetDwellReport:
+    """The report around a dwell statistics row (computed in full or from a stored state)."""
     total = total_device_count(asset_view, organization_ids, device_type)
     stats = stats.withColumn("TotalDevices", total.select("TotalDevices").scalar())
     return FleetDwellReport(stats=stats,

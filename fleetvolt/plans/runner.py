@@ -133,11 +133,24 @@ def run_weekly_trend(t: Tables, store: SnapshotStore, today: date,
 
 def run_fleet_dwell(t: Tables, organization_ids: Sequence[int], device_type: str,
                     exclude_asset_group_id: int | None = None,
-                    bands: PowerBands = PowerBands()) -> J.FleetDwellReport:
+                    bands: PowerBands = PowerBands(), state_path: str | None = None,
+                    cut: datetime | None = None, prev_cut: datetime | None = None) -> J.FleetDwellReport:
     """G5: dwell statistics of the listed organizations with device counts; the statistics
-    are shown only when ``TotalYears > 0``."""
-    return J.fleet_dwell_report(t.readings, t.asset_view, t.assets, organization_ids,
-                                device_type, exclude_asset_group_id, bands)
+    are shown only when ``TotalYears > 0``.
+
+    With ``state_path`` (and the cut-off ``cut``) the statistics come from the stored dwell
+    state of the readings up to ``cut`` (``run_dwell_state``; built from the state of
+    ``prev_cut`` when that one is stored) instead of the whole history."""
+    if state_path is None:
+        return J.fleet_dwell_report(t.readings, t.asset_view, t.assets, organization_ids,
+                                    device_type, exclude_asset_group_id, bands)
+    if cut is None:
+        raise ValueError("a stored dwell state needs its cut-off")
+    state = run_dwell_state(t, state_path, cut, prev_cut, bands)
+    stats = fleet_dwell_from_state(t, state, cut, organization_ids=organization_ids,
+                                   device_type=device_type,
+                                   exclude_asset_group_id=exclude_asset_group_id, bands=bands)
+    return J.fleet_report_from_stats(stats, t.asset_view, organization_ids, device_type)
 
 
 def _state_dir(state_path: str, cut: datetime) -> str:

@@ -177,3 +177,17 @@ def test_stored_dwell_state_advances_from_previous_cut(spark, tmp_dir):
     again = RN.run_dwell_state(t.__class__(t.readings.where("false"), t.assets, t.organizations, t.asset_view),
                                path, second, prev_cut=first)
     assert again.count() == state.count() == 3      # one row per asset with readings (filters come later)
+
+
+def test_fleet_dwell_report_from_stored_state(spark, tmp_dir):
+    t = _tables(spark)
+    path = os.path.join(tmp_dir, "dwell_state")
+    full = RN.run_fleet_dwell(t, [1], "Solar")
+    cols = ("TotalYears", "HighPercent", "MediumPercent", "LowPercent", "CriticalPercent", "TotalDevices")
+    RN.run_dwell_state(t, path, datetime(2024, 1, 5))
+    inc = RN.run_fleet_dwell(t, [1], "Solar", state_path=path, cut=datetime(2024, 1, 31),
+                             prev_cut=datetime(2024, 1, 5))   # every reading is before the cut
+    assert rows(inc.stats, *cols) == rows(full.stats, *cols)
+    assert rows(inc.organizations) == rows(full.organizations)
+    with pytest.raises(ValueError):
+        RN.run_fleet_dwell(t, [1], "Solar", state_path=path)
