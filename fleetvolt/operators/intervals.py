@@ -25,10 +25,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetvolt.functions.timecalc import minute_index
 
-_NULL_BUCKET = -(2 ** 62)     # bucket of rows without a time; sorts before all real buckets
+_NULL_BUCKET = -(2 ** 62)     # buckets of rows without a time sort before all real buckets
+_NULL_ID_SPAN = 2 ** 20       # rows without a time are split into id ranges of this size
+_NULL_ID_NULL_BUCKET = _NULL_BUCKET - 2 ** 50   # neither time nor id: first of all
 
 
 # Readings per asset above which the asset gets buckets narrower than a day.
@@ -68,8 +71,13 @@ def with_next_time(df: DataFrame, key: str = "AssetId", ts: str = "EventTime", t
         width = F.coalesce(F.col("_w"), width)
     else:
         df_w = df
-    # within one key the width is constant, so buckets follow the (time, id) order
-    bucket = F.coalesce(F.floor(minute_index(ts) / width), F.lit(_NULL_BUCKET))
+    # within one key the width is constant, so buckets follow the (time, id) order; rows
+    # without a time come first and are ordered by id alone, so id ranges keep that order
+    untimed = F.lit(_NULL_BUCKET)
+    if isinstance(df.schema[tiebreak].dataType, T.IntegralType):
+        untimed = F.when(F.col(tiebreak).isNull(), F.lit(_NULL_ID_NULL_BUCKET)).otherwise(
+            F.lit(_NULL_BUCKET) + F.floor(F.col(tiebreak) / F.lit(_NULL_ID_SPAN)))
+    bucket = F.when(F.col(ts).isNotNull(), F.floor(minute_index(ts) / width)).otherwise(untimed)
     order = [F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first()]
     w = Window.partitionBy(key, "_b").orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

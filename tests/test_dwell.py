@@ -27,7 +27,10 @@ def test_next_time_matches_plain_lead_with_hot_asset(spark):
             t = f"2024-01-{1 + (k * 7) % 28:02d} {(k * 5) % 24:02d}:{(k * 13) % 60:02d}:00"
             data.append((i, 1, a, t, 3.0))
     data += [(9001, 1, 1, None, 3.0), (9002, 1, 1, None, 3.1), (9003, 1, 2, "2024-01-01 00:00:00", 3.0),
-             (9004, 1, 2, "2024-01-01 00:00:00", 3.0)]
+             (9004, 1, 2, "2024-01-01 00:00:00", 3.0),
+             # readings without a time in different id ranges, one without an id either
+             (5 * 2 ** 20, 1, 1, None, 3.0), (-7, 1, 1, None, 3.0), (2 ** 40, 1, 3, None, 3.0),
+             (None, 1, 1, None, 3.2), (None, 1, 1, "2024-01-02 00:00:00", 3.2)]
     r = readings(spark, data)
     w = Window.partitionBy("AssetId").orderBy(F.col("EventTime").asc_nulls_first(), F.col("ID").asc_nulls_first())
     want = rows(r.withColumn("NextTime", F.lead("EventTime").over(w)), "ID", "NextTime")
