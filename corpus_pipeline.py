@@ -1,16 +1,39 @@
-"""A corpus pipeline: stages that each apply one operator of ``fleetvolt.llm``."""
+"""A corpus pipeline: toxic documents go, then those of low quality, one document of each group of
+near-duplicates stays, the sources are mixed to target weights, and the mix is packed into batches.
+
+Each stage applies one operator of ``fleetvolt.llm`` to all rows that its predecessor kept. All but the last
+return rows with the columns of ``documents``; extra columns, nulls, empty texts and empty tables pass
+through as each operator defines it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetvolt.llm import minhash
+from fleetvolt.llm import minhash, mixing, packing, quality
+from fleetvolt.llm import toxicity as tox
 from fleetvolt.llm.common import stored
 
+#: The learnt stages and the shuffles cannot be written in SQL; the tests hold ``run`` against a
+#: brute-force version.
 ORACLE_SQL = None
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.7 or more go."""
+    return tox.drop_toxic(docs, _labels(spark, sf_dir))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the certified cutoffs reject go."""
+    return quality.keep_good(docs, _labels(spark, sf_dir))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest doc_id. Rows
     that repeat a doc_id count once; rows without doc_id stay."""
@@ -20,14 +43,30 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document comes as often as the mix takes its words, rounded: not at all, once or twice. Rows
+    that share a doc_id come equally often."""
+    taken = mixing.mix(docs)
+    times = (taken.groupBy("doc_id").agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
+             .select("doc_id", F.round(F.col("t") / F.greatest("s", F.lit(1))).cast("int").alias("times"))
+             .where("times > 0"))
+    rows = docs.select(F.col("doc_id").alias("own"), F.struct(*docs.columns).alias("row"))
+    joined = rows.join(times, F.col("own").eqNullSafe(F.col("doc_id")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Buckets and batches of all that the mix holds."""
+    return packing.pack(docs)
+
+
+STAGES = [("toxicity", toxicity), ("quality_rules", quality_rules), ("near_dedup", near_dedup),
+          ("mix_sources", mix_sources), ("packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's result is written and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = stored(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

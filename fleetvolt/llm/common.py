@@ -70,23 +70,25 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def block_of(order_hash: Column, blocks: Column | int) -> Column:
-    """Cut the order of a 64-bit hash into equal ranges 0..blocks-1."""
-    n = blocks if isinstance(blocks, Column) else F.lit(blocks)
-    x = (order_hash.cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)) * n
-    return F.least(F.greatest(F.floor(x), F.lit(0)), n.cast("long") - 1).cast("long")
+def hash_place(order_hash: Column | str) -> Column:
+    """The place in [0, 1) of a 64-bit hash in its own order."""
+    h = F.col(order_hash) if isinstance(order_hash, str) else order_hash
+    return h.cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
 
 
-def running_before(df: DataFrame, group: list[str], order_hash: str, ties: list[str],
-                   blocks: int, weight: Column, name: str) -> DataFrame:
+def running_before(df: DataFrame, group: list[str], place: Column, order: list[str], blocks: int,
+                   weight: Column, name: str) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over the rows before this one within ``group``, in the
-    order of ``order_hash`` then ``ties``. With weight 1 it is the rank from 0.
+    order of the columns ``order``. With weight 1 it is the rank from 0.
 
-    No group is ever one task: the order is cut into ``blocks`` ranges of the hash, their sums are
-    added up first (one row per group and range), and only the rows of one range share a window.
-    ``df`` is evaluated twice, so pass a stored table. Extra columns are kept.
+    ``place`` is a number in [0, 1) that never falls along that order. No group is ever one task:
+    the order is cut into ``blocks`` ranges of the place, their sums are added up first (one row per
+    group and range), and only the rows of one range share a window. ``df`` is evaluated twice, so
+    pass a stored table. Extra columns are kept.
     """
-    keyed = df.withColumn("__block", block_of(F.col(order_hash), blocks)).withColumn("__w", weight)
+    n = F.lit(blocks)
+    block = F.least(F.greatest(F.floor(place * n), F.lit(0)), n - 1).cast("long")
+    keyed = df.withColumn("__block", block).withColumn("__w", weight)
     keys = [*group, "__block"]
     sums = keyed.groupBy(*keys).agg(F.sum("__w").alias("__sum"))
     w = Window.partitionBy(*group).orderBy("__block") if group else Window.orderBy("__block")
@@ -94,7 +96,7 @@ def running_before(df: DataFrame, group: list[str], order_hash: str, ties: list[
                          (F.sum("__sum").over(w) - F.col("__sum")).alias("__before"))
     same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
     joined = keyed.join(before, same, "left")
-    inside = (Window.partitionBy(*keys).orderBy(order_hash, *ties)
+    inside = (Window.partitionBy(*keys).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (joined.withColumn(name, (F.col("__before") + F.sum("__w").over(inside) - F.col("__w")).cast("long"))
             .drop("__block", "__w", "__before", *[f"__k_{k}" for k in keys]))

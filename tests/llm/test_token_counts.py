@@ -1,0 +1,50 @@
+import pytest
+
+from fleetvolt.llm import token_counts
+
+P = pytest.importorskip("public_tokenizers")
+PATH = P.path("byte_bpe_50k.json")
+TRICKY = ["I'm he's 'tis we'll!'s  two  spaces\n\n\nlines\t\ttabs  nbsp em", "<|endoftext|>a<|endoftext|> <|endoftext|>", "x" * 3000,
+          "中文字符 и русский текст ελληνικά 🙂🙂 ؀١", "a\x1cb\x1d c\x85d", "  lead and trail  ", "\n", "<|endof", "1234 56,78.9% $#@!  'S 'RE",
+          "\U00010940 ₏՘x", "mixed中x'll 'll", "\r\n\r\n x\r\n"]
+
+
+def expected(texts):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(PATH)
+    return [len(e.ids) for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def check(df, rows):
+    n = expected([r[1] for r in rows])
+    want = sorted(((r[0], len((r[1] or "").encode()), k, k > 512) for r, k in zip(rows, n)), key=str)
+    got = token_counts.count_tokens(df, PATH).select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()
+    assert sorted(map(tuple, got), key=str) == want
+
+
+def test_documents(documents):
+    check(documents, [tuple(r) for r in documents.collect()])
+
+
+def test_edge_documents(edge_docs, edge_rows):
+    check(edge_docs, edge_rows)
+
+
+def test_tricky_texts_with_few_frequent_pretokens(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "FREQUENT", 3)
+    monkeypatch.setattr(token_counts, "_MEMORY", 5)
+    rows = list(enumerate(TRICKY)) + [(0, TRICKY[0])]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
+def test_no_documents(no_docs):
+    assert token_counts.count_tokens(no_docs, PATH).count() == 0
+
+
+def test_plain_characters_are_cut_as_by_the_tokenizer():
+    """Below the bound of the own cutting every code point has the class that the tokenizer gives it."""
+    cutter = token_counts._Cutter(PATH)
+    for c in range(ord(token_counts.PLAIN) + 1):
+        text = f"a{chr(c)}1{chr(c)}! {chr(c)}{chr(c)} x"
+        want = [text[a:b] for _, (a, b) in cutter.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        assert [w for r in cutter.runs.findall(text) for w in cutter.cut(r)] == want, hex(c)
