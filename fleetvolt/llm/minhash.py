@@ -8,13 +8,13 @@ neighbouring values of the ring.
 1. One pass over the whole texts gives each row its number of shingles, a digest of its set, the
    band keys and a one-byte form of the signature. Texts are not shuffled for this.
 2. Rows with equal sets become one node (its smallest doc_id), so copies cost one row.
-3. Every band bucket compares its nodes with its smallest one. A pair whose signatures agree in
-   fewer than ``AGREE`` of the coordinates is passed over; the others are confirmed on the full sets
-   that are rebuilt from the texts.
-4. Connected components of the links. A bucket whose nodes are in one component by now needs no
-   more work, however large it is; this is how large groups of copies avoid all their pairs. In the
-   other buckets all pairs between different components are compared, in blocks of at most
-   ``BLOCK`` nodes a side, so no bucket is one task.
+3. The smallest node of a band bucket is its hub, and is compared with the others of all its buckets.
+   A pair whose signatures agree in fewer than ``AGREE`` of the coordinates is passed over; the others
+   are confirmed on the full sets that are rebuilt from the texts.
+4. Connected components of the links. A hub whose partners are in one component by now needs no more
+   work, however many they are; this is how large groups of copies avoid all their pairs. For the other
+   hubs all pairs of partners from different components are compared (every pair that shares a bucket is
+   among them), in blocks of about ``BLOCK`` nodes a side, so no hub is one task.
 5. Connected components of all links.
 
 What may be missed is a pair that no bucket holds, or whose signatures agree in too few places. At
@@ -233,31 +233,32 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.first("keys").alias("keys")), "nodes")
     cells = nodes.select(F.explode("keys").alias("bucket"), "node")
     buckets = (cells.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("size"))
-               .where("size > 1"))
-    members = stored(cells.join(buckets, "bucket"), "members")
+               .where("size > 1").drop("size"))
+    # A pair that shares several buckets with one hub counts once.
+    pairs = stored(cells.join(buckets, "bucket").where("node != hub").select("hub", "node").distinct(), "pairs")
     facts = nodes.select("node", "n", "sig")
-
-    # Each bucket's smallest node with the others: one hub has many partners, dealt over chunks.
-    chunks = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("size") / F.lit(BLOCK), F.lit(1.0))))).cast("long")
-    pairs = members.where("node != hub").select("hub", "node", F.concat_ws(
-        ":", F.col("hub").cast("string"), chunks.cast("string"),
-        F.pmod(F.xxhash64("node"), chunks).cast("string")).alias("task")).distinct()
-    hubs = pairs.select("task", F.col("hub").alias("node")).distinct().withColumn("side", F.lit(0))
-    star = (hubs.unionByName(pairs.select("task", "node", F.lit(1).alias("side"))).join(facts, "node")
+    width = pairs.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"), F.count("*").alias("size"))
+
+    # Each hub with the others of its buckets; the partners of one hub are dealt over chunks.
+    spread = pairs.join(width, "hub").withColumn("task", F.concat_ws(
+        ":", F.col("hub").cast("string"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("string")))
+    hubs = width.select(F.col("hub").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("at"))
+    hubs = hubs.select("node", F.concat_ws(":", F.col("node").cast("string"), F.col("at").cast("string")).alias("task"),
+                       F.lit(0).alias("side"))
+    star = (hubs.unionByName(spread.select("task", "node", F.lit(1).alias("side"))).join(facts, "node")
             .withColumn("comp", F.col("node")).withColumn("mode", F.lit(0)))
     links = _links(star, docs)
     belongs = components(links)
 
-    # Buckets that still hold several components: all pairs between those, block by block.
-    placed = (members.where("size > 2").join(belongs, "node", "left")
+    # Hubs whose partners are in several components: all pairs between those, block by block.
+    placed = (pairs.join(width.where("size > 1"), "hub").join(belongs, "node", "left")
               .withColumn("comp", F.coalesce("component", "node")))
-    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo < hi").select("bucket"))
-    rest = (placed.join(mixed, "bucket").join(facts, "node")
-            .withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("long"))
+    mixed = (placed.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .where("lo < hi").select("hub"))
+    rest = (placed.join(mixed, "hub").join(facts, "node")
             .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks"))))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rest = (rest.withColumn("task", F.concat_ws(":", F.col("bucket").cast("string"),
+    rest = (rest.withColumn("task", F.concat_ws(":", F.col("hub").cast("string"),
                                                 F.least("block", "other").cast("string"),
                                                 F.greatest("block", "other").cast("string")))
             .withColumn("side", (F.col("block") > F.col("other")).cast("int"))
@@ -276,5 +277,5 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
            .select("doc_id", "n_shingles",
                    F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id")))
     out = out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    drop_stored(members)
+    drop_stored(pairs)
     return out, every
