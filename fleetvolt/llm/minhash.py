@@ -207,11 +207,16 @@ def _links(tasks: DataFrame, docs: DataFrame) -> DataFrame:
     left = stored(_by_task(tasks.select(*[c.split()[0] for c in _TASK.split(", ")]))
                   .mapInArrow(_filter_by_signature, _TASK), "tasks")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    # The ids alone first: while they are few they are broadcast, and then the texts of all other
+    # documents are not shuffled; beyond the broadcast threshold it is a shuffled join.
+    ids = stored(left.select("node").distinct(), "ids")
+    texts = texts.join(ids, "node", "left_semi")
     links = (_by_task(left.join(texts, "node"))
              .mapInArrow(_confirm, "u long, v long, common long, either long"))
     links = stored(links.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
                    .agg(F.max("common").alias("common"), F.max("either").alias("either")), "links")
     drop_stored(left)
+    drop_stored(ids)
     return links
 
 
