@@ -149,8 +149,8 @@ def cutoffs(labelled: DataFrame, risk: float = 0.02, delta: float = 0.05) -> Dat
         return F.exists(F.zip_with(cells, cuts, lambda c, t: c > t), lambda x: x)
     # Which configurations reject a row: one number per configuration, summed in one aggregate.
     flags = F.transform("plans", lambda cuts: rejected(F.col("cells"), cuts).cast("int"))
-    seen = (rows.join(plans, F.col("stratum").eqNullSafe(plans["stratum"])).drop(plans["stratum"])
-            .withColumn("flags", flags))
+    named = plans.withColumnRenamed("stratum", "of")
+    seen = rows.join(named, F.col("stratum").eqNullSafe(F.col("of"))).withColumn("flags", flags)
     sums = seen.groupBy("stratum").agg(
         *[F.sum(F.when(cond, F.get("flags", F.lit(i))).otherwise(0)).alias(f"{name}{i}")
           for i in range(len(TAILS))
@@ -168,8 +168,8 @@ def cutoffs(labelled: DataFrame, risk: float = 0.02, delta: float = 0.05) -> Dat
         Window.partitionBy("stratum").orderBy("at"))
     best = (tests.withColumn("failed", failed).where("failed = 0 AND gain > 0").groupBy("stratum")
             .agg(F.max(F.struct("gain", (-F.col("at")).alias("mild"))).alias("b"))
-            .select(F.col("stratum").alias("of"), (-F.col("b.mild")).alias("at")))
-    return best.join(plans, F.col("of").eqNullSafe(F.col("stratum"))).select("stratum", F.get("plans", "at").alias("cuts"))
+            .select("stratum", (-F.col("b.mild")).alias("at")))
+    return best.join(named, F.col("stratum").eqNullSafe(F.col("of"))).select("stratum", F.get("plans", "at").alias("cuts"))
 
 
 def labelled_rows(measured: DataFrame, labels: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ their evidence outweighs it. What is not zero is a short list of (place, weight)
 of places, and is broadcast for scoring.
 
 The classifier is fitted on at most ``SAMPLE`` labelled rows, those with the smallest hash of doc_id,
-dealt over ``SHARDS`` groups. In every round each group runs FTRL ``EPOCHS`` times over its rows (a few
+dealt over ``SHARDS`` groups. In every round each group runs FTRL once over its rows (a few
 thousand, a bounded task) from the common state, and the groups' changes of state are averaged over
 the groups that touched a coordinate. Scores cover whole
 texts of all rows.
@@ -26,9 +26,9 @@ from fleetvolt.llm.wordhash import WordHasher, mix, separators
 
 BITS = 20
 SAMPLE = 20_000
-SHARDS = 4
-ROUNDS, EPOCHS = 2, 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 0.5
+SHARDS = 2
+ROUNDS = 2
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 2.0, 0.0
 _BIAS = 0                     # this place belongs to the bias alone
 _LETTERS = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 
@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable=None) -
             z1, n1 = z0.copy(), n0.copy()
             rows = [(y, np.frombuffer(places.as_buffer(), np.int32)) for batch in batches
                     for y, places in zip(batch.column("y").to_pylist(), batch.column("places"))]
-            for y, at in rows * EPOCHS:
+            for y, at in rows:
                 w = _weights(z1, n1, at)
                 g = _sigmoid(w.sum()) - y              # features are 0 or 1
                 s = (np.sqrt(n1[at] + g * g) - np.sqrt(n1[at])) / ALPHA

@@ -78,7 +78,7 @@ def test_bounds_save_computations(spread):
     score = q @ x.T
     score[np.arange(50), np.arange(50)] = np.iinfo(np.int64).min
     for r in range(50):
-        order = np.lexsort((ids, -score[r]))[:5]
+        order = np.lexsort((ids, -score[r].astype(float)))[:5]
         assert s.ids[r].tolist() == order.tolist() and s.scores[r].tolist() == score[r][order].tolist()
     if spread < 1:
         assert s.computed < 0.7 * 50 * 4000
