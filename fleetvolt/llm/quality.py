@@ -84,6 +84,9 @@ def measures(docs: DataFrame) -> DataFrame:
             .withColumn("m_n_marks", _count_of(text, MARKS))
             .withColumn("m_base_failed", (F.col("m_n_words") < 50)
                         | (100 * F.col("m_n_repeat_words") > 50 * F.col("m_n_words")))
+            # Not deterministic for the optimizer: a filter on the measures stays above them. Pushed
+            # below, it would write the sorted windows into the functions that run once per window.
+            .withColumn("m_barrier_", F.monotonically_increasing_id())
             .drop("m_words_", "m_windows_", "m_lines_", "m_sorted_", "m_starts_"))
 
 
@@ -208,4 +211,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: float = 0.02, delta: flo
     m = stored(measures(docs.select("doc_id", "text", "lang")).drop("text"), "measures")
     cuts = stored(cutoffs(labelled_rows(m, labels), risk, delta), "cuts")
     rows = docs.select("text", "lang", F.struct(*docs.columns).alias("row"))
-    return judged(measures(rows), cuts).where("m_kept").select("row.*")
+    return judged(measures(rows), cuts).where("m_kept AND m_barrier_ >= 0").select("row.*")
