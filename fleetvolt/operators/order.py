@@ -27,9 +27,14 @@ def by_owner_and_device(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("OrgName").asc_nulls_first(), F.col("DeviceName").asc_nulls_first())
 
 
+def table_order() -> list:
+    """Section-table order: lowest voltage first, missing voltages last, then device id."""
+    return [F.col("Voltage").asc_nulls_last(), F.col("DeviceID").asc_nulls_last()]
+
+
 def by_voltage(df: DataFrame) -> DataFrame:
     """Section tables: lowest voltage first, missing voltages last."""
-    return df.orderBy(F.col("Voltage").asc_nulls_last(), F.col("DeviceID").asc_nulls_last())
+    return df.orderBy(*table_order())
 
 
 def by_date(df: DataFrame, column: str = "report_date") -> DataFrame:

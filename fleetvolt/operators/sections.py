@@ -18,6 +18,7 @@ from fleetvolt import constants as K
 from fleetvolt.config import SectionSpec
 from fleetvolt.functions.devices import is_numbered_series, is_paired
 from fleetvolt.functions.timecalc import ntz, ratio_percent
+from fleetvolt.operators.order import table_order
 
 LISTED = "_listed"
 
@@ -86,23 +87,19 @@ def section_mode_summary(members: DataFrame, specs: Sequence[SectionSpec],
     section, including sections without members.
 
     One global (or per-``by``) aggregate computes a count for every (section, mode) pair
-    with conditional counts, and ``stack`` turns the wide row into one row per section.
+    with conditional counts, and an array of structs turns the wide row into one row per section.
     Empty sections therefore still give zeros and no join with a section list is needed.
     """
     aggs = []
-    for sp in specs:
+    for i, sp in enumerate(specs):
         in_s = F.col("section") == F.lit(sp.name)
-        aggs.append(F.count_if(in_s).alias(f"_{sp.name}__n"))
+        aggs.append(F.count_if(in_s).alias(f"_{i}__n"))
         for m in modes:
-            aggs.append(F.count_if(in_s & (F.col("PowerMode") == F.lit(m))).alias(f"_{sp.name}__{m}"))
+            aggs.append(F.count_if(in_s & (F.col("PowerMode") == F.lit(m))).alias(f"_{i}__{m}"))
     wide = members.groupBy(*by).agg(*aggs)
-    parts = []
-    for sp in specs:
-        parts.append(f"'{sp.name}'")
-        parts.append(f"`_{sp.name}__n`")
-        parts += [f"`_{sp.name}__{m}`" for m in modes]
-    stack = F.expr(f"stack({len(specs)}, {', '.join(parts)}) AS (section, members, {', '.join(modes)})")
-    return wide.select(*by, stack)
+    rows = F.array(*[F.struct(F.lit(sp.name).alias("section"), F.col(f"_{i}__n").alias("members"),
+                              *[F.col(f"_{i}__{m}").alias(m) for m in modes]) for i, sp in enumerate(specs)])
+    return wide.select(*by, F.inline(rows))
 
 
 def cohort_shares(snapshot: DataFrame, members: DataFrame, modes: Sequence[str] = K.MODES,
@@ -137,11 +134,6 @@ def section_tables(members: DataFrame, specs: Sequence[SectionSpec],
     return members.where(cond).drop(*drop)
 
 
-def table_order() -> list:
-    """Section-table order: lowest voltage first, missing voltages last, then device id."""
-    return [F.col("Voltage").asc_nulls_last(), F.col("DeviceID").asc_nulls_last()]
-
-
 def section_preview(tables: DataFrame, limit: int | None = K.PREVIEW_LIMIT,
                     by: Sequence[str] = ()) -> DataFrame:
     """First ``limit`` rows of each section table by voltage (ascending, missing last), with

@@ -130,6 +130,8 @@ def fleet_report_from_stats(stats: DataFrame, asset_view: DataFrame, organizatio
                             device_type: str) -> FleetDwellReport:
     """The report around a dwell statistics row (computed in full or from a stored state)."""
     total = total_device_count(asset_view, organization_ids, device_type)
-    stats = stats.withColumn("TotalDevices", total.select("TotalDevices").scalar())
+    # No statistics without operating time: zero rows when the years are 0 or unknown.
+    stats = (stats.where(F.col("TotalYears") > 0)
+             .withColumn("TotalDevices", total.select("TotalDevices").scalar()))
     return FleetDwellReport(stats=stats,
                             organizations=org_device_counts(asset_view, organization_ids, device_type))

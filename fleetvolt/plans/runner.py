@@ -23,7 +23,7 @@ from fleetvolt.operators import sections as S
 from fleetvolt.operators.fleet import active_device_ids
 from fleetvolt.plans import jobs as J
 from fleetvolt.sources.exports import export_overflow
-from fleetvolt.sources.sent_log import append_sent_dates
+from fleetvolt.sources.sent_log import append_sent_dates, read_sent_dates
 from fleetvolt.sources.store import SnapshotStore
 
 
@@ -41,6 +41,16 @@ class IncompleteWeek(RuntimeError):
     """Raised when required snapshots are still missing; the weekly report is not built."""
 
 
+def run_open_snapshot(t: Tables, store: SnapshotStore, today: date,
+                      bands: PowerBands = PowerBands()) -> DataFrame:
+    """The scheduled daily run: all readings so far, without an upper bound, stored as the
+    snapshot of ``today``. Load-or-compute like ``run_daily_snapshot``."""
+    def build():
+        snap = J.daily_snapshot(t.readings, t.assets, t.organizations, None, bands)
+        return snap.withColumn("report_date", date_lit(today))
+    return store.load_or_compute(today, K.SOURCE_CURRENT, build)
+
+
 def run_daily_snapshot(t: Tables, store: SnapshotStore, report_date: date,
                        bands: PowerBands = PowerBands(), incremental: bool = False) -> DataFrame:
     """G1 with load-or-compute: the stored current-source snapshot of ``report_date``.
@@ -110,25 +120,53 @@ def backfill(t: Tables, store: SnapshotStore, dates: Sequence[date],
 
 def run_weekly_trend(t: Tables, store: SnapshotStore, today: date,
                      specs: Sequence[SectionSpec], device_type: str | None, as_of: datetime,
-                     sent_log: str | None = None, recipients: int = 1,
-                     window: timedelta = K.RECENCY, days: int = K.WEEK_DAYS) -> DataFrame:
-    """G4: make sure the last ``days`` snapshots exist (one-pass backfill), stop if any is
-    still missing in the current source, build the trend from the stored snapshots and log
-    the dates as sent when the report goes to more than one recipient."""
-    dates = [today - timedelta(days=i) for i in range(days - 1, -1, -1)]
-    backfill(t, store, dates)
+                     window: timedelta = K.RECENCY, days: int = K.WEEK_DAYS,
+                     bands: PowerBands = PowerBands(), incremental: bool = False) -> DataFrame:
+    """G4: make sure the last ``days`` snapshots exist (one-pass backfill, with the thresholds of
+    the daily job), stop if any is still missing in the current source and build the trend from
+    the stored snapshots. After the report went out, the caller logs its dates with
+    ``log_sent``."""
+    dates = week_dates(today, days)
+    backfill(t, store, dates, bands, incremental)
     gaps = C.snapshot_gaps(store.catalogue(), today, days).collect()  # at most ``days`` rows
     if gaps:
         raise IncompleteWeek(f"snapshots missing: {[(g.report_date, g.gap) for g in gaps]}")
+    return _trend(t, store, dates, specs, device_type, as_of, window)
+
+
+def week_dates(today: date, days: int = K.WEEK_DAYS) -> list[date]:
+    return [today - timedelta(days=i) for i in range(days - 1, -1, -1)]
+
+
+def _trend(t: Tables, store: SnapshotStore, dates: Sequence[date], specs: Sequence[SectionSpec],
+           device_type: str | None, as_of: datetime, window: timedelta) -> DataFrame:
     snaps = store.read(dates, K.SOURCE_CURRENT)
     active = active_device_ids(t.asset_view, device_type) if device_type is not None else None
     members = S.assign_sections(snaps, specs, as_of, window, t.allow_list, active)
     cal = store.spark.createDataFrame([(d,) for d in dates], "report_date date")
-    trend = S.section_mode_summary(members.unionByName(cal, allowMissingColumns=True), specs,
-                                   by=["report_date"])
-    if sent_log is not None and recipients > 1:
-        append_sent_dates(store.spark, sent_log, cal)
-    return trend
+    return S.section_mode_summary(members.unionByName(cal, allowMissingColumns=True), specs,
+                                  by=["report_date"])
+
+
+def run_unsent_trend(t: Tables, store: SnapshotStore, today: date, specs: Sequence[SectionSpec],
+                     device_type: str | None, as_of: datetime, sent_log: str,
+                     window: timedelta = K.RECENCY, bands: PowerBands = PowerBands(),
+                     incremental: bool = False) -> tuple[DataFrame, list[date]]:
+    """G4 by the sent log: snapshots are filled up from the day after the last sent date, and the
+    trend covers every stored date that was not sent yet. Returns the trend and its dates, which
+    the caller hands to ``log_sent`` once the report went out."""
+    sent = read_sent_dates(store.spark, sent_log)
+    missing = C.missing_since_sent(store.catalogue(), sent, today).collect()    # dates since the last report
+    backfill(t, store, [r.report_date for r in missing], bands, incremental)
+    dates = sorted(r.report_date for r in C.unsent_dates(store.catalogue(), sent).collect())   # one per stored day
+    return _trend(t, store, dates, specs, device_type, as_of, window), dates
+
+
+def log_sent(spark: SparkSession, sent_log: str, dates: Sequence[date], recipients: int = 1) -> None:
+    """Log ``dates`` as sent; a report to one recipient is a trial and is not logged. To be called
+    after the report was built and sent."""
+    if recipients > 1 and dates:
+        append_sent_dates(spark, sent_log, spark.createDataFrame([(d,) for d in dates], "report_date date"))
 
 
 def run_fleet_dwell(t: Tables, organization_ids: Sequence[int], device_type: str,
@@ -153,16 +191,18 @@ def run_fleet_dwell(t: Tables, organization_ids: Sequence[int], device_type: str
     return J.fleet_report_from_stats(stats, t.asset_view, organization_ids, device_type)
 
 
-def _state_dir(state_path: str, cut: datetime) -> str:
-    return f"{state_path.rstrip('/')}/cut={cut:%Y%m%dT%H%M%S}"
+def _state_dir(state_path: str, cut: datetime, bands: PowerBands) -> str:
+    """One folder per exact cut-off and set of thresholds: a state holds minutes per band, so it
+    answers only for the thresholds that it was built with."""
+    key = "-".join(repr(float(x)) for x in (bands.high, bands.medium, bands.low))
+    return f"{state_path.rstrip('/')}/bands={key}/cut={cut:%Y%m%dT%H%M%S.%f}"
 
 
-def _read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.sql.utils import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def _stored_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """The state in ``path`` if its write was committed (Spark's marker file is there)."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return spark.read.parquet(path) if marker.getFileSystem(conf).exists(marker) else None
 
 
 def run_dwell_state(t: Tables, state_path: str, cut: datetime, prev_cut: datetime | None = None,
@@ -172,11 +212,13 @@ def run_dwell_state(t: Tables, state_path: str, cut: datetime, prev_cut: datetim
     of ``prev_cut`` is stored, only the readings in ``(prev_cut, cut]`` are read; otherwise the
     whole history up to ``cut``. A stored state is reused; rewriting one is idempotent."""
     spark = t.readings.sparkSession
-    target = _state_dir(state_path, cut)
-    have = _read_parquet(spark, target)
+    if prev_cut is not None and prev_cut >= cut:
+        raise ValueError(f"the previous cut-off {prev_cut} is not before {cut}")
+    target = _state_dir(state_path, cut, bands)
+    have = _stored_state(spark, target)
     if have is not None:
         return have
-    prev = _read_parquet(spark, _state_dir(state_path, prev_cut)) if prev_cut is not None else None
+    prev = _stored_state(spark, _state_dir(state_path, prev_cut, bands)) if prev_cut is not None else None
     if prev is not None:
         new = L.time_range(t.readings, "EventTime", lo=prev_cut, hi=cut, lo_inclusive=False)
         state = DS.advance_dwell_state(prev, new, bands)
@@ -202,11 +244,7 @@ def fleet_dwell_from_state(t: Tables, state: DataFrame, cut: datetime | None,
                                           with_partial=mixed, **kw)
 
 
-def session_today(spark: SparkSession) -> date:
-    """Today's date in the session time zone (for callers that want the wall clock)."""
-    return spark.range(1).select(F.current_date().alias("d")).first().d
-
-
 __all__ = ["Tables", "IncompleteWeek", "run_daily_snapshot", "run_legacy_snapshot",
-           "run_daily_report", "backfill", "run_weekly_trend", "run_fleet_dwell", "run_dwell_state",
+           "run_open_snapshot", "run_daily_report", "backfill", "run_weekly_trend",
+           "run_unsent_trend", "log_sent", "week_dates", "run_fleet_dwell", "run_dwell_state",
            "fleet_dwell_from_state", "day_at_hour"]

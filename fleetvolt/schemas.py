@@ -81,12 +81,16 @@ DEVICE_LIST = T.StructType([T.StructField("DeviceID", T.StringType())])
 SENT_DATES = T.StructType([T.StructField("report_date", T.DateType())])
 
 
-def conform(df, schema: T.StructType, keep: tuple[str, ...] = ()):
-    """Select and cast ``df`` to ``schema`` (missing columns become typed NULLs); columns
-    named in ``keep`` are passed through when present."""
+def conform(df, schema: T.StructType, keep: tuple[str, ...] = (), optional: tuple[str, ...] = ()):
+    """Select and cast ``df`` to ``schema``. A column that is missing raises, unless it is named in
+    ``optional`` (then it becomes a typed NULL); columns named in ``keep`` are passed through when
+    present."""
     from pyspark.sql import functions as F
 
     types = {f.name: f.dataType for f in df.schema.fields}
+    missing = [f.name for f in schema.fields if f.name not in types and f.name not in optional]
+    if missing:
+        raise ValueError(f"input lacks the columns {missing}; it has {sorted(types)}")
     cols = []
     for f in schema.fields:
         if f.name not in types:

@@ -7,8 +7,8 @@ Each file ``latest_batt_<dMMMyy>_<smbs|debug>.csv`` starts with a preamble::
     ### DATA ###
     <CSV with header>
 
-All files of one source are read in one scan: ``#`` lines are comments, the ``query_time``
-line and the header line are separated from the data by their first field, and the date and
+All files of one source are read in one scan: the preamble and the header line are separated
+from the data by their whole content, and the date and
 source come from each row's file name (``_metadata.file_name``). The two sources lay out
 their columns differently, so each source is read with its own schema.
 """
@@ -33,7 +33,7 @@ LEGACY_FILE_COLUMNS = ["DeviceID", "DeviceName", "EventTimeUTC", "PayloadData",
 def _raw(spark: SparkSession, folder: str, source: str, columns: list[str]) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     pattern = f"{folder.rstrip('/')}/{K.SNAPSHOT_PREFIX}*_{source}{K.SNAPSHOT_SUFFIX}"
-    df = (spark.read.schema(schema).option("header", False).option("comment", "#")
+    df = (spark.read.schema(schema).option("header", False)
           .option("mode", "PERMISSIVE").csv(pattern))
     return df.withColumn("file_name", F.col("_metadata.file_name"))
 
@@ -47,9 +47,15 @@ def read_snapshot_files(spark: SparkSession, folder: str, source: str) -> tuple[
     first = F.col(cols[0])
     dated = raw.withColumn("_label", F.regexp_extract("file_name", rf"^{K.SNAPSHOT_PREFIX}(.+)_{source}", 1))
     dated = dated.withColumn("report_date", parse_label(F.col("_label"))).withColumn("source", F.lit(source))
-    runs = (dated.where(first == "query_time")
+    # The preamble's lines are told by all that they hold, so a data row that begins with "#", or
+    # with nothing, stays a data row.
+    third = F.col(cols[2])
+    timed = F.coalesce((first == "query_time") & third.isNull(), F.lit(False))
+    heading = F.coalesce((first == cols[0]) & (F.col(cols[1]) == cols[1]) & (third == cols[2]), F.lit(False))
+    marker = F.coalesce(first.isin("### METADATA ###", "### DATA ###") & F.col(cols[1]).isNull(), F.lit(False))
+    runs = (dated.where(timed)
             .select("report_date", "source", F.col(cols[1]).try_cast("double").alias("query_seconds")))
-    rows = dated.where((first != "query_time") & (first != cols[0]))
+    rows = dated.where(~timed & ~heading & ~marker)
     target = schemas.SNAPSHOT if current else schemas.LEGACY_SNAPSHOT
     types = {f.name: f.dataType for f in target.fields}
     typed = rows.select(*[

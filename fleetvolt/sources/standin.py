@@ -17,7 +17,7 @@ bursts             ``events`` joined with the asset and organization; payload te
                    ``Battery Level <value> Power mode <event_type>``; port ``event_id % 3``
 allow-list         customers whose key is a multiple of 11
 snapshot files     ``(date of ts, source by user_id parity)`` of ``events``
-sent-date log      dates on which asset 0 reported
+sent-date log      dates of ``events`` whose largest event_id is no multiple of 3
 =================  ==============================================================
 """
 
@@ -32,17 +32,9 @@ from fleetvolt.functions.dates import snapshot_file_name
 from fleetvolt.schemas import conform
 
 
-_READS: dict = {}
-
-
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one test table. The test tables are read-only, so each is resolved (file
-    listing, footer schema) once per session and the same scan is reused by every stand-in."""
-    key = (id(spark), sf_dir, name)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df
+    """Scan of one test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _asset_name(key: F.Column, name: F.Column) -> F.Column:
@@ -122,5 +114,5 @@ def snapshot_files(spark, sf_dir) -> DataFrame:
 def sent_labels(spark, sf_dir) -> DataFrame:
     """Sent-date log lines (labels such as ``5Jan24``)."""
     ev = _t(spark, sf_dir, "events")
-    return ev.where(F.col("user_id") == 0).select(
-        F.date_format(F.to_date("ts"), K.LABEL_FORMAT).alias("value")).distinct()
+    days = ev.groupBy(F.to_date("ts").alias("d")).agg(F.max("event_id").alias("last"))
+    return days.where(F.col("last") % 3 != 0).select(F.date_format("d", K.LABEL_FORMAT).alias("value"))

@@ -1,13 +1,14 @@
-"""Snapshot store: one parquet dataset partitioned by ``report_date`` and ``source``, plus a
-small ``runs`` table that records which (date, source) snapshots exist, their row counts and
-how long their computation took.
-
-* Writes use dynamic partition overwrite: writing a snapshot replaces exactly the partitions
-  it contains, so re-running a job leaves the store unchanged and a retried or restarted job
-  never duplicates rows. Spark's commit protocol keeps half-written task output invisible.
-* The ``runs`` row is written after the data; it is the commit marker the catalogue reads. A
-  job that dies in between leaves no run row, so the next run recomputes and overwrites.
-* Reads filter on the partition columns, so only the requested dates are listed and scanned.
+"""Snapshot store: one parquet dataset per source, partitioned by ``report_date``, plus a small
+``runs`` table that records which (date, source) snapshots exist, their row counts and how
+long their computation took.
+
+* Writing a snapshot replaces exactly the dates it names, also by nothing: a date without rows
+  keeps a run row with a count of 0, so it counts as stored, and no older rows stay behind.
+* The run rows of the dates are removed before the data and written after it; they are the
+  commit marker the catalogue reads. A job that dies in between leaves no run row, so the next
+  run recomputes and replaces. Spark's commit protocol keeps half-written task output invisible.
+* Every read names its schema, and filters on the partition column, so only the requested
+  dates are listed and scanned.
 
 The store folder must be on shared storage on a cluster (the same kind of location as
 ``spark.checkpoint.dir``), never a machine-local folder.
@@ -24,61 +25,80 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from fleetvolt import constants as K
 from fleetvolt import schemas
 from fleetvolt.functions.timecalc import date_lit
 
 
+_SCHEMAS = {K.SOURCE_CURRENT: schemas.SNAPSHOT, K.SOURCE_LEGACY: schemas.LEGACY_SNAPSHOT}
+_DATE = T.StructField("report_date", T.DateType())
+_SOURCE = T.StructField("source", T.StringType())
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.data_path = f"{self.root}/snapshots"
         self.runs_path = f"{self.root}/runs"
 
+    def data_path(self, source: str) -> str:
+        """Each source has a dataset of its own, as their columns differ."""
+        if source not in _SCHEMAS:
+            raise ValueError(f"unknown source {source!r}; known are {sorted(_SCHEMAS)}")
+        return f"{self.root}/snapshots_{source}"
+
     # ---- writing --------------------------------------------------------------------------
+    def _clear(self, path: str, partitions: Sequence[str]) -> None:
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for p in partitions:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{p}")
+            folder.getFileSystem(conf).delete(folder, True)
+
+    def _replace(self, rows: DataFrame, source: str, dates: Sequence[date]) -> None:
+        """Put ``rows`` in place of whatever is stored for ``dates``. The run rows go first, so a
+        job that dies in between leaves dates that count as not stored."""
+        self._clear(self.runs_path, [f"report_date={d}/source={source}" for d in dates])
+        self._clear(self.data_path(source), [f"report_date={d}" for d in dates])
+        (schemas.conform(rows, _SCHEMAS[source], keep=("report_date",), optional=("CustomerName",))
+         .write.mode("append").partitionBy("report_date").parquet(self.data_path(source)))
+
+    def _write_runs(self, runs: DataFrame) -> None:
+        (schemas.conform(runs, schemas.SNAPSHOT_RUNS)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("report_date", "source").parquet(self.runs_path))
+
     def write(self, snapshot: DataFrame, source: str, dates: Sequence[date]) -> None:
         """Store ``snapshot`` under ``source``. ``dates`` are the report dates it holds
-        (the caller knows them: one report date, or the backfilled ones); their partitions are
-        replaced and their run rows written. Rows of other dates are not written."""
+        (the caller knows them: one report date, or the backfilled ones); whatever is stored for
+        them is replaced and every one gets a run row, with a count of 0 when the snapshot has no
+        row for it. Rows of other dates are not written."""
         if "report_date" not in snapshot.columns:
             raise ValueError("snapshot needs a report_date column")
         dates = sorted(set(dates))
         t0 = time.time()
-        (snapshot.where(F.col("report_date").isin([date_lit(d) for d in dates]))
-         .withColumn("source", F.lit(source))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("report_date", "source").parquet(self.data_path))
+        self._replace(snapshot.where(F.col("report_date").isin([date_lit(d) for d in dates])), source, dates)
         seconds = time.time() - t0
         # row counts come from the parquet footers of the partitions just written
-        runs = (self.read(dates, source).groupBy("report_date", "source")
-                .agg(F.count(F.lit(1)).alias("rows"))
-                .withColumn("query_seconds", F.lit(float(seconds))))
-        (schemas.conform(runs, schemas.SNAPSHOT_RUNS)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("report_date", "source").parquet(self.runs_path))
+        counts = self.read(dates, source).groupBy("report_date").agg(F.count(F.lit(1)).alias("rows"))
+        every = self.spark.createDataFrame([(d,) for d in dates], T.StructType([_DATE]))
+        self._write_runs(every.join(counts, "report_date", "left").fillna(0, ["rows"])
+                         .withColumn("source", F.lit(source)).withColumn("query_seconds", F.lit(float(seconds))))
 
     def import_files(self, folder: str) -> DataFrame:
         """Move snapshot CSV files of the original application (``legacy_files``) into the
         store, both sources, keeping each file's recorded query seconds. Returns the run rows
-        of the imported snapshots. Re-importing replaces the same partitions (idempotent)."""
-        from fleetvolt import constants as K
+        of the imported snapshots. Re-importing replaces the same dates (idempotent)."""
         from fleetvolt.sources.legacy_files import read_snapshot_files
 
         imported = []
-        for source, schema in ((K.SOURCE_CURRENT, schemas.SNAPSHOT), (K.SOURCE_LEGACY, schemas.LEGACY_SNAPSHOT)):
+        for source in _SCHEMAS:
             rows, runs = read_snapshot_files(self.spark, folder, source)
             dates = [r.report_date for r in runs.select("report_date").distinct().collect()]  # one per file
             if not dates:
                 continue
-            typed = schemas.conform(rows, schema, keep=("report_date",))
-            (typed.withColumn("source", F.lit(source))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("report_date", "source").parquet(self.data_path))
+            self._replace(rows, source, dates)
             counts = rows.groupBy("report_date").agg(F.count(F.lit(1)).alias("rows"))
-            run_rows = schemas.conform(runs.join(counts, "report_date", "left").fillna(0, ["rows"]),
-                                       schemas.SNAPSHOT_RUNS)
-            (run_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("report_date", "source").parquet(self.runs_path))
+            self._write_runs(runs.join(counts, "report_date", "left").fillna(0, ["rows"]))
             imported += [(d, source) for d in dates]
         return self.runs().join(
             self.spark.createDataFrame(imported, "report_date date, source string"),
@@ -89,7 +109,7 @@ class SnapshotStore:
         """``report_date, source, query_seconds, rows`` of every stored snapshot (empty when
         nothing is stored yet)."""
         try:
-            df = self.spark.read.parquet(self.runs_path)
+            df = self.spark.read.schema(schemas.SNAPSHOT_RUNS).parquet(self.runs_path)
         except AnalysisException:
             return self.spark.createDataFrame([], schemas.SNAPSHOT_RUNS)
         return schemas.conform(df, schemas.SNAPSHOT_RUNS)
@@ -97,20 +117,18 @@ class SnapshotStore:
     def catalogue(self) -> DataFrame:
         return self.runs().select("report_date", "source").distinct()
 
-    def read(self, dates: Sequence[date] | None = None, source: str | None = None) -> DataFrame:
-        """Stored snapshot rows; the date/source filters prune partitions."""
+    def read(self, dates: Sequence[date] | None = None, source: str = K.SOURCE_CURRENT) -> DataFrame:
+        """Stored snapshot rows of one source, always with that source's columns; the date filter
+        prunes partitions."""
+        # a new StructType: ``StructType.add`` would change the shared schema in place
+        stored = T.StructType([*_SCHEMAS[source].fields, _DATE])
         try:
-            df = self.spark.read.parquet(self.data_path)
+            df = self.spark.read.schema(stored).parquet(self.data_path(source))
         except AnalysisException:
-            # a new StructType: ``StructType.add`` would change the shared schema in place
-            stored = T.StructType(schemas.SNAPSHOT.fields + [T.StructField("report_date", T.DateType()),
-                                                             T.StructField("source", T.StringType())])
-            return self.spark.createDataFrame([], stored)
-        if source is not None:
-            df = df.where(F.col("source") == source)
+            df = self.spark.createDataFrame([], stored)
         if dates is not None:
             df = df.where(F.col("report_date").isin([date_lit(d) for d in dates]))
-        return df
+        return df.withColumn("source", F.lit(source))
 
     def exists(self, report_date: date, source: str) -> bool:
         """Whether a run row exists: a one-row lookup in the small runs table."""

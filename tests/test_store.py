@@ -2,6 +2,7 @@ import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetvolt import constants as K
 from fleetvolt.config import SectionSpec
@@ -54,18 +55,94 @@ def test_backfill_and_weekly(spark, tmp_dir):
             rows(J.daily_snapshot(t.readings, t.assets, t.organizations, d), "AssetId", "ReportID")
     log = os.path.join(tmp_dir, "sent")
     specs = [SectionSpec("acme", "acme")]
-    trend = RN.run_weekly_trend(t, st, date(2024, 1, 10), specs, "Solar", datetime(2024, 1, 10),
-                                sent_log=log, recipients=2)
+    trend = RN.run_weekly_trend(t, st, date(2024, 1, 10), specs, "Solar", datetime(2024, 1, 10))
     got = {r.report_date: r.members for r in trend.collect()}
     assert len(got) == 7 and got[date(2024, 1, 10)] == 2   # two active paired devices
+    week = RN.week_dates(date(2024, 1, 10))
+    RN.log_sent(spark, log, week, recipients=1)            # a trial: nothing is logged
+    assert read_sent_dates(spark, log).count() == 0
+    RN.log_sent(spark, log, week, recipients=2)
     assert len(read_sent_dates(spark, log).collect()) == 7
+    # by the sent log: the days since, and whatever else was not sent
+    trend, dates = RN.run_unsent_trend(t, st, date(2024, 1, 12), specs, "Solar", datetime(2024, 1, 12), log)
+    assert dates == [date(2024, 1, 11), date(2024, 1, 12)] and trend.count() == 2
 
 
-def test_weekly_stops_on_missing_snapshot(spark, tmp_dir):
+def test_early_dates_are_stored_as_empty_snapshots(spark, tmp_dir):
     t = _tables(spark)
     st = SnapshotStore(spark, tmp_dir)
-    with pytest.raises(RN.IncompleteWeek):
-        RN.run_weekly_trend(t, st, date(2023, 12, 31), [SectionSpec("acme", "acme")], None, datetime(2024, 1, 1))
+    trend = RN.run_weekly_trend(t, st, date(2023, 12, 31), [SectionSpec("acme", "acme")], None, datetime(2024, 1, 1))
+    assert {(r.report_date, r.members) for r in trend.collect()} == {(d, 0) for d in RN.week_dates(date(2023, 12, 31))}
+    assert all(r.rows == 0 for r in st.runs().collect())
+    st.load_or_compute(date(2023, 12, 31), K.SOURCE_CURRENT, lambda: (_ for _ in ()).throw(AssertionError("recomputed")))
+
+
+def test_an_empty_snapshot_replaces_stored_rows(spark, tmp_dir):
+    t = _tables(spark)
+    st = SnapshotStore(spark, tmp_dir)
+    d = date(2024, 1, 6)
+    RN.run_daily_snapshot(t, st, d)
+    assert st.read([d]).count() == 3
+    st.write(J.daily_snapshot(t.readings.where("false"), t.assets, t.organizations, d), K.SOURCE_CURRENT, [d])
+    assert st.read([d]).count() == 0 and st.exists(d, K.SOURCE_CURRENT)
+
+
+def test_sources_keep_their_own_columns(spark, tmp_dir):
+    from fleetvolt import schemas
+    t = _tables(spark)
+    st = SnapshotStore(spark, tmp_dir)
+    d = date(2024, 1, 6)
+    leg = spark.createDataFrame([("A1", "n", "c", datetime(2024, 1, 1), "p", 3.3, "High", d)],
+                                "DeviceID string, DeviceName string, CustomerName string, EventTimeUTC timestamp_ntz, "
+                                "PayloadData string, Voltage double, PowerMode string, report_date date")
+    st.write(leg, K.SOURCE_LEGACY, [d])
+    RN.run_daily_snapshot(t, st, d)
+    assert st.read([d], K.SOURCE_CURRENT).columns == [f.name for f in schemas.SNAPSHOT.fields] + ["report_date", "source"]
+    assert st.read([d], K.SOURCE_LEGACY).columns == [f.name for f in schemas.LEGACY_SNAPSHOT.fields] + ["report_date", "source"]
+    assert st.read([d], K.SOURCE_CURRENT).count() == 3 and st.read([d], K.SOURCE_LEGACY).count() == 1
+    assert RN.run_daily_snapshot(t, st, date(2024, 1, 7), incremental=True).count() == 3
+
+
+def test_open_snapshot_has_no_upper_bound(spark, tmp_dir):
+    t = _tables(spark)
+    st = SnapshotStore(spark, tmp_dir)
+    got = RN.run_open_snapshot(t, st, date(2024, 1, 2))
+    assert rows(got, "AssetId", "ReportID") == rows(J.daily_snapshot(t.readings, t.assets, t.organizations, None), "AssetId", "ReportID")
+    assert {r.report_date for r in got.collect()} == {date(2024, 1, 2)}
+
+
+def test_dwell_state_answers_only_for_its_thresholds_and_cut(spark, tmp_dir):
+    from fleetvolt.config import PowerBands
+    t = _tables(spark)
+    path, cut = os.path.join(tmp_dir, "state"), datetime(2024, 1, 8)
+    cols = ("TotalYears", "HighPercent", "MediumPercent", "LowPercent", "CriticalPercent")
+    for bands in (PowerBands(), PowerBands(high=3.1, medium=3.05, low=3.0)):
+        state = RN.run_dwell_state(t, path, cut, bands=bands)
+        got = rows(RN.fleet_dwell_from_state(t, state, cut, device_type="Solar", bands=bands), *cols)
+        from fleetvolt.operators import latest as L
+        from fleetvolt.operators.dwell import dwell_statistics
+        assert got == rows(dwell_statistics(L.time_range(t.readings, "EventTime", hi=cut), t.asset_view, t.assets,
+                                            device_type="Solar", bands=bands), *cols)
+    with pytest.raises(ValueError):
+        RN.run_dwell_state(t, path, cut, prev_cut=cut)
+    os.remove(os.path.join(RN._state_dir(path, cut, PowerBands()), "_SUCCESS"))     # a write that was not committed
+    assert RN._stored_state(spark, RN._state_dir(path, cut, PowerBands())) is None
+
+
+def test_missing_column_raises(spark):
+    from fleetvolt import schemas
+    with pytest.raises(ValueError, match="Voltage"):
+        schemas.conform(readings(spark, []).drop("Voltage"), schemas.READINGS)
+
+
+def test_export_leaves_no_stale_section(spark, tmp_dir):
+    schema, out = "section string, ReportID long, Voltage double, DeviceID string", os.path.join(tmp_dir, "export")
+    t = spark.createDataFrame([(s, i, 9.0 - i, f"d{i}") for s in "ab" for i in range(5)], schema)
+    export_overflow(t, out, limit=3)
+    export_overflow(t.where("section = 'a' OR ReportID < 2"), out, limit=3)
+    assert [r.section for r in spark.read.option("header", True).csv(out).select("section").distinct().collect()] == ["a"]
+    lines = [x for f in sorted(os.listdir(f"{out}/section=a")) if f.endswith(".csv") for x in open(f"{out}/section=a/{f}") if not x.startswith("ReportID")]
+    assert [x.split(",")[1] for x in lines] == ["5.0", "6.0", "7.0", "8.0", "9.0"]
 
 
 def test_sent_log_append_is_idempotent(spark, tmp_dir):
@@ -86,6 +163,12 @@ def test_legacy_snapshot_files(spark, tmp_dir):
     put("latest_batt_5Jan26_smbs.csv", 12.5, cur, ["1,7,Acme,10,A01,t1,2026-01-04 10:00:00,3.31,High",
                                                   "2,7,Acme,11,A02,t2,2026-01-04 11:00:00,,Unknown"])
     put("latest_batt_6Jan26_smbs.csv", 3.0, cur, ["3,7,Acme,10,A01,t1,2026-01-05 10:00:00,3.2,Low"])
+    odd = os.path.join(tmp_dir, "odd")
+    os.makedirs(odd)
+    with open(os.path.join(odd, "latest_batt_6Jan26_debug.csv"), "w") as f:      # first fields that look like the preamble
+        f.write("### METADATA ###\nquery_time,1.0\n### DATA ###\nDeviceID,DeviceName,EventTimeUTC,PayloadData,Voltage,PowerMode\n"
+                "#7,t1,2026-01-05 10:00:00,p,3.2,Low\n,t2,2026-01-05 10:00:00,p,3.2,Low\n")
+    assert rows(read_snapshot_files(spark, odd, K.SOURCE_LEGACY)[0], "DeviceID") == [(None,), ("#7",)]
     leg = "DeviceID,DeviceName,EventTimeUTC,PayloadData,Voltage,PowerMode"
     put("latest_batt_6Jan26_debug.csv", 1.0, leg, ["A01,t1,5/1/2026 10:00,Battery Level 3.20 Power mode Low,3.2,Low"])
     put("latest_batt_7Jan26_debug.csv", 2.0, leg, ["A01,t1,13/1/2026 9:00,Battery Level 3.40,3.4,High"])
@@ -109,7 +192,7 @@ def test_legacy_snapshot_files(spark, tmp_dir):
 
 def test_overflow_export(spark, tmp_dir):
     t = spark.createDataFrame([("a", i, 3.0) for i in range(5)] + [("b", 1, 3.0)],
-                              "section string, ReportID long, Voltage double")
+                              "section string, ReportID long, Voltage double").withColumn("DeviceID", F.lit("x"))
     out = os.path.join(tmp_dir, "export")
     export_overflow(t, out, limit=3)
     back = spark.read.option("header", True).csv(out)
