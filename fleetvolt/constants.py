@@ -66,6 +66,8 @@ TIME_FORMAT_SHAPES = (
 LABEL_FORMAT = "dMMMyy"                # e.g. 5Jan26; parsing accepts 05Jan26 too
 DISPLAY_FORMAT = "d MMM yyyy"          # e.g. 5 Jan 2026
 DISPLAY_DAY_MONTH = "d MMMM"           # e.g. 5 January
+DISPLAY_LONG = "d MMMM yyyy"           # e.g. 5 January 2026
+DISPLAY_SHORT = "d MMM"                # e.g. 5 Jan
 SNAPSHOT_PREFIX = "latest_batt_"
 SNAPSHOT_SUFFIX = ".csv"
 SOURCE_CURRENT = "smbs"

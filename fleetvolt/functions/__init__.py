@@ -10,6 +10,5 @@ from fleetvolt.functions.timecalc import (  # noqa: F401
     minutes_between,
     ntz,
     ratio_percent,
-    round_half_up_ratio,
 )
 from fleetvolt.functions.dates import date_label, display_date, parse_label  # noqa: F401

@@ -9,6 +9,12 @@ from fleetvolt import constants as K
 from fleetvolt.config import PowerBands
 
 
+def _number(v: Column | str) -> Column:
+    """The voltage, with NaN as NULL: it is not a measurement, and Spark sorts it above all numbers."""
+    v = F.col(v) if isinstance(v, str) else v
+    return F.when(~F.isnan(v), v)
+
+
 def power_band(v: Column | str, bands: PowerBands = PowerBands(), inclusive: bool = False,
                null_band: str = K.UNKNOWN_MODE) -> Column:
     """Band name of voltage ``v``.
@@ -18,7 +24,7 @@ def power_band(v: Column | str, bands: PowerBands = PowerBands(), inclusive: boo
     ``inclusive=True`` is the dwell rule: thresholds are lower bounds (``>=``).
     A NULL voltage gets ``null_band`` (snapshot: Unknown; dwell: Critical).
     """
-    v = F.col(v) if isinstance(v, str) else v
+    v = _number(v)
     above = (lambda t: v >= F.lit(t)) if inclusive else (lambda t: v > F.lit(t))
     high, medium, low, critical = K.MODES
     return (
@@ -34,7 +40,7 @@ def power_band_code(v: Column | str, bands: PowerBands = PowerBands(), inclusive
                     null_code: int = 3) -> Column:
     """Band as a one-byte code (0 High, 1 Medium, 2 Low, 3 Critical, index into ``MODES``),
     for rows that travel through a shuffle; ``band_name`` turns it back into the name."""
-    v = F.col(v) if isinstance(v, str) else v
+    v = _number(v)
     above = (lambda t: v >= F.lit(t)) if inclusive else (lambda t: v > F.lit(t))
     code = (F.when(v.isNull(), F.lit(null_code)).when(above(bands.high), F.lit(0))
             .when(above(bands.medium), F.lit(1)).when(above(bands.low), F.lit(2)).otherwise(F.lit(3)))

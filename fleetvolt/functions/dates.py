@@ -23,9 +23,14 @@ def parse_label(label: Column | str) -> Column:
     return F.try_to_date(F.trim(_c(label)), K.LABEL_FORMAT)
 
 
-def display_date(d: Column | str, with_year: bool = True) -> Column:
-    """Heading text: ``5 Jan 2026``, or ``5 January`` when ``with_year`` is False."""
-    return F.date_format(_c(d), K.DISPLAY_FORMAT if with_year else K.DISPLAY_DAY_MONTH)
+def display_date(d: Column | str, with_year: bool = True, full_month: bool | None = None) -> Column:
+    """Heading text: ``5 Jan 2026`` or, without the year, ``5 January``. ``full_month`` picks the
+    other two forms of the reports: ``5 January 2026`` (True) and, without the year, ``5 Jan`` (False)."""
+    if full_month is None:
+        full_month = not with_year
+    if with_year:
+        return F.date_format(_c(d), K.DISPLAY_LONG if full_month else K.DISPLAY_FORMAT)
+    return F.date_format(_c(d), K.DISPLAY_DAY_MONTH if full_month else K.DISPLAY_SHORT)
 
 
 def snapshot_file_name(d: Column | str, source: Column | str) -> Column:

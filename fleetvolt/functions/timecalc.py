@@ -31,16 +31,6 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
     return minute_index(end) - minute_index(start)
 
 
-def round_half_up_ratio(num: str, den: str, scale: int) -> Column:
-    """``round(num / den, scale)`` rounded half-up, computed exactly on the non-negative integer
-    columns ``num`` and ``den`` (names); NULL when ``den`` is zero or NULL."""
-    p = 10 ** scale
-    return F.expr(
-        f"CASE WHEN `{den}` > 0 THEN "
-        f"CAST((CAST(`{num}` AS BIGINT) * {2 * p} + `{den}`) div (CAST(`{den}` AS BIGINT) * 2) AS DOUBLE) / {p}.0 END"
-    )
-
-
 def ratio_percent(num: str, den: str, scale: int = 2) -> Column:
     """``100 * num / den`` rounded half-up to ``scale`` decimals, exact; 0.0 when ``den`` is
     zero or NULL (the report's guard)."""

@@ -15,18 +15,21 @@ from fleetvolt import constants as K
 from fleetvolt.functions.dates import parse_label
 from fleetvolt.functions.timecalc import date_lit
 
-_NAME = (rf"^{K.SNAPSHOT_PREFIX}(.+)_({K.SOURCE_CURRENT}|{K.SOURCE_LEGACY})"
+_NAME = (rf"^{K.SNAPSHOT_PREFIX}([^_]+)(?:_({K.SOURCE_CURRENT}|{K.SOURCE_LEGACY}))?"
          + K.SNAPSHOT_SUFFIX.replace(".", r"\.") + "$")
+#: Source of a snapshot whose name has no suffix.
+UNMARKED = "unmarked"
 
 
 def catalogue_from_files(files: DataFrame, column: str = "file_name") -> DataFrame:
-    """``(report_date, source)`` of snapshot files named ``latest_batt_<label>_<source>.csv``;
-    other names are ignored."""
+    """``(report_date, source)`` of snapshot files named ``latest_batt_<label>_<source>.csv``. A name
+    without the source suffix counts as a snapshot of the source ``unmarked``; other names are
+    ignored."""
     f = F.col(column)
     label = F.regexp_extract(f, _NAME, 1)
     src = F.regexp_extract(f, _NAME, 2)
     out = files.select(parse_label(F.nullif(label, F.lit(""))).alias("report_date"),
-                       F.nullif(src, F.lit("")).alias("source"))
+                       F.when(src == "", F.lit(UNMARKED)).otherwise(src).alias("source"))
     return out.where("report_date IS NOT NULL AND source IS NOT NULL").distinct()
 
 
@@ -37,16 +40,17 @@ def catalogue_summary(catalogue: DataFrame, preferred: str = K.SOURCE_CURRENT) -
     agg = catalogue.groupBy("report_date").agg(has(preferred).alias("has_preferred"),
                                               has(other).alias("has_other"))
     return agg.select("report_date", "has_preferred", "has_other",
-                      F.when(F.col("has_preferred") == 1, F.lit(preferred)).otherwise(F.lit(other))
+                      F.when(F.col("has_preferred") == 1, F.lit(preferred))
+                      .when(F.col("has_other") == 1, F.lit(other)).otherwise(F.lit(UNMARKED))
                       .alias("read_source"))
 
 
 def sent_dates(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Distinct dates of a sent-date log (one label per line; blank lines and text that is not
-    a label are skipped)."""
+    """Distinct dates of a sent-date log (one label per line). Blank lines are skipped; a line that is
+    no label raises when it is read, as its date would otherwise count as unsent and go out again."""
     t = F.trim(F.col(column))
-    return (lines.where(t != "").select(parse_label(t).alias("report_date"))
-            .where("report_date IS NOT NULL").distinct())
+    unreadable = F.raise_error(F.concat(F.lit("sent-date log: not a date label: "), t)).cast("date")
+    return lines.where(t != "").select(F.coalesce(parse_label(t), unreadable).alias("report_date")).distinct()
 
 
 def _dates_between(start, end) -> F.Column:

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from fleetvolt import constants as K
 
-# Above this many ids an organization list is applied as a semi-join instead of an IN list.
-MAX_INLINE_IDS = 1000
-
-
 def active_filter(asset_view: DataFrame, device_type: str) -> DataFrame:
     return asset_view.where((F.col("DeviceType") == device_type)
                             & (F.col("DeviceStatus") == K.ACTIVE_STATUS))
@@ -37,8 +33,6 @@ def org_predicate(column: str, organization_id: int | None = None,
     """Organization filter with the report's precedence: a non-empty list, else a single id,
     else none (an empty list falls through to the single id)."""
     if organization_ids is not None and len(organization_ids) > 0:
-        if len(organization_ids) > MAX_INLINE_IDS:
-            return None  # caller applies ``org_semi_join``
         return F.col(column).isin([int(i) for i in organization_ids])
     if organization_id is not None:
         return F.col(column) == F.lit(int(organization_id))
@@ -47,16 +41,10 @@ def org_predicate(column: str, organization_id: int | None = None,
 
 def filter_orgs(df: DataFrame, column: str, organization_id: int | None = None,
                 organization_ids: Sequence[int] | None = None) -> DataFrame:
-    """Apply ``org_predicate``; a very long list becomes a semi-join against a one-column
-    frame of ids (sized by Spark like any other join side)."""
+    """Apply ``org_predicate``. Spark keeps a long IN list as one hashed set, so a list of any length is
+    a filter on the scan and needs no join."""
     pred = org_predicate(column, organization_id, organization_ids)
-    if pred is not None:
-        return df.where(pred)
-    if organization_ids is not None and len(organization_ids) > MAX_INLINE_IDS:
-        spark = df.sparkSession
-        ids = spark.createDataFrame([(int(i),) for i in organization_ids], f"`{column}` int")
-        return df.join(ids, column, "left_semi")
-    return df
+    return df if pred is None else df.where(pred)
 
 
 def org_device_counts(asset_view: DataFrame, organization_ids: Sequence[int] | None,

@@ -31,7 +31,11 @@ SNAPSHOT_COLUMNS = ["ReportID", "OrganizationId", "CustomerName", "AssetId", "De
 
 
 def _valid(readings: DataFrame, valid_min: float | None) -> DataFrame:
-    return readings if valid_min is None else readings.where(F.col("Voltage") > F.lit(valid_min))
+    """Readings above ``valid_min``. NaN counts as missing; the plain comparison, which alone it would
+    pass, is still pushed to the scan."""
+    if valid_min is None:
+        return readings
+    return readings.where((F.col("Voltage") > F.lit(valid_min)) & ~F.isnan("Voltage"))
 
 
 def time_range(df: DataFrame, ts: str, lo: datetime | F.Column | None = None,

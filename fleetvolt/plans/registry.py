@@ -130,7 +130,9 @@ def _date_labels(t: _T) -> DataFrame:
     return d.select("report_date", lab.alias("label"), parse_label(lab).alias("parsed"),
                     parse_label(padded).alias("parsed_padded"),
                     display_date("report_date").alias("display"),
-                    display_date("report_date", with_year=False).alias("day_month"))
+                    display_date("report_date", with_year=False).alias("day_month"),
+                    display_date("report_date", full_month=True).alias("display_long"),
+                    display_date("report_date", with_year=False, full_month=False).alias("day_short"))
 
 
 def _catalogue(t: _T) -> DataFrame:

@@ -56,18 +56,23 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir`` (None when unset)."""
     sc = spark.sparkContext
-    return sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a scratch one only when the session names none.
+    """The checkpoint folder of the session, which is left as it is set.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; the scratch
-    fallback exists for local tests only.
+    Only a session on a local master, where the driver and the tasks are one process, may leave it
+    unset and gets a scratch folder; elsewhere every executor would write to a disk of its own, so
+    an unset folder raises.
     """
     d = checkpoint_dir(spark)
-    if not d:
-        d = tempfile.mkdtemp(prefix="fleetvolt-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if d:
+        return d
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    d = tempfile.mkdtemp(prefix="fleetvolt-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return d
 

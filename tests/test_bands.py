@@ -32,3 +32,17 @@ def test_band_code_round_trip(spark):
                     power_band("v", inclusive=True, null_band="Critical").alias("b")).collect()
     assert all(r.a == r.b for r in got)
     assert dict(df.select(power_band_code("v").alias("c")).dtypes)["c"] == "tinyint"
+
+
+def test_nan_is_no_measurement(spark):
+    from datetime import datetime
+
+    from fleetvolt.functions.bands import power_band, power_band_code
+    from fleetvolt.operators.latest import latest_reading
+    from helpers import readings
+
+    nan = float("nan")
+    df = spark.createDataFrame([(nan,)], "v double")
+    assert df.select(power_band("v"), power_band("v", inclusive=True, null_band="Critical"), power_band_code("v")).first()[:] == ("Unknown", "Critical", 3)
+    r = readings(spark, [(1, 1, 1, "2024-01-01 00:00:00", 3.3), (2, 1, 1, "2024-01-02 00:00:00", nan)])
+    assert [(x.ReportID, x.EventTimeUTC) for x in latest_reading(r).collect()] == [(1, datetime(2024, 1, 1))]

@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetvolt.functions.dates import date_label, display_date, parse_label
@@ -19,6 +20,17 @@ def test_sent_dates_blank_and_duplicates(spark):
     lines = spark.createDataFrame([("5Jan26",), ("",), ("05Jan26",), ("  7Jan26 ",), ("3Jan26",)], "value string")
     got = sorted(r.report_date for r in C.sent_dates(lines).collect())
     assert got == [date(2026, 1, 3), date(2026, 1, 5), date(2026, 1, 7)]
+    with pytest.raises(Exception, match="not a date label"):
+        C.sent_dates(lines.union(spark.createDataFrame([("31Foo26",)], "value string"))).collect()
+
+
+def test_snapshot_names_without_a_source(spark):
+    names = ["latest_batt_5Jan26.csv", "latest_batt_6Jan26_smbs.csv", "latest_batt_6Jan26.csv", "latest_batt_.csv", "x.csv"]
+    cat = C.catalogue_from_files(spark.createDataFrame([(n,) for n in names], "file_name string"))
+    assert {(r.report_date, r.source) for r in cat.collect()} == {
+        (date(2026, 1, 5), C.UNMARKED), (date(2026, 1, 6), "smbs"), (date(2026, 1, 6), C.UNMARKED)}
+    assert {r.report_date: r.read_source for r in C.catalogue_summary(cat).collect()} == {
+        date(2026, 1, 5): C.UNMARKED, date(2026, 1, 6): "smbs"}
 
 
 def _files(spark):

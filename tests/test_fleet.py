@@ -31,9 +31,9 @@ def test_empty_org_list(spark):
     assert fleet.total_device_count(av, [], "Solar").first().TotalDevices == 0
 
 
-def test_long_org_list_becomes_semi_join(spark):
+def test_long_org_list_is_one_set_filter(spark):
     av = _av(spark)
     ids = list(range(2000)) + [7]
     out = fleet.filter_orgs(av, "OrganizationId", organization_ids=ids)
     assert out.count() == 6
-    assert "Join" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" in out._jdf.queryExecution().optimizedPlan().toString()
