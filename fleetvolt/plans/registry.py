@@ -39,6 +39,9 @@ TODAY = date(2024, 1, 31)
 AS_OF = day_at_hour(TODAY)                      # current-source cut-off of the report date
 EARLY_DATE = date(2024, 1, 25)                  # an as-of inside the data
 RECENCY = timedelta(days=10)
+SHORT_RECENCY = timedelta(hours=6)              # excludes devices of the test tables
+PREVIEW_ROWS = 3                                # and SAMPLE_SIZE: fewer than the test tables have
+SAMPLE_SIZE = 20
 DEVICE_TYPE = "MACHINERY"
 DWELL_ORGS = [19, 11, 10, 20, 17, 13, 16, 2]
 DWELL_ORG = 19
@@ -143,7 +146,12 @@ def _catalogue(t: _T) -> DataFrame:
 
 def _section_report(t: _T) -> DataFrame:
     rep = J.daily_section_report(t.snapshot(), SECTIONS, AS_OF, RECENCY, t.allow, t.active())
-    return J.section_report_overview(rep, SECTIONS)
+    return J.section_report_overview(rep, SECTIONS, PREVIEW_ROWS)
+
+
+def _active_report(t: _T, stored: bool = False) -> J.SectionReport:
+    snap = t.shared_snapshot() if stored else t.snapshot()
+    return J.daily_section_report(snap, SECTIONS, AS_OF, RECENCY, t.allow, t.active(), PREVIEW_ROWS)
 
 
 def _weekly(t: _T) -> DataFrame:
@@ -183,6 +191,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_reading_incremental": _q(lambda t: L.latest_reading_incremental(
             L.latest_reading(t.readings, day_at_hour(EARLY_DATE)), t.readings,
             day_at_hour(EARLY_DATE), AS_OF)),
+        "latest_snapshot_open": _q(lambda t: t.snapshot(None)),
         "latest_reading_enriched": _q(lambda t: L.enrich(L.latest_reading(t.readings, AS_OF), t.assets, t.orgs)),
         "daily_snapshot": _q(lambda t: J.daily_snapshot(t.readings, t.assets, t.orgs, TODAY, BANDS)),
         "multi_date_snapshot": _q(lambda t: J.multi_date_snapshot(t.readings, t.assets, t.orgs, WEEK_DATES, BANDS)),
@@ -192,7 +201,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "ID", "Voltage", power_band("Voltage", BANDS, inclusive=True, null_band="Critical").alias("PowerMode"))),
         "voltage_profile": _q(lambda t: P.voltage_profile(t.snapshot())),
         # legacy source
-        "recent_sample": _q(lambda t: L.recent_sample(t.bursts, SAMPLE_CUSTOMER)),
+        "recent_sample": _q(lambda t: L.recent_sample(t.bursts, SAMPLE_CUSTOMER, SAMPLE_SIZE)),
         "legacy_latest": _q(lambda t: L.legacy_latest(t.bursts, LEGACY_CUSTOMER, LEGACY_PREFIX, LEGACY_DATE)),
         "legacy_latest_relative": _q(lambda t: L.legacy_latest(t.bursts, LEGACY_CUSTOMER, LEGACY_PREFIX, now=AS_OF)),
         "payload_rejects": _q(lambda t: P.unparsed_count(P.parse_payload(t.bursts))),
@@ -218,16 +227,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             F.col("DeviceName").startswith(LEGACY_PREFIX) & is_numbered_series("DeviceName", 100)
         ).select("ID", F.col("DeviceName").alias("DeviceID"))),
         # sections
-        "recent_devices": _q(lambda t: S.recent_devices(t.snapshot(), AS_OF, RECENCY)),
+        "recent_devices": _q(lambda t: S.recent_devices(t.snapshot(), AS_OF, SHORT_RECENCY)),
         "section_members": _q(lambda t: t.members()),
         "section_mode_counts": _q(lambda t: S.section_mode_counts(t.members())),
         "section_mode_summary": _q(lambda t: S.section_mode_summary(t.members(), SECTIONS)),
         "cohort_shares": _q(_shares),
         "cohort_shares_by_customer": _q(_shares_by_customer),
         "section_table": _q(_tables),
-        "section_preview": _q(lambda t: S.section_preview(_tables(t), K.PREVIEW_LIMIT)),
+        "section_preview": _q(lambda t: S.section_preview(_tables(t), PREVIEW_ROWS)),
         "low_battery": _q(_low_battery),
         "daily_section_report": _q(_section_report),
+        "daily_section_report_shares": _q(lambda t: _active_report(t, stored=True).shares),
+        "daily_section_report_table": _q(lambda t: _active_report(t).tables),
+        "daily_section_report_preview": _q(lambda t: _active_report(t).preview),
         "weekly_trend": _q(_weekly),
         # calendar
         "snapshot_catalogue": _q(_catalogue),
