@@ -27,5 +27,32 @@ JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
 
 
+OP1 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+top AS (SELECT payload_digest AS digest, max(page_id) AS largest FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN largest IS NOT NULL AND page_id IS DISTINCT FROM largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+FROM p LEFT JOIN top ON digest = payload_digest AND payload_bytes >= 1000
+"""
+
+OP3 = """
+WITH usable AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+parts AS (
+  SELECT vec_id, len(embedding) AS n, unnest(range(len(embedding))) AS i,
+         unnest(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS c FROM usable),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.c * b.c) AS BIGINT) AS score
+  FROM parts a JOIN parts b ON a.i = b.i AND a.n = b.n AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0 GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_minhash_near_dedup": OP8}
+    return {"op1_warc": OP1, "op3_mtree_top_k": OP3, "op8_minhash_near_dedup": OP8}
