@@ -8,6 +8,7 @@ stand-in mapping from test tables to the reporting schemas is ``fleetvolt.source
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 from datetime import date, datetime, timedelta
@@ -20,7 +21,7 @@ from fleetvolt.config import PowerBands, SectionSpec
 from fleetvolt.functions.bands import power_band
 from fleetvolt.functions.dates import date_label, display_date, parse_label
 from fleetvolt.functions.devices import is_numbered_series
-from fleetvolt.functions.timecalc import day_at_hour
+from fleetvolt.functions.timecalc import date_lit, day_at_hour
 from fleetvolt.operators import calendar as C
 from fleetvolt.operators import dwell_state as DS
 from fleetvolt.operators import latest as L
@@ -30,8 +31,10 @@ from fleetvolt.operators.dwell import dwell_statistics, reading_intervals
 from fleetvolt.operators.fleet import active_device_ids, active_devices, org_device_counts, total_device_count
 from fleetvolt.plans import jobs as J
 from fleetvolt.plans import runner as RN
-from fleetvolt.session import materialize
+from fleetvolt.session import ensure_checkpoint_dir, materialize
 from fleetvolt.sources import standin as SI
+from fleetvolt.sources import tables
+from fleetvolt.sources.store import SnapshotStore
 
 # ---- stand-in parameters (FIXTURES.md section 2) ------------------------------------------
 BANDS = PowerBands(high=90.0, medium=36.0, low=15.0)
@@ -183,6 +186,26 @@ def _tables(t: _T) -> DataFrame:
     return S.section_tables(t.members(), SECTIONS)
 
 
+def _scratch(t: _T, name: str) -> str:
+    return f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/fleetvolt-{name}-{uuid.uuid4().hex}"
+
+
+def _stored_snapshot(t: _T) -> DataFrame:
+    """Both sources written to a store for one date, and the current one read back."""
+    store = SnapshotStore(t.spark, _scratch(t, "store"))
+    legacy = J.legacy_snapshot(t.bursts, LEGACY_CUSTOMER, LEGACY_PREFIX, LEGACY_DATE, bands=BANDS)
+    store.write(legacy.withColumn("report_date", date_lit(TODAY)), K.SOURCE_LEGACY, [TODAY])
+    store.write(J.daily_snapshot(t.readings, t.assets, t.orgs, TODAY, BANDS), K.SOURCE_CURRENT, [TODAY])
+    return store.read([TODAY], K.SOURCE_CURRENT)
+
+
+def _latest_from_files(t: _T) -> DataFrame:
+    """The readings stored by day and read through the typed reader, up to an as-of time."""
+    path = _scratch(t, "readings")
+    tables.write_by_day(t.readings, path, "EventTime")
+    return L.latest_reading(tables.readings(t.spark, path), day_at_hour(EARLY_DATE))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # latest state
@@ -193,6 +216,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             day_at_hour(EARLY_DATE), AS_OF)),
         "latest_snapshot_open": _q(lambda t: t.snapshot(None)),
         "latest_reading_enriched": _q(lambda t: L.enrich(L.latest_reading(t.readings, AS_OF), t.assets, t.orgs)),
+        "stored_readings_latest": _q(_latest_from_files),
+        "stored_snapshot": _q(_stored_snapshot),
         "daily_snapshot": _q(lambda t: J.daily_snapshot(t.readings, t.assets, t.orgs, TODAY, BANDS)),
         "multi_date_snapshot": _q(lambda t: J.multi_date_snapshot(t.readings, t.assets, t.orgs, WEEK_DATES, BANDS)),
         "power_band_exclusive": _q(lambda t: t.readings.select(

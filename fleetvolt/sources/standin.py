@@ -16,7 +16,8 @@ asset view         ``customer`` joined with ``nation``; device type = market seg
 bursts             ``events`` joined with the asset and organization; payload text
                    ``Battery Level <value> Power mode <event_type>``; port ``event_id % 3``
 allow-list         customers whose key is a multiple of 11
-snapshot files     ``(date of ts, source by user_id parity)`` of ``events``
+snapshot files     ``(date of ts, source)`` of ``events``: no source for every third user_id,
+                   else by parity
 sent-date log      dates of ``events`` whose largest event_id is no multiple of 3
 =================  ==============================================================
 """
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from fleetvolt import constants as K
 from fleetvolt import schemas
-from fleetvolt.functions.dates import snapshot_file_name
+from fleetvolt.functions.dates import date_label, snapshot_file_name
 from fleetvolt.schemas import conform
 
 
@@ -106,9 +107,11 @@ def device_list(spark, sf_dir) -> DataFrame:
 def snapshot_files(spark, sf_dir) -> DataFrame:
     """File names of stored snapshots, one per (date, source), as a directory listing gives."""
     ev = _t(spark, sf_dir, "events")
-    src = F.when(F.col("user_id") % 2 == 0, F.lit(K.SOURCE_CURRENT)).otherwise(F.lit(K.SOURCE_LEGACY))
+    src = (F.when(F.col("user_id") % 3 == 0, F.lit(None))
+           .when(F.col("user_id") % 2 == 0, F.lit(K.SOURCE_CURRENT)).otherwise(F.lit(K.SOURCE_LEGACY)))
     pairs = ev.select(F.to_date("ts").alias("d"), src.alias("src")).distinct()
-    return pairs.select(snapshot_file_name("d", F.col("src")).alias("file_name"))
+    bare = F.concat(F.lit(K.SNAPSHOT_PREFIX), date_label("d"), F.lit(K.SNAPSHOT_SUFFIX))
+    return pairs.select(F.coalesce(snapshot_file_name("d", F.col("src")), bare).alias("file_name"))
 
 
 def sent_labels(spark, sf_dir) -> DataFrame:
