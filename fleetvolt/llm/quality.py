@@ -6,7 +6,8 @@ stratum (the language) from labelled documents that pass the base rules:
 
 1. The labelled rows are split by a hash into a tuning and a holdout part.
 2. The tuning part proposes configurations, one per tail share in ``TAILS``: the cutoff of each rule is
-   the smallest value of a fixed grid that at most that share of the stratum's good tuning rows exceed.
+   the smallest value of a fixed grid that at most that share of the stratum's good tuning rows exceed. A
+   rule that a larger share of good than of bad tuning rows exceed there (or none) is left out.
 3. On the holdout, k of the n good rows of the stratum are rejected by any rule of a configuration.
    The exact binomial tail P(Bin(n, risk) <= k) is the p-value of "it falsely rejects more than
    ``risk``". Configurations are tested from the mildest to the strictest and testing stops at the first
@@ -131,17 +132,26 @@ def cutoffs(labelled: DataFrame, risk: float = 0.02, delta: float = 0.05) -> Dat
     stratum without a certified configuration has no row."""
     part = F.pmod(F.crc32(F.concat(F.lit("holdout:"), F.col("id").cast("string")).cast("binary")), F.lit(3))
     rows = labelled.select("stratum", "good", "cells", (F.coalesce(part, F.lit(0)) != 0).alias("holdout"))
-    tuning_good = rows.where("good AND NOT holdout")
-    # How many good tuning rows lie in each cell of each rule, and from that those above it.
-    counts = (tuning_good.select("stratum", F.posexplode("cells").alias("rule", "cell"))
-              .groupBy("stratum", "rule", "cell").agg(F.count("*").alias("n")))
+    # How many good and bad tuning rows lie in each cell of each rule, and from that those above it.
+    counts = (rows.where("NOT holdout").select("stratum", "good", F.posexplode("cells").alias("rule", "cell"))
+              .groupBy("stratum", "rule", "cell")
+              .agg(F.count_if("good").alias("n"), F.count_if(~F.col("good")).alias("bad")))
     w = Window.partitionBy("stratum", "rule")
-    above = F.sum("n").over(w.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1))
-    tails = (counts.withColumn("above", F.coalesce(above, F.lit(0))).withColumn("all", F.sum("n").over(w))
-             .withColumn("level", F.explode(F.array([F.struct(F.lit(i).alias("at"), F.lit(t).alias("tail"))
-                                                     for i, t in enumerate(TAILS)])))
-             .where(F.col("above") <= F.col("level.tail") * F.col("all"))
-             .groupBy("stratum", "rule", F.col("level.at").alias("at")).agg(F.min("cell").alias("cut")))
+    over = w.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    def above(c: str) -> Column:
+        return F.coalesce(F.sum(c).over(over), F.lit(0))
+    shares = (counts.withColumn("lost", above("n")).withColumn("caught", above("bad"))
+              .withColumn("all", F.sum("n").over(w)).withColumn("all_bad", F.sum("bad").over(w)).where("all > 0"))
+    # The lowest cutoff that the tail share allows; a rule that does not tell bad from good there
+    # rejects nothing, so that it does not use up the risk of the others.
+    tails = (shares.withColumn("level", F.explode(F.array([F.struct(F.lit(i).alias("at"), F.lit(t).alias("tail"))
+                                                           for i, t in enumerate(TAILS)])))
+             .where(F.col("lost") <= F.col("level.tail") * F.col("all"))
+             .groupBy("stratum", "rule", F.col("level.at").alias("at"))
+             .agg(F.min(F.struct("cell", "lost", "caught", "all", "all_bad")).alias("c"))
+             .select("stratum", "rule", "at", F.when(
+                 F.col("c.caught") * F.col("c.all") > F.col("c.lost") * F.col("c.all_bad"), F.col("c.cell"))
+                 .otherwise(F.lit(CELLS)).alias("cut")))
     plans = (tails.groupBy("stratum", "at")
              .agg(F.transform(F.sort_array(F.collect_list(F.struct("rule", "cut"))), lambda x: x["cut"]).alias("cuts"))
              .groupBy("stratum").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "cuts"))),

@@ -49,13 +49,15 @@ def brute_cutoffs(rows, risk, delta):
     strata = [s for s in tune if any(g for g, _ in tune[s])]
     out = {}
     for s in strata:
-        good = [c for g, c in tune[s] if g]
+        good, poor = ([c for g, c in tune[s] if g == side] for side in (True, False))
         plans = []
         for share in quality.TAILS:
             cut = []
             for rule in range(len(quality.RULES)):
-                values = sorted(c[rule] for c in good)
-                cut.append(min(v for v in values if sum(x > v for x in values) <= share * len(values)))
+                values = [c[rule] for c in good]
+                t = min(v for v in {c[rule] for c in good + poor} if sum(x > v for x in values) <= share * len(values))
+                caught, lost = sum(c[rule] > t for c in poor), sum(x > t for x in values)
+                cut.append(t if caught * len(good) > lost * len(poor) else quality.CELLS)
             plans.append(cut)
         best = None
         for at, cut in enumerate(plans):
