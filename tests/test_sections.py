@@ -102,3 +102,10 @@ def test_shares_count_rows_without_name_as_differing(spark):
     m = S.assign_sections(snap, SPECS[:1], AS_OF, timedelta(weeks=12))
     sh = {r.PowerMode: (r.n, r.total) for r in S.cohort_shares(snap, m).collect()}
     assert sh["Critical"] == (1, 2) and sh["High"] == (1, 2)
+
+
+def test_customer_match_takes_every_spelling(spark):
+    from fleetvolt.functions.text import equals_ignore_case
+
+    df = spark.createDataFrame([("Kiosk",), ("KIOSK",), ("\u212aiosk",), ("kiosx",), (None,)], "c string")
+    assert df.where(equals_ignore_case("c", "kiosk")).count() == 3
