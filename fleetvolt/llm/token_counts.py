@@ -2,20 +2,21 @@
 
 A byte-pair tokenizer cuts a text into pre-tokens and each pre-token into pieces on its own. So the
 pieces are counted once per distinct pre-token of the corpus, and a document's count is the sum of its
-pre-tokens' frequencies times their pieces. The counts of the ``FREQUENT`` most frequent short
-pre-tokens (a bounded table) are broadcast, which takes the hot keys out of the join; the frequencies of
-all other pre-tokens are joined to the full table of counts.
+pre-tokens' frequencies times their pieces. The counts of the most frequent short pre-tokens (at most
+``FREQUENT``, a bounded table) are broadcast, which takes the hot keys out of the join; the frequencies
+of all other pre-tokens are joined to the full table of counts.
 
 Cutting: a text is split into runs of non-space characters, each with the space before it, and runs of
 white space, neither of which a pre-token crosses; each distinct run is cut by the pre-token pattern
-once. Where a text has characters beyond ``PLAIN``, whose classes may differ between Unicode versions, the
-tokenizer's own pre-tokenizer cuts it.
+once. Where a text has characters beyond ``PLAIN``, whose classes may differ between Unicode versions, or
+the control characters 0x1c-0x1f, the tokenizer's own pre-tokenizer cuts it.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,24 +28,30 @@ FREQUENT = 131_072
 SHORT_BYTES = 64
 PLAIN = "\u0557"
 _RUNS = r" ?[^\s]+|\s+(?!\S)|\s+"
-#: Entries that a task's memory of runs may hold before it starts anew.
-_MEMORY = 400_000
+#: Runs that a task may hold before it hands on what it counted, or forgets what it looked up.
+_COUNTED, _MEMORY = 250_000, 150_000
 
 
 class _Cutter:
     """Cuts texts into runs, and runs into pre-tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: list[str]):
         import regex
         from public_tokenizers import PATTERN
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.runs = regex.compile(_RUNS)
+        self.path = path
+        self.split = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.runs = re.compile(_RUNS)
         self.pattern = regex.compile(PATTERN)
-        self.odd = re.compile(f"[^\x00-{PLAIN}]")
+        # Python's own \s also takes the separators 0x1c-0x1f for white space; the tokenizer does not.
+        self.odd = re.compile(f"[^\x00-\x1b\x20-{PLAIN}]")
+
+    @cached_property
+    def tokenizer(self):
+        """Only texts with odd characters need it, and it takes much memory."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def parts(self, text: str) -> tuple[int, list[str]]:
         """(special tokens, runs) of a text. A text with odd characters gives its pre-tokens."""
@@ -64,11 +71,19 @@ class _Cutter:
         return [run] if self.odd.search(run) else self.pattern.findall(run)
 
 
+def special_strings(path: str) -> list[str]:
+    from tokenizers import Tokenizer
+
+    return [t.content for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()]
+
+
 def pretoken_frequencies(texts: DataFrame, path: str) -> DataFrame:
     """(pretoken, freq) of all ``texts`` (column text)."""
 
+    special = special_strings(path)
+
     def count(batches):
-        cutter, seen = _Cutter(path), Counter()
+        cutter, seen = _Cutter(path, special), Counter()
 
         def flushed():
             words: Counter = Counter()
@@ -80,7 +95,7 @@ def pretoken_frequencies(texts: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for text in batch.column("text"):
                 seen.update(cutter.parts(text.as_py() or "")[1])
-                if len(seen) > _MEMORY:
+                if len(seen) > _COUNTED:
                     yield flushed()
         if seen:
             yield flushed()
@@ -117,12 +132,23 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = stored(piece_counts(pretoken_frequencies(texts, path), path), "pieces")
-    frequent = (counts.where(F.octet_length("pretoken") <= SHORT_BYTES)
-                .orderBy(F.desc("freq"), "pretoken").limit(FREQUENT).select("pretoken", "pieces").collect())
-    table = spark.sparkContext.broadcast({r["pretoken"]: r["pieces"] for r in frequent})
+    # The least frequency from which on at most FREQUENT pre-tokens are short ones: from a histogram of
+    # bounded size, so that no more than those reach the driver.
+    short = counts.where(F.octet_length("pretoken") <= SHORT_BYTES)
+    level = F.floor(F.log2("freq") * 64)
+    total, least = 0, None
+    for r in sorted(short.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        total += r["n"]
+        if total > FREQUENT:
+            break
+        least = r["level"]
+    top = short.where(level >= least if least is not None else F.lit(False)).select("pretoken", "pieces").toArrow()
+    table = spark.sparkContext.broadcast(dict(zip(top.column("pretoken").to_pylist(), top.column("pieces").to_pylist())))
+
+    special = special_strings(path)
 
     def sums(batches):
-        cutter, frequent = _Cutter(path), table.value
+        cutter, frequent = _Cutter(path, special), table.value
         rare: dict[str, list[str]] = {}
 
         class Known(dict):
@@ -146,8 +172,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
                             ("n", pa.int64()), ("pretoken", pa.string())])
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(),
-                                         batch.column("text")):
+            for doc_id, key, size, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "size")),
+                                               batch.column("text")):
                 text = text.as_py() or ""
                 n, runs = cutter.parts(text)
                 others: Counter = Counter()
@@ -156,15 +182,15 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
                         known.clear()
                         rare.clear()
                     part = runs[at:at + 100_000]
-                    n += sum(known[r] for r in part)
-                    for r in part:
-                        if r in rare:
-                            others.update(rare[r])
-                rows.append((doc_id, key, len(text.encode()), 1, n, None))
+                    n += sum(map(known.__getitem__, part))
+                    for r in filter(rare.__contains__, part):
+                        others.update(rare[r])
+                rows.append((doc_id, key, size, 1, n, None))
                 rows += [(doc_id, key, None, None, c, w) for w, c in others.items()]
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
 
-    parts = stored(texts.withColumn("key", F.xxhash64("text")).mapInArrow(
+    sized = texts.withColumn("key", F.xxhash64("text")).withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)))
+    parts = stored(sized.mapInArrow(
         sums, "doc_id long, key long, n_bytes long, rows long, n long, pretoken string"), "parts")
     rest = (parts.where("pretoken IS NOT NULL").join(counts.select("pretoken", "pieces"), "pretoken")
             .select("doc_id", "key", F.lit(None).cast("long").alias("n_bytes"), F.lit(None).cast("long").alias("rows"),

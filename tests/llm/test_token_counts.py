@@ -43,8 +43,11 @@ def test_no_documents(no_docs):
 
 def test_plain_characters_are_cut_as_by_the_tokenizer():
     """Below the bound of the own cutting every code point has the class that the tokenizer gives it."""
-    cutter = token_counts._Cutter(PATH)
+    cutter = token_counts._Cutter(PATH, token_counts.special_strings(PATH))
     for c in range(ord(token_counts.PLAIN) + 1):
+        if cutter.odd.search(chr(c)):        # left to the tokenizer
+            assert 0x1c <= c < 0x20
+            continue
         text = f"a{chr(c)}1{chr(c)}! {chr(c)}{chr(c)} x"
         want = [text[a:b] for _, (a, b) in cutter.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
         assert [w for r in cutter.runs.findall(text) for w in cutter.cut(r)] == want, hex(c)
