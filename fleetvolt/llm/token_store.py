@@ -145,7 +145,8 @@ class _Encoder:
     its own, so a word's ids are found once and kept for the task; texts with the control characters
     that Python, but not the tokenizer, takes for white space are encoded as a whole."""
 
-    MEMORY = 500_000
+    MEMORY = 250_000
+    TOGETHER = 2_000
 
     def __init__(self, path: str):
         import re
@@ -156,18 +157,53 @@ class _Encoder:
         self.odd = re.compile("[\x1c-\x1f]")
         self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        if self.odd.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = text.split()
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words many at a time, as one text with a space between them; the place of each
+        token in that text tells its word."""
+        for at in range(0, len(words), self.TOGETHER):
+            part = words[at:at + self.TOGETHER]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4").tobytes()
+            starts = np.cumsum([0, *(len(w) + 1 for w in part)])
+            begins = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+            cuts = (np.searchsorted(begins, starts, "left") * 4).tolist()
+            for word, a, b in zip(part, cuts[:-1], cuts[1:]):
+                self.known[word] = ids[a:b]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The tokenizer lower-cases, so A-Z are folded first (but not beside a special string, which is
+        found before that). A full stop or comma after a word of letters is a piece of its own."""
+        cut = []
+        for text in texts:
+            if self.odd.search(text):
+                cut.append(None)
+            elif "<|" in text:
+                cut.append(text.split())
+            else:
+                cut.append((text.lower() if text.isascii() else text.encode().lower().decode()).split())
         if len(self.known) > self.MEMORY:
             self.known.clear()
-        new = list(set(words).difference(self.known))
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for word, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+        new = set().union(*(c for c in cut if c is not None)).difference(self.known)
+        ended = [w for w in new if w[-1] in ".," and w[:-1].isalpha()]
+        self._learn(list((new.difference(ended) | {w[:-1] for w in ended} | {".", ","}).difference(self.known)))
+        for w in ended:
+            self.known[w] = self.known[w[:-1]] + self.known[w[-1]]
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if c is None
+                else b"".join(map(self.known.__getitem__, c)) for t, c in zip(texts, cut)]
+
+
+def _portions(texts: pa.Array, chars: int = 2_000_000):
+    """Runs of texts of about so many characters, so that a batch of long ones is not cut into words at
+    once."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t.as_py() or "")
+        size += len(held[-1])
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 1) -> DataFrame:
@@ -182,8 +218,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 1)
             if writer is None and batch.num_rows:
                 name, stream = new_file(folder, ".tokens.zst")
                 writer = TokenFileWriter(stream)
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                writer.add(doc_id, encoder.encode(text.as_py() or "") + end)
+            ids = (i for texts in _portions(batch.column("text")) for i in encoder.encode(texts))
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), ids):
+                writer.add(doc_id, own + end)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "path": [name],
