@@ -172,7 +172,8 @@ class _Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The tokenizer lower-cases, so A-Z are folded first (but not beside a special string, which is
-        found before that). A full stop or comma after a word of letters is a piece of its own."""
+        found before that). A full stop or comma after a word of ASCII letters is a piece of its own; beyond
+        ASCII the normalizer may end a word in a combining mark, which makes one piece with it."""
         cut = []
         for text in texts:
             if self.odd.search(text):
@@ -184,7 +185,7 @@ class _Encoder:
         if len(self.known) > self.MEMORY:
             self.known.clear()
         new = set().union(*(c for c in cut if c is not None)).difference(self.known)
-        ended = [w for w in new if w[-1] in ".," and w[:-1].isalpha()]
+        ended = [w for w in new if w[-1] in ".," and w.isascii() and w[:-1].isalpha()]
         self._learn(list((new.difference(ended) | {w[:-1] for w in ended} | {".", ","}).difference(self.known)))
         for w in ended:
             self.known[w] = self.known[w[:-1]] + self.known[w[-1]]

@@ -38,6 +38,11 @@ def test_tricky_texts(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
+def test_words_whose_last_letter_gets_a_mark(spark):
+    rows = list(enumerate(["TAKS\u0130. x", "\u09b9\u09df, y", "\u0915\u0958. \ufb2a, \u0f43.", "plain, Words. Ende\u00e9."]))
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
 def test_no_documents(no_docs):
     assert token_store.token_round_trip(no_docs, PATH).count() == 0
 
