@@ -221,7 +221,7 @@ def _links(tasks: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(one row per row of ``docs``, exact links between different shingle sets).
+    """(one row per row of ``docs``, links between different shingle sets, each confirmed exactly).
 
     The first has doc_id, n_shingles, component_id and kept. Words are lower-cased in A-Z only; a
     text of fewer than five words has its whole sequence as its one shingle; a null, empty or blank
@@ -229,6 +229,9 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     are one document: they share a component, also with different texts. A row without doc_id takes
     no part: its component_id is null and it is kept. Only doc_id and text are read, so extra columns
     may have any name. An empty table gives empty results.
+
+    The links are not all similar pairs: partners of a hub that are already in one component are not
+    compared. They are a subset that determines the components.
     """
     sketch = stored(sketches(docs), "sketch")
     # Equal sets are one node. Partial sums combine in every task, so a large group of copies sends
