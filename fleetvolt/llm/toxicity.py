@@ -97,6 +97,11 @@ def _train_rows(docs: DataFrame, labels: DataFrame, label: str, usable) -> DataF
                   .mapInArrow(hashed, "group int, turn long, y int, places binary"), "train")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Each group in a task of its own (a hash of the few group numbers may put them in one), in its order."""
+    return rows.repartitionById(SHARDS, "group").sortWithinPartitions("group", "turn")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable=None) -> tuple[np.ndarray, np.ndarray]:
     """(places, weights) of the non-zero coordinates. ``usable`` restricts the label rows (a condition on
     their doc_id). Without any labelled row there are no coordinates and every score is a half."""
@@ -109,26 +114,37 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable=None) -
         def learn(batches):
             z0, n0 = state.value
             z1, n1 = z0.copy(), n0.copy()
-            rows = [(y, np.frombuffer(places.as_buffer(), np.int32)) for batch in batches
-                    for y, places in zip(batch.column("y").to_pylist(), batch.column("places"))]
-            for y, at in rows:
-                w = _weights(z1, n1, at)
-                g = _sigmoid(w.sum()) - y              # features are 0 or 1
-                s = (np.sqrt(n1[at] + g * g) - np.sqrt(n1[at])) / ALPHA
-                z1[at] += g - s * w
-                n1[at] += g * g
-            if rows:
+
+            def changed():
                 touched = np.flatnonzero(n1 != n0)
-                yield pa.RecordBatch.from_arrays(
+                return pa.RecordBatch.from_arrays(
                     [pa.array(touched, pa.int64()), pa.array(z1[touched] - z0[touched]),
                      pa.array(n1[touched] - n0[touched])], names=["place", "z", "n"])
 
-        change = (rows.repartition(SHARDS, "group").sortWithinPartitions("group", "turn")
-                  .mapInArrow(learn, "place long, z double, n double")
-                  .groupBy("place").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow())
+            group = None
+            for batch in batches:
+                for own, y, places in zip(batch.column("group").to_pylist(), batch.column("y").to_pylist(),
+                                          batch.column("places")):
+                    if own != group:                   # every group starts from the common state
+                        if group is not None:
+                            yield changed()
+                            z1, n1 = z0.copy(), n0.copy()
+                        group = own
+                    at = np.frombuffer(places.as_buffer(), np.int32)
+                    w = _weights(z1, n1, at)
+                    g = _sigmoid(w.sum()) - y          # features are 0 or 1
+                    s = (np.sqrt(n1[at] + g * g) - np.sqrt(n1[at])) / ALPHA
+                    z1[at] += g - s * w
+                    n1[at] += g * g
+            if group is not None:
+                yield changed()
+
+        # At most SHARDS times 2**BITS rows.
+        change = _dealt(rows).mapInArrow(learn, "place long, z double, n double").toArrow()
         at = change.column("place").to_numpy()
-        z[at] += change.column("z").to_numpy()
-        n[at] += change.column("n").to_numpy()
+        groups = np.maximum(np.bincount(at, minlength=1 << BITS), 1)
+        z += np.bincount(at, change.column("z").to_numpy(), 1 << BITS) / groups
+        n += np.bincount(at, change.column("n").to_numpy(), 1 << BITS) / groups
         state.unpersist()
     drop_stored(rows)
     places = np.flatnonzero(n)

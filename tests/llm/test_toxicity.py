@@ -84,3 +84,37 @@ def test_scores_add_the_weights_of_distinct_features(spark):
     for r, f in zip(out, found):
         assert abs(r["score"] - 1 / (1 + np.exp(-sum(at[p] for p in f.tolist())))) < 1e-9
     assert out[0]["score"] == toxicity.score(spark.createDataFrame([(0, texts[0])], "doc_id long, text string").where(F.lit(True)), (places, weights)).first()["score"]
+
+
+def test_groups_are_tasks_of_their_own(spark):
+    rows = spark.createDataFrame([(i % 2, i) for i in range(40)], "group int, turn long")
+    held = toxicity._dealt(rows).groupBy(F.spark_partition_id().alias("p")).agg(F.collect_set("group").alias("g")).collect()
+    assert sorted(r["g"] for r in held) == [[0], [1]]
+
+
+def test_states_of_the_groups_are_averaged(spark):
+    rows, labels = corpus(120)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    turn = F.xxhash64("doc_id", F.lit(17))
+    order = docs.select("doc_id", turn.alias("t"), F.pmod(turn, F.lit(toxicity.SHARDS)).alias("g")).orderBy("t").collect()
+    found = dict(zip((r[0] for r in rows), toxicity.features(pa.array([r[1] for r in rows]), toxicity._hasher())))
+    truth = {i: t for i, _, t in labels}
+    z, n = np.zeros(1 << toxicity.BITS), np.zeros(1 << toxicity.BITS)
+    for _ in range(toxicity.ROUNDS):
+        changes = []
+        for group in range(toxicity.SHARDS):
+            z1, n1 = z.copy(), n.copy()
+            for r in (r for r in order if r["g"] == group):
+                at = found[r["doc_id"]]
+                w = toxicity._weights(z1, n1, at)
+                g = toxicity._sigmoid(w.sum()) - truth[r["doc_id"]]
+                z1[at] += g - (np.sqrt(n1[at] + g * g) - np.sqrt(n1[at])) / toxicity.ALPHA * w
+                n1[at] += g * g
+            changes.append((z1 - z, n1 - n))
+        touched = np.maximum(sum((dn != 0).astype(int) for _, dn in changes), 1)
+        z, n = z + sum(dz for dz, _ in changes) / touched, n + sum(dn for _, dn in changes) / touched
+    want = toxicity._weights(z, n, np.arange(1 << toxicity.BITS))
+    places, weights = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = np.zeros(1 << toxicity.BITS)
+    got[places] = weights
+    assert np.allclose(got, want, atol=1e-9)
