@@ -35,12 +35,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest doc_id. Rows
-    that repeat a doc_id count once; rows without doc_id stay."""
-    found, _ = minhash.near_duplicates(docs)
-    keep = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    """One document of each group of near-duplicates stays: the one with the smallest doc_id, or the
+    smallest hash of doc_id and text among several texts of that id. Different texts of one doc_id are
+    documents of their own, so a text goes only if a near-duplicate of it stays. Rows without doc_id take
+    no part, but exact copies of a text among them count once. Of rows with the same doc_id and text the
+    one with the smallest hash of its columns (but maps) stays."""
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").alias("own"), text.alias("words"), F.struct(*docs.columns).alias("row"),
+                       F.xxhash64(*[c for c, t in docs.dtypes if "map<" not in t]).alias("turn"))
+    named, unnamed = rows.where("own IS NOT NULL"), rows.where("own IS NULL")
+    # Only the ids with several texts get a key for each text.
+    several = stored(named.groupBy("own").agg(F.min(F.xxhash64("words")).alias("lo"), F.max(F.xxhash64("words")).alias("hi"))
+                     .where("lo < hi").select(F.col("own").alias("of")), "several")
+    keyed = named.join(several, F.col("own") == F.col("of"), "left").withColumn(
+        "key", F.when(F.col("of").isNull(), F.col("own").cast("long")).otherwise(F.xxhash64("own", "words")))
+    found, _ = minhash.near_duplicates(keyed.select(F.col("key").alias("doc_id"), F.col("words").alias("text")))
+    groups = found.select(F.col("doc_id").alias("key"), "component_id").distinct()
+    keep = (keyed.select("own", "key").distinct().join(groups, "key").groupBy("component_id")
+            .agg(F.min(F.struct("own", "key"))["key"].alias("key")).select("key"))
+    kept = keyed.join(keep, "key", "left_semi").groupBy("key").agg(F.min_by("row", "turn").alias("row"))
+    kept = kept.select("row").unionByName(unnamed.groupBy("words").agg(F.min_by("row", "turn").alias("row")).select("row"))
+    return kept.select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

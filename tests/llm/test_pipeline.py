@@ -68,3 +68,17 @@ def test_toxic_words_go_and_clean_documents_stay(spark, sf):
     lab = spark.createDataFrame(labels, "doc_id long, toxic int")
     kept = {r["doc_id"] for r in toxicity.drop_toxic(docs, lab).collect()}
     assert kept == {i for i, t in labels if not t}
+
+
+def test_near_dedup_of_repeated_and_missing_ids(spark, sf):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near_a = a.replace("a30", "other")
+    rows = [(5, near_a, "en"), (5, b, "en"), (3, a, "en"), (3, a, "de"), (9, c, "en"), (9, c.upper(), "en"), (9, None, "en"),
+            (None, a, "en"), (None, a, "en"), (None, b, "en"), (None, None, "en"), (None, None, "en")]
+    results = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts)
+        results.append(sorted((tuple(r) for r in P.near_dedup(spark, docs, sf).collect()), key=str))
+    assert results[0] == results[1]
+    got = [(i, t.lower() if t else t) for i, t, _ in results[0]]
+    assert sorted(got, key=str) == sorted([(5, b), (3, a), (9, c), (9, None), (None, a), (None, b), (None, None)], key=str)
