@@ -43,8 +43,8 @@ AS_OF = day_at_hour(TODAY)                      # current-source cut-off of the
 EARLY_DATE = date(2024, 1, 25)                  # an as-of inside the data
 RECENCY = timedelta(days=10)
 SHORT_RECENCY = timedelta(hours=6)              # excludes devices of the test tables
-PREVIEW_ROWS = 3                                # and SAMPLE_SIZE: fewer than the test tables have
-SAMPLE_SIZE = 20
+PREVIEW_ROWS = 3                                # fewer than the test tables have
+SAMPLE_SIZE = 100                               # fewer than the test tables have from sf0.01 on
 DEVICE_TYPE = "MACHINERY"
 DWELL_ORGS = [19, 11, 10, 20, 17, 13, 16, 2]
 DWELL_ORG = 19
