@@ -54,5 +54,36 @@ FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC
 """
 
 
+OP12 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array({_LOWER.replace('text', "coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+ws AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (
+  SELECT lang, k AS words, list_aggregate(w[i : i + k - 1], 'string_agg', ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM ws, (SELECT unnest([1, 2, 3, 4]) AS k) sizes WHERE len(w) >= k)),
+f AS (SELECT lang, words, phrase, count(*) AS f FROM runs GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT lang, words, phrase, f AS a FROM f WHERE words > 1 AND f >= 30),
+inside AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN c AS x ON x.lang = c.lang AND x.words > c.words
+    AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' ') AND 100::HUGEINT * x.a >= 80::HUGEINT * c.a),
+kept AS (SELECT c.* FROM c ANTI JOIN inside ON inside.lang = c.lang AND inside.phrase = c.phrase),
+cuts AS (
+  SELECT lang, phrase, a, k, list_aggregate(w[1 : k], 'string_agg', ' ') AS head,
+         list_aggregate(w[k + 1 :], 'string_agg', ' ') AS tail
+  FROM (SELECT lang, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, words)) AS k FROM kept)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = head JOIN f r ON r.lang = cuts.lang AND r.phrase = tail
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op3_mtree_top_k": OP3, "op8_minhash_near_dedup": OP8}
+    return {"op1_warc": OP1, "op3_mtree_top_k": OP3, "op8_minhash_near_dedup": OP8, "op12_collocations": OP12}
