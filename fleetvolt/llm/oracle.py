@@ -85,5 +85,45 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHE
 """
 
 
+_CRC32 = """
+xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST({0} AS VARCHAR), ''),
+      lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, op: CASE WHEN op >= 0 THEN xor(a, op)
+                       ELSE xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END) END), 4294967295::BIGINT)
+"""
+
+OP13 = f"""
+WITH t AS (
+  SELECT conv_id AS c, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS e, strlen(coalesce(text, '')) AS bytes,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(md5(coalesce(role, '')) || md5(coalesce(text, '')))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, {_CRC32.format('c')} % 9 AS h, c - c % 5 AS base FROM (SELECT DISTINCT c FROM t) ids),
+head AS (SELECT convs.c, pos, e, bytes FROM convs JOIN t ON t.c = base AND pos <= h),
+own AS (SELECT convs.c, 9 + pos AS pos, e, bytes FROM convs JOIN t ON t.c = convs.c AND pos > h),
+r AS (
+  SELECT c, row_number() OVER w AS depth, string_agg(e, '') OVER w AS path, bytes
+  FROM (SELECT * FROM head UNION ALL SELECT * FROM own) turns
+  WINDOW w AS (PARTITION BY c ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT c, 0, '', 0 FROM convs),
+last AS (SELECT c, max(depth) AS n FROM r GROUP BY c),
+node AS (
+  SELECT depth, path, min(r.c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+         sha256(coalesce(string_agg(CASE WHEN n = depth THEN CAST(r.c AS VARCHAR) END, ',' ORDER BY r.c), '')) AS ends_sha256
+  FROM r JOIN last ON last.c = r.c GROUP BY depth, path),
+kids AS (
+  SELECT p.depth, p.path, count(k.depth) AS n_children FROM node p
+  LEFT JOIN node k ON k.depth = p.depth + 1 AND substr(k.path, 1, 32 * p.depth::BIGINT) = p.path GROUP BY ALL),
+owned AS (SELECT node.*, n_children FROM node JOIN kids ON kids.depth = node.depth AND kids.path = node.path),
+below AS (
+  SELECT d AS depth, substr(path, 1, 32 * d) AS path, count(CASE WHEN n_children = 0 THEN 1 END) AS n_leaves,
+         sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth::BIGINT + 1)) AS d FROM owned) every GROUP BY ALL)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens, o.ends_sha256
+FROM owned o JOIN below b ON b.depth = o.depth AND b.path = o.path
+LEFT JOIN owned p ON p.depth = o.depth - 1 AND p.path = substr(o.path, 1, 32 * (o.depth::BIGINT - 1))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op3_mtree_top_k": OP3, "op8_minhash_near_dedup": OP8, "op12_collocations": OP12}
+    return {"op1_warc": OP1, "op3_mtree_top_k": OP3, "op8_minhash_near_dedup": OP8, "op12_collocations": OP12,
+            "op13_prefix_trie": OP13}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetvolt.llm import collocations as phrases
-from fleetvolt.llm import minhash, mixing, mtree, packing, quality, sharding, token_counts, token_store, toxicity, warc
+from fleetvolt.llm import minhash, mixing, mtree, packing, prefix_trie, quality, sharding, token_counts, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -69,8 +69,12 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(_table(spark, folder, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_warc, op2_length_buckets, op3_mtree_top_k, op4_mixing, op5_token_counts, op6_toxicity, op7_token_files,
         op8_minhash_near_dedup, op9_quality_rules, op10_sharding,
-        op12_collocations)}
+        op12_collocations, op13_prefix_trie)}
