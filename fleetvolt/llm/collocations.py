@@ -5,21 +5,21 @@ bytes of a span give the number of every word, and prefix polynomials over the w
 run of 1 to ``LONGEST`` words, both with numpy over an Arrow batch. Every run has two fingerprints with bases and byte
 values of their own.
 
-1. Level by level (1, 2, ... words) the tasks count the fingerprints of their runs; the shuffle adds up
-   (language, fingerprint, check fingerprint) -> count, smallest pointer. A pointer is the 64-bit hash of the language and
-   text that holds an occurrence, so most pointers lead to few texts. No phrase is text yet.
-2. A run can be frequent only if both runs of one word less are. The frequent ones of a level set bits of a bitmap of at
-   most ``PLACES`` bits, which the next level's tasks look up before they count. A bit that two runs share only lets
-   a run be counted that was not needed; no frequent run is lost, at any size.
+1. The tasks count the fingerprints of single words, then of pairs, then of all longer runs; the shuffle adds up
+   (language, words, fingerprint, check fingerprint) -> count, smallest pointer. A pointer is a 32-bit hash of the
+   language and text that holds an occurrence, so most pointers lead to few texts. No phrase is text yet.
+2. A run can be frequent only if the shorter runs inside it are. The frequent words and then the frequent pairs set bits of a
+   bitmap of at most ``PLACES`` bits, which the tasks look up before they count longer runs. A bit that two runs share
+   only lets a run be counted that was not needed; no frequent run is lost, at any size.
 3. Runs whose first fingerprints collide are told apart by the second one. The texts under the pointers of the frequent runs
    are read again, and the run under both fingerprints is cut out of the text: that text is the phrase. Fingerprints that lead
-   to one phrase add up; a pointer's hash that two texts share does no harm, as only a text that holds the
+   to one phrase add up; a pointer that several texts share does no harm, as only a text that holds the
    fingerprints counts.
 4. The parts of a frequent phrase are frequent too, so scores and the longer phrases around a phrase come from joins
    of the table of frequent phrases with itself, by the phrases' text.
 
-Two different runs of a language are counted as one only if both 64-bit fingerprints agree, which has a chance of
-about 2**-128 for each pair.
+Two different runs of a language are counted as one only if a 64-bit and a 32-bit fingerprint agree, which has a chance of
+about 2**-96 for each pair.
 """
 
 from __future__ import annotations
@@ -33,90 +33,99 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetvolt.llm.common import bounded_batches, drop_stored, stored
-from fleetvolt.llm.wordhash import PIECE_BYTES, _pieces, mix, text_bytes
+from fleetvolt.llm.wordhash import _pieces, mix, text_bytes
 
 #: Characters that end a piece, and those that end a word inside a piece.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b" \t"
 LONGEST = 4
 PLACES = 1 << 27             # bits of a bitmap: 16 MB
-HELD = 1 << 21               # runs that a task holds before it adds them up
+SPAN = 1 << 18               # bytes that are hashed at once
+HELD = 1 << 19               # runs that a task holds before it adds them up
 SALTS = 64
 
-_COUNTED = "lang string, fp long, chk long, f long, ptr long"
+_COUNTED = "lang string, words int, fp long, chk int, f long, ptr int"
 
 
 class _Base:
-    """One polynomial: a random value for each byte (A-Z as a-z), an odd base and its inverse mod 2**64."""
+    """One polynomial over 64 or 32 bits: a random value for each byte (A-Z as a-z), an odd base and its inverse."""
 
-    def __init__(self, seed: int):
+    def __init__(self, seed: int, kind=np.uint64):
         rng = np.random.default_rng(seed)
-        self.values = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.kind, self.bits = kind, 8 * np.dtype(kind).itemsize
+        drawn = rng.integers(1, 1 << 62, 259, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.values = drawn[:256].astype(kind)
         self.values[65:91] = self.values[97:123]
-        base = int(rng.integers(1, 1 << 61)) * 8 + 5
-        self.step = np.uint64(int(rng.integers(1, 1 << 61)) * 8 + 3)
-        self.up, self.down = (np.full(PIECE_BYTES + 2, b, np.uint64) for b in (base, pow(base, -1, 1 << 64)))
-        for p in (self.up, self.down):
-            p[0] = 1
-            np.cumprod(p, out=p)
+        self.base = int(drawn[256]) % (1 << self.bits) // 8 * 8 + 5
+        self.step = kind(int(drawn[257]) % (1 << self.bits) // 8 * 8 + 3)
+        self.up = self.down = np.ones(1, kind)
 
     def grow(self, n: int) -> None:
         if n > len(self.up):
-            self.up, self.down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, p[1])]), dtype=np.uint64)
-                                  for p in (self.up, self.down))
+            self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, self.kind), np.full(max(n, SPAN), b, self.kind)]), dtype=self.kind)
+                                  for b in (self.base, pow(self.base, -1, 1 << self.bits)))
+
+    def mixed(self, x: np.ndarray) -> np.ndarray:
+        if self.bits == 64:
+            return mix(x)
+        x = (x ^ (x >> np.uint32(16))) * np.uint32(0x85EBCA6B)       # the 32-bit finalizer of MurmurHash3
+        x = (x ^ (x >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+        return x ^ (x >> np.uint32(16))
 
     def words(self, part: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of the words: differences of the prefix polynomial of the span, brought to one power."""
         n = len(part)
         self.grow(n)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.values[part] * self.up[:n], out=sums[1:])
-        return mix((sums[end] - sums[start]) * self.down[start])
+        sums = np.zeros(n + 1, self.kind)
+        np.cumsum(self.values.take(part) * self.up[:n], dtype=self.kind, out=sums[1:])
+        return self.mixed((sums[end] - sums[start]) * self.down[start])
 
-    def runs(self, words: np.ndarray, size: int) -> np.ndarray:
-        """Fingerprints of the runs of ``size`` words that begin at each place: P[i + size] - P[i] step^size over the
-        prefix polynomials P, taken as the sum of its ``size`` terms, which is the same number."""
+    def runs(self, words: np.ndarray, size: int, begin: np.ndarray | None = None) -> np.ndarray:
+        """Fingerprints of the runs of ``size`` words that begin at the places ``begin`` (all): P[i + size] - P[i]
+        step^size over the prefix polynomial P of the words, taken as the sum of its ``size`` terms, which is the same."""
         n = len(words) - size + 1
         if n <= 0:
-            return np.zeros(0, np.uint64)
-        out = words[:n].copy()
+            return np.zeros(0, self.kind)
+        out = words[:n].copy() if begin is None else words[begin]
         for k in range(1, size):
             out *= self.step
-            out += words[k:k + n]
-        return mix(out + np.uint64(size))
+            out += words[k:k + n] if begin is None else words[begin + k]
+        return self.mixed(out + self.kind(size))
 
 
 class Cutter:
     """Words of texts with both fingerprints and their pieces, span by span."""
 
     def __init__(self):
-        self.one, self.two = _Base(12), _Base(2012)
+        self.one, self.two = _Base(12), _Base(2012, np.uint32)
         self.breaks = np.zeros(256, bool)
         self.breaks[list(BREAKS)] = True
         self.sep = self.breaks.copy()
         self.sep[list(BLANKS)] = True
 
     def spans(self, column: pa.Array):
-        """(first numbers, second numbers, piece, text, begin, end) of the words of one span after the other. Pieces
-        are numbered over the whole column; begin and end are byte offsets in the column's bytes. Each span begins with
-        the last ``LONGEST - 1`` words of the one before it; the seventh result says how many."""
+        """(first numbers, second numbers, piece, text, begin, end, carried, bytes) of the words of one span after the other.
+        Pieces are numbered over the whole column; begin and end are offsets in the column's bytes. Each span begins
+        with the last ``LONGEST - 1`` words of the one before it; ``carried`` says how many."""
         data, ends = text_bytes(column)
         held: list[np.ndarray] = []
         pieces = 0
-        for a, b in _pieces(data, ends, self.sep):
+        for a, b in _pieces(data, ends, self.sep, SPAN):
             part = data[a:b]
             n = len(part)
             inside = ~self.sep[part]
             first = np.zeros(n + 1, bool)
-            first[ends[(ends >= a) & (ends <= b)] - a] = True
+            lo, hi = np.searchsorted(ends, (a, b + 1))
+            first[ends[lo:hi] - a] = True
             before = np.zeros(n, bool)
             before[1:] = inside[:-1]
             start = np.flatnonzero(inside & (~before | first[:-1]))
             after = np.zeros(n, bool)
             after[:-1] = inside[1:]
             end = np.flatnonzero(inside & (~after | first[1:])) + 1
-            cuts = np.cumsum(self.breaks[part] | first[:-1], dtype=np.int64)
-            piece = pieces + (cuts[start] if n else start)
-            pieces += int(cuts[-1]) if n else 0
+            cuts = np.flatnonzero(self.breaks[part] | first[:-1])
+            piece = pieces + np.searchsorted(cuts, start, "right")
+            pieces += len(cuts)
             if not len(start):
                 continue
             text = np.searchsorted(ends, start + a, "right") - 1
@@ -126,17 +135,18 @@ class Cutter:
             yield (*rows, carried, data)
             held = [x[-(LONGEST - 1):] for x in rows]
 
-    def runs(self, words: tuple, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(begin, first fingerprint, second fingerprint) of the runs of ``size`` words inside pieces that end in
-        the span's own words."""
-        one, two, piece = words[:3]
-        n, carried = len(one) - size + 1, words[6]
+    def begins(self, words: tuple, size: int) -> np.ndarray:
+        """Where the runs of ``size`` words inside pieces begin that end in the span's own words."""
+        piece, carried = words[2], words[6]
+        n = len(piece) - size + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+            return np.zeros(0, np.int64)
         inside = piece[:n] == piece[size - 1:size - 1 + n]
         inside[:max(0, carried - size + 1)] = False
-        begin = np.flatnonzero(inside)
-        return begin, self.one.runs(one, size)[begin], self.two.runs(two, size)[begin]
+        return np.flatnonzero(inside)
+
+    def runs(self, words: tuple, size: int, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.one.runs(words[0], size, begin), self.two.runs(words[1], size, begin)
 
 
 class _Bitmap:
@@ -152,11 +162,11 @@ def _seeds(langs: list[str]) -> np.ndarray:
     return np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in langs], np.uint64)
 
 
-def _count_level(size: int, sent):
-    """Counts of the runs of ``size`` words. With words alone (size 1) the empty run counts too: its count is the number
-    of words of the language."""
-
-    schema = pa.schema([("lang", pa.string()), ("fp", pa.int64()), ("chk", pa.int64()), ("f", pa.int64()), ("ptr", pa.int64())])
+def _count(sizes: tuple[int, ...], inner: int, sent):
+    """Counts of the runs of ``sizes`` words whose runs of ``inner`` words are all in the bitmap ``sent`` (None: every run).
+    With single words the empty run counts too: its count is the number of words of the language."""
+    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("fp", pa.int64()), ("chk", pa.int32()),
+                        ("f", pa.int64()), ("ptr", pa.int32())])
 
     def run(batches):
         cutter = Cutter()
@@ -164,46 +174,48 @@ def _count_level(size: int, sent):
         names: dict[str, int] = {}
 
         def added_up():
-            code, fp, chk, f, ptr = (np.concatenate(x) for x in zip(*held))
+            code, size, fp, chk, f, ptr = (np.concatenate(x) for x in zip(*held))
             held.clear()
             langs = list(names)
-            order = np.argsort(fp ^ _seeds(langs)[code], kind="stable")
-            code, fp, chk = code[order], fp[order], chk[order]
+            order = np.argsort(fp ^ _seeds(langs)[code])
+            code, size, fp, chk, f, ptr = (x[order] for x in (code, size, fp, chk, f, ptr))
             new = np.ones(len(order), bool)
-            new[1:] = (fp[1:] != fp[:-1]) | (chk[1:] != chk[:-1]) | (code[1:] != code[:-1])
+            new[1:] = (fp[1:] != fp[:-1]) | (chk[1:] != chk[:-1]) | (code[1:] != code[:-1]) | (size[1:] != size[:-1])
             at = np.flatnonzero(new)
+            f, ptr = np.add.reduceat(f, at), np.minimum.reduceat(ptr, at)
             lang = pa.DictionaryArray.from_arrays(pa.array(code[at], pa.int32()), pa.array(langs, pa.string())).cast(pa.string())
-            return pa.RecordBatch.from_arrays(
-                [lang, pa.array(fp[at].view(np.int64)), pa.array(chk[at].view(np.int64)),
-                 pa.array(np.add.reduceat(f[order], at)), pa.array(np.minimum.reduceat(ptr[order], at))], schema=schema)
+            out = pa.RecordBatch.from_arrays(
+                [lang, pa.array(size[at]), pa.array(fp[at].view(np.int64)), pa.array(chk[at].view(np.int32)), pa.array(f), pa.array(ptr)],
+                schema=schema)
+            for k in range(0, len(at), 1 << 16):
+                yield out.slice(k, 1 << 16)
 
-        def take(code, fp, chk, ptr, f=None):
-            held.append((code.astype(np.int32), fp, chk, np.ones(len(fp), np.int64) if f is None else f, ptr))
+        def take(code, size, fp, chk, ptr, f=None):
+            held.append((code, np.full(len(fp), size, np.int32), fp, chk, np.ones(len(fp), np.int64) if f is None else f, ptr))
 
         for batch in batches:
             ptr = batch.column("ptr").to_numpy()
             lang = batch.column("lang").dictionary_encode()
-            own = np.array([names.setdefault(x, len(names)) for x in lang.dictionary.to_pylist()], np.int64)
-            code = own[lang.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(0, np.int64)
+            own = np.array([names.setdefault(x, len(names)) for x in lang.dictionary.to_pylist()], np.int32)
+            code = own[lang.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(0, np.int32)
             for words in cutter.spans(batch.column("text")):
-                begin, fp, chk = cutter.runs(words, size)
-                if size > 1 and len(begin):
-                    bitmap: _Bitmap = sent.value
-                    less, low, _ = cutter.runs((*words[:6], 0), size - 1)     # also those that end before the span
-                    known = np.zeros(len(words[0]) + 1, bool)
-                    known[less] = bitmap.has(low)
-                    go = known[begin] & known[begin + 1]
-                    begin, fp, chk = begin[go], fp[go], chk[go]
-                text = words[3][begin]
-                take(code[text], fp, chk, ptr[text])
-                if size == 1 and len(text):
-                    mine, count = np.unique(code[text], return_counts=True)
-                    some = text[np.unique(code[text], return_index=True)[1]]
-                    take(mine, np.zeros(len(mine), np.uint64), np.zeros(len(mine), np.uint64), ptr[some], count.astype(np.int64))
-                if sum(len(x[1]) for x in held) >= HELD:
-                    yield added_up()
-        if held and sum(len(x[1]) for x in held):
-            yield added_up()
+                known = None
+                if sent is not None:            # at every place, also those whose run ends before the span
+                    known = np.zeros(len(words[0]) + max(sizes), bool)
+                    known[:max(0, len(words[0]) - inner + 1)] = sent.value.has(cutter.one.runs(words[0], inner))
+                for size in sizes:
+                    begin = cutter.begins(words, size)
+                    for k in range(size - inner + 1 if known is not None else 0):
+                        begin = begin[known[begin + k]]
+                    text = words[3][begin]
+                    take(code[text], size, *cutter.runs(words, size, begin), ptr[text])
+                if sent is None and len(text):
+                    mine, some, count = np.unique(code[text], return_index=True, return_counts=True)
+                    take(mine, 0, np.zeros(len(mine), np.uint64), np.zeros(len(mine), np.uint32), ptr[text[some]], count.astype(np.int64))
+                if sum(len(x[2]) for x in held) >= HELD:
+                    yield from added_up()
+        if sum(len(x[2]) for x in held):
+            yield from added_up()
 
     return run
 
@@ -227,37 +239,37 @@ def _bitmap(spark, frequent: DataFrame) -> _Bitmap:
 def _cut_out(batches):
     """The phrases under the pointers: of each text the runs whose fingerprints are wanted from it."""
     cutter = Cutter()
-    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("fp", pa.int64()), ("chk", pa.int64()), ("phrase", pa.string())])
+    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("fp", pa.int64()), ("chk", pa.int32()), ("phrase", pa.string())])
     lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         for row, (lang, wanted) in enumerate(zip(langs, batch.column("wanted").to_pylist())):
-            sizes: dict[int, dict] = {}
-            for w in wanted:
-                sizes.setdefault(w["words"], {})[w["fp"]] = w["chk"]
-            several = {(w["words"], w["fp"], w["chk"]) for w in wanted}
+            open_ = {(w["words"], w["fp"], w["chk"]) for w in wanted}
+            sizes = {size: np.array([k[1] for k in open_ if k[0] == size], np.int64) for size in {k[0] for k in open_}}
             found: dict[tuple, str] = {}
             for words in cutter.spans(batch.column("text").slice(row, 1)):
                 body, begins, ends = words[7], words[4], words[5]
                 for size, want in sizes.items():
-                    at, fp, chk = cutter.runs(words, size)
-                    hits = np.flatnonzero(np.isin(fp.view(np.int64), np.fromiter(want, np.int64, len(want))))
-                    _, once = np.unique(fp[hits], return_index=True)
-                    same = chk[hits].view(np.int64) == np.array([want[x] for x in fp[hits].view(np.int64).tolist()], np.int64)
-                    once = hits[once] if same.all() and len(several) == sum(map(len, sizes.values())) else hits
-                    for k in once.tolist():
-                        key = (size, int(fp[k].view(np.int64)), int(chk[k].view(np.int64)))
-                        if key in several and key not in found:
-                            i = int(at[k])
-                            found[key] = b" ".join(body[begins[j]:ends[j]].tobytes().translate(lower)
-                                                   for j in range(i, i + size)).decode("utf-8", "replace")
+                    at = cutter.begins(words, size)
+                    fp = cutter.one.runs(words[0], size, at).view(np.int64)
+                    hits = np.flatnonzero(np.isin(fp, want))
+                    chk = cutter.two.runs(words[1], size, at[hits]).view(np.int32)
+                    pairs, once = np.unique(np.stack([fp[hits], chk.astype(np.int64)]), axis=1, return_index=True)
+                    for (a, b), k in zip(pairs.T.tolist(), once.tolist()):
+                        if (size, a, b) in open_ and (size, a, b) not in found:
+                            i = int(at[hits[k]])
+                            found[size, a, b] = b" ".join(body[begins[j]:ends[j]].tobytes().translate(lower)
+                                                          for j in range(i, i + size)).decode("utf-8", "replace")
             if found:
                 keys = list(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys), pa.string()), *(pa.array(x, t) for x, t in zip(zip(*keys), (pa.int32(), pa.int64(), pa.int64()))),
+                    [pa.array([lang] * len(keys), pa.string()), *(pa.array(x, t) for x, t in zip(zip(*keys), (pa.int32(), pa.int64(), pa.int32()))),
                      pa.array(list(found.values()), pa.string())], schema=schema)
 
 
+RUN = ["lang", "words", "fp", "chk"]
+
+
 def frequent_phrases(docs: DataFrame, least: int = 30) -> DataFrame:
     """(lang, words, phrase, f): every run of 1 to ``LONGEST`` words that occurs at least ``least`` times in the texts of
     its language, and with words 0 and the empty phrase the number of all words of the language, if it is as many. The
@@ -266,30 +278,31 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> DataFrame:
     bounded_batches(spark)
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("ptr", F.xxhash64("lang", "text"))
+    rows = rows.withColumn("ptr", F.shiftright(F.xxhash64("lang", "text"), 32).cast("int"))
     levels, sent = [], None
-    for size in range(1, LONGEST + 1):
-        counted = rows.mapInArrow(_count_level(size, sent), _COUNTED)
-        level = stored(counted.groupBy("lang", "fp", "chk").agg(F.sum("f").alias("f"), F.min("ptr").alias("ptr"))
-                       .where(F.col("f") >= least), f"runs-{size}")
-        levels.append(level.withColumn("words", F.when((F.col("fp") == 0) & (F.col("chk") == 0) & (F.lit(size) == 1), 0).otherwise(size)))
+    for inner, sizes in enumerate([(1,), (2,), tuple(range(3, LONGEST + 1))]):
+        # The tasks have added up what they could: pairs and longer runs hardly repeat within a task, so the rows
+        # are dealt out as they are. A run comes at most once for each ``HELD`` runs.
+        counted = rows.mapInArrow(_count(sizes, inner, sent), _COUNTED)
+        level = stored(counted.repartition(*RUN).groupBy(*RUN).agg(F.sum("f").alias("f"), F.min("ptr").alias("ptr"))
+                       .where(F.col("f") >= least), f"runs-{inner + 1}")
+        levels.append(level)
         if sent is not None:
             sent.destroy()
-        if size < LONGEST:
+        if inner < 2:
             sent = spark.sparkContext.broadcast(_bitmap(spark, level))
-    runs = levels[0]
-    for level in levels[1:]:
-        runs = runs.unionByName(level)
+    runs = levels[0].unionByName(levels[1]).unionByName(levels[2])
     totals = runs.where("words = 0").groupBy("lang").agg(F.sum("f").alias("f"))
     wanted = runs.where("words > 0")
     # The texts under the pointers, once each: at most as many as there are frequent runs, and each asks for at most
     # the runs it holds.
-    asked = stored(wanted.groupBy("ptr").agg(F.collect_list(F.struct("words", "fp", "chk")).alias("wanted")), "asked")
-    held = (rows.join(asked.select("ptr"), "ptr", "left_semi").dropDuplicates(["ptr", "lang", "text"]).join(asked, "ptr"))
+    asked = stored(wanted.groupBy("lang", "ptr").agg(F.collect_list(F.struct("words", "fp", "chk")).alias("wanted")), "asked")
+    held = (rows.join(asked.select("lang", "ptr"), ["lang", "ptr"], "left_semi").dropDuplicates(["ptr", "lang", "text"])
+            .join(asked, ["lang", "ptr"]))
     phrases = (held.select("lang", "text", "wanted").repartition(F.col("lang"), F.xxhash64("text"))
-               .mapInArrow(_cut_out, "lang string, words int, fp long, chk long, phrase string"))
-    named = (wanted.select("lang", "words", "fp", "chk", "f").join(phrases, ["lang", "words", "fp", "chk"])
-             .dropDuplicates(["lang", "words", "fp", "chk", "phrase"]).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")))
+               .mapInArrow(_cut_out, "lang string, words int, fp long, chk int, phrase string"))
+    named = (wanted.select(*RUN, "f").join(phrases, RUN).dropDuplicates([*RUN, "phrase"])
+             .groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")))
     out = stored(named.unionByName(totals.select("lang", F.lit(0).alias("words"), F.lit("").alias("phrase"), "f")), "phrases")
     for t in (*levels, asked):
         drop_stored(t)
@@ -312,7 +325,7 @@ def collocations(docs: DataFrame, least: int = 30, share: int = 80, first: int =
 
     A null language is ``und``, together with rows that say so; a null text is empty, and empty or blank texts add
     nothing. Repeated rows count each time; ids and extra columns are not read. A text of any length is cut in spans of
-    about 1 MB that share the words at their borders. An empty table gives an empty result.
+    about 256 kB that share the words at their borders. An empty table gives an empty result.
     """
     table = frequent_phrases(docs, least)
     known = table.where("words > 0").select("lang", "words", "phrase", "f")

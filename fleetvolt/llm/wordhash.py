@@ -58,11 +58,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[ends[0]:ends[-1]], ends - ends[0]
 
 
-def _pieces(data: np.ndarray, ends: np.ndarray, sep: np.ndarray):
-    """Spans of about ``PIECE_BYTES`` that end after a separator or a text, so no word is cut."""
+def _pieces(data: np.ndarray, ends: np.ndarray, sep: np.ndarray, size: int = PIECE_BYTES):
+    """Spans of about ``size`` bytes that end after a separator or a text, so no word is cut."""
     at, n = 0, len(data)
     while at < n:
-        to = min(at + PIECE_BYTES, n)
+        to = min(at + size, n)
         while to < n:
             cut = max(int(ends[np.searchsorted(ends, to, "right") - 1]), at)
             back = np.flatnonzero(sep[data[max(cut, at):to]])
@@ -71,7 +71,7 @@ def _pieces(data: np.ndarray, ends: np.ndarray, sep: np.ndarray):
             if cut > at:
                 to = cut
                 break
-            to = min(to + PIECE_BYTES, n)
+            to = min(to + size, n)
         yield at, to
         at = to
 
