@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetvolt.llm import collocations as phrases
-from fleetvolt.llm import minhash, mixing, mtree, packing, prefix_trie, quality, sharding, token_counts, token_store, toxicity, warc
+from fleetvolt.llm import minhash, mixing, mtree, packing, prefix_trie, projected_search, quality, sharding, token_counts, token_store, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,6 +65,11 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = projected_search.whole_vectors(_table(spark, folder, "embeddings"))
+    return projected_search.nearest(vectors, "vec_id % 20 = 0", 20)
+
+
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(_table(spark, folder, "documents"))
 
@@ -77,4 +82,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_warc, op2_length_buckets, op3_mtree_top_k, op4_mixing, op5_token_counts, op6_toxicity, op7_token_files,
         op8_minhash_near_dedup, op9_quality_rules, op10_sharding,
-        op12_collocations, op13_prefix_trie)}
+        op11_projected_neighbours, op12_collocations, op13_prefix_trie)}
