@@ -22,6 +22,11 @@ def minute_index(ts: Column | str) -> Column:
     return F.timestamp_diff("MINUTE", _epoch(), _c(ts))
 
 
+def micros_index(ts: Column | str) -> Column:
+    """Whole microseconds from 0001-01-01 00:00 to ``ts``."""
+    return F.timestamp_diff("MICROSECOND", _epoch(), _c(ts))
+
+
 def minutes_between(start: Column | str, end: Column | str) -> Column:
     """Number of minute boundaries crossed from ``start`` to ``end``.
 

@@ -7,9 +7,10 @@ reading of each asset has no interval. Percentages are the band's share of all m
 Exactness: minutes are summed as integers and divided once, and the rounding is half-up on
 the exact ratio, so results do not depend on summation order.
 
-Plan: filters (organization, active semi-join, group exclusion) run before the shuffle; the
-interval step is the hot-asset-safe ``with_next_time``; the final aggregate is a single global
-aggregate with partial aggregation in every task.
+Plan: filters (organization, active semi-join, group exclusion) run before the shuffle; the minutes come from
+segments that are merged by minute, day and asset (``dwell_segments``); the final aggregate is a single global
+aggregate with partial aggregation in every task. The intervals themselves (``reading_intervals``) come from the hot-asset-safe
+``with_next_time``.
 """
 
 from __future__ import annotations
@@ -23,23 +24,16 @@ from fleetvolt import constants as K
 from fleetvolt.config import PowerBands
 from fleetvolt.functions.bands import band_name, power_band_code
 from fleetvolt.functions.timecalc import minutes_between, ratio_percent
+from fleetvolt.operators.dwell_segments import MINUTES, asset_segments
 from fleetvolt.operators.fleet import active_filter, filter_orgs
 from fleetvolt.operators.intervals import with_next_time
 
 
-def _intervals(readings: DataFrame, bands: PowerBands, bucket_minutes: int) -> DataFrame:
-    """Readings with a successor: ``AssetId, ID, EventTime, NextTime, _band`` (one-byte band
-    code, so the shuffled rows stay narrow: three longs, a timestamp and a byte)."""
-    r = readings.select("ID", "AssetId", "EventTime",
-                        power_band_code("Voltage", bands, inclusive=True).alias("_band"))
-    return with_next_time(r, bucket_minutes=bucket_minutes).where(F.col("NextTime").isNotNull())
-
-
-def reading_intervals(readings: DataFrame, bands: PowerBands = PowerBands(),
-                      bucket_minutes: int = 24 * 60) -> DataFrame:
+def reading_intervals(readings: DataFrame, bands: PowerBands = PowerBands()) -> DataFrame:
     """Per reading with a successor: ``AssetId, ID, EventTime, NextTime, PowerMode,
-    DurationMinutes, DurationHours``."""
-    x = _intervals(readings, bands, bucket_minutes)
+    DurationMinutes, DurationHours``. What is shuffled is narrow: the band travels as a one-byte code."""
+    r = readings.select("ID", "AssetId", "EventTime", power_band_code("Voltage", bands, inclusive=True).alias("_band"))
+    x = with_next_time(r).where(F.col("NextTime").isNotNull())
     mins = minutes_between("EventTime", "NextTime")
     return x.select("AssetId", "ID", "EventTime", "NextTime", band_name("_band").alias("PowerMode"),
                     mins.alias("DurationMinutes"), (mins / F.lit(60.0)).alias("DurationHours"))
@@ -80,17 +74,19 @@ def dwell_statistics(readings: DataFrame, asset_view: DataFrame, assets: DataFra
                      organization_id: int | None = None,
                      organization_ids: Sequence[int] | None = None,
                      exclude_asset_group_id: int | None = None,
-                     device_type: str = "", bands: PowerBands = PowerBands(),
-                     bucket_minutes: int = 24 * 60) -> DataFrame:
+                     device_type: str = "", bands: PowerBands = PowerBands()) -> DataFrame:
     """One row: ``TotalYears`` (int, NULL when there is no interval) and
     ``HighPercent, MediumPercent, LowPercent, CriticalPercent`` (2 decimals, 0.0 when empty)."""
     r = dwell_readings(readings, asset_view, assets, organization_id, organization_ids,
                        exclude_asset_group_id, device_type)
-    iv = _intervals(r, bands, bucket_minutes).select(
-        "_band", minutes_between("EventTime", "NextTime").alias("_mins"))
-    sums = [F.sum(F.when(F.col("_band") == i, F.col("_mins")).otherwise(F.lit(0))).alias(f"_m_{m}")
-            for i, m in enumerate(K.MODES)]
-    return dwell_result(iv.agg(F.sum("_mins").alias("_total"), *sums))
+    return segment_statistics(asset_segments(r, bands))
+
+
+def segment_statistics(assets: DataFrame) -> DataFrame:
+    """``dwell_result`` over one segment for each asset. An asset's n readings have n - 1 intervals."""
+    agg = assets.agg(F.sum(F.col("Readings") - 1).alias("_n"), *[F.sum(c).alias(f"_m_{m}") for c, m in zip(MINUTES, K.MODES)])
+    total = sum((F.col(f"_m_{m}") for m in K.MODES[1:]), F.col(f"_m_{K.MODES[0]}"))
+    return dwell_result(agg.select(F.when(F.col("_n") > 0, total).alias("_total"), *[f"_m_{m}" for m in K.MODES]))
 
 
 def dwell_result(agg: DataFrame) -> DataFrame:

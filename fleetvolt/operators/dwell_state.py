@@ -1,176 +1,49 @@
-"""Incremental dwell statistics: a per-asset state that each run advances with new readings.
-
-``dwell_statistics`` reads the whole history on every run. The minutes it sums are additive
-over the intervals between consecutive readings of an asset, so they can be kept per asset:
-
-* ``dwell_state(readings)`` summarises readings up to a cut-off: per asset the interval count,
-  the minutes in total and per band, the first and the last reading, and the organizations
-  its readings carry.
-* ``advance_dwell_state(state, new)`` adds readings after that cut-off. Within the new readings
-  the intervals are computed as usual; the one interval between the state's last reading and
-  the asset's first new reading is added to the band of the state's last reading. This is
-  exact because every new reading comes after every old one (the same no-late-data assumption
-  as ``latest_reading_incremental``). Only the new readings are read and shuffled; the state
-  (one row per asset) is joined on its unique key.
-* ``dwell_statistics_from_state(state, readings, ...)`` applies the report's filters. The
-  active-device and single-organization filters are per asset and select whole state rows.
-  The organization list and the group exclusion test the organization of each *reading*; an
-  asset whose readings all carry one organization is still all in or all out. Only an asset
-  whose readings carry several organizations (or none) can be partly selected, and for those
-  assets alone the statistics are recomputed from their readings (``partial_assets``; the
-  runner checks whether there are any before it reads the readings).
-
-Readings without a time or an asset never contribute minutes (their interval has no length,
-and dwell keeps only active assets), so the state leaves them out.
+"""Incremental dwell statistics: runs of each asset's readings that later runs only add to.
+
+``dwell_statistics`` reads the whole history on every run. The state keeps, per asset, the runs of readings that carry
+the same organization as segments (``dwell_segments``): first and last reading, the number of readings and the minutes per
+band inside the run.
+
+* ``dwell_state(readings)`` makes the runs of readings up to a cut-off.
+* ``advance_dwell_state(state, new)`` appends the runs of readings after that cut-off, and makes one run of a run that goes on.
+  This is exact because every new reading comes after every old one (the same no-late-data assumption as
+  ``latest_reading_incremental``). Only the new readings are read; the state is a few rows per asset.
+* ``dwell_statistics_from_state(state, ...)`` applies the report's filters to the runs. Every filter (active devices,
+  organization list or id, group exclusion) tests the asset and the organization of a reading, so it selects whole runs, and the
+  selected runs are merged as the selected readings would be. No reading is read again, also not for assets
+  that change their organization.
+
+An asset has as many runs as its readings change their organization, plus one; readings that alternate between organizations in
+every minute have a run for each minute.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from fleetvolt import constants as K
 from fleetvolt.config import PowerBands
-from fleetvolt.functions.bands import power_band_code
-from fleetvolt.functions.timecalc import minutes_between
-from fleetvolt.operators.dwell import _intervals, dwell_readings, dwell_result
-from fleetvolt.operators.fleet import active_filter, filter_orgs
-from fleetvolt.operators.intervals import with_next_time
+from fleetvolt.operators.dwell import dwell_readings, segment_statistics
+from fleetvolt.operators.dwell_segments import SEGMENT, compacted, merged, organization_runs
 
-_MINUTE_COLS = ["Minutes"] + [f"Minutes{m}" for m in K.MODES]
+STATE = ["AssetId", "OrganizationId", *SEGMENT]
 
 
-def dwell_state(readings: DataFrame, bands: PowerBands = PowerBands(),
-                bucket_minutes: int = 24 * 60) -> DataFrame:
-    """One row per asset: ``AssetId, Orgs, NullOrg, Intervals, Minutes, Minutes<Band>...,
-    FirstTime, FirstId, LastTime, LastId, LastBand`` over ``readings`` (all of them: the
-    caller bounds them by time)."""
-    r = readings.where(F.col("AssetId").isNotNull() & F.col("EventTime").isNotNull()).select(
-        "ID", "AssetId", "EventTime", "OrganizationId",
-        power_band_code("Voltage", bands, inclusive=True).alias("_band"))
-    iv = with_next_time(r, bucket_minutes=bucket_minutes)
-    mins = minutes_between("EventTime", "NextTime")          # NULL for an asset's last reading
-    agg = iv.groupBy("AssetId").agg(
-        F.array_sort(F.collect_set("OrganizationId")).alias("Orgs"),
-        F.max(F.col("OrganizationId").isNull()).alias("NullOrg"),
-        F.count(mins).alias("Intervals"),
-        F.coalesce(F.sum(mins), F.lit(0)).cast("long").alias("Minutes"),
-        *[F.coalesce(F.sum(F.when(F.col("_band") == i, mins)), F.lit(0)).cast("long").alias(f"Minutes{m}")
-          for i, m in enumerate(K.MODES)],
-        F.min(F.struct("EventTime", "ID")).alias("_first"),
-        F.max(F.struct("EventTime", "ID", "_band")).alias("_last"))
-    return agg.select(
-        "AssetId", "Orgs", "NullOrg", "Intervals", *_MINUTE_COLS,
-        F.col("_first.EventTime").alias("FirstTime"), F.col("_first.ID").alias("FirstId"),
-        F.col("_last.EventTime").alias("LastTime"), F.col("_last.ID").alias("LastId"),
-        F.col("_last._band").alias("LastBand"))
+def dwell_state(readings: DataFrame, bands: PowerBands = PowerBands()) -> DataFrame:
+    """The runs of ``readings`` (all of them: the caller bounds them by time): columns ``STATE``."""
+    return organization_runs(readings, bands).select(*STATE)
 
 
-def advance_dwell_state(state: DataFrame, new_readings: DataFrame, bands: PowerBands = PowerBands(),
-                        bucket_minutes: int = 24 * 60) -> DataFrame:
+def advance_dwell_state(state: DataFrame, new_readings: DataFrame, bands: PowerBands = PowerBands()) -> DataFrame:
     """The state over the old readings plus ``new_readings``, which must all be later than
     every reading the state covers (pass the readings after the state's cut-off)."""
-    d = dwell_state(new_readings, bands, bucket_minutes)
-    s, n = state.alias("s"), d.alias("n")
-    j = s.join(n, "AssetId", "full_outer")
-    sc, nc = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"n.{c}"))
-    stitch = minutes_between(sc("LastTime"), nc("FirstTime"))     # NULL unless both sides exist
-    add = lambda c, extra=None: (F.coalesce(sc(c), F.lit(0)) + F.coalesce(nc(c), F.lit(0))
-                                 + (F.coalesce(extra, F.lit(0)) if extra is not None else F.lit(0))).cast("long")
-    both = sc("AssetId").isNotNull() & nc("AssetId").isNotNull()
-    return j.select(
-        "AssetId",
-        F.array_sort(F.array_union(F.coalesce(sc("Orgs"), F.array().cast("array<int>")),
-                                   F.coalesce(nc("Orgs"), F.array().cast("array<int>")))).alias("Orgs"),
-        (F.coalesce(sc("NullOrg"), F.lit(False)) | F.coalesce(nc("NullOrg"), F.lit(False))).alias("NullOrg"),
-        add("Intervals", F.when(stitch.isNotNull(), F.lit(1))).alias("Intervals"),
-        add("Minutes", stitch).alias("Minutes"),
-        *[add(f"Minutes{m}", F.when(sc("LastBand") == i, stitch)).alias(f"Minutes{m}")
-          for i, m in enumerate(K.MODES)],
-        F.when(both | nc("AssetId").isNull(), sc("FirstTime")).otherwise(nc("FirstTime")).alias("FirstTime"),
-        F.when(both | nc("AssetId").isNull(), sc("FirstId")).otherwise(nc("FirstId")).alias("FirstId"),
-        F.when(nc("AssetId").isNotNull(), nc("LastTime")).otherwise(sc("LastTime")).alias("LastTime"),
-        F.when(nc("AssetId").isNotNull(), nc("LastId")).otherwise(sc("LastId")).alias("LastId"),
-        F.when(nc("AssetId").isNotNull(), nc("LastBand")).otherwise(sc("LastBand")).alias("LastBand"))
-
-
-def _org_ids(organization_id: int | None, organization_ids: Sequence[int] | None) -> list[int] | None:
-    """The organizations the report selects, with its precedence (None = all)."""
-    if organization_ids:
-        return [int(i) for i in organization_ids]
-    if organization_id is not None:
-        return [int(organization_id)]
-    return None
-
-
-def _classified(state: DataFrame, asset_view: DataFrame, assets: DataFrame,
-                organization_id: int | None, organization_ids: Sequence[int] | None,
-                exclude_asset_group_id: int | None, device_type: str) -> DataFrame:
-    """State rows of the selected active assets with ``_whole`` (all its readings are selected)
-    and ``_none`` (none is); rows with neither are selected only in part."""
-    av = filter_orgs(active_filter(asset_view, device_type), "OrganizationId",
-                     organization_id, organization_ids)
-    s = state.join(av.select("AssetId").distinct(), "AssetId", "left_semi")
-    ids = _org_ids(organization_id, organization_ids)
-    whole: Column = F.lit(True)
-    none: Column = F.lit(False)
-    if ids is not None:
-        arr = F.array(*[F.lit(i) for i in ids])
-        whole = ~F.col("NullOrg") & (F.size(F.array_except("Orgs", arr)) == 0)
-        none = F.size(F.array_intersect("Orgs", arr)) == 0
-    if exclude_asset_group_id is not None:
-        keep = assets.where(F.col("AssetGroupId") != F.lit(exclude_asset_group_id))
-        if organization_id is not None:      # per asset: the asset must be in that organization
-            keep = keep.where(F.col("OrganizationId") == F.lit(int(organization_id)))
-            s = s.join(keep.select(F.col("ID").alias("AssetId")).distinct(), "AssetId", "left_semi")
-        else:                                # per reading: the asset's organization must match
-            k = keep.select(F.col("ID").alias("_kid"), F.col("OrganizationId").alias("_korg")).distinct()
-            single = ~F.col("NullOrg") & (F.size("Orgs") == 1)
-            s = s.join(k, (F.col("AssetId") == F.col("_kid")) & single
-                       & (F.element_at("Orgs", 1) == F.col("_korg")), "left")
-            kept = F.col("_kid").isNotNull()
-            whole = whole & single & kept
-            none = none | (single & ~kept)
-    return s.withColumns({"_whole": whole, "_none": none & ~whole})
-
-
-def partial_assets(state: DataFrame, asset_view: DataFrame, assets: DataFrame,
-                   organization_id: int | None = None, organization_ids: Sequence[int] | None = None,
-                   exclude_asset_group_id: int | None = None, device_type: str = "") -> DataFrame:
-    """``AssetId`` of the assets whose readings the filters select only in part."""
-    c = _classified(state, asset_view, assets, organization_id, organization_ids,
-                    exclude_asset_group_id, device_type)
-    return c.where(~F.col("_whole") & ~F.col("_none")).select("AssetId")
-
+    return compacted(state.select(*STATE).unionByName(dwell_state(new_readings, bands))).select(*STATE)
 
-def dwell_statistics_from_state(state: DataFrame, readings: DataFrame, asset_view: DataFrame,
-                                assets: DataFrame, organization_id: int | None = None,
-                                organization_ids: Sequence[int] | None = None,
-                                exclude_asset_group_id: int | None = None, device_type: str = "",
-                                bands: PowerBands = PowerBands(), with_partial: bool = True,
-                                bucket_minutes: int = 24 * 60) -> DataFrame:
-    """The same row as ``dwell_statistics`` over the readings the state covers.
 
-    ``readings`` is read only for assets selected in part (``with_partial=False`` leaves that
-    branch out; use it when ``partial_assets`` is empty)."""
-    c = _classified(state, asset_view, assets, organization_id, organization_ids,
-                    exclude_asset_group_id, device_type)
-    whole = c.where(F.col("_whole")).select("Intervals", *_MINUTE_COLS)
-    if with_partial:
-        part_ids = c.where(~F.col("_whole") & ~F.col("_none")).select("AssetId")
-        r = dwell_readings(readings.join(part_ids, "AssetId", "left_semi"), asset_view, assets,
-                           organization_id, organization_ids, exclude_asset_group_id, device_type)
-        iv = _intervals(r, bands, bucket_minutes).select(
-            "_band", minutes_between("EventTime", "NextTime").alias("_mins"))
-        raw = iv.select(
-            F.col("_mins").isNotNull().cast("long").alias("Intervals"),
-            F.coalesce("_mins", F.lit(0)).cast("long").alias("Minutes"),
-            *[F.coalesce(F.when(F.col("_band") == i, F.col("_mins")), F.lit(0)).cast("long").alias(f"Minutes{m}")
-              for i, m in enumerate(K.MODES)])
-        whole = whole.unionByName(raw)
-    agg = whole.agg(F.sum("Intervals").alias("_n"), F.sum("Minutes").alias("_minutes"),
-                    *[F.sum(f"Minutes{m}").alias(f"_m_{m}") for m in K.MODES])
-    return dwell_result(agg.select(F.when(F.col("_n") > 0, F.col("_minutes")).alias("_total"),
-                                   *[f"_m_{m}" for m in K.MODES]))
+def dwell_statistics_from_state(state: DataFrame, asset_view: DataFrame, assets: DataFrame,
+                                organization_id: int | None = None, organization_ids: Sequence[int] | None = None,
+                                exclude_asset_group_id: int | None = None, device_type: str = "") -> DataFrame:
+    """The same row as ``dwell_statistics`` over the readings the state covers."""
+    runs = dwell_readings(state, asset_view, assets, organization_id, organization_ids, exclude_asset_group_id, device_type)
+    return segment_statistics(merged(runs, ["AssetId"]))

@@ -1,24 +1,15 @@
 """Time to the next reading of the same asset (``LEAD(time)``), safe for hot assets.
 
-A plain ``lead(ts) OVER (PARTITION BY asset ORDER BY ts)`` puts every reading of one asset
-into one task; an asset with a third of all rows would then need a third of the data in one
-task. Here the window runs over ``(asset, time bucket)`` instead, so a hot asset is spread
-over as many tasks as it has buckets.
-
-One window pass over ``(asset, bucket)`` gives every row the next time inside its bucket and
-the bucket's first time. Only the last row of each bucket (one row per asset and bucket) still
-needs a value: the first time of the asset's next non-empty bucket, which a second window over
-just those tail rows, ordered by bucket, provides. The body rows and the tail rows come from
-the same shuffle (Spark reuses the exchange); the fixed tails are unioned back, so the big side
-is never joined.
-
-A day bucket is enough for an ordinary device, but an asset with a third of all readings
-would still put a third of a day's data into one task. Such hot assets get narrower buckets:
-one aggregate per asset (row count and time span, partially aggregated in every task) finds
-the assets with more than ``hot_rows`` readings, and each of them gets a bucket width that
-holds about ``hot_rows`` readings if its readings were spread evenly over its span (never
-below one minute). Only the hot assets are broadcast, and there can be at most
-``total rows / hot_rows`` of them (two longs each), so the broadcast has a proven bound.
+A plain ``lead(ts) OVER (PARTITION BY asset ORDER BY ts)`` puts every reading of one asset into one task.
+Here the window runs over nested time buckets: first over ``(asset, 10 ms)``, then over ``(asset, minute)``,
+``(asset, day)`` and ``(asset)``. On each level the rows that have a successor in their bucket are done, and
+only the last row of each bucket goes up, with the first time of its bucket. So the window groups are bounded
+whatever the readings do: a minute has at most 6,000 buckets of 10 ms, a day 1,440 minutes, and an asset as many
+days as its history. Only readings of one asset within the same 10 ms share a group of the first level.
+
+The buckets have fixed widths, so nothing has to be known about the data beforehand: the readings are scanned once,
+and no table is broadcast. The rows that are done and those that go up come from the same shuffle (Spark reuses the
+exchange); the big side is never joined.
 """
 
 from __future__ import annotations
@@ -27,69 +18,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetvolt.functions.timecalc import minute_index
+from fleetvolt.functions.timecalc import micros_index
+
+FINEST_MICROS = 10_000        # width of the finest buckets
+NESTING = (6_000, 1_440)      # buckets of 10 ms in a minute, minutes in a day
 
 _NULL_BUCKET = -(2 ** 62)     # buckets of rows without a time sort before all real buckets
 _NULL_ID_SPAN = 2 ** 20       # rows without a time are split into id ranges of this size
 _NULL_ID_NULL_BUCKET = _NULL_BUCKET - 2 ** 50   # neither time nor id: first of all
 
 
-# Readings per asset above which the asset gets buckets narrower than a day.
-HOT_ROWS = 2_000_000
-
-
-def hot_bucket_widths(df: DataFrame, key: str, ts: str, bucket_minutes: int, hot_rows: int) -> DataFrame:
-    """``_hk, _w``: the bucket width in minutes of every key with more than ``hot_rows`` rows,
-    chosen so that a bucket holds about ``hot_rows`` rows when the key's rows are spread evenly
-    over its time span (at least 1 minute, at most ``bucket_minutes``). A NULL key is a key
-    like any other here. At most ``rows / hot_rows`` keys qualify."""
-    m = minute_index(ts)
-    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(m).alias("_lo"), F.max(m).alias("_hi"))
-    span = F.col("_hi") - F.col("_lo") + F.lit(1)
-    width = F.least(F.lit(bucket_minutes), F.greatest(F.lit(1), F.floor(span * F.lit(hot_rows) / F.col("_n"))))
-    return stats.where(F.col("_n") > F.lit(hot_rows)).select(
-        F.col(key).alias("_hk"), width.cast("long").alias("_w"))
-
-
 def with_next_time(df: DataFrame, key: str = "AssetId", ts: str = "EventTime", tiebreak: str = "ID",
-                   out: str = "NextTime", bucket_minutes: int = 24 * 60,
-                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                   out: str = "NextTime", finest_micros: int = FINEST_MICROS,
+                   nesting: tuple[int, ...] = NESTING) -> DataFrame:
     """Add ``out`` = time of the next row of the same ``key`` in ``(ts, tiebreak)`` order
     (NULL for the last row). Rows with a NULL time sort first, as in SQL Server; ties on
-    time are ordered by ``tiebreak`` so the result is deterministic.
-
-    Work per window group is bounded by quantities that do not grow with the fleet or the
-    history: the body window holds one asset-bucket (at most a device's readings per
-    ``bucket_minutes``, limited by its reporting rate, or about ``hot_rows`` readings of a hot
-    asset), and the tail window holds one row per bucket of one asset (at most the length of
-    the history in buckets, or about ``readings / hot_rows`` for a hot asset).
-    ``hot_rows=None`` uses ``bucket_minutes`` for every key (no per-key aggregate)."""
-    width = F.lit(bucket_minutes)
-    if hot_rows is not None:
-        hot = hot_bucket_widths(df, key, ts, bucket_minutes, hot_rows)
-        df_w = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left").drop("_hk")
-        width = F.coalesce(F.col("_w"), width)
-    else:
-        df_w = df
-    # within one key the width is constant, so buckets follow the (time, id) order; rows
-    # without a time come first and are ordered by id alone, so id ranges keep that order
+    time are ordered by ``tiebreak`` so the result is deterministic. A NULL key is a key like any other."""
+    # rows without a time come first and are ordered by id alone, so id ranges keep that order
     untimed = F.lit(_NULL_BUCKET)
     if isinstance(df.schema[tiebreak].dataType, T.IntegralType):
         untimed = F.when(F.col(tiebreak).isNull(), F.lit(_NULL_ID_NULL_BUCKET)).otherwise(
             F.lit(_NULL_BUCKET) + F.floor(F.col(tiebreak) / F.lit(_NULL_ID_SPAN)))
-    bucket = F.when(F.col(ts).isNotNull(), F.floor(minute_index(ts) / width)).otherwise(untimed)
+    columns = [*df.columns, out]
+    rows = df.withColumns({"_at": micros_index(ts), "_head": F.col(ts)})
+    rows = rows.withColumn("_b", F.when(F.col(ts).isNotNull(), F.expr(f"_at div {finest_micros}")).otherwise(untimed.cast("long")))
+    # An explicit exchange on (key, bucket): an upstream shuffle on the key alone would also satisfy the
+    # window's requirement and bring back one task per asset, so it is not left to the planner.
+    rows = rows.repartition(key, "_b")
     order = [F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first()]
-    w = Window.partitionBy(key, "_b").orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # An explicit exchange on (key, bucket): an upstream shuffle on the key alone would also
-    # satisfy the window's requirement and bring back one task per asset, so it is not left
-    # to the planner.
-    x = df_w.withColumn("_b", bucket.cast("long")).repartition(key, "_b").withColumns({
-        "_in": F.lead(ts).over(w),
-        "_tail": F.lead(F.lit(1)).over(w).isNull(),
-        "_head": F.first(ts).over(whole)})
-    cols = df.columns + [out]
-    body = x.where(~F.col("_tail")).withColumn(out, F.col("_in"))
-    tails = x.where(F.col("_tail")).withColumn(
-        out, F.lead("_head").over(Window.partitionBy(key).orderBy(F.col("_b").asc())))
-    return body.select(*cols).unionByName(tails.select(*cols))
+    result = None
+    for width in (*nesting, None):            # the last level's buckets are in one group per key
+        w = Window.partitionBy(key, "_b").orderBy(*order)
+        x = rows.withColumns({
+            out: F.lead("_head").over(w), "_tail": F.lead(F.lit(1)).over(w).isNull(),
+            "_first": F.first("_head").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+        done = x.where(~F.col("_tail")).select(*columns)
+        result = done if result is None else result.unionByName(done)
+        # The last row of each bucket stands for it on the next level, with the bucket's first time.
+        above = F.expr(f"_b div {width}") if width else F.lit(0).cast("long")
+        rows = x.where("_tail").select(*df.columns, F.col("_b").alias("_at"), F.col("_first").alias("_head"), above.alias("_b"))
+        order = [F.col("_at").asc()]
+    last = rows.withColumn(out, F.lead("_head").over(Window.partitionBy(key).orderBy(*order)))
+    return result.unionByName(last.select(*columns))

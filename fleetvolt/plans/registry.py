@@ -114,8 +114,7 @@ def _dwell_incremental(t: _T) -> DataFrame:
     old = DS.dwell_state(L.time_range(r, "EventTime", hi=DWELL_CUT), BANDS)
     state = materialize(DS.advance_dwell_state(       # stored, as ``run_dwell_state`` does
         old, L.time_range(r, "EventTime", lo=DWELL_CUT, lo_inclusive=False), BANDS))
-    return RN.fleet_dwell_from_state(RN.Tables(r, t.assets, t.orgs, t.av), state, None,
-                                     organization_ids=DWELL_ORGS, device_type=DEVICE_TYPE, bands=BANDS)
+    return RN.fleet_dwell_from_state(RN.Tables(r, t.assets, t.orgs, t.av), state, DWELL_ORGS, device_type=DEVICE_TYPE)
 
 
 def _time_renderings(t: _T) -> DataFrame:

@@ -185,17 +185,16 @@ def run_fleet_dwell(t: Tables, organization_ids: Sequence[int], device_type: str
     if cut is None:
         raise ValueError("a stored dwell state needs its cut-off")
     state = run_dwell_state(t, state_path, cut, prev_cut, bands)
-    stats = fleet_dwell_from_state(t, state, cut, organization_ids=organization_ids,
-                                   device_type=device_type,
-                                   exclude_asset_group_id=exclude_asset_group_id, bands=bands)
+    stats = fleet_dwell_from_state(t, state, organization_ids, device_type=device_type,
+                                   exclude_asset_group_id=exclude_asset_group_id)
     return J.fleet_report_from_stats(stats, t.asset_view, organization_ids, device_type)
 
 
 def _state_dir(state_path: str, cut: datetime, bands: PowerBands) -> str:
-    """One folder per exact cut-off and set of thresholds: a state holds minutes per band, so it
+    """One folder per layout, set of thresholds and exact cut-off: a state holds minutes per band, so it
     answers only for the thresholds that it was built with."""
     key = "-".join(repr(float(x)) for x in (bands.high, bands.medium, bands.low))
-    return f"{state_path.rstrip('/')}/bands={key}/cut={cut:%Y%m%dT%H%M%S.%f}"
+    return f"{state_path.rstrip('/')}/runs/bands={key}/cut={cut:%Y%m%dT%H%M%S.%f}"
 
 
 def _stored_state(spark: SparkSession, path: str) -> DataFrame | None:
@@ -207,7 +206,7 @@ def _stored_state(spark: SparkSession, path: str) -> DataFrame | None:
 
 def run_dwell_state(t: Tables, state_path: str, cut: datetime, prev_cut: datetime | None = None,
                     bands: PowerBands = PowerBands()) -> DataFrame:
-    """The stored dwell state of the readings up to ``cut`` (one row per asset, see
+    """The stored dwell state of the readings up to ``cut`` (runs of each asset's readings, see
     ``operators.dwell_state``), written under ``state_path`` (shared storage). When the state
     of ``prev_cut`` is stored, only the readings in ``(prev_cut, cut]`` are read; otherwise the
     whole history up to ``cut``. A stored state is reused; rewriting one is idempotent."""
@@ -228,20 +227,12 @@ def run_dwell_state(t: Tables, state_path: str, cut: datetime, prev_cut: datetim
     return spark.read.parquet(target)
 
 
-def fleet_dwell_from_state(t: Tables, state: DataFrame, cut: datetime | None,
-                           organization_ids: Sequence[int] | None = None,
+def fleet_dwell_from_state(t: Tables, state: DataFrame, organization_ids: Sequence[int] | None = None,
                            organization_id: int | None = None, device_type: str = "",
-                           exclude_asset_group_id: int | None = None,
-                           bands: PowerBands = PowerBands()) -> DataFrame:
-    """Dwell statistics of the readings up to ``cut`` from their state. The readings are read
-    only when some selected asset has readings of several organizations (checked first; the
-    check returns at most one row)."""
-    kw = dict(organization_id=organization_id, organization_ids=organization_ids,
-              exclude_asset_group_id=exclude_asset_group_id, device_type=device_type)
-    mixed = not DS.partial_assets(state, t.asset_view, t.assets, **kw).isEmpty()
-    readings = L.time_range(t.readings, "EventTime", hi=cut) if cut is not None else t.readings
-    return DS.dwell_statistics_from_state(state, readings, t.asset_view, t.assets, bands=bands,
-                                          with_partial=mixed, **kw)
+                           exclude_asset_group_id: int | None = None) -> DataFrame:
+    """Dwell statistics of the readings that ``state`` covers; no reading is read."""
+    return DS.dwell_statistics_from_state(state, t.asset_view, t.assets, organization_id, organization_ids,
+                                          exclude_asset_group_id, device_type)
 
 
 __all__ = ["Tables", "IncompleteWeek", "run_daily_snapshot", "run_legacy_snapshot",

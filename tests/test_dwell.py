@@ -1,8 +1,11 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fleetvolt import constants as K
 from fleetvolt.functions.timecalc import minutes_between
 from fleetvolt.operators.dwell import dwell_statistics, reading_intervals
+from fleetvolt.operators.dwell_segments import asset_segments, minute_segments
 from fleetvolt.operators.intervals import with_next_time
 
 from helpers import asset_view, assets, readings, rows
@@ -34,27 +37,61 @@ def test_next_time_matches_plain_lead_with_hot_asset(spark):
     r = readings(spark, data)
     w = Window.partitionBy("AssetId").orderBy(F.col("EventTime").asc_nulls_first(), F.col("ID").asc_nulls_first())
     want = rows(r.withColumn("NextTime", F.lead("EventTime").over(w)), "ID", "NextTime")
-    for bucket in (1, 60, 24 * 60, 7 * 24 * 60):
-        for hot in (None, 3, 50, 10_000):   # hot assets (NULL key included) get narrower buckets
-            got = rows(with_next_time(r, bucket_minutes=bucket, hot_rows=hot), "ID", "NextTime")
-            assert got == want, (bucket, hot)
+    for finest, nesting in ((10_000, (6_000, 1_440)), (1, (7, 60, 1_000_000)), (60_000_000, (60, 24)), (10 ** 15, ())):
+        got = rows(with_next_time(r, finest_micros=finest, nesting=nesting), "ID", "NextTime")
+        assert got == want, (finest, nesting)
 
 
-def test_hot_asset_gets_narrower_buckets(spark):
-    from fleetvolt.operators.intervals import hot_bucket_widths
+def _crowded(spark, seconds):
+    """Asset 1 has 90% of its 20,000 readings within so many seconds, at distinct microseconds; asset 2 has 500."""
+    from datetime import datetime, timedelta
 
-    # asset 1: 2880 readings over 2 days (2880 minutes); asset 2: 10 readings
-    data = [(i, 1, 1, f"2024-01-{1 + i // 1440:02d} {(i % 1440) // 60:02d}:{i % 60:02d}:00", 3.0) for i in range(2880)]
-    data += [(10_000 + i, 1, 2, f"2024-01-01 0{i}:00:00", 3.0) for i in range(10)]
-    r = readings(spark, data)
-    got = rows(hot_bucket_widths(r, "AssetId", "EventTime", 24 * 60, 100), "_hk", "_w")
-    assert got == [(1, 100)]          # 100 readings per bucket, about 29 buckets; asset 2 is not hot
-    assert rows(hot_bucket_widths(r, "AssetId", "EventTime", 24 * 60, 5000), "_hk", "_w") == []
-    one_min = rows(hot_bucket_widths(r, "AssetId", "EventTime", 24 * 60, 1), "_hk", "_w")
-    assert one_min == [(1, 1), (2, 54)]   # never below a minute; asset 2: 541-minute span, 10 rows
+    start = datetime(2024, 1, 5, 7, 0)
+    step = timedelta(microseconds=seconds * 1_000_000 // 18_000)
+    data = [(i, 1, 1, str(start + i * step), 3.0 + i % 5 / 10) for i in range(18_000)]
+    data += [(20_000 + i, 1, 1, str(datetime(2024, 1, 6) + timedelta(minutes=17 * i)), 3.3) for i in range(2_000)]
+    data += [(30_000 + i, 1, 2, str(datetime(2024, 1, 1) + timedelta(minutes=31 * i)), 3.3) for i in range(500)]
+    return readings(spark, data)
+
+
+@pytest.mark.parametrize("seconds", [3600, 60])
+def test_crowded_hour_or_minute_is_spread_over_tasks(spark, seconds):
+    r = _crowded(spark, seconds)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        held = with_next_time(r).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        # The rows that each level finds done are partitions of their own in the union: eight to a level.
+        levels = {}
+        for x in held:
+            levels.setdefault(x.p // 8, []).append(x["count"])
+        for level in levels.values():
+            if sum(level) >= 1000:
+                assert max(level) <= 2 * sorted(level)[len(level) // 2]
+        cells = minute_segments(r).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        sizes = sorted(x["count"] for x in cells)
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     w = Window.partitionBy("AssetId").orderBy("EventTime", "ID")
-    want = rows(r.withColumn("NextTime", F.lead("EventTime").over(w)), "ID", "NextTime")
-    assert rows(with_next_time(r, hot_rows=100), "ID", "NextTime") == want
+    assert rows(with_next_time(r), "ID", "NextTime") == rows(r.withColumn("NextTime", F.lead("EventTime").over(w)), "ID", "NextTime")
+
+
+def test_segments_equal_the_sum_of_intervals(spark):
+    import random
+
+    random.seed(4)
+    data = []
+    for i in range(1500):
+        t = None if random.random() < 0.03 else f"2024-0{random.choice('123')}-{random.randint(1, 3):02d} {random.randint(0, 2):02d}:" \
+            f"{random.randint(0, 9):02d}:{random.randint(0, 59):02d}.{random.choice(['000000', '000001', '999999'])}"
+        data.append((None if random.random() < 0.02 else i, random.choice([1, 2, None]), random.choice([1, 1, 1, 2, 3, None]), t,
+                     random.choice([None, 0.0, 3.0, 3.2, 3.25, 3.4, float("nan")])))
+    data.append((5000, 1, 9, "2024-01-01 00:00:00", 3.4))            # one reading, no interval
+    r = readings(spark, data).where("ID IS NOT NULL OR EventTime IS NULL")
+    x = reading_intervals(r).where("AssetId IS NOT NULL")
+    want = {m: x.where(F.col("PowerMode") == m).agg(F.coalesce(F.sum("DurationMinutes"), F.lit(0)).alias("s")).first().s for m in K.MODES}
+    got = asset_segments(r).agg(*[F.sum(f"Minutes{m}").alias(m) for m in K.MODES]).first().asDict()
+    assert got == want
 
 
 def test_intervals_drop_last_reading(spark):
@@ -127,27 +164,3 @@ def test_hot_asset_is_spread_over_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert spread >= 4      # 24 day buckets hashed over 8 shuffle partitions
     assert plain == 1       # what a window partitioned by asset alone would do
-
-
-def test_hot_asset_is_split_even_when_one_bucket_spans_its_history(spark):
-    from fleetvolt.operators import intervals
-
-    # 2160 readings of one asset over 24 days, and a bucket of ten years: without the hot-asset
-    # widths the asset is one window group (its rows land in one task, plus the one task of its
-    # tail row); with them it is cut into ~45 buckets
-    data = [(i, 1, 1, f"2024-01-{1 + i % 24:02d} {i % 24:02d}:{i % 60:02d}:00", 3.0) for i in range(1, 2161)]
-    data += [(10_000 + i, 1, 2 + i % 10, f"2024-01-{1 + i % 24:02d} 05:00:00", 3.0) for i in range(240)]
-    r = readings(spark, data)
-    decade = 10 * 365 * 24 * 60
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        def spread(hot_rows):
-            out = intervals.with_next_time(r, bucket_minutes=decade, hot_rows=hot_rows).where("AssetId = 1")
-            return out.select(F.spark_partition_id().alias("p")).distinct().count()
-        assert spread(None) <= 2
-        assert spread(50) >= 4
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    w = Window.partitionBy("AssetId").orderBy("EventTime", "ID")
-    want = rows(r.withColumn("NextTime", F.lead("EventTime").over(w)), "ID", "NextTime")
-    assert rows(intervals.with_next_time(r, bucket_minutes=decade, hot_rows=50), "ID", "NextTime") == want

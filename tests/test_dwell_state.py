@@ -4,8 +4,7 @@ import pytest
 
 from fleetvolt.operators import latest as L
 from fleetvolt.operators.dwell import dwell_statistics
-from fleetvolt.operators.dwell_state import (advance_dwell_state, dwell_state, dwell_statistics_from_state,
-                                             partial_assets)
+from fleetvolt.operators.dwell_state import advance_dwell_state, dwell_state, dwell_statistics_from_state
 
 from helpers import asset_view, assets, readings, rows
 
@@ -50,32 +49,51 @@ def test_incremental_state_equals_full_dwell(spark, cut_day):
                                     L.time_range(r, "EventTime", lo=cut, lo_inclusive=False))
     for kw in FILTERS:
         want = rows(dwell_statistics(r, av, a, device_type="Solar", **kw), *STATS)
-        got = rows(dwell_statistics_from_state(state, r, av, a, device_type="Solar", **kw), *STATS)
+        got = rows(dwell_statistics_from_state(state, av, a, device_type="Solar", **kw), *STATS)
         assert got == want, kw
 
 
-def test_only_mixed_organization_assets_are_recomputed(spark):
-    r, av, a = _data(spark)
-    state = dwell_state(r)
-    assert rows(partial_assets(state, av, a, device_type="Solar")) == []
-    # the view puts asset 5 in organization 8: list [7] drops it as inactive, list [8] keeps
-    # only its readings of organization 8
-    assert rows(partial_assets(state, av, a, organization_ids=[7], device_type="Solar")) == []
-    assert rows(partial_assets(state, av, a, organization_ids=[8], device_type="Solar")) == [(5,)]
-    assert rows(partial_assets(state, av, a, organization_ids=[7, 8], device_type="Solar")) == [(5,)]  # NULL org
-    assert rows(partial_assets(state, av, a, organization_ids=[9], device_type="Solar")) == []
-    # assets of one organization: the state alone gives the answer
-    kw = dict(organization_ids=[7], device_type="Solar")
-    single = rows(dwell_statistics_from_state(state.where("AssetId <> 5"), r, av, a, with_partial=False, **kw), *STATS)
-    assert single == rows(dwell_statistics(r.where("AssetId IS NULL OR AssetId <> 5"), av, a, **kw), *STATS)
+def test_an_asset_has_a_run_for_each_stay_in_an_organization(spark):
+    _, av, a = _data(spark)
+    stays = [(7, 3), (8, 1), (8, 4), (None, 2), (7, 5)]
+    data, i = [], 0
+    for day, (org, n) in enumerate(stays, 1):
+        for k in range(n):
+            i += 1
+            data.append((i, org, 5, f"2024-01-{day:02d} {k:02d}:30:00", 3.4))
+    state = dwell_state(readings(spark, data))
+    assert sorted((x.FirstMinute, x.OrganizationId, x.Readings) for x in state.collect())[0][1:] == (7, 3)
+    assert [(x.OrganizationId, x.Readings) for x in state.orderBy("FirstMinute").collect()] == [(7, 3), (8, 5), (None, 2), (7, 5)]
+
+
+def test_organizations_that_share_minutes(spark):
+    """Readings of three organizations of one asset within the same minutes, in every order, cut at every point."""
+    import itertools
+
+    av = asset_view(spark, [(1, "A1", "t1", 7, "Acme", "Solar", "Active")])
+    a = assets(spark, [(1, "A1", "t1", 8, 100)])
+    data, i = [], 0
+    for minute, orgs in enumerate(itertools.permutations((7, 8, None, 7, 8), 4)):
+        for k, org in enumerate(orgs):
+            i += 1
+            if (i * 7) % 11:
+                data.append((i, org, 1, f"2024-01-01 {minute // 60:02d}:{minute % 60:02d}:{k * 15:02d}", 3.0 + (i * 3 % 5) / 10))
+    r = readings(spark, data)
+    cut = datetime(2024, 1, 1, 0, 40, 20)
+    states = [dwell_state(r), advance_dwell_state(dwell_state(L.time_range(r, "EventTime", hi=cut)),
+                                                  L.time_range(r, "EventTime", lo=cut, lo_inclusive=False))]
+    for kw in (dict(), dict(organization_ids=[7, 8]), dict(organization_ids=[7]), dict(exclude_asset_group_id=5)):
+        want = rows(dwell_statistics(r, av, a, device_type="Solar", **kw), *STATS)
+        for state in states:
+            assert rows(dwell_statistics_from_state(state, av, a, device_type="Solar", **kw), *STATS) == want, kw
 
 
 def test_state_of_no_readings(spark):
     r, av, a = _data(spark)
     empty = r.where("false")
-    got = dwell_statistics_from_state(dwell_state(empty), empty, av, a, device_type="Solar").first()
+    got = dwell_statistics_from_state(dwell_state(empty), av, a, device_type="Solar").first()
     assert got.TotalYears is None and got.HighPercent == 0.0
     # advancing with nothing new changes nothing
     s = dwell_state(r)
-    cols = ("AssetId", "Intervals", "Minutes", "MinutesHigh", "LastTime", "LastId", "FirstTime")
+    cols = ("AssetId", "OrganizationId", "Readings", "MinutesHigh", "LastTime", "LastId", "FirstMinute")
     assert rows(advance_dwell_state(s, empty), *cols) == rows(s, *cols)

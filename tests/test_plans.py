@@ -74,13 +74,28 @@ def test_customer_match_is_pushed_down(spark, tmp_dir):
     assert "GreaterThanOrEqual(CustomerName,NATION_1)" in p and "LessThanOrEqual(CustomerName,nation_1)" in p
 
 
-def test_hot_asset_widths_keep_one_shared_bucket_exchange(spark):
-    r = SI.readings(spark, SF)
-    for hot_rows in (None, 10):          # 10: every asset of the small table counts as hot
-        out = with_next_time(r, hot_rows=hot_rows)
-        out.collect()
-        p = _plan(out)                    # final adaptive plan after the run
-        assert "isFinalPlan=true" in p and "ReusedExchange" in p, hot_rows
-        assert "SortMergeJoin" not in p
-        if hot_rows is not None:
-            assert "BroadcastHashJoin" in p
+def _written(spark, tmp_dir):
+    """The stand-in readings as a table of their own (they are a join in the test data)."""
+    SI.readings(spark, SF).write.parquet(f"{tmp_dir}/plain")
+    return spark.read.parquet(f"{tmp_dir}/plain")
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    p = _plan(df)                     # final adaptive plan after the run
+    assert "isFinalPlan=true" in p
+    return p.split("== Initial Plan ==")[0]
+
+
+def test_intervals_scan_once_without_broadcast_or_join(spark, tmp_dir):
+    p = _final_plan(with_next_time(_written(spark, tmp_dir)))
+    assert p.count("FileScan") == 1 and "ReusedExchange" in p and "Join" not in p and "BroadcastExchange" not in p
+
+
+def test_dwell_scans_readings_once(spark, tmp_dir):
+    from fleetvolt.operators.dwell_segments import asset_segments, organization_runs
+
+    r = _written(spark, tmp_dir)
+    for build in (asset_segments, organization_runs):
+        p = _final_plan(build(r))
+        assert p.count("FileScan") == 1 and "Join" not in p

@@ -118,7 +118,7 @@ def test_dwell_state_answers_only_for_its_thresholds_and_cut(spark, tmp_dir):
     cols = ("TotalYears", "HighPercent", "MediumPercent", "LowPercent", "CriticalPercent")
     for bands in (PowerBands(), PowerBands(high=3.1, medium=3.05, low=3.0)):
         state = RN.run_dwell_state(t, path, cut, bands=bands)
-        got = rows(RN.fleet_dwell_from_state(t, state, cut, device_type="Solar", bands=bands), *cols)
+        got = rows(RN.fleet_dwell_from_state(t, state, device_type="Solar"), *cols)
         from fleetvolt.operators import latest as L
         from fleetvolt.operators.dwell import dwell_statistics
         assert got == rows(dwell_statistics(L.time_range(t.readings, "EventTime", hi=cut), t.asset_view, t.assets,
@@ -252,7 +252,7 @@ def test_stored_dwell_state_advances_from_previous_cut(spark, tmp_dir):
     state = RN.run_dwell_state(t, path, second, prev_cut=first)     # reads only (first, second]
     stats = ("TotalYears", "HighPercent", "MediumPercent", "LowPercent", "CriticalPercent")
     for kw in (dict(), dict(organization_ids=[1]), dict(organization_id=1, exclude_asset_group_id=2)):
-        got = rows(RN.fleet_dwell_from_state(t, state, second, device_type="Solar", **kw), *stats)
+        got = rows(RN.fleet_dwell_from_state(t, state, device_type="Solar", **kw), *stats)
         want = rows(dwell_statistics(L.time_range(t.readings, "EventTime", hi=second), t.asset_view, t.assets,
                                      device_type="Solar", **kw), *stats)
         assert got == want, kw
