@@ -65,6 +65,24 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def quoted(name: str) -> str:
+    """A column name as it stands, also with dots or backticks in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, whatever they are called."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Words of the whole text (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetvolt.llm.common import stored
+from fleetvolt.llm.common import stored, whole_row
 
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
@@ -216,9 +216,9 @@ def quality_report(docs: DataFrame, labels: DataFrame, risk: float = 0.02, delta
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float = 0.05) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns. The measures are taken a second
-    time over the texts rather than stored beside them."""
-    m = stored(measures(docs.select("doc_id", "text", "lang")).drop("text"), "measures")
+    """The rows of ``docs`` that the rules keep, with their own columns. The measures are stored beside the rows: they
+    cost much more than the copy."""
+    rows = docs.select(F.col("doc_id").alias("m_id"), F.col("text").alias("m_text"), F.col("lang").alias("m_lang"), whole_row(docs).alias("m_row"))
+    m = stored(measures(rows.withColumnsRenamed({"m_id": "doc_id", "m_text": "text", "m_lang": "lang"})).drop("text"), "measures")
     cuts = stored(cutoffs(labelled_rows(m, labels), risk, delta), "cuts")
-    rows = docs.select("text", "lang", F.struct(*docs.columns).alias("row"))
-    return judged(measures(rows), cuts).where("m_kept AND m_barrier_ >= 0").select("row.*")
+    return judged(m, cuts).where("m_kept").select("m_row.*")

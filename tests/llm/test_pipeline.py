@@ -53,6 +53,16 @@ def test_stages_take_edge_cases(spark, sf, edge_docs, no_docs, name):
     assert stage(spark, no_docs, sf).count() == 0
 
 
+@pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
+def test_stages_take_odd_column_names(spark, sf, documents, name):
+    names = ["Score", "a.b", "M_Row", "with `ticks`", "row", "kept"]
+    docs = documents.selectExpr("*", *(f"{i} AS `{c.replace('`', '``')}`" for i, c in enumerate(names)))
+    out = dict(P.STAGES)[name](spark, docs, sf)
+    assert out.count() > 0
+    if name != P.STAGES[-1][0]:
+        assert out.columns == docs.columns
+
+
 def test_near_dedup_keeps_one_row_of_a_group(spark, sf, edge_docs):
     ids = [r["doc_id"] for r in P.near_dedup(spark, edge_docs, sf).collect()]
     assert sorted(i for i in ids if i is not None) == [1, 4, 5, 6, 7, 9, 10, 12, 13] and ids.count(None) == 2

@@ -107,7 +107,7 @@ def test_states_of_the_groups_are_averaged(spark):
             for r in (r for r in order if r["g"] == group):
                 at = found[r["doc_id"]]
                 w = toxicity._weights(z1, n1, at)
-                g = toxicity._sigmoid(w.sum()) - truth[r["doc_id"]]
+                g = (toxicity._sigmoid(w.sum()) - truth[r["doc_id"]]) * (toxicity.POSITIVE if truth[r["doc_id"]] else 1)
                 z1[at] += g - (np.sqrt(n1[at] + g * g) - np.sqrt(n1[at])) / toxicity.ALPHA * w
                 n1[at] += g * g
             changes.append((z1 - z, n1 - n))
