@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fleetvolt.llm import minhash, mixing, packing, quality
 from fleetvolt.llm import toxicity as tox
-from fleetvolt.llm.common import stored
+from fleetvolt.llm.common import quoted, stored, whole_row
 
 #: The learnt stages and the shuffles cannot be written in SQL; the tests hold ``run`` against a
 #: brute-force version.
@@ -41,8 +41,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     no part, but exact copies of a text among them count once. Of rows with the same doc_id and text the
     one with the smallest hash of its columns (but maps) stays."""
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").alias("own"), text.alias("words"), F.struct(*docs.columns).alias("row"),
-                       F.xxhash64(*[c for c, t in docs.dtypes if "map<" not in t]).alias("turn"))
+    rows = docs.select(F.col("doc_id").alias("own"), text.alias("words"), whole_row(docs).alias("row"),
+                       F.xxhash64(*[F.col(quoted(c)) for c, t in docs.dtypes if "map<" not in t]).alias("turn"))
     named, unnamed = rows.where("own IS NOT NULL"), rows.where("own IS NULL")
     # Only the ids with several texts get a key for each text.
     several = stored(named.groupBy("own").agg(F.min(F.xxhash64("words")).alias("lo"), F.max(F.xxhash64("words")).alias("hi"))
@@ -65,7 +65,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     times = (taken.groupBy("doc_id").agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
              .select("doc_id", F.round(F.col("t") / F.greatest("s", F.lit(1))).cast("int").alias("times"))
              .where("times > 0"))
-    rows = docs.select(F.col("doc_id").alias("own"), F.struct(*docs.columns).alias("row"))
+    rows = docs.select(F.col("doc_id").alias("own"), whole_row(docs).alias("row"))
     joined = rows.join(times, F.col("own").eqNullSafe(F.col("doc_id")))
     return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
