@@ -54,15 +54,9 @@ DROPPED_TABLE_COLUMNS = ("PayloadData", "index", "AssetId", "OrganizationId")
 # application they read "%Y-%m-%d %H:%M:%S.%f", "%d/%m/%Y %H:%M", "%m/%d/%Y %H:%M".
 TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss.SSSSSS", "d/M/yyyy H:m", "M/d/yyyy H:m")
 TIME_FORMAT_NAMES = ("iso_fraction", "day_first", "month_first")
-# Text shapes that can match each format; other text is rejected without trying to parse it
-# (a failed parse is slow). Day 1-31 and month 1-12 are checked; the parser checks the rest.
-_DAY = "(0?[1-9]|[12][0-9]|3[01])"
-_MONTH = "(0?[1-9]|1[0-2])"
-TIME_FORMAT_SHAPES = (
-    rf"^[0-9]{{4}}-{_MONTH}-{_DAY} [0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}}\.[0-9]{{1,9}}$",
-    rf"^{_DAY}/{_MONTH}/[0-9]{{4}} [0-9]{{1,2}}:[0-9]{{1,2}}$",
-    rf"^{_MONTH}/{_DAY}/[0-9]{{4}} [0-9]{{1,2}}:[0-9]{{1,2}}$",
-)
+# Text shapes of the formats, with the ranges of the time of day. The date's fields are tested for being a date.
+ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]\.[0-9]{1,6}$"
+SLASH_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} ([01]?[0-9]|2[0-3]):[0-5]?[0-9]$"
 LABEL_FORMAT = "dMMMyy"                # e.g. 5Jan26; parsing accepts 05Jan26 too
 DISPLAY_FORMAT = "d MMM yyyy"          # e.g. 5 Jan 2026
 DISPLAY_DAY_MONTH = "d MMMM"           # e.g. 5 January

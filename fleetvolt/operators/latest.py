@@ -1,7 +1,7 @@
 """Latest state of every device.
 
 * ``latest_reading``      newest valid reading per asset, optionally as of a moment
-* ``latest_as_of_many``   the same for many moments in one pass (weekly backfill)
+* ``latest_as_of_moments``, ``latest_as_of_many``   the same for many moments or dates in one pass (weekly backfill)
 * ``enrich``              attach device id/name and owner name to the winners
 * ``legacy_latest``       newest qualifying raw uplink per device (legacy source)
 * ``recent_sample``       newest N uplinks of one customer
@@ -15,16 +15,17 @@ both are left joins on unique keys, so the order change keeps the result.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from collections.abc import Sequence
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetvolt import constants as K
 from fleetvolt.config import PowerBands
 from fleetvolt.functions.bands import power_band
 from fleetvolt.functions.text import equals_ignore_case
-from fleetvolt.functions.timecalc import date_lit, day_at_hour, ntz
+from fleetvolt.functions.timecalc import day_at_hour, micros_index, ntz
 
 SNAPSHOT_COLUMNS = ["ReportID", "OrganizationId", "CustomerName", "AssetId", "DeviceID",
                     "DeviceName", "EventTimeUTC", "Voltage"]
@@ -122,52 +123,70 @@ def latest_snapshot(readings: DataFrame, assets: DataFrame, organizations: DataF
     return with_power_mode(snap, bands)
 
 
-def latest_as_of_many(readings: DataFrame, dates: list[date], hour: int = 0,
-                      valid_min: float | None = K.VALID_MIN_VOLTS) -> DataFrame:
-    """Latest valid reading per asset as of ``hour``:00 of each date in ``dates``, one pass.
+def latest_as_of_moments(readings: DataFrame, moments: Sequence[datetime],
+                         valid_min: float | None = K.VALID_MIN_VOLTS) -> DataFrame:
+    """Latest valid reading per asset as of each of ``moments`` (any timestamps, in any order), one pass: columns
+    ``as_of, ReportID, OrganizationId, AssetId, EventTimeUTC, Voltage``.
 
-    Each reading is assigned to the first cut-off at or after it (index ``k``); the newest
+    Each reading is assigned to the first moment at or after it (index ``k``); the newest
     reading per ``(asset, k)`` is found with the same partial/final top-1 as
-    ``latest_reading``; then each winner stays current from cut-off ``k`` until the asset's
+    ``latest_reading``; then each winner stays current from moment ``k`` until the asset's
     next winner, which a window over the small per-asset table of winners gives (at most
-    ``len(dates)`` rows per asset, so a hot asset stays small here too). The output has one row
-    per (date, asset that had a reading by then), which is the size of the answer itself;
-    no calendar join and no loop over dates.
+    ``len(moments)`` rows per asset, so a hot asset stays small here too). The output has one row
+    per (moment, asset that had a reading by then), which is the size of the answer itself;
+    no calendar join and no loop over moments.
     """
-    ds = sorted(set(dates))
-    if not ds:
-        raise ValueError("dates must not be empty")
-    n = len(ds)
-    r = time_range(_valid(readings, valid_min), "EventTime", hi=day_at_hour(ds[-1], hour))
-    k = _cut_index(ds, hour, "EventTime")
+    cuts = sorted(set(moments))
+    if not cuts:
+        raise ValueError("moments must not be empty")
+    r = time_range(_valid(readings, valid_min), "EventTime", hi=cuts[-1])
     w = Window.partitionBy("AssetId", "_k").orderBy(F.col("EventTime").desc_nulls_last(),
                                                     F.col("ID").desc_nulls_last())
-    top = r.withColumn("_k", k).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    top = r.withColumn("_k", cut_index(cuts, "EventTime")).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     nxt = F.lead("_k").over(Window.partitionBy("AssetId").orderBy("_k"))
-    span = F.sequence(F.col("_k"), F.coalesce(F.col("_next"), F.lit(n)) - 1)
-    date_arr = F.array(*[date_lit(d) for d in ds])
+    span = F.sequence(F.col("_k"), F.coalesce(F.col("_next"), F.lit(len(cuts))) - 1)
+    every = F.expr("array(" + ", ".join(f"TIMESTAMP_NTZ '{c.isoformat(sep=' ')}'" for c in cuts) + ")")
     out = top.withColumn("_next", nxt).select(
         F.explode(span).alias("_i"), F.col("ID").alias("ReportID"), "OrganizationId", "AssetId",
         F.col("EventTime").alias("EventTimeUTC"), "Voltage")
-    return out.select(F.element_at(date_arr, F.col("_i") + 1).alias("report_date"),
+    return out.select(F.element_at(every, F.col("_i") + 1).alias("as_of"),
+                      "ReportID", "OrganizationId", "AssetId", "EventTimeUTC", "Voltage")
+
+
+def latest_as_of_many(readings: DataFrame, dates: list[date], hour: int = 0,
+                      valid_min: float | None = K.VALID_MIN_VOLTS) -> DataFrame:
+    """``latest_as_of_moments`` for ``hour``:00 of each date in ``dates``, with the date as ``report_date``."""
+    if not dates:
+        raise ValueError("dates must not be empty")
+    out = latest_as_of_moments(readings, [day_at_hour(d, hour) for d in dates], valid_min)
+    return out.select(F.col("as_of").cast("date").alias("report_date"),
                       "ReportID", "OrganizationId", "AssetId", "EventTimeUTC", "Voltage")
 
 
-def _cut_index(ds: list[date], hour: int, ts: str) -> F.Column:
-    """Index of the first cut-off at or after column ``ts`` (= number of cut-offs before it).
-
-    Consecutive days (the usual calendar) need only arithmetic: whole days since the first
-    cut-off, rounded up. Other date lists scan the (short) array of cut-offs."""
-    if len(ds) == 1:
-        return F.lit(0)
-    if all((b - a).days == 1 for a, b in zip(ds, ds[1:])):
-        day_us = 24 * 3600 * 1_000_000
-        first = day_at_hour(ds[0], hour).isoformat(sep=" ")
-        return F.expr(
-            f"CAST(GREATEST(0, (timestampdiff(MICROSECOND, TIMESTAMP_NTZ '{first}', `{ts}`) "
-            f"+ {day_us - 1}) div {day_us}) AS INT)")
-    cuts = F.array(*[ntz(day_at_hour(d, hour)) for d in ds])
-    return F.size(F.filter(cuts, lambda c: c < F.col(ts)))
+def cut_index(cuts: Sequence[datetime], ts: str) -> Column:
+    """Index of the first of the ascending ``cuts`` at or after column ``ts`` (= number of cuts before it).
+
+    Evenly spaced cuts (the usual calendar) need only arithmetic: whole steps since the first cut, rounded
+    up. Others are searched by halving: log2 steps over one constant array, however many cuts there are."""
+    if len(cuts) == 1:
+        return F.when(F.col(ts) <= ntz(cuts[0]), F.lit(0)).otherwise(F.lit(1))
+    steps = {b - a for a, b in zip(cuts, cuts[1:])}
+    if len(steps) == 1:
+        step = steps.pop() // timedelta(microseconds=1)
+        since = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '{cuts[0].isoformat(sep=' ')}', `{ts}`)"
+        return F.expr(f"CAST(LEAST({len(cuts)}, GREATEST(0, ({since} + {step - 1}) div {step})) AS INT)")
+    origin = datetime(1, 1, 1)
+    micros = F.expr("array(" + ", ".join(f"{(c - origin) // timedelta(microseconds=1)}L" for c in cuts) + ")")
+    at = micros_index(ts)
+
+    def halved(a, _):
+        mid = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+        after = F.get(micros, mid) < at
+        return F.when(a["lo"] < a["hi"], F.struct(F.when(after, mid + 1).otherwise(a["lo"]).alias("lo"),
+                                                  F.when(after, a["hi"]).otherwise(mid).alias("hi"))).otherwise(a)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(cuts).bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi")),
+                       halved, lambda a: a["lo"])
 
 
 def legacy_latest(bursts: DataFrame, customer: str, id_prefix: str,

@@ -36,25 +36,43 @@ def label_quality(parsed: DataFrame, valid: Sequence[str] = K.MODES) -> DataFram
             .groupBy("PayloadMode").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def _parses(text: str, fmt: str, shape: str | None = None):
-    """Parsed value or NULL. A cheap shape test runs first, so that text that cannot match is
-    rejected without a (slow, exception-based) failed parse."""
-    parsed = F.try_to_timestamp(F.col(text), F.lit(fmt))
-    return parsed if shape is None else F.when(F.col(text).rlike(shape), parsed)
+def _is_date(year, month, day):
+    """Whether whole numbers are a date of the proleptic Gregorian calendar."""
+    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+    days = F.when(month == 2, F.when(leap, F.lit(29)).otherwise(F.lit(28))).when(month.isin(4, 6, 9, 11), F.lit(30)).otherwise(F.lit(31))
+    return (year >= 0) & month.between(1, 12) & (day >= 1) & (day <= days)
+
+
+def _fitting(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """One row per ``by``, text shape and date text: how many values, and whether the date fits each of ``K.TIME_FORMATS``."""
+    c = F.col(column)
+    shape = F.when(c.rlike(K.ISO_SHAPE), F.lit(1)).when(c.rlike(K.SLASH_SHAPE), F.lit(2)).when(c.isNotNull(), F.lit(0))
+    dates = (df.select(*by, shape.alias("_shape"), F.when(shape > 0, F.substring_index(c, " ", 1)).alias("_date"))
+             .groupBy(*by, "_shape", "_date").agg(F.count("_shape").alias("_n")))
+    part = F.split("_date", "[-/]")
+    a, b, y = (F.get(part, F.lit(i)).try_cast("int") for i in range(3))
+    fits = [(F.col("_shape") == 1) & _is_date(a, b, y), (F.col("_shape") == 2) & _is_date(y, b, a),
+            (F.col("_shape") == 2) & _is_date(y, a, b)]
+    return dates.select(*by, "_n", *[(F.col("_shape").isNull() | F.coalesce(f, F.lit(False))).alias(f"_fits{i}") for i, f in enumerate(fits)])
 
 
 def time_format_choice(df: DataFrame, column: str, by: Sequence[str] = (),
-                       formats: Sequence[str] = K.TIME_FORMATS,
-                       shapes: Sequence[str | None] | None = None) -> DataFrame:
+                       formats: Sequence[str] = K.TIME_FORMATS) -> DataFrame:
     """Which of ``formats`` parses *every* non-NULL value of ``column`` (first one wins):
     one aggregate pass. Returns ``by`` columns plus ``format_index`` (1-based, NULL when no
-    format fits all values) and ``n_values`` (non-NULL count)."""
-    c = F.col(column)
-    if shapes is None:
-        shapes = K.TIME_FORMAT_SHAPES if tuple(formats) == K.TIME_FORMATS else [None] * len(formats)
-    oks = [F.bool_and(c.isNull() | _parses(column, f, shapes[i]).isNotNull()).alias(f"_ok{i}")
-           for i, f in enumerate(formats)]
-    agg = df.groupBy(*by).agg(F.count(c).alias("n_values"), *oks)
+    format fits all values) and ``n_values`` (non-NULL count).
+
+    For the fixed formats no text is parsed on trial: the pass tests the digits' shape with the ranges of the time of day
+    and counts the distinct date texts, and only those (as many as there are days) are held against the calendar.
+    Other formats are tried on every value."""
+    if tuple(formats) == K.TIME_FORMATS:
+        rows = _fitting(df, column, by)
+        oks = [F.bool_and(f"_fits{i}").alias(f"_ok{i}") for i in range(len(formats))]
+        agg = rows.groupBy(*by).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_values"), *oks)
+    else:
+        c = F.col(column)
+        oks = [F.bool_and(c.isNull() | F.try_to_timestamp(c, F.lit(f)).isNotNull()).alias(f"_ok{i}") for i, f in enumerate(formats)]
+        agg = df.groupBy(*by).agg(F.count(c).alias("n_values"), *oks)
     choice = F.lit(None).cast("int")
     for i in reversed(range(len(formats))):
         choice = F.when(F.col(f"_ok{i}"), F.lit(i + 1)).otherwise(choice)

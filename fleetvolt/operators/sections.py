@@ -19,6 +19,7 @@ from fleetvolt.config import SectionSpec
 from fleetvolt.functions.devices import is_numbered_series, is_paired
 from fleetvolt.functions.timecalc import ntz, ratio_percent
 from fleetvolt.operators.order import table_order
+from fleetvolt.operators.positions import with_position
 
 LISTED = "_listed"
 
@@ -141,14 +142,12 @@ def section_preview(tables: DataFrame, limit: int | None = K.PREVIEW_LIMIT,
 
     ``row_number() <= limit`` is planned with a partial WindowGroupLimit, so at most ``limit``
     rows per section leave each task, however large a section is. ``limit=None`` ("show
-    all") returns the whole table with ``total_rows`` and no ``position``: numbering every
-    row would need one window partition (one task) per section, so the full table is
-    ordered at the edge instead (``order.by_voltage``)."""
+    all") numbers the whole tables over ranges of their order (``positions``), so no section is one task."""
     totals = tables.groupBy(*by, "section").agg(F.count(F.lit(1)).alias("total_rows"))
-    if limit is None:
-        return tables.join(totals, [*by, "section"], "inner")
     tie = [c for c in ("ReportID", "EventTimeUTC") if c in tables.columns]
     order = table_order() + [F.col(c).asc_nulls_last() for c in tie]
+    if limit is None:
+        return with_position(tables, order, [*by, "section"]).join(totals, [*by, "section"], "inner")
     w = Window.partitionBy(*by, "section").orderBy(*order)
     ranked = (tables.withColumn("position", F.row_number().over(w).cast("long"))
               .where(F.col("position") <= limit))

@@ -30,13 +30,11 @@ from fleetvolt.operators.fleet import org_device_counts, total_device_count
 
 
 def daily_snapshot(readings: DataFrame, assets: DataFrame, organizations: DataFrame,
-                   report_date: date | None, bands: PowerBands = PowerBands()) -> DataFrame:
+                   report_date: date, bands: PowerBands = PowerBands(), open_end: bool = False) -> DataFrame:
     """Current-source snapshot for ``report_date``: readings up to the *start* of that day
-    (its midnight, inclusive); ``None`` = no upper bound. Adds ``report_date``."""
-    as_of = day_at_hour(report_date) if report_date is not None else None
-    snap = L.latest_snapshot(readings, assets, organizations, as_of, bands)
-    rd = date_lit(report_date) if report_date is not None else F.current_date()
-    return snap.withColumn("report_date", rd)
+    (its midnight, inclusive), or with ``open_end`` all readings. Adds ``report_date``."""
+    snap = L.latest_snapshot(readings, assets, organizations, None if open_end else day_at_hour(report_date), bands)
+    return snap.withColumn("report_date", date_lit(report_date))
 
 
 def multi_date_snapshot(readings: DataFrame, assets: DataFrame, organizations: DataFrame,

@@ -6,10 +6,13 @@ caller that wants "today" passes ``date.today()`` explicitly.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import warnings
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +23,25 @@ from fleetvolt.operators import calendar as C
 from fleetvolt.operators import dwell_state as DS
 from fleetvolt.operators import latest as L
 from fleetvolt.operators import sections as S
-from fleetvolt.operators.fleet import active_device_ids
+from fleetvolt.operators.fingerprint import input_digests
+from fleetvolt.operators.fleet import active_device_ids, active_devices
+from fleetvolt.operators.order import by_date, by_device, by_owner_and_device, newest_first
 from fleetvolt.plans import jobs as J
+from fleetvolt.session import materialize
 from fleetvolt.sources.exports import export_overflow
 from fleetvolt.sources.sent_log import append_sent_dates, read_sent_dates
-from fleetvolt.sources.store import SnapshotStore
+from fleetvolt.sources.store import DATED, IMPORTED, OPEN, SnapshotStore
 
 
 @dataclass
 class Tables:
+    """The inputs of the jobs. ``asset_view`` may be a function that reads it: the report then goes on without the
+    active filter if that fails."""
+
     readings: DataFrame
     assets: DataFrame
     organizations: DataFrame
-    asset_view: DataFrame
+    asset_view: DataFrame | Callable[[], DataFrame]
     bursts: DataFrame | None = None
     allow_list: DataFrame | None = None
 
@@ -44,77 +53,150 @@ class IncompleteWeek(RuntimeError):
 def run_open_snapshot(t: Tables, store: SnapshotStore, today: date,
                       bands: PowerBands = PowerBands()) -> DataFrame:
     """The scheduled daily run: all readings so far, without an upper bound, stored as the
-    snapshot of ``today``. Load-or-compute like ``run_daily_snapshot``."""
-    def build():
-        snap = J.daily_snapshot(t.readings, t.assets, t.organizations, None, bands)
-        return snap.withColumn("report_date", date_lit(today))
-    return store.load_or_compute(today, K.SOURCE_CURRENT, build)
+    open snapshot of ``today``. Load-or-compute like ``run_daily_snapshot``; nothing is built upon an open
+    snapshot, as its readings have no cut-off."""
+    return store.load_or_compute(today, K.SOURCE_CURRENT, lambda: J.daily_snapshot(
+        t.readings, t.assets, t.organizations, today, bands, open_end=True), OPEN)
+
+
+def _latest_up_to(store: SnapshotStore, report_date: date):
+    """``(cut-off, rows as readings)`` of the stored dated snapshot of ``report_date``; None if there is none or its cut-off is
+    not known."""
+    entry = store.entry(report_date, K.SOURCE_CURRENT, DATED)
+    if entry is None or entry.cutoff is None:
+        return None
+    rows = store.read([report_date], K.SOURCE_CURRENT, DATED)
+    return entry.cutoff, L.time_range(rows, "EventTimeUTC", hi=entry.cutoff)
+
+
+def _digests(readings: DataFrame, cuts: dict[date, datetime], fingerprint: bool) -> dict[date, str]:
+    if not fingerprint:
+        return {}
+    found = input_digests(readings, list(cuts.values()))
+    return {d: found[c] for d, c in cuts.items()}
 
 
 def run_daily_snapshot(t: Tables, store: SnapshotStore, report_date: date,
-                       bands: PowerBands = PowerBands(), incremental: bool = False) -> DataFrame:
-    """G1 with load-or-compute: the stored current-source snapshot of ``report_date``.
+                       bands: PowerBands = PowerBands(), incremental: bool = False, fingerprint: bool = False) -> DataFrame:
+    """G1 with load-or-compute: the stored current-source snapshot of ``report_date`` up to its midnight.
+
+    ``incremental=True`` builds it from the stored dated snapshot of the day before (when there is
+    one) and the readings after its cut-off only, instead of the whole history; see
+    ``latest_reading_incremental`` for the one assumption (no late data). ``fingerprint=True`` stores a digest of the readings
+    (one more pass over them), by which ``stale_dates`` finds late ones."""
+    cut = day_at_hour(report_date)
 
-    ``incremental=True`` builds it from the stored snapshot of the day before (when there is
-    one) and that day's readings only, instead of the whole history; see
-    ``latest_reading_incremental`` for the one assumption (no late data)."""
     def build():
-        prev = report_date - timedelta(days=1)
-        if incremental and store.exists(prev, K.SOURCE_CURRENT):
-            latest = L.latest_reading_incremental(store.read([prev], K.SOURCE_CURRENT), t.readings,
-                                                  day_at_hour(prev), day_at_hour(report_date))
-            snap = L.with_power_mode(L.enrich(latest, t.assets, t.organizations), bands)
-            return snap.withColumn("report_date", date_lit(report_date))
-        return J.daily_snapshot(t.readings, t.assets, t.organizations, report_date, bands)
+        prev = _latest_up_to(store, report_date - timedelta(days=1)) if incremental else None
+        if prev is None:
+            return J.daily_snapshot(t.readings, t.assets, t.organizations, report_date, bands)
+        latest = L.latest_reading_incremental(prev[1], t.readings, prev[0], cut)
+        snap = L.with_power_mode(L.enrich(latest, t.assets, t.organizations), bands)
+        return snap.withColumn("report_date", date_lit(report_date))
+
+    if not any(store.exists(report_date, K.SOURCE_CURRENT, k) for k in (DATED, IMPORTED)):
+        store.write(build(), K.SOURCE_CURRENT, [report_date], DATED, {report_date: cut},
+                    _digests(t.readings, {report_date: cut}, fingerprint))
     return store.load_or_compute(report_date, K.SOURCE_CURRENT, build)
 
 
+def stale_dates(t: Tables, store: SnapshotStore, dates: Sequence[date] | None = None) -> list[date]:
+    """The stored dated snapshots whose readings have changed since: late or corrected readings before their cut-offs.
+    One pass over the readings, whatever the number of dates; snapshots without a digest are passed over."""
+    runs = store.runs().where((F.col("source") == K.SOURCE_CURRENT) & (F.col("kind") == DATED)
+                              & F.col("input_digest").isNotNull() & F.col("cutoff").isNotNull())
+    if dates is not None:
+        runs = runs.where(F.col("report_date").isin([date_lit(d) for d in dates]))
+    stored = {r.report_date: (r.cutoff, r.input_digest) for r in runs.collect()}       # one row per stored date
+    now = _digests(t.readings, {d: c for d, (c, _) in stored.items()}, True)
+    return sorted(d for d, (_, digest) in stored.items() if now[d] != digest)
+
+
+def refresh(t: Tables, store: SnapshotStore, dates: Sequence[date] | None = None,
+            bands: PowerBands = PowerBands()) -> list[date]:
+    """Compute the stale snapshots anew, all in one pass, and store them; the dates done."""
+    stale = stale_dates(t, store, dates)
+    if stale:
+        _store_dated(t, store, t.readings, stale, bands, fingerprint=True)
+    return stale
+
+
+def _store_dated(t: Tables, store: SnapshotStore, readings: DataFrame, dates: Sequence[date], bands: PowerBands,
+                 fingerprint: bool) -> None:
+    cuts = {d: day_at_hour(d) for d in dates}
+    snaps = J.multi_date_snapshot(readings, t.assets, t.organizations, dates, bands)
+    store.write(snaps, K.SOURCE_CURRENT, dates, DATED, cuts, _digests(t.readings, cuts, fingerprint))
+
+
 def run_legacy_snapshot(t: Tables, store: SnapshotStore, report_date: date, customer: str,
                         id_prefix: str, bands: PowerBands = PowerBands()) -> DataFrame:
-    """G2 with load-or-compute (legacy source)."""
+    """G2 with load-or-compute (legacy source), up to the report date's noon."""
     def build():
         snap = J.legacy_snapshot(t.bursts, customer, id_prefix, report_date, bands=bands)
         return snap.withColumn("report_date", date_lit(report_date))
-    return store.load_or_compute(report_date, K.SOURCE_LEGACY, build)
+    return store.load_or_compute(report_date, K.SOURCE_LEGACY, build, cutoff=day_at_hour(report_date, K.LEGACY_CUTOFF_HOUR))
+
+
+def active_or_none(t: Tables, device_type: str | None) -> DataFrame | None:
+    """The ids of the active devices, looked up now and stored; None, which means no filter, without a device type or if
+    the lookup fails."""
+    if device_type is None:
+        return None
+    try:
+        return materialize(active_device_ids(asset_view(t), device_type), "active")
+    except (PySparkException, Py4JJavaError, OSError) as e:
+        warnings.warn(f"active devices not available, the report is not filtered by them: {str(e)[:300]}", RuntimeWarning, stacklevel=2)
+        return None
+
+
+def asset_view(t: Tables) -> DataFrame:
+    return t.asset_view() if callable(t.asset_view) else t.asset_view
 
 
 def run_daily_report(t: Tables, store: SnapshotStore, report_date: date,
                      specs: Sequence[SectionSpec], device_type: str | None,
                      as_of: datetime, export_path: str | None = None,
-                     window: timedelta = K.RECENCY, bands: PowerBands = PowerBands()) -> J.SectionReport:
+                     window: timedelta = K.RECENCY, bands: PowerBands = PowerBands(), open_end: bool = False,
+                     legacy: tuple[str, str] | None = None, preview_limit: int | None = K.PREVIEW_LIMIT) -> J.SectionReport:
     """G3: snapshot (stored or computed), sections filtered by the active set (``device_type``
-    None = no active filter), overflow export of tables longer than the preview."""
-    snap = run_daily_snapshot(t, store, report_date, bands)
-    active = active_device_ids(t.asset_view, device_type) if device_type is not None else None
-    rep = J.daily_section_report(snap, specs, as_of, window, t.allow_list, active)
+    None, or a lookup that fails = no active filter), overflow export of tables longer than the preview.
+
+    The snapshot is that of ``report_date``'s midnight; with ``open_end`` all readings so far (the scheduled run, whose label
+    is ``report_date``); with ``legacy=(customer, id prefix)`` the legacy source's, which has no active filter. The
+    preview comes in the report's order."""
+    if legacy is not None:
+        snap, active = run_legacy_snapshot(t, store, report_date, *legacy, bands=bands), None
+    else:
+        snap = (run_open_snapshot if open_end else run_daily_snapshot)(t, store, report_date, bands)
+        active = active_or_none(t, device_type)
+    rep = J.daily_section_report(snap, specs, as_of, window, t.allow_list, active, preview_limit)
     if export_path is not None:
         export_overflow(rep.tables, export_path)
-    return rep
+    return replace(rep, preview=rep.preview.orderBy("section", "position"))
 
 
 def backfill(t: Tables, store: SnapshotStore, dates: Sequence[date],
-             bands: PowerBands = PowerBands(), incremental: bool = False) -> list[date]:
+             bands: PowerBands = PowerBands(), incremental: bool = False, fingerprint: bool = False) -> list[date]:
     """Compute and store the current-source snapshots of ``dates`` that are missing, in one
     pass over the readings (no loop over dates). Returns the dates computed.
 
-    ``incremental=True``: when the snapshot of the day before the first missing date is
-    stored, its rows stand in for all older readings (they are the latest of them), so only
-    the readings after that day's cut-off are read (same no-late-data assumption as
+    ``incremental=True``: when the dated snapshot of the day before the first missing date is
+    stored, its rows stand in for all readings up to its cut-off (they are the latest of them), so only
+    the readings after that are read (same no-late-data assumption as
     ``latest_reading_incremental``)."""
     have = {r.report_date for r in store.catalogue().where(
         F.col("report_date").isin([date_lit(d) for d in dates])).select("report_date").distinct().collect()}
     todo = sorted(set(dates) - have)
     if todo:
         readings = t.readings
-        prev = todo[0] - timedelta(days=1)
-        if incremental and store.exists(prev, K.SOURCE_CURRENT):
-            old = store.read([prev], K.SOURCE_CURRENT).select(
+        prev = _latest_up_to(store, todo[0] - timedelta(days=1)) if incremental else None
+        if prev is not None:
+            old = prev[1].select(
                 F.col("ReportID").alias("ID"), "OrganizationId", "AssetId",
                 F.col("EventTimeUTC").alias("EventTime"), "Voltage")
-            new = L.time_range(t.readings, "EventTime", day_at_hour(prev), lo_inclusive=False)
+            new = L.time_range(t.readings, "EventTime", prev[0], lo_inclusive=False)
             readings = old.unionByName(new.select(*old.columns))
-        snaps = J.multi_date_snapshot(readings, t.assets, t.organizations, todo, bands)
-        store.write(snaps, K.SOURCE_CURRENT, todo)
+        _store_dated(t, store, readings, todo, bands, fingerprint)
     return todo
 
 
@@ -141,7 +223,7 @@ def week_dates(today: date, days: int = K.WEEK_DAYS) -> list[date]:
 def _trend(t: Tables, store: SnapshotStore, dates: Sequence[date], specs: Sequence[SectionSpec],
            device_type: str | None, as_of: datetime, window: timedelta) -> DataFrame:
     snaps = store.read(dates, K.SOURCE_CURRENT)
-    active = active_device_ids(t.asset_view, device_type) if device_type is not None else None
+    active = active_or_none(t, device_type)
     members = S.assign_sections(snaps, specs, as_of, window, t.allow_list, active)
     cal = store.spark.createDataFrame([(d,) for d in dates], "report_date date")
     return S.section_mode_summary(members.unionByName(cal, allowMissingColumns=True), specs,
@@ -158,7 +240,7 @@ def run_unsent_trend(t: Tables, store: SnapshotStore, today: date, specs: Sequen
     sent = read_sent_dates(store.spark, sent_log)
     missing = C.missing_since_sent(store.catalogue(), sent, today).collect()    # dates since the last report
     backfill(t, store, [r.report_date for r in missing], bands, incremental)
-    dates = sorted(r.report_date for r in C.unsent_dates(store.catalogue(), sent).collect())   # one per stored day
+    dates = [r.report_date for r in by_date(C.unsent_dates(store.catalogue(), sent)).collect()]   # one per stored day
     return _trend(t, store, dates, specs, device_type, as_of, window), dates
 
 
@@ -180,14 +262,14 @@ def run_fleet_dwell(t: Tables, organization_ids: Sequence[int], device_type: str
     state of the readings up to ``cut`` (``run_dwell_state``; built from the state of
     ``prev_cut`` when that one is stored) instead of the whole history."""
     if state_path is None:
-        return J.fleet_dwell_report(t.readings, t.asset_view, t.assets, organization_ids,
+        return J.fleet_dwell_report(t.readings, asset_view(t), t.assets, organization_ids,
                                     device_type, exclude_asset_group_id, bands)
     if cut is None:
         raise ValueError("a stored dwell state needs its cut-off")
     state = run_dwell_state(t, state_path, cut, prev_cut, bands)
     stats = fleet_dwell_from_state(t, state, organization_ids, device_type=device_type,
                                    exclude_asset_group_id=exclude_asset_group_id)
-    return J.fleet_report_from_stats(stats, t.asset_view, organization_ids, device_type)
+    return J.fleet_report_from_stats(stats, asset_view(t), organization_ids, device_type)
 
 
 def _state_dir(state_path: str, cut: datetime, bands: PowerBands) -> str:
@@ -231,11 +313,23 @@ def fleet_dwell_from_state(t: Tables, state: DataFrame, organization_ids: Sequen
                            organization_id: int | None = None, device_type: str = "",
                            exclude_asset_group_id: int | None = None) -> DataFrame:
     """Dwell statistics of the readings that ``state`` covers; no reading is read."""
-    return DS.dwell_statistics_from_state(state, t.asset_view, t.assets, organization_id, organization_ids,
+    return DS.dwell_statistics_from_state(state, asset_view(t), t.assets, organization_id, organization_ids,
                                           exclude_asset_group_id, device_type)
 
 
+def snapshot_in_order(store: SnapshotStore, report_date: date, source: str = K.SOURCE_CURRENT) -> DataFrame:
+    """A stored snapshot as its source lists it: by device, or newest first for the legacy source."""
+    snap = store.read([report_date], source)
+    return newest_first(snap, tiebreak="DeviceID") if source == K.SOURCE_LEGACY else by_device(snap)
+
+
+def active_devices_in_order(t: Tables, device_type: str) -> DataFrame:
+    """The active devices by organization and device name."""
+    return by_owner_and_device(active_devices(asset_view(t), device_type))
+
+
 __all__ = ["Tables", "IncompleteWeek", "run_daily_snapshot", "run_legacy_snapshot",
            "run_open_snapshot", "run_daily_report", "backfill", "run_weekly_trend",
            "run_unsent_trend", "log_sent", "week_dates", "run_fleet_dwell", "run_dwell_state",
-           "fleet_dwell_from_state", "day_at_hour"]
+           "fleet_dwell_from_state", "stale_dates", "refresh", "active_or_none", "snapshot_in_order",
+           "active_devices_in_order", "day_at_hour"]

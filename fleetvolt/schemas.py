@@ -68,12 +68,16 @@ LEGACY_SNAPSHOT = T.StructType([
     T.StructField("PowerMode", T.StringType()),
 ])
 
-# One row per stored snapshot: which (date, source) exists and how long its query took.
-SNAPSHOT_RUNS = T.StructType([
+# One record per stored snapshot: which (date, source, kind) exists in which version, and how it was made.
+SNAPSHOT_COMMITS = T.StructType([
     T.StructField("report_date", T.DateType()),
     T.StructField("source", T.StringType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("cutoff", T.TimestampNTZType()),
     T.StructField("query_seconds", T.DoubleType()),
     T.StructField("rows", T.LongType()),
+    T.StructField("input_digest", T.StringType()),
+    T.StructField("version", T.StringType()),
 ])
 
 DEVICE_LIST = T.StructType([T.StructField("DeviceID", T.StringType())])

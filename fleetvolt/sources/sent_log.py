@@ -1,22 +1,25 @@
-"""The sent-date log: one date label (``5Jan26``) per line.
+"""The sent-date log: one entry per date, named by its label (``5Jan26``).
 
-Reading skips blank lines, accepts labels with or without a leading zero and returns
-distinct dates; a missing log is an empty log. Appending writes only dates that are not in
-the log yet (anti-join), so a re-run or a retried job adds nothing twice. The log is a
-folder of text parts (one part per append), readable as one text source.
+Reading takes every line of the log's files: skips blank lines, accepts labels with or without a leading zero and returns
+distinct dates; a missing log is an empty log. Appending creates the date's entry if it does not exist yet, so of several
+writers exactly one adds a date, and a re-run or a retried job adds nothing twice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from fleetvolt import schemas
 from fleetvolt.functions.dates import date_label
 from fleetvolt.operators.calendar import sent_dates
+from fleetvolt.sources.commits import create_new, names
 
 
 def read_sent_dates(spark: SparkSession, path: str) -> DataFrame:
+    if not names(spark, path) and not path.endswith(".txt"):
+        return spark.createDataFrame([], schemas.SENT_DATES)
     try:
         lines = spark.read.text(path)
     except AnalysisException:
@@ -25,13 +28,11 @@ def read_sent_dates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_sent_dates(spark: SparkSession, path: str, dates: DataFrame) -> DataFrame:
-    """Append the ``report_date`` values of ``dates`` that the log does not hold yet; returns
-    the appended dates (already computed, so the log is written exactly once)."""
+    """Add the ``report_date`` values of ``dates`` that the log does not hold yet; returns the dates that this call
+    added."""
     new = (dates.select("report_date").where("report_date IS NOT NULL").distinct()
            .join(read_sent_dates(spark, path), "report_date", "left_anti"))
-    rows = new.collect()  # bounded: at most one row per calendar day being reported
-    if rows:
-        out = spark.createDataFrame(rows, schemas.SENT_DATES)
-        out.select(date_label("report_date").alias("value")).coalesce(1) \
-            .write.mode("append").text(path)
-    return spark.createDataFrame(rows, schemas.SENT_DATES)
+    rows = new.select("report_date", date_label("report_date").alias("label")).collect()  # at most one per calendar day reported
+    added = [(r.report_date,) for r in rows
+             if create_new(spark, f"{path.rstrip('/')}/{r.report_date.isoformat()}.txt", f"{r.label}\n".encode())]
+    return spark.createDataFrame(added, schemas.SENT_DATES)

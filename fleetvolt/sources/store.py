@@ -1,14 +1,13 @@
-"""Snapshot store: one parquet dataset per source, partitioned by ``report_date``, plus a small
-``runs`` table that records which (date, source) snapshots exist, their row counts and how
-long their computation took.
-
-* Writing a snapshot replaces exactly the dates it names, also by nothing: a date without rows
-  keeps a run row with a count of 0, so it counts as stored, and no older rows stay behind.
-* The run rows of the dates are removed before the data and written after it; they are the
-  commit marker the catalogue reads. A job that dies in between leaves no run row, so the next
-  run recomputes and replaces. Spark's commit protocol keeps half-written task output invisible.
-* Every read names its schema, and filters on the partition column, so only the requested
-  dates are listed and scanned.
+"""Snapshot store: one parquet dataset per source, in versions that are never changed, and a log of commits.
+
+* A write makes a new version folder and publishes it last, as one entry of the commit log that is created only if
+  it does not exist (``commits``). A write that fails or dies leaves the stored snapshots as they were; its folder is never
+  read. Of writers at the same time each publishes an entry of its own, and the later one counts.
+* The entry says, for every date of the write, the version, the number of rows (0 for a date without rows, which so counts
+  as stored), how long the computation took, the kind of the snapshot (``dated``: up to a cut-off; ``open``: all readings
+  so far; ``imported``) with its cut-off, and a digest of the input readings if the caller has one.
+* A date can be stored in several kinds. Reading prefers the dated one, then an imported, then an open one.
+* Every read names its schema and exactly the folders of the requested dates; nothing else is listed.
 
 The store folder must be on shared storage on a cluster (the same kind of location as
 ``spark.checkpoint.dir``), never a machine-local folder.
@@ -17,29 +16,33 @@ The store folder must be on shared storage on a cluster (the same kind of locati
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
-from datetime import date
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from fleetvolt import constants as K
 from fleetvolt import schemas
 from fleetvolt.functions.timecalc import date_lit
+from fleetvolt.sources.commits import CommitLog, _hadoop_path, names
 
+DATED, IMPORTED, OPEN = "dated", "imported", "open"
+KINDS = (DATED, IMPORTED, OPEN)      # in the order in which reading prefers them
 
 _SCHEMAS = {K.SOURCE_CURRENT: schemas.SNAPSHOT, K.SOURCE_LEGACY: schemas.LEGACY_SNAPSHOT}
 _DATE = T.StructField("report_date", T.DateType())
-_SOURCE = T.StructField("source", T.StringType())
+_VERSION = T.StructField("version", T.StringType())
 
 
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.runs_path = f"{self.root}/runs"
+        self.log = CommitLog(spark, f"{self.root}/commits", schemas.SNAPSHOT_COMMITS)
 
     def data_path(self, source: str) -> str:
         """Each source has a dataset of its own, as their columns differ."""
@@ -48,41 +51,38 @@ class SnapshotStore:
         return f"{self.root}/snapshots_{source}"
 
     # ---- writing --------------------------------------------------------------------------
-    def _clear(self, path: str, partitions: Sequence[str]) -> None:
-        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        for p in partitions:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{p}")
-            folder.getFileSystem(conf).delete(folder, True)
-
-    def _replace(self, rows: DataFrame, source: str, dates: Sequence[date]) -> None:
-        """Put ``rows`` in place of whatever is stored for ``dates``. The run rows go first, so a
-        job that dies in between leaves dates that count as not stored."""
-        self._clear(self.runs_path, [f"report_date={d}/source={source}" for d in dates])
-        self._clear(self.data_path(source), [f"report_date={d}" for d in dates])
+    def _stage(self, rows: DataFrame, source: str) -> tuple[str, dict[date, int]]:
+        """Write ``rows`` as a new version; its name and the rows of each date, from the written files' footers."""
+        version = uuid.uuid4().hex
+        path = f"{self.data_path(source)}/version={version}"
         (schemas.conform(rows, _SCHEMAS[source], keep=("report_date",), optional=("CustomerName",))
-         .write.mode("append").partitionBy("report_date").parquet(self.data_path(source)))
-
-    def _write_runs(self, runs: DataFrame) -> None:
-        (schemas.conform(runs, schemas.SNAPSHOT_RUNS)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("report_date", "source").parquet(self.runs_path))
+         .write.partitionBy("report_date").parquet(path))
+        stored = self.spark.read.schema(T.StructType([*_SCHEMAS[source].fields, _DATE])).parquet(path)
+        counts = stored.groupBy("report_date").count().collect()          # one row per date of the write
+        return version, {r["report_date"]: r["count"] for r in counts}
 
-    def write(self, snapshot: DataFrame, source: str, dates: Sequence[date]) -> None:
+    def write(self, snapshot: DataFrame, source: str, dates: Sequence[date], kind: str = DATED,
+              cutoffs: Mapping[date, datetime] | None = None, digests: Mapping[date, str] | None = None) -> None:
         """Store ``snapshot`` under ``source``. ``dates`` are the report dates it holds
-        (the caller knows them: one report date, or the backfilled ones); whatever is stored for
-        them is replaced and every one gets a run row, with a count of 0 when the snapshot has no
-        row for it. Rows of other dates are not written."""
+        (the caller knows them: one report date, or the backfilled ones); what is stored for them in this ``kind`` is
+        replaced, also by nothing: a date without rows is stored with a count of 0. Rows of other dates are not
+        written. ``cutoffs`` says up to when the readings of each date were read (not known if absent)."""
         if "report_date" not in snapshot.columns:
             raise ValueError("snapshot needs a report_date column")
+        if kind not in KINDS:
+            raise ValueError(f"unknown kind {kind!r}; known are {KINDS}")
         dates = sorted(set(dates))
         t0 = time.time()
-        self._replace(snapshot.where(F.col("report_date").isin([date_lit(d) for d in dates])), source, dates)
-        seconds = time.time() - t0
-        # row counts come from the parquet footers of the partitions just written
-        counts = self.read(dates, source).groupBy("report_date").agg(F.count(F.lit(1)).alias("rows"))
-        every = self.spark.createDataFrame([(d,) for d in dates], T.StructType([_DATE]))
-        self._write_runs(every.join(counts, "report_date", "left").fillna(0, ["rows"])
-                         .withColumn("source", F.lit(source)).withColumn("query_seconds", F.lit(float(seconds))))
+        version, counts = self._stage(snapshot.where(F.col("report_date").isin([date_lit(d) for d in dates])), source)
+        seconds = {d: time.time() - t0 for d in dates}
+        self._publish(source, kind, version, {d: counts.get(d, 0) for d in dates}, seconds, cutoffs or {}, digests or {})
+
+    def _publish(self, source: str, kind: str, version: str, counts: Mapping[date, int], seconds: Mapping[date, float],
+                 cutoffs: Mapping[date, datetime], digests: Mapping[date, str]) -> None:
+        self.log.publish(
+            {"report_date": d.isoformat(), "source": source, "kind": kind, "version": version, "rows": int(n),
+             "query_seconds": float(seconds[d]) if seconds.get(d) is not None else None, "input_digest": digests.get(d),
+             "cutoff": cutoffs[d].isoformat(sep=" ") if d in cutoffs else None} for d, n in counts.items())
 
     def import_files(self, folder: str) -> DataFrame:
         """Move snapshot CSV files of the original application (``legacy_files``) into the
@@ -93,53 +93,79 @@ class SnapshotStore:
         imported = []
         for source in _SCHEMAS:
             rows, runs = read_snapshot_files(self.spark, folder, source)
-            dates = [r.report_date for r in runs.select("report_date").distinct().collect()]  # one per file
-            if not dates:
+            seconds = {r.report_date: r.query_seconds for r in runs.collect()}  # one per file
+            if not seconds:
                 continue
-            self._replace(rows, source, dates)
-            counts = rows.groupBy("report_date").agg(F.count(F.lit(1)).alias("rows"))
-            self._write_runs(runs.join(counts, "report_date", "left").fillna(0, ["rows"]))
-            imported += [(d, source) for d in dates]
+            version, counts = self._stage(rows.where(F.col("report_date").isNotNull()), source)
+            self._publish(source, IMPORTED, version, {d: counts.get(d, 0) for d in seconds}, seconds, {}, {})
+            imported += [(d, source) for d in seconds]
         return self.runs().join(
             self.spark.createDataFrame(imported, "report_date date, source string"),
             ["report_date", "source"], "left_semi")
 
     # ---- reading --------------------------------------------------------------------------
     def runs(self) -> DataFrame:
-        """``report_date, source, query_seconds, rows`` of every stored snapshot (empty when
-        nothing is stored yet)."""
-        try:
-            df = self.spark.read.schema(schemas.SNAPSHOT_RUNS).parquet(self.runs_path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], schemas.SNAPSHOT_RUNS)
-        return schemas.conform(df, schemas.SNAPSHOT_RUNS)
+        """One row for every stored snapshot: ``report_date, source, kind, cutoff, query_seconds, rows,
+        input_digest, version`` (empty when nothing is stored yet)."""
+        w = Window.partitionBy("report_date", "source", "kind").orderBy(F.desc("commit"))
+        latest = self.log.records().withColumn("_at", F.row_number().over(w)).where("_at = 1")
+        return schemas.conform(latest, schemas.SNAPSHOT_COMMITS)
 
     def catalogue(self) -> DataFrame:
         return self.runs().select("report_date", "source").distinct()
 
-    def read(self, dates: Sequence[date] | None = None, source: str = K.SOURCE_CURRENT) -> DataFrame:
-        """Stored snapshot rows of one source, always with that source's columns; the date filter
-        prunes partitions."""
+    def entry(self, report_date: date, source: str, kind: str | None = None):
+        """The run row that a read of (date, source) uses, or None."""
+        found = self._entries([report_date], source, kind)
+        return found[0] if found else None
+
+    def _entries(self, dates: Sequence[date] | None, source: str, kind: str | None) -> list:
+        runs = self.runs().where(F.col("source") == source)
+        if dates is not None:
+            runs = runs.where(F.col("report_date").isin([date_lit(d) for d in dates]))
+        best: dict = {}
+        for r in runs.collect():                              # at most three per stored date
+            if kind in (None, r.kind) and (r.report_date not in best or KINDS.index(r.kind) < KINDS.index(best[r.report_date].kind)):
+                best[r.report_date] = r
+        return [best[d] for d in sorted(best)]
+
+    def read(self, dates: Sequence[date] | None = None, source: str = K.SOURCE_CURRENT, kind: str | None = None) -> DataFrame:
+        """Stored snapshot rows of one source, always with that source's columns. Only the folders of the
+        requested dates are read."""
         # a new StructType: ``StructType.add`` would change the shared schema in place
         stored = T.StructType([*_SCHEMAS[source].fields, _DATE])
-        try:
-            df = self.spark.read.schema(stored).parquet(self.data_path(source))
-        except AnalysisException:
+        root = self.data_path(source)
+        paths = [f"{root}/version={r.version}/report_date={r.report_date}" for r in self._entries(dates, source, kind) if r.rows]
+        if paths:
+            df = (self.spark.read.schema(T.StructType([*_SCHEMAS[source].fields, _VERSION, _DATE]))
+                  .option("basePath", root).parquet(*paths).drop("version"))
+        else:
             df = self.spark.createDataFrame([], stored)
-        if dates is not None:
-            df = df.where(F.col("report_date").isin([date_lit(d) for d in dates]))
         return df.withColumn("source", F.lit(source))
 
-    def exists(self, report_date: date, source: str) -> bool:
-        """Whether a run row exists: a one-row lookup in the small runs table."""
-        hit = self.runs().where((F.col("report_date") == date_lit(report_date))
-                                & (F.col("source") == source)).limit(1).collect()
-        return len(hit) > 0
-
-    def load_or_compute(self, report_date: date, source: str,
-                        compute: Callable[[], DataFrame]) -> DataFrame:
-        """Stored snapshot of (date, source) if present; else compute it, store it, and read
-        it back (the written table also cuts the lineage for the report built on it)."""
-        if not self.exists(report_date, source):
-            self.write(compute(), source, [report_date])
-        return self.read([report_date], source)
+    def vacuum(self) -> list[str]:
+        """Delete the version folders that no run row names any more; their names. Not while writers or readers of older
+        versions are at work."""
+        live = {r.version for r in self.runs().select("version").distinct().collect()}
+        gone = []
+        for source in _SCHEMAS:
+            for name in names(self.spark, self.data_path(source)):
+                if name.startswith("version=") and name.removeprefix("version=") not in live:
+                    fs, p = _hadoop_path(self.spark, f"{self.data_path(source)}/{name}")
+                    fs.delete(p, True)
+                    gone.append(name.removeprefix("version="))
+        return gone
+
+    def exists(self, report_date: date, source: str, kind: str | None = None) -> bool:
+        return self.entry(report_date, source, kind) is not None
+
+    def load_or_compute(self, report_date: date, source: str, compute: Callable[[], DataFrame], kind: str = DATED,
+                        cutoff: datetime | None = None, digest: str | None = None) -> DataFrame:
+        """Stored snapshot of (date, source, kind) if present (an imported one serves for a dated one); else compute it,
+        store it, and read it back (the written table also cuts the lineage for the report built on it)."""
+        for k in (kind, IMPORTED) if kind == DATED else (kind,):
+            if self.exists(report_date, source, k):
+                return self.read([report_date], source, k)
+        self.write(compute(), source, [report_date], kind, {report_date: cutoff} if cutoff else None,
+                   {report_date: digest} if digest else None)
+        return self.read([report_date], source, kind)

@@ -33,14 +33,24 @@ def read_table(spark: SparkSession, path_or_name: str, schema: T.StructType,
     return conform(df, schema, keep=(K.DATE_PARTITION,))   # day partition kept for pruning
 
 
-def write_by_day(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
+def write_by_day(df: DataFrame, path: str, ts: str, mode: str = "overwrite", lookup: str | None = None,
+                 row_group_bytes: int | None = None) -> None:
     """Store a readings / uplinks table partitioned by the day of ``ts`` (column
     ``event_date``), the layout the time-bounded operators prune on. ``overwrite`` replaces
     only the days present in ``df`` (dynamic partition overwrite), so reloading a day is
-    idempotent."""
-    (df.withColumn(K.DATE_PARTITION, F.to_date(F.col(ts)))
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(K.DATE_PARTITION).parquet(path))
+    idempotent.
+
+    ``lookup`` names the column by which single assets are looked up (``AssetId``): the files are sorted by day and that column
+    and carry a Bloom filter of it, so that a filter on a few values passes over row groups without them."""
+    rows = df.withColumn(K.DATE_PARTITION, F.to_date(F.col(ts)))
+    if lookup is not None:
+        rows = rows.sortWithinPartitions(K.DATE_PARTITION, lookup)
+    out = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(K.DATE_PARTITION)
+    if lookup is not None:
+        out = out.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
+    if row_group_bytes is not None:
+        out = out.option("parquet.block.size", str(row_group_bytes))
+    out.parquet(path)
 
 
 def readings(spark, path, **kw):

@@ -106,3 +106,26 @@ def test_flagship_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "PowerMode" in df.columns and "report_date" in df.columns
+
+
+def test_thousands_of_irregular_moments_in_one_pass(spark):
+    import bisect
+    import random
+    from datetime import datetime, timedelta
+
+    from fleetvolt.operators import latest as L
+    random.seed(7)
+    start = datetime(2024, 1, 1)
+    data = [(i, 1, random.choice([1, 2, 3, None]), start + timedelta(seconds=random.randint(0, 400_000)), random.choice([1.0, 3.0, 3.3])) for i in range(400)]
+    data += [(1000 + i, 1, 1, start + timedelta(seconds=777), 3.1) for i in range(3)]
+    r = readings(spark, [(i, o, a, str(t), v) for i, o, a, t, v in data])
+    moments = sorted({start + timedelta(seconds=random.randint(-1000, 500_000), microseconds=random.randint(0, 3)) for _ in range(5000)} | {data[0][3]})
+    got = {(x.as_of, x.AssetId): x.ReportID for x in L.latest_as_of_moments(r, moments).collect()}
+    want = {}
+    for asset in (1, 2, 3, None):
+        own = sorted((t, i) for i, _, a, t, v in data if a == asset and v > 2)
+        for m in moments:
+            k = bisect.bisect_right(own, (m, 10 ** 9))
+            if k:
+                want[m, asset] = own[k - 1][1]
+    assert got == want

@@ -90,7 +90,8 @@ def test_preview_nulls_last(spark):
     assert got == ["c", "b", "a"]
     from fleetvolt.operators.order import by_voltage
     whole = S.section_preview(t, limit=None)
-    assert "position" not in whole.columns and {r.total_rows for r in whole.collect()} == {3}
+    assert {r.total_rows for r in whole.collect()} == {3}
+    assert [r.DeviceID for r in whole.orderBy("position").collect()] == got
     assert [r.DeviceID for r in by_voltage(whole).collect()] == ["c", "b", "a"]
 
 

@@ -107,7 +107,7 @@ def test_open_snapshot_has_no_upper_bound(spark, tmp_dir):
     t = _tables(spark)
     st = SnapshotStore(spark, tmp_dir)
     got = RN.run_open_snapshot(t, st, date(2024, 1, 2))
-    assert rows(got, "AssetId", "ReportID") == rows(J.daily_snapshot(t.readings, t.assets, t.organizations, None), "AssetId", "ReportID")
+    assert rows(got, "AssetId", "ReportID") == rows(J.daily_snapshot(t.readings, t.assets, t.organizations, date(2024, 1, 2), open_end=True), "AssetId", "ReportID")
     assert {r.report_date for r in got.collect()} == {date(2024, 1, 2)}
 
 
@@ -274,3 +274,179 @@ def test_fleet_dwell_report_from_stored_state(spark, tmp_dir):
     assert rows(inc.organizations) == rows(full.organizations)
     with pytest.raises(ValueError):
         RN.run_fleet_dwell(t, [1], "Solar", state_path=path)
+
+
+def test_nothing_is_built_upon_an_open_snapshot(spark, tmp_dir):
+    """An open snapshot holds readings beyond its date; incremental forms must not take it for its date's midnight."""
+    t = _tables(spark)
+    t.readings = readings(spark, [(1, 1, 1, "2024-01-04 08:00:00", 3.1), (2, 1, 1, "2024-01-09 08:00:00", 3.2),
+                                  (3, 1, 2, "2024-01-05 08:00:00", 3.3)])
+    st = SnapshotStore(spark, tmp_dir)
+    RN.run_open_snapshot(t, st, date(2024, 1, 5))
+    got = rows(RN.run_daily_snapshot(t, st, date(2024, 1, 6), incremental=True), "AssetId", "ReportID")
+    assert got == rows(J.daily_snapshot(t.readings, t.assets, t.organizations, date(2024, 1, 6)), "AssetId", "ReportID") == [(1, 1), (2, 3)]
+    other = SnapshotStore(spark, os.path.join(tmp_dir, "other"))
+    RN.run_open_snapshot(t, other, date(2024, 1, 5))
+    assert RN.backfill(t, other, [date(2024, 1, d) for d in (6, 7, 10)], incremental=True) == [date(2024, 1, d) for d in (6, 7, 10)]
+    for d in (6, 7, 10):
+        assert rows(other.read([date(2024, 1, d)]), "AssetId", "ReportID") == \
+            rows(J.daily_snapshot(t.readings, t.assets, t.organizations, date(2024, 1, d)), "AssetId", "ReportID")
+    # both kinds of one date, each with its own rows; a read prefers the dated one
+    RN.run_daily_snapshot(t, st, date(2024, 1, 5))
+    assert rows(st.read([date(2024, 1, 5)], kind="open"), "ReportID") == [(2,), (3,)]
+    assert rows(st.read([date(2024, 1, 5)]), "ReportID") == [(1,)]
+    assert st.entry(date(2024, 1, 5), K.SOURCE_CURRENT, "dated").cutoff == datetime(2024, 1, 5)
+
+
+@pytest.mark.parametrize("step", ["rows", "counts", "publish"])
+def test_a_failed_rewrite_leaves_the_stored_snapshot(spark, tmp_dir, monkeypatch, step):
+    from fleetvolt.sources import commits
+
+    t = _tables(spark)
+    st = SnapshotStore(spark, tmp_dir)
+    d = date(2024, 1, 6)
+    before = rows(RN.run_daily_snapshot(t, st, d), "AssetId", "ReportID")
+    snap = J.daily_snapshot(t.readings.where("AssetId = 1"), t.assets, t.organizations, d)
+    if step == "rows":
+        snap = snap.withColumn("Voltage", F.when(F.col("Voltage") > 0, F.raise_error(F.lit("boom")).cast("double")))
+    elif step == "counts":
+        stage = SnapshotStore._stage
+        monkeypatch.setattr(SnapshotStore, "_stage", lambda self, *a: (stage(self, *a), 1 / 0))
+    else:
+        monkeypatch.setattr(commits, "create_new", lambda *a: 1 / 0)
+    with pytest.raises(Exception):
+        st.write(snap, K.SOURCE_CURRENT, [d])
+    monkeypatch.undo()
+    assert st.exists(d, K.SOURCE_CURRENT) and rows(st.read([d]), "AssetId", "ReportID") == before
+    # the next write replaces it, also one that reads the date it replaces; what nobody names can go
+    st.write(st.read([d]).drop("source").where("AssetId <> 1"), K.SOURCE_CURRENT, [d])
+    assert rows(st.read([d]), "AssetId", "ReportID") == [x for x in before if x[0] != 1]
+    assert len(st.vacuum()) >= 1 and st.read([d]).count() == len(before) - 1
+
+
+def test_two_writers_at_once(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = _tables(spark)
+    d = date(2024, 1, 6)
+
+    def write(asset):
+        SnapshotStore(spark, tmp_dir).write(J.daily_snapshot(t.readings.where(f"AssetId = {asset}"), t.assets, t.organizations, d),
+                                            K.SOURCE_CURRENT, [d])
+        return asset
+
+    with ThreadPoolExecutor(4) as pool:
+        assert sorted(pool.map(write, (1, 2, 3, 1))) == [1, 1, 2, 3]
+    st = SnapshotStore(spark, tmp_dir)
+    assert sorted(r["commit"] for r in st.log.records().collect()) == [1, 2, 3, 4]
+    assert st.read([d]).count() == 1                       # one writer's snapshot, whole
+
+
+def test_an_incomplete_commit_is_passed_over(spark, tmp_dir):
+    t = _tables(spark)
+    st = SnapshotStore(spark, tmp_dir)
+    RN.run_daily_snapshot(t, st, date(2024, 1, 6))
+    with open(os.path.join(tmp_dir, "commits", f"{2:012d}.json"), "w") as f:
+        f.write('{"report_date": "2024-01-06", "source": "sm')
+    assert st.read([date(2024, 1, 6)]).count() == 3 and st.runs().count() == 1
+    RN.run_daily_snapshot(t, st, date(2024, 1, 7))
+    assert sorted(r.report_date for r in st.runs().collect()) == [date(2024, 1, 6), date(2024, 1, 7)]
+
+
+def test_late_readings_refresh_exactly_the_touched_dates(spark, tmp_dir):
+    t = _tables(spark)
+    st = SnapshotStore(spark, tmp_dir)
+    dates = [date(2024, 1, d) for d in range(3, 9)]
+    RN.backfill(t, st, dates, fingerprint=True)
+    assert RN.stale_dates(t, st) == []
+    t.readings = t.readings.unionByName(readings(spark, [(900, 1, 3, "2024-01-05 23:59:59", 3.5)]))
+    assert RN.stale_dates(t, st) == [date(2024, 1, d) for d in (6, 7, 8)]
+    assert RN.refresh(t, st, [date(2024, 1, 7)]) == [date(2024, 1, 7)]
+    assert RN.refresh(t, st) == [date(2024, 1, d) for d in (6, 8)] and RN.stale_dates(t, st) == []
+    for d in dates:
+        assert rows(st.read([d]), "AssetId", "ReportID") == rows(J.daily_snapshot(t.readings, t.assets, t.organizations, d), "AssetId", "ReportID")
+
+
+def test_daily_report_of_the_open_run_and_of_the_legacy_source(spark, tmp_dir):
+    from fleetvolt import schemas
+
+    t = _tables(spark)
+    t.bursts = spark.createDataFrame(
+        [(1, "A0000009", "t9", datetime(2024, 1, 6, 10), "Battery Level 3.20 Power mode Low", "Acme", 1)], schemas.BURSTS)
+    st = SnapshotStore(spark, tmp_dir)
+    specs, d, as_of = [SectionSpec("acme", "acme")], date(2024, 1, 6), datetime(2024, 1, 6)
+    rep = RN.run_daily_report(t, st, d, specs, "Solar", as_of, open_end=True, preview_limit=None)
+    assert st.entry(d, K.SOURCE_CURRENT).kind == "open"
+    want = sorted(J.daily_snapshot(t.readings, t.assets, t.organizations, d, open_end=True).where("DeviceID <> 'C3'").collect(),
+                  key=lambda r: (r.Voltage, r.DeviceID))
+    assert [r.ReportID for r in rep.preview.collect()] == [r.ReportID for r in want if r.PowerMode in K.TABLE_MODES]
+    leg = RN.run_daily_report(t, st, d, specs, "Solar", as_of, legacy=("acme", "A0"))
+    assert rows(leg.members, "section", "DeviceID", "PowerMode") == [("acme", "A0000009", "Low")]
+
+
+def test_a_failed_active_lookup_filters_nothing(spark, tmp_dir):
+    t = _tables(spark)
+    t.asset_view = lambda: spark.read.parquet(os.path.join(tmp_dir, "not_there"))
+    st = SnapshotStore(spark, os.path.join(tmp_dir, "store"))
+    args = (date(2024, 1, 6), [SectionSpec("acme", "acme")])
+    with pytest.warns(RuntimeWarning, match="not filtered"):
+        rep = RN.run_daily_report(t, st, *args, "Solar", datetime(2024, 1, 6))
+    assert rows(rep.members, "DeviceID") == rows(RN.run_daily_report(t, st, *args, None, datetime(2024, 1, 6)).members, "DeviceID")
+    assert rep.members.count() == 3
+
+
+def test_two_writers_add_each_sent_date_once(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    log = os.path.join(tmp_dir, "sent")
+    days = spark.createDataFrame([(date(2026, 1, d),) for d in range(1, 9)], "report_date date")
+    with ThreadPoolExecutor(3) as pool:
+        added = [r.report_date for out in pool.map(lambda _: append_sent_dates(spark, log, days).collect(), range(3)) for r in out]
+    assert sorted(added) == [date(2026, 1, d) for d in range(1, 9)]
+    assert len(read_sent_dates(spark, log).collect()) == 8
+
+
+def test_few_of_many_snapshot_files_are_opened(spark, tmp_dir):
+    from datetime import timedelta
+
+    from fleetvolt.sources.legacy_files import malformed_lines
+
+    head = ",".join(["ReportID", "OrganizationId", "CustomerName", "AssetId", "DeviceID", "DeviceName", "EventTimeUTC", "Voltage", "PowerMode"])
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(60)]
+    for i, d in enumerate(days):
+        with open(os.path.join(tmp_dir, f"latest_batt_{d.day}{d:%b%y}_smbs.csv"), "w") as f:
+            f.write(f"### METADATA ###\nquery_time,1.0\n### DATA ###\n{head}\n{i},7,Acme,10,A01,t1,2024-01-04 10:00:00,3.31,High\n")
+            if i in (3, 30):
+                f.write("1,2,3\n" + "9," * 12 + "\n")
+    wanted = days[:7]
+    found, runs = read_snapshot_files(spark, tmp_dir, K.SOURCE_CURRENT, wanted)
+    assert rows(found, "report_date", "ReportID") == [(d, i) for i, d in enumerate(wanted)] and runs.count() == 7
+    found.collect()
+    assert _metric(found, "numFiles") == 7
+    assert rows(malformed_lines(spark, tmp_dir, K.SOURCE_CURRENT), "report_date", "n_lines") == [(days[3], 2), (days[30], 2)]
+
+
+def _metric(df, name):
+    """A metric of the scan that ran last for ``df``."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.getClass().getName() else plan
+    leaves = plan.collectLeaves()
+    while "QueryStage" in leaves.head().getClass().getName():
+        leaves = leaves.head().plan().collectLeaves()
+    return leaves.head().metrics().apply(name).value()
+
+
+def test_lookup_of_few_assets_passes_over_row_groups(spark, tmp_dir):
+    from fleetvolt.sources import tables
+
+    data = spark.range(200_000).selectExpr("id AS ID", "1 AS OrganizationId", "(id * 7919) % 5000 AS AssetId",
+                                           "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 86400) AS EventTime", "3.3D AS Voltage")
+    plain, sorted_ = os.path.join(tmp_dir, "plain"), os.path.join(tmp_dir, "sorted")
+    tables.write_by_day(data.repartition(4), plain, "EventTime", row_group_bytes=1 << 16)
+    tables.write_by_day(data.repartition(4), sorted_, "EventTime", lookup="AssetId", row_group_bytes=1 << 16)
+    read = {}
+    for path in (plain, sorted_):
+        found = tables.readings(spark, path).where(F.col("AssetId").isin(list(range(100, 110))))
+        assert len(found.collect()) == 400
+        read[path] = _metric(found, "numOutputRows")
+    assert read[sorted_] * 5 < read[plain]
