@@ -18,6 +18,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -140,12 +141,33 @@ class TokenFileReader:
                     yield doc_id, int(d["start"]), ids[a:a + int(d["n"])]
 
 
+#: The word tokenizer's pre-tokens inside a word of printable ASCII and Latin-1 letters, already lower-cased.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
+_PLAIN = r"[!-~\u00a1\u00ab\u00bb\u00bf-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+#: A word that is letters and marks after them: two pre-tokens at most.
+_SIMPLE = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)"
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that a byte-level model has for each byte: printable Latin-1 stands for itself, the other bytes
+    follow from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
 class _Encoder:
-    """Ids of whole texts as little-endian bytes. This tokenizer works on each word between white space on
-    its own, so a word's ids are found once and kept for the task; texts with the control characters
-    that Python, but not the tokenizer, takes for white space are encoded as a whole."""
+    """Ids of whole texts as little-endian bytes.
+
+    A tokenizer whose settings are those below works on each word between white space on its own, so the ids of a word
+    are found once and kept for the task. A plain word (printable ASCII and Latin-1 letters, which no normalization but
+    lower case changes) is cut into pre-tokens by the tokenizer's own pattern, and each distinct pre-token goes to the
+    model once. All other words go to the tokenizer as they are, many at a time; texts with the control characters
+    that Python, but not the tokenizer, takes for white space, and texts for any other tokenizer, are encoded as a whole.
+    """
 
-    MEMORY = 250_000
+    MEMORY = 250_000         # new words, and new pre-tokens, of a generation; the one before it is kept beside it
     TOGETHER = 2_000
 
     def __init__(self, path: str):
@@ -154,8 +176,54 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.simple = re.compile(_SIMPLE)
+        self.model = self.tokenizer.model
         self.odd = re.compile("[\x1c-\x1f]")
+        self.plain, self.cut = re.compile(_PLAIN), re.compile(_PIECES)
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
+        self.pieces_before: dict[str, bytes] = {}
+        self.by_word = self._works_by_word()
+
+    def _works_by_word(self) -> bool:
+        import json
+
+        parts = [json.loads(x.__getstate__()) if x is not None else {} for x in
+                 (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        normal = [n.get("type") for n in parts[0].get("normalizers", [])]
+        cuts = parts[1].get("pretokenizers", [])
+        return (normal == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cuts] == ["Split", "ByteLevel"]
+                and cuts[0]["pattern"] == {"Regex": _PATTERN} and not cuts[1]["add_prefix_space"]
+                and self.tokenizer.post_processor is None and self.tokenizer.truncation is None)
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces_before.get(piece)
+        if ids is not None:
+            self.pieces[piece] = ids
+            return ids
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        found = [t.id for t in self.model.tokenize(letters)]
+        ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
+    def _plain_word(self, word: str) -> bytes | None:
+        """Ids of a plain word; None for any other. A special string is found before letters are folded, so what may hold
+        one is left to the tokenizer."""
+        get = self.pieces.get
+        simple = self.simple.fullmatch(word)
+        if simple:
+            letters, marks = simple.groups()
+            letters = letters.lower()
+            own = get(letters) or self._piece(letters)
+            if not marks:
+                return own
+            if "<|" not in marks:
+                return own + (get(marks) or self._piece(marks))
+        if "<|" in word or not self.plain.fullmatch(word):
+            return None
+        return b"".join([get(p) or self._piece(p) for p in self.cut.findall(word.lower())])
 
     def _learn(self, words: list[str]) -> None:
         """Encode new words many at a time, as one text with a space between them; the place of each
@@ -171,26 +239,29 @@ class _Encoder:
                 self.known[word] = ids[a:b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The tokenizer lower-cases, so A-Z are folded first (but not beside a special string, which is
-        found before that). A full stop or comma after a word of ASCII letters is a piece of its own; beyond
-        ASCII the normalizer may end a word in a combining mark, which makes one piece with it."""
-        cut = []
-        for text in texts:
-            if self.odd.search(text):
-                cut.append(None)
-            elif "<|" in text:
-                cut.append(text.split())
-            else:
-                cut.append((text.lower() if text.isascii() else text.encode().lower().decode()).split())
+        words = [None if not self.by_word or self.odd.search(t) else t.split() for t in texts]
         if len(self.known) > self.MEMORY:
-            self.known.clear()
-        new = set().union(*(c for c in cut if c is not None)).difference(self.known)
-        ended = [w for w in new if w[-1] in ".," and w.isascii() and w[:-1].isalpha()]
-        self._learn(list((new.difference(ended) | {w[:-1] for w in ended} | {".", ","}).difference(self.known)))
-        for w in ended:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1]]
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if c is None
-                else b"".join(map(self.known.__getitem__, c)) for t, c in zip(texts, cut)]
+            self.known, self.known_before = {}, self.known
+        if len(self.pieces) > self.MEMORY:
+            self.pieces, self.pieces_before = {}, self.pieces
+        others = []
+        for word in set().union(*(w for w in words if w is not None)).difference(self.known):
+            ids = self.known_before.get(word)
+            if ids is None:
+                ids = self._plain_word(word)
+            if ids is None:
+                others.append(word)
+            else:
+                self.known[word] = ids
+        self._learn(others)
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w is None
+                else b"".join(map(self.known.__getitem__, w)) for t, w in zip(texts, words)]
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    """The encoder of this worker process: its tasks share what they have learnt."""
+    return _Encoder(path)
 
 
 def _portions(texts: pa.Array, chars: int = 2_000_000):
@@ -214,7 +285,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 1)
     def write(batches):
         from pyspark import TaskContext
 
-        encoder, end, writer = _Encoder(path), struct.pack("<I", end_id), None
+        encoder, end, writer = _encoder(path), struct.pack("<I", end_id), None
         for batch in batches:
             if writer is None and batch.num_rows:
                 name, stream = new_file(folder, ".tokens.zst")

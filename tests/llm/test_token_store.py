@@ -43,6 +43,44 @@ def test_words_whose_last_letter_gets_a_mark(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
+def library(texts):
+    from tokenizers import Tokenizer
+    return [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+
+
+def encoded(texts):
+    return [np.frombuffer(x, "<u4").tolist() for x in token_store._Encoder(PATH).encode(texts)]
+
+
+def test_every_letter_with_every_combining_mark():
+    texts = [f"{a}{chr(m)} abc {a}{chr(m)}x, x{a}{chr(m)}." for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+             for m in range(0x300, 0x370)]
+    assert encoded(texts) == library(texts)
+
+
+def test_every_latin_character_between_letters_and_digits():
+    texts = [f"a{c}b {c}1{c} {c}{c}. 'S{c} {c}'ll Don'T{c}ÀÉ" for c in map(chr, range(0x21, 0x250))]
+    assert encoded(texts) == library(texts)
+
+
+def test_random_texts_of_mixed_scripts():
+    rng = np.random.default_rng(11)
+    marks = "\u0301\u0308\u030c\u0331\u0327"
+    pool = list("abcXYZÀéßÿÆœİıΣςДжא中🙂0189²½.,;'\"-_!?<|>$€¿«»­\u00a0\u0085 \n\t  ") + list(marks) + ["'S", "'re", "<|endoftext|>", "<|ENDOFTEXT|>", " the ", "J\u030c"]
+    texts = ["".join(rng.choice(pool, rng.integers(0, 60))) for _ in range(5000)]
+    assert encoded(texts) == library(texts)
+
+
+def test_another_tokenizer_encodes_whole_texts():
+    from tokenizers import Tokenizer
+    path = P.path("byte_bpe_50k.json")
+    texts = ["Hello  world\n\n x", " lead", ""]
+    encoder = token_store._Encoder(path)
+    assert not encoder.by_word
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [
+        e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
 def test_no_documents(no_docs):
     assert token_store.token_round_trip(no_docs, PATH).count() == 0
 
