@@ -17,14 +17,22 @@ def newest_first(df: DataFrame, ts: str = "EventTimeUTC", tiebreak: str | None =
     return df.orderBy(*cols)
 
 
+def device_order() -> list:
+    return [F.col("DeviceID").asc_nulls_first(), F.col("AssetId").asc_nulls_first()]
+
+
+def owner_order() -> list:
+    return [F.col("OrgName").asc_nulls_first(), F.col("DeviceName").asc_nulls_first()]
+
+
 def by_device(df: DataFrame) -> DataFrame:
     """Current-source snapshot order: by device id."""
-    return df.orderBy(F.col("DeviceID").asc_nulls_first(), F.col("AssetId").asc_nulls_first())
+    return df.orderBy(*device_order())
 
 
 def by_owner_and_device(df: DataFrame) -> DataFrame:
     """Active-device list order: organization name, then device (asset) name."""
-    return df.orderBy(F.col("OrgName").asc_nulls_first(), F.col("DeviceName").asc_nulls_first())
+    return df.orderBy(*owner_order())
 
 
 def table_order() -> list:

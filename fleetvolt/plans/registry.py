@@ -29,11 +29,17 @@ from fleetvolt.operators import payload as P
 from fleetvolt.operators import sections as S
 from fleetvolt.operators.dwell import dwell_statistics, reading_intervals
 from fleetvolt.operators.fleet import active_device_ids, active_devices, org_device_counts, total_device_count
+from fleetvolt.operators.order import device_order, owner_order
+from fleetvolt.operators.positions import with_position
 from fleetvolt.plans import jobs as J
 from fleetvolt.plans import runner as RN
 from fleetvolt.session import ensure_checkpoint_dir, materialize
 from fleetvolt.sources import standin as SI
 from fleetvolt.sources import tables
+from fleetvolt.sources.commits import move_part
+from fleetvolt.sources.exports import export_overflow
+from fleetvolt.sources.legacy_files import CURRENT_FILE_COLUMNS, malformed_lines, read_snapshot_files
+from fleetvolt.sources.sent_log import append_sent_dates, read_sent_dates
 from fleetvolt.sources.store import SnapshotStore
 
 # ---- stand-in parameters (FIXTURES.md section 2) ------------------------------------------
@@ -205,6 +211,92 @@ def _latest_from_files(t: _T) -> DataFrame:
     return L.latest_reading(tables.readings(t.spark, path), day_at_hour(EARLY_DATE))
 
 
+def _stored_bursts(t: _T) -> DataFrame:
+    """The uplinks stored by day and read through the typed reader, up to the report date's noon."""
+    path = _scratch(t, "bursts")
+    tables.write_by_day(t.bursts, path, "EventTimeUTC")
+    return L.legacy_latest(tables.bursts(t.spark, path), LEGACY_CUSTOMER, LEGACY_PREFIX, LEGACY_DATE)
+
+
+def _device_list(t: _T) -> DataFrame:
+    """The allow-list written as the one-column CSV that users keep, with repeated and blank ids, and read back."""
+    path = _scratch(t, "device_list")
+    ids = t.allow.select(F.explode(F.array(F.col("DeviceID"), F.col("DeviceID"), F.lit(" "))).alias("DeviceID"))
+    ids.write.option("header", True).option("lineSep", "\r\n").csv(path)
+    return tables.device_list(t.spark, path)
+
+
+def _snapshot_files(t: _T, days: list[date]) -> str:
+    """Snapshot files of the original layout, one for each of ``days``, in a new folder."""
+    folder = _scratch(t, "files")
+    snaps = J.multi_date_snapshot(t.readings, t.assets, t.orgs, days, BANDS)
+    for d in days:
+        rows = snaps.where(F.col("report_date") == date_lit(d))
+        line = F.to_csv(F.struct(*CURRENT_FILE_COLUMNS), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+        head = ["### METADATA ###", "query_time,1.5", "### DATA ###", ",".join(CURRENT_FILE_COLUMNS), "cut,short"]
+        lines = t.spark.createDataFrame([(x,) for x in head], "value string").coalesce(1).unionByName(rows.select(line.alias("value")))
+        part = f"{folder}/day={d}"
+        lines.coalesce(1).write.text(part)
+        move_part(t.spark, part, f"{folder}/{K.SNAPSHOT_PREFIX}{d.day}{d:%b%y}_{K.SOURCE_CURRENT}{K.SNAPSHOT_SUFFIX}")
+    return folder
+
+
+def _read_files(t: _T) -> DataFrame:
+    """Three of seven files read, with their dates, recorded seconds and malformed lines."""
+    folder, wanted = _snapshot_files(t, WEEK_DATES), WEEK_DATES[2:5]
+    rows, runs = read_snapshot_files(t.spark, folder, K.SOURCE_CURRENT, wanted)
+    bad = malformed_lines(t.spark, folder, K.SOURCE_CURRENT, wanted)
+    return rows.join(runs.drop("source"), "report_date").join(bad.drop("source"), "report_date")
+
+
+def _load_or_compute(t: _T) -> DataFrame:
+    """The snapshot computed and stored, and the second time found: it must not change when the readings are gone."""
+    store = SnapshotStore(t.spark, _scratch(t, "store"))
+    every = RN.Tables(t.readings, t.assets, t.orgs, t.av)
+    RN.run_open_snapshot(every, store, TODAY, BANDS)              # another kind of the same date
+    RN.run_daily_snapshot(every, store, TODAY, BANDS)
+    return RN.run_daily_snapshot(RN.Tables(t.readings.where("false"), t.assets, t.orgs, t.av), store, TODAY, BANDS)
+
+
+def _logged(t: _T) -> DataFrame:
+    """The snapshot dates appended to a sent log in two overlapping steps, and read back."""
+    path = _scratch(t, "sent")
+    dates = t.catalogue().select("report_date").distinct()
+    first = append_sent_dates(t.spark, path, dates.where(F.col("report_date") <= date_lit(EARLY_DATE)))
+    second = append_sent_dates(t.spark, path, dates)
+    added = first.withColumn("step", F.lit(1)).unionByName(second.withColumn("step", F.lit(2)))
+    return read_sent_dates(t.spark, path).join(added, "report_date")
+
+
+def _overflow(t: _T) -> DataFrame:
+    """The exported tables of the sections that overflow their preview, read back from CSV."""
+    path = _scratch(t, "export")
+    export_overflow(_tables(t), path, PREVIEW_ROWS)
+    back = t.spark.read.option("header", True).csv(path)
+    return back.select(F.col("section").cast("string").alias("section"), F.col("ReportID").cast("long").alias("ReportID"), "DeviceID",
+                       F.col("Voltage").cast("double").alias("Voltage"), "PowerMode")
+
+
+def _coerced_times(t: _T) -> DataFrame:
+    """The uplinks' times as day-first text, made times again by the format that fits the whole column."""
+    text = t.bursts.select("ID", F.date_format("EventTimeUTC", "d/M/yyyy H:mm").alias("EventTimeUTC"))
+    return P.parse_time_column(text, "EventTimeUTC")
+
+
+def _moments() -> list[datetime]:
+    """A hundred moments at growing distances, from before the data to after it."""
+    start = datetime(2023, 12, 31, 18)
+    return [start + timedelta(minutes=5 * i * i, seconds=i, microseconds=i * 7919) for i in range(100)]
+
+
+MOMENTS = _moments()
+
+
+def _newest_uplinks(t: _T) -> DataFrame:
+    kept = t.bursts.where(F.col("FPort") == K.LEGACY_PORT).select("ID", "DeviceID", "EventTimeUTC")
+    return with_position(kept, [F.col("EventTimeUTC").desc_nulls_last(), F.col("ID").desc_nulls_last()])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # latest state
@@ -273,4 +365,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unsent_dates": _q(lambda t: C.unsent_dates(t.catalogue(), t.sent())),
         "snapshot_gaps": _q(lambda t: C.snapshot_gaps(t.catalogue(), TODAY)),
         "date_labels": _q(_date_labels),
+        # stores and files, each written and read back
+        "stored_bursts_latest": _q(_stored_bursts),
+        "device_list": _q(_device_list),
+        "snapshot_files": _q(_read_files),
+        "snapshot_load_or_compute": _q(_load_or_compute),
+        "sent_log": _q(_logged),
+        "overflow_export": _q(_overflow),
+        "coerced_times": _q(_coerced_times),
+        "moments_latest": _q(lambda t: L.latest_as_of_moments(t.readings, MOMENTS)),
+        # the reports' orders, as positions
+        "section_preview_all": _q(lambda t: S.section_preview(_tables(t), None)),
+        "snapshot_by_device": _q(lambda t: with_position(t.snapshot(), device_order())),
+        "active_devices_by_owner": _q(lambda t: with_position(active_devices(t.av, DEVICE_TYPE), owner_order() + [F.col("AssetId")])),
+        "uplinks_newest_first": _q(_newest_uplinks),
+        "catalogue_by_date": _q(lambda t: with_position(t.catalogue(), [F.col("report_date"), F.col("source")])),
     }

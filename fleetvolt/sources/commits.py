@@ -58,6 +58,14 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def move_part(spark: SparkSession, folder: str, path: str) -> None:
+    """Give the one part file that Spark wrote to ``folder`` the name ``path``, and remove the folder."""
+    fs, p = _hadoop_path(spark, folder)
+    part = next(n for n in names(spark, folder) if n.startswith("part-"))
+    fs.rename(_hadoop_path(spark, f"{folder}/{part}")[1], _hadoop_path(spark, path)[1])
+    fs.delete(p, True)
+
+
 class CommitLog:
     """Numbered entries, each a JSON file of one or more records; a later entry overrides earlier ones."""
 
