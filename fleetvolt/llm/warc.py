@@ -40,11 +40,19 @@ def _digest(sha1: bytes) -> str:
     return "sha1:" + base64.b32encode(sha1).decode()
 
 
-def _hex(field: str) -> str:
-    kind, _, value = field.partition(":")
-    if kind != "sha1":
-        raise WarcError(f"digest of another kind: {field}")
-    return base64.b32decode(value).hex()
+def _hex(field: str | None, start: int) -> str | None:
+    """The digest of a field in hex. The fields are optional, and other kinds than SHA-1 are passed over; one that is
+    no base 32 of 20 bytes (or their hex) is an error."""
+    kind, _, value = (field or "").partition(":")
+    if kind.lower() != "sha1":
+        return None
+    try:
+        raw = bytes.fromhex(value) if len(value) == 40 else base64.b32decode(value.upper())
+    except ValueError as e:
+        raise WarcError(f"the record at {start} has a malformed digest: {field}") from e
+    if len(raw) != 20:
+        raise WarcError(f"the record at {start} has a malformed digest: {field}")
+    return raw.hex()
 
 
 # -- writing ---------------------------------------------------------------------------------------
@@ -146,6 +154,8 @@ def read_records(stream, keep_payload: bool = False) -> Iterator[dict]:
         if not version.startswith("WARC/1."):
             raise WarcError(f"no WARC record at {start}")
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+        if not fields.get("content-length", "").isdigit():
+            raise WarcError(f"the record at {start} has no Content-Length")
         length = int(fields["content-length"])
         # The block: an HTTP header, then the payload.
         block, payload, size, http, kept = hashlib.sha1(), hashlib.sha1(), 0, None, bytearray()
@@ -170,14 +180,23 @@ def read_records(stream, keep_payload: bool = False) -> Iterator[dict]:
             pass
         if bytes(held) != _END:
             raise WarcError(f"the member at {start} does not end with its record")
-        if _hex(fields["warc-block-digest"]) != block.hexdigest():
+        wanted = _hex(fields.get("warc-block-digest"), start)
+        if wanted is not None and wanted != block.hexdigest():
             raise WarcError(f"the block of the record at {start} does not fit its digest")
-        digest = _hex(fields["warc-payload-digest"])
-        if fields["warc-type"] == "revisit":
-            names = dict(x.lower().split(": ", 1) for x in (http or b"").decode().split("\r\n")[1:])
-            size = int(names["content-length"])
-        elif digest != payload.hexdigest():
+        if http is None and fields.get("content-type", "").startswith("application/http"):
+            raise WarcError(f"the record at {start} holds no whole HTTP header")
+        if http is None or not fields.get("content-type", "application/http").startswith("application/http"):
+            # A block without an HTTP header (warcinfo, metadata, resource, ...) is its own payload.
+            payload, size = block, length
+            kept = header if http is None else bytearray(http + _END + kept)
+        digest = _hex(fields.get("warc-payload-digest"), start)
+        if fields.get("warc-type") == "revisit":
+            names = dict((k.strip(), v.strip()) for k, _, v in (x.lower().partition(":") for x in (http or b"").decode("utf-8", "replace").split("\r\n")[1:]))
+            size = int(names["content-length"]) if names.get("content-length", "").isdigit() else None
+        elif digest is not None and digest != payload.hexdigest():
             raise WarcError(f"the payload of the record at {start} does not fit its digest")
+        else:
+            digest = payload.hexdigest()
         yield {"headers": fields, "payload_bytes": size, "payload_digest": digest, "payload": bytes(kept)}
 
 

@@ -80,3 +80,30 @@ def test_reader_takes_any_piece_size(monkeypatch):
         monkeypatch.setattr(warc, "PIECE", size)
         assert [(r["payload_bytes"], r["payload_digest"]) for r in warc.read_records(io.BytesIO(data))] == whole
     assert len(whole) == 9
+
+
+def record(kind, block, **fields):
+    head = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:1>", **fields, "Content-Length": str(len(block))}
+    return gzip.compress(("WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()) + "\r\n").encode() + block + b"\r\n\r\n")
+
+
+def test_records_of_common_archives():
+    """warcinfo first, records without digests, digests of other kinds, blocks without an HTTP header, a revisit without length."""
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    data = b"".join([
+        record("warcinfo", b"software: x\r\n\r\nformat: y", **{"Content-Type": "application/warc-fields"}),
+        record("response", http + b"body", **{"Content-Type": "application/http;msgtype=response"}),
+        record("response", http + b"body", **{"Content-Type": "application/http", "WARC-Payload-Digest": "md5:abc"}),
+        record("resource", b"", **{"Content-Type": "text/plain"}),
+        record("metadata", b"via: z", **{"WARC-Block-Digest": "sha1:" + hashlib.sha1(b"via: z").hexdigest()}),
+        record("revisit", b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n", **{"Content-Type": "application/http"}),
+        warc.page_record(4, "http://a", b"own", None)])
+    found = [(r["headers"]["warc-type"], r["payload_bytes"], r["payload"]) for r in warc.read_records(io.BytesIO(data), keep_payload=True)]
+    assert found == [("warcinfo", 24, b"software: x\r\n\r\nformat: y"), ("response", 4, b"body"), ("response", 4, b"body"), ("resource", 0, b""),
+                     ("metadata", 6, b"via: z"), ("revisit", None, b""), ("response", 3, b"own")]
+
+
+@pytest.mark.parametrize("fields", [{"WARC-Block-Digest": "sha1:0!"}, {"WARC-Payload-Digest": "sha1:ABCD"}, {"Content-Type": "application/http"}])
+def test_malformed_records_are_reported(fields):
+    with pytest.raises(warc.WarcError):
+        list(warc.read_records(io.BytesIO(record("response", b"no header", **fields))))
