@@ -44,13 +44,13 @@ _PAGES = ("cell string, chunk int, page int, leaf boolean, ids binary, vectors b
 
 def whole_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, v): each component as floor(256 x). Vectors that are null or hold a null or a number that is not
-    finite, and rows without id, are left out. Of rows that share an id the largest vector counts."""
+    finite, and rows without id, are left out. Rows that repeat an id with another vector are vectors of their own; rows that
+    repeat both count once."""
     x = F.col(vec_col).cast("array<double>")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     return (df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).where(~F.coalesce(bad, F.lit(False)))
             .select(F.col(id_col).cast("long").alias("vec_id"),
-                    F.transform(x, lambda c: F.floor(c * 256).cast("long")).alias("v"))
-            .groupBy("vec_id").agg(F.max("v").alias("v")))
+                    F.transform(x, lambda c: F.floor(c * 256).cast("long")).alias("v")).distinct())
 
 
 def _matrix(column, width: int | None = None) -> np.ndarray:
@@ -257,9 +257,11 @@ def _search_trees(tasks: DataFrame, trees: DataFrame, top2: float, k: int, block
 
     block = F.pmod(F.xxhash64("query_id", F.lit(9)), F.lit(blocks)).cast("int")
     asked = tasks.withColumn("block", block)
-    copies = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys = ["cell", "chunk", "block"]
-    return asked.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(search, _FOUND)
+    # A tree is copied once for each block of queries that asks for it.
+    wanted = asked.select(*(F.col(c).alias(f"w_{c}") for c in keys)).distinct()
+    copies = trees.join(wanted, (F.col("cell") == F.col("w_cell")) & (F.col("chunk") == F.col("w_chunk"))).drop("cell", "chunk")
+    return asked.groupBy(*keys).cogroup(copies.groupBy(*(f"w_{c}" for c in keys))).applyInPandas(search, _FOUND)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -268,9 +270,10 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: for every row of ``queries`` the ``k`` rows of ``vectors`` (both
-    vec_id, v as :func:`whole_vectors` gives them) with the largest inner products, ties to the smaller id. A row
-    with the query's own id is no candidate, and vectors of another length are none either. Fewer candidates give
+    """query_id, rank (from 1), vec_id, score: for every id of ``queries`` the ``k`` rows of ``vectors`` (both
+    vec_id, v as :func:`whole_vectors` gives them) with the largest inner products, ties to the smaller id. Rows
+    with the query's own id are no candidates, and vectors of another length are none either; each other row is one, also of
+    a repeated id. Of queries that share an id the largest vector asks. Fewer candidates give
     fewer rows; empty tables give none."""
     spark = vectors.sparkSession
     v = stored(vectors, "vectors")
@@ -321,14 +324,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         x = _matrix(df["v"])
         return _packed(df["cell"].iloc[0], int(df["chunk"].iloc[0]), build_pages(df["vec_id"].to_numpy(np.int64), x, lifted(x)))
 
-    dealt = cells.join(plan, "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
+    dealt = cells.join(plan, "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), F.col("chunks")).cast("int"))
     trees = stored(dealt.groupBy("cell", "chunk").applyInPandas(build, _PAGES), "trees")
 
-    asked = stored(queries.select(F.col("vec_id").alias("query_id"), "v").mapInPandas(
+    asked = stored(queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.max("v").alias("v")).mapInPandas(
         to_cells(True), "query_id long, v array<bigint>, cell string, far double"), "asked")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     none = F.lit(None).cast("long")
-    home = (asked.join(plan, "cell").withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int"))
+    home = (asked.join(plan, "cell").withColumn("chunk", F.pmod(F.xxhash64("query_id", "v"), F.col("chunks")).cast("int"))
             .select("query_id", "v", "cell", "chunk", none.alias("floor_score"), none.alias("floor_id")))
     first = stored(_search_trees(home, trees, top2, k, blocks), "first")
     floor = (_best(first, k).where(F.col("rank") == k)

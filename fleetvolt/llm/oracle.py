@@ -42,13 +42,15 @@ WITH usable AS (
   SELECT vec_id, embedding FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
-parts AS (
-  SELECT vec_id, len(embedding) AS n, unnest(range(len(embedding))) AS i,
-         unnest(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS c FROM usable),
+whole AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM usable),
+numbered AS (SELECT vec_id, v, row_number() OVER (ORDER BY vec_id, v) AS r FROM whole),
+asking AS (SELECT vec_id, max(v) AS v FROM whole WHERE vec_id % 50 = 0 GROUP BY vec_id),
+q AS (SELECT vec_id, len(v) AS n, unnest(range(len(v))) AS i, unnest(v) AS c FROM asking),
+parts AS (SELECT vec_id, r, len(v) AS n, unnest(range(len(v))) AS i, unnest(v) AS c FROM numbered),
 scored AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.c * b.c) AS BIGINT) AS score
-  FROM parts a JOIN parts b ON a.i = b.i AND a.n = b.n AND a.vec_id <> b.vec_id
-  WHERE a.vec_id % 50 = 0 GROUP BY ALL)
+  SELECT a.vec_id AS query_id, b.vec_id, b.r, CAST(sum(a.c * b.c) AS BIGINT) AS score
+  FROM q a JOIN parts b ON a.i = b.i AND a.n = b.n AND a.vec_id <> b.vec_id GROUP BY ALL)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """

@@ -12,12 +12,13 @@ def brute(rows, k, every=50):
         if i is None or v is None or any(c is None or not math.isfinite(c) for c in v):
             continue
         q = tuple(math.floor(256 * float(np.float64(c))) for c in v)
-        best[i] = max(best.get(i, q), q)
+        best.setdefault(i, set()).add(q)
     out = []
-    for i, q in best.items():
+    for i, own in best.items():
         if i % every:
             continue
-        found = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in best.items() if j != i and len(v) == len(q))[:k]
+        q = max(own)
+        found = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, vs in best.items() for v in vs if j != i and len(v) == len(q))[:k]
         out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found)]
     return sorted(out)
 
@@ -37,7 +38,7 @@ def test_embeddings(spark, sf):
 def test_edge_vectors(spark):
     rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 0.0]), (None, [1.0, 1.0]),
             (6, [0.0, 0.0]), (7, [-1.0, 2.0]), (7, [-1.0, 2.0]), (8, []), (50, []), (9, [3.0]), (10, [1e-3, -1e-3]), (100, [1.0, 0.5]),
-            (11, [0.25, 0.25]), (11, [0.5, 0.25]), (150, [1.0, 2.0, 3.0])]
+            (11, [0.25, 0.25]), (11, [0.5, 0.25]), (100, [0.5, 1.0]), (150, [1.0, 2.0, 3.0])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, cell string")
     assert got(df, 5) == brute(rows, 5)
 
@@ -82,3 +83,19 @@ def test_bounds_save_computations(spread):
         assert s.ids[r].tolist() == order.tolist() and s.scores[r].tolist() == score[r][order].tolist()
     if spread < 1:
         assert s.computed < 0.7 * 50 * 4000
+
+
+def test_repeated_ids_match_sql(spark):
+    """A third of all rows share one id, some with equal vectors; the SQL has the same meaning."""
+    import duckdb
+    import pandas as pd
+
+    from fleetvolt.llm import oracle
+    rng = np.random.default_rng(8)
+    rows = [(int(i) if i % 3 else 7, rng.normal(size=4).round(1).astype("float32").tolist()) for i in range(300)]
+    rows += [(50, [0.5, 0.5, 0.0, 1.0]), (50, [0.5, 0.25, 0.0, 1.0]), (100, [1.0, 0.0, 0.0, 0.0])]
+    con = duckdb.connect()
+    con.register("embeddings", pd.DataFrame(rows, columns=["vec_id", "embedding"]))
+    want = sorted(con.execute(f"SELECT query_id, rank, vec_id, score FROM ({oracle.OP3})").fetchall())
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert got(df, 5) == brute(rows, 5) == want
