@@ -94,13 +94,19 @@ def hash_place(order_hash: Column | str) -> Column:
     return h.cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
 
 
+def unnamed_row(name: str) -> Column:
+    """For hashes that deal out rows: null where ``name`` is there, else a number of the row, so that rows without an id spread
+    like others. To be stored with the hash: a second evaluation may number the rows anew."""
+    return F.when(F.col(name).isNull(), F.monotonically_increasing_id())
+
+
 def running_before(df: DataFrame, group: list[str], place: Column, order: list[str], blocks: int,
                    weight: Column, name: str) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over the rows before this one within ``group``, in the
     order of the columns ``order``. With weight 1 it is the rank from 0.
 
-    ``place`` is a number in [0, 1) that never falls along that order. No group is ever one task:
-    the order is cut into ``blocks`` ranges of the place, their sums are added up first (one row per
+    ``place`` is a number in [0, 1) that never falls along that order. No group is one task, unless its rows share one
+    place: the order is cut into ``blocks`` ranges of the place, their sums are added up first (one row per
     group and range), and only the rows of one range share a window. ``df`` is evaluated twice, so
     pass a stored table. Extra columns are kept.
     """

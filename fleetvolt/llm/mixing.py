@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetvolt.llm.common import blocks_for, hash_place, running_before, stored, word_count
+from fleetvolt.llm.common import blocks_for, hash_place, running_before, stored, unnamed_row, word_count
 
 WEIGHTS = (3, 1, 2)
 #: Slots that one row of the schedule's first step makes.
@@ -92,7 +92,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, factor: float = 1.5
     empty result.
     """
     rows = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-                  .withColumn("order", F.xxhash64("doc_id", "size", F.lit(seed))), "sizes")
+                  .withColumn("order", F.xxhash64("doc_id", "size", F.lit(seed), unnamed_row("doc_id"))), "sizes")
     sources, slots = schedule(source_targets(rows, weights, factor, most), block_words)
     used = (slots.where(F.col("rank") < F.col("blocks") * F.lit(most))
             .groupBy("number", "block").agg(F.count("*").alias("times")))

@@ -63,8 +63,8 @@ def shuffle_into_shards(rows: DataFrame, key: list[str], shards: int = 16, seed:
     """Add ``shard`` (0..shards-1; the counts differ by one at most) and ``slot`` (0.. without gaps in
     the shard) to every row.
 
-    ``key`` names the columns that the random orders are hashed from; rows that agree in all of them
-    may trade places, and nulls are values like others. Column names starting with ``__`` are taken. An
+    ``key`` names the columns that the random orders are hashed from, together with the row's place in its
+    partition, so rows that agree in all of them spread like others; nulls are values like others. Column names starting with ``__`` are taken. An
     empty table gives an empty result.
     """
     spark = rows.sparkSession
@@ -72,7 +72,7 @@ def shuffle_into_shards(rows: DataFrame, key: list[str], shards: int = 16, seed:
               .sortWithinPartitions("__local", *key).withColumn("__id", F.monotonically_increasing_id()))
     placed = stored(placed.withColumn("__part", F.shiftright("__id", _PLACE_BITS))
                     .withColumn("__pos", F.col("__id").bitwiseAND((1 << _PLACE_BITS) - 1))
-                    .drop("__id", "__local"), "placed")
+                    .drop("__local"), "placed")
     counts = sorted((r["__part"], r["n"]) for r in placed.groupBy("__part").agg(F.count("*").alias("n")).collect())
     total = sum(n for _, n in counts)
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
@@ -81,7 +81,7 @@ def shuffle_into_shards(rows: DataFrame, key: list[str], shards: int = 16, seed:
         [(p, np.cumsum(row)[:-1].tolist()) for (p, _), row in zip(counts, matrix)], "__part long, __cuts array<long>")
     dealt = (placed.join(cuts, "__part")
              .withColumn("shard", F.size(F.filter("__cuts", lambda c: c <= F.col("__pos"))))
-             .withColumn("__order", F.xxhash64(F.lit(seed + 1), *key)).drop("__cuts", "__part", "__pos"))
+             .withColumn("__order", F.xxhash64(F.lit(seed + 1), *key, "__id")).drop("__cuts", "__part", "__pos", "__id"))
     return running_before(dealt, ["shard"], hash_place("__order"), ["__order", *key],
                           blocks_for(total // shards), F.lit(1), "slot").drop("__order")
 
