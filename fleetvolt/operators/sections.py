@@ -58,6 +58,10 @@ def section_predicate(spec: SectionSpec, as_of: datetime, window: timedelta) ->
     return F.coalesce(p, F.lit(False))
 
 
+def _names(specs: Sequence[SectionSpec], as_of: datetime, window: timedelta) -> Column:
+    return F.array_compact(F.array(*[F.when(section_predicate(sp, as_of, window), F.lit(sp.name)) for sp in specs]))
+
+
 def assign_sections(snapshot: DataFrame, specs: Sequence[SectionSpec], as_of: datetime,
                     window: timedelta = K.RECENCY, allow_list: DataFrame | None = None,
                     active: DataFrame | None = None) -> DataFrame:
@@ -71,9 +75,26 @@ def assign_sections(snapshot: DataFrame, specs: Sequence[SectionSpec], as_of: da
         s = s.join(active.select("DeviceID").where("DeviceID IS NOT NULL"), "DeviceID", "left_semi")
     if any(sp.listed_or_series for sp in specs):
         s = with_listed_flag(s, allow_list)
-    names = F.array_compact(F.array(*[
-        F.when(section_predicate(sp, as_of, window), F.lit(sp.name)) for sp in specs]))
-    return s.select(F.explode(names).alias("section"), *snapshot.columns)
+    return s.select(F.explode(_names(specs, as_of, window)).alias("section"), *snapshot.columns)
+
+
+def with_device_sections(snapshot: DataFrame, specs: Sequence[SectionSpec], as_of: datetime,
+                         window: timedelta = K.RECENCY, allow_list: DataFrame | None = None,
+                         active: DataFrame | None = None) -> DataFrame:
+    """The snapshot rows that carry a device id, with ``_sections``: the names of the sections that any row of the same device
+    id is a member of (as ``assign_sections`` has it). One pass over the snapshot: the rows of a device, one or a few, meet in
+    a window, so that nothing is joined back or stored."""
+    s = snapshot.where(F.col("DeviceID").isNotNull())
+    member = F.col("DeviceName").isNotNull()
+    if active is not None:
+        ids = active.select(F.col("DeviceID").alias("_aid")).where("_aid IS NOT NULL").distinct()
+        s = s.join(ids, F.col("DeviceID") == F.col("_aid"), "left")
+        member = member & F.col("_aid").isNotNull()
+    if any(sp.listed_or_series for sp in specs):
+        s = with_listed_flag(s, allow_list)
+    own = F.when(member, _names(specs, as_of, window)).otherwise(F.array().cast("array<string>"))
+    of_device = F.flatten(F.collect_list("_own").over(Window.partitionBy("DeviceID")))
+    return s.withColumn("_own", own).select(*snapshot.columns, F.array_distinct(of_device).alias("_sections"))
 
 
 def section_mode_counts(members: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -103,18 +124,17 @@ def section_mode_summary(members: DataFrame, specs: Sequence[SectionSpec],
     return wide.select(*by, F.inline(rows))
 
 
-def cohort_shares(snapshot: DataFrame, members: DataFrame, modes: Sequence[str] = K.MODES,
+def cohort_shares(sectioned: DataFrame, modes: Sequence[str] = K.MODES,
                   paired_only: bool = True, customer: str | None = None) -> DataFrame:
     """Share of each of the four modes among the snapshot rows whose ``DeviceID`` is a member
     of the section (and paired; or of ``customer`` when ``paired_only`` is False), in percent
-    with 2 decimals. The denominator is every such row, ``Unknown`` included, so the four
-    shares can sum below 100. Every (section, mode) pair appears, with 0 when absent."""
-    ids = members.select("section", F.col("DeviceID").alias("_mid")).distinct()
+    with 2 decimals, from the rows of ``with_device_sections``. The denominator is every such row, ``Unknown`` included,
+    so the four shares can sum below 100. Every (section, mode) pair appears, with 0 when absent."""
     # the chart tests "id differs from name" on the whole snapshot, where a missing name
     # counts as different (the member lists themselves never contain such rows)
     cond = F.coalesce(is_paired("DeviceID", "DeviceName"), F.lit(True)) if paired_only else \
         (F.lower(F.col("CustomerName")) == F.lit((customer or "").lower()))
-    rows = snapshot.where(cond).join(ids, snapshot.DeviceID == ids._mid, "inner")
+    rows = sectioned.where(cond).select("PowerMode", F.explode("_sections").alias("section"))
     aggs = [F.count(F.lit(1)).alias("total")] + \
         [F.count_if(F.col("PowerMode") == F.lit(m)).alias(f"_n_{m}") for m in modes]
     per = rows.groupBy("section").agg(*aggs)
@@ -154,8 +174,6 @@ def section_preview(tables: DataFrame, limit: int | None = K.PREVIEW_LIMIT,
     return ranked.join(totals, [*by, "section"], "inner")
 
 
-def low_battery(snapshot: DataFrame, members: DataFrame, section: str,
-                modes: Sequence[str] = K.TABLE_MODES) -> DataFrame:
-    """Snapshot rows of devices in ``section`` whose mode is one of ``modes``."""
-    ids = members.where(F.col("section") == F.lit(section)).select("DeviceID")
-    return snapshot.where(F.col("PowerMode").isin(list(modes))).join(ids, "DeviceID", "left_semi")
+def low_battery(sectioned: DataFrame, section: str, modes: Sequence[str] = K.TABLE_MODES) -> DataFrame:
+    """Snapshot rows of devices in ``section`` whose mode is one of ``modes``, from the rows of ``with_device_sections``."""
+    return sectioned.where(F.array_contains("_sections", section) & F.col("PowerMode").isin(list(modes))).drop("_sections")

@@ -75,7 +75,7 @@ def daily_section_report(snapshot: DataFrame, specs: Sequence[SectionSpec], as_o
     return SectionReport(
         members=members,
         summary=S.section_mode_summary(members, specs),
-        shares=S.cohort_shares(snapshot, members),
+        shares=S.cohort_shares(S.with_device_sections(snapshot, specs, as_of, window, allow_list, active)),
         tables=tables,
         preview=S.section_preview(tables, preview_limit),
     )

@@ -90,9 +90,9 @@ class _T:
         snap = self.snapshot() if snap is None else snap
         return S.assign_sections(snap, SECTIONS, AS_OF, RECENCY, self.allow, active)
 
-    def shared_snapshot(self):
-        """The snapshot materialized once, for queries that read it twice."""
-        return materialize(self.snapshot())
+    def sectioned(self):
+        """The snapshot rows with their devices' sections."""
+        return S.with_device_sections(self.snapshot(), SECTIONS, AS_OF, RECENCY, self.allow)
 
     def active(self):
         return active_device_ids(self.av, DEVICE_TYPE)
@@ -157,9 +157,8 @@ def _section_report(t: _T) -> DataFrame:
     return J.section_report_overview(rep, SECTIONS, PREVIEW_ROWS)
 
 
-def _active_report(t: _T, stored: bool = False) -> J.SectionReport:
-    snap = t.shared_snapshot() if stored else t.snapshot()
-    return J.daily_section_report(snap, SECTIONS, AS_OF, RECENCY, t.allow, t.active(), PREVIEW_ROWS)
+def _active_report(t: _T) -> J.SectionReport:
+    return J.daily_section_report(t.snapshot(), SECTIONS, AS_OF, RECENCY, t.allow, t.active(), PREVIEW_ROWS)
 
 
 def _weekly(t: _T) -> DataFrame:
@@ -172,21 +171,6 @@ def _fleet(t: _T) -> DataFrame:
                                 bands=BANDS).stats
 
 
-def _shares(t: _T) -> DataFrame:
-    snap = t.shared_snapshot()
-    return S.cohort_shares(snap, t.members(snap=snap))
-
-
-def _low_battery(t: _T) -> DataFrame:
-    snap = t.shared_snapshot()
-    return S.low_battery(snap, t.members(snap=snap), "new_panel")
-
-
-def _shares_by_customer(t: _T) -> DataFrame:
-    snap = t.shared_snapshot()
-    return S.cohort_shares(snap, t.members(snap=snap), paired_only=False, customer=SECTIONS[0].customer)
-
-
 def _tables(t: _T) -> DataFrame:
     return S.section_tables(t.members(), SECTIONS)
 
@@ -347,13 +331,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "section_members": _q(lambda t: t.members()),
         "section_mode_counts": _q(lambda t: S.section_mode_counts(t.members())),
         "section_mode_summary": _q(lambda t: S.section_mode_summary(t.members(), SECTIONS)),
-        "cohort_shares": _q(_shares),
-        "cohort_shares_by_customer": _q(_shares_by_customer),
+        "cohort_shares": _q(lambda t: S.cohort_shares(t.sectioned())),
+        "cohort_shares_by_customer": _q(lambda t: S.cohort_shares(
+            t.sectioned(), paired_only=False, customer=SECTIONS[0].customer)),
         "section_table": _q(_tables),
         "section_preview": _q(lambda t: S.section_preview(_tables(t), PREVIEW_ROWS)),
-        "low_battery": _q(_low_battery),
+        "low_battery": _q(lambda t: S.low_battery(t.sectioned(), "new_panel")),
         "daily_section_report": _q(_section_report),
-        "daily_section_report_shares": _q(lambda t: _active_report(t, stored=True).shares),
+        "daily_section_report_shares": _q(lambda t: _active_report(t).shares),
         "daily_section_report_table": _q(lambda t: _active_report(t).tables),
         "daily_section_report_preview": _q(lambda t: _active_report(t).preview),
         "weekly_trend": _q(_weekly),

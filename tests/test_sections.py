@@ -65,8 +65,8 @@ def test_summary_zero_filled_and_counts_sum(spark):
 
 def test_shares_denominator_includes_unknown(spark):
     snap = _snap(spark)
-    m = S.assign_sections(snap, SPECS, AS_OF, timedelta(weeks=12))
-    sh = {(r.section, r.PowerMode): (r.n, r.total, r.share) for r in S.cohort_shares(snap, m).collect()}
+    d = S.with_device_sections(snap, SPECS, AS_OF, timedelta(weeks=12))
+    sh = {(r.section, r.PowerMode): (r.n, r.total, r.share) for r in S.cohort_shares(d).collect()}
     assert sh[("new", "Critical")] == (1, 2, 50.0)
     assert sh[("new", "High")] == (0, 2, 0.0)
     assert sum(v[2] for k, v in sh.items() if k[0] == "new") == 50.0   # Unknown is not shown
@@ -80,7 +80,7 @@ def test_tables_and_preview(spark):
     assert rows(t, "section", "ReportID") == [("new", 1), ("sam", 7), ("sam", 9)]   # cser lists Critical/Low only
     p = S.section_preview(t, limit=1)
     assert rows(p, "section", "ReportID", "position", "total_rows") == [("new", 1, 1, 1), ("sam", 7, 1, 2)]
-    low = S.low_battery(snap, m, "new")
+    low = S.low_battery(S.with_device_sections(snap, SPECS, AS_OF, timedelta(weeks=12)), "new")
     assert rows(low, "ReportID") == [(1,)]
 
 
@@ -100,8 +100,7 @@ def test_shares_count_rows_without_name_as_differing(spark):
         (1, 1, "Acme", 1, "A0006001", "t1", "2024-06-29 00:00:00", 3.1, "Critical"),
         (2, 1, "Acme", 2, "A0006001", None, "2024-06-29 00:00:00", 3.4, "High"),     # same id, no name
         (3, 1, "Acme", 3, "A0006001", "A0006001", "2024-06-29 00:00:00", 3.4, "High")])  # unpaired
-    m = S.assign_sections(snap, SPECS[:1], AS_OF, timedelta(weeks=12))
-    sh = {r.PowerMode: (r.n, r.total) for r in S.cohort_shares(snap, m).collect()}
+    sh = {r.PowerMode: (r.n, r.total) for r in S.cohort_shares(S.with_device_sections(snap, SPECS[:1], AS_OF, timedelta(weeks=12))).collect()}
     assert sh["Critical"] == (1, 2) and sh["High"] == (1, 2)
 
 
@@ -110,3 +109,22 @@ def test_customer_match_takes_every_spelling(spark):
 
     df = spark.createDataFrame([("Kiosk",), ("KIOSK",), ("\u212aiosk",), ("kiosx",), (None,)], "c string")
     assert df.where(equals_ignore_case("c", "kiosk")).count() == 3
+
+
+def test_device_sections_equal_membership_and_scan_once(spark, tmp_dir):
+    """Of each row's device: the sections that any of its rows is a member of, under every active filter."""
+    _snap(spark).unionByName(snapshot(spark, [(50, 1, "Acme", 1, "A0006001", None, "2024-06-29 00:00:00", 3.1, "Low"),
+                                              (51, 1, "Other", 1, "A0006001", "n", "2024-06-29 00:00:00", 3.1, "Low")])).write.parquet(f"{tmp_dir}/s")
+    snap = spark.read.parquet(f"{tmp_dir}/s")
+    ids = [r.DeviceID for r in snap.select("DeviceID").distinct().collect() if r.DeviceID is not None]
+    for active in (None, [], ids[:2], ids):
+        a = None if active is None else spark.createDataFrame([(i,) for i in active], "DeviceID string")
+        want = {}
+        for r in S.assign_sections(snap, SPECS, AS_OF, timedelta(weeks=12), None, a).collect():
+            want.setdefault(r.DeviceID, set()).add(r.section)
+        d = S.with_device_sections(snap, SPECS, AS_OF, timedelta(weeks=12), None, a)
+        got = d.collect()
+        assert all(set(r._sections) == want.get(r.DeviceID, set()) for r in got)
+        assert len(got) == snap.where("DeviceID IS NOT NULL").count()
+    p = S.cohort_shares(S.with_device_sections(snap, SPECS, AS_OF))._jdf.queryExecution().executedPlan().toString()
+    assert p.count("FileScan") == 1 and "Join" not in p
