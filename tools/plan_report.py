@@ -1,4 +1,4 @@
-"""Write docs/plans.md: final adaptive-plan summary of every registered query plus the full
+"""Write docs/plans.md: final adaptive-plan summary of every query of the reporting part plus the full
 final plans of the headline queries (run: python tools/plan_report.py [sf_dir])."""
 
 import os
@@ -7,7 +7,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from fleetvolt.plans import registry as R  # noqa: E402
 from fleetvolt.session import local_session  # noqa: E402
 
 FULL = ["daily_snapshot", "multi_date_snapshot", "dwell_by_org_list", "section_preview"]
@@ -42,7 +42,7 @@ def summary(p: str) -> dict:
 def main():
     d = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8)
-    qs = E.queries()
+    qs = R.queries()
     lines = ["# Final adaptive plans", "",
              f"Generated by `tools/plan_report.py` on `{d}` (local[8]). Counts are taken from the",
              "final plan after adaptive execution (broadcast vs sort-merge is decided there by size).", "",
