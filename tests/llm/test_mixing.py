@@ -82,3 +82,39 @@ def test_schedule_is_even_over_time(spark, documents):
         assert abs(len(held) - need[s]) <= 1
         early = sum(t < end / 2 for t, *_ in held)
         assert abs(early - len(held) / 2) <= 4
+
+
+def test_words_taken_of_each_document(spark, documents):
+    """The whole method once more in plain Python: schedule, ranks, blocks and the words of each document in them."""
+    import math
+
+    from pyspark.sql import functions as F
+    rows = [(r["doc_id"], r["source"], len(WORD.findall(r["text"] or ""))) for r in documents.collect()]
+    hashes = {r["doc_id"]: r["h"] for r in spark.createDataFrame([(i, n) for i, _, n in rows], "doc_id long, size long").select(
+        "doc_id", F.xxhash64("doc_id", "size", F.lit(3), F.lit(None).cast("long")).alias("h")).collect()}
+    sizes = defaultdict(int)
+    for _, source, n in rows:
+        sizes[source] += n
+    target = targets(dict(sizes))
+    names = sorted((x for x in sizes if x is not None), key=lambda x: [ord(c) for c in x]) + [None] * (None in sizes)
+    plan, low = {}, 0.0
+    for name in names:
+        n = sizes[name]
+        length = max(math.ceil(n / max(math.ceil(n / 128), 1)), 1)
+        blocks = max(math.ceil(n / length), 1)
+        slots = target[name] * blocks / n if n else 0.0
+        plan[name] = (length, blocks, math.ceil(low - 0.5), math.ceil(low + slots - 0.5))
+        low += slots
+    bits = math.ceil(math.log2(max(low + 1, 2)))
+    want = {}
+    for name in names:
+        length, blocks, first, end = plan[name]
+        times = [0] * blocks
+        turns = sorted(int(format(i, f"0{bits}b")[::-1], 2) for i in range(first, end))
+        for rank in range(min(len(turns), 2 * blocks)):
+            times[rank % blocks] += 1
+        at = 0
+        for i, _, n in sorted((r for r in rows if r[1] == name), key=lambda r: (hashes[r[0]], r[0], r[2])):
+            want[i] = sum(times[w // length] for w in range(at, at + n))
+            at += n
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix(documents).collect()} == want
