@@ -42,6 +42,8 @@ WIDTH = 5
 AGREE = 0.55
 #: Nodes of a side of a block of pairs.
 BLOCK = 256
+#: Hubs that are broadcast.
+FEW = 200_000
 
 _SKETCH = "doc_id long, digest binary, n_shingles long, sig binary, keys array<long>"
 
@@ -220,6 +222,11 @@ def _links(tasks: DataFrame, docs: DataFrame) -> DataFrame:
     return links
 
 
+def _few(hubs: DataFrame) -> DataFrame:
+    """A stored table of hubs as the side of a join: broadcast up to ``FEW`` rows of two numbers."""
+    return F.broadcast(hubs) if hubs.count() <= FEW else hubs
+
+
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(one row per row of ``docs``, links between different shingle sets, each confirmed exactly).
 
@@ -245,10 +252,14 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # A pair that shares several buckets with one hub counts once.
     pairs = stored(cells.join(buckets, "bucket").where("node != hub").select("hub", "node").distinct(), "pairs")
     facts = nodes.select("node", "n", "sig")
-    width = pairs.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"), F.count("*").alias("size"))
+    width = pairs.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+    # Only hubs of several blocks need their number beside each pair: at most pairs / BLOCK of them. While they are few they
+    # are broadcast, so that the pairs of a large hub are not gathered by a join on it.
+    large = stored(width.where("blocks > 1"), "large")
+    pairs = pairs.join(_few(large), "hub", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
 
     # Each hub with the others of its buckets; the partners of one hub are dealt over chunks.
-    spread = pairs.join(width, "hub").withColumn("task", F.concat_ws(
+    spread = pairs.withColumn("task", F.concat_ws(
         ":", F.col("hub").cast("string"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("string")))
     hubs = width.select(F.col("hub").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("at"))
     hubs = hubs.select("node", F.concat_ws(":", F.col("node").cast("string"), F.col("at").cast("string")).alias("task"),
@@ -259,11 +270,10 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     belongs = components(links)
 
     # Hubs whose partners are in several components: all pairs between those, block by block.
-    placed = (pairs.join(width.where("size > 1"), "hub").join(belongs, "node", "left")
-              .withColumn("comp", F.coalesce("component", "node")))
-    mixed = (placed.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo < hi").select("hub"))
-    rest = (placed.join(mixed, "hub").join(facts, "node")
+    placed = pairs.join(belongs, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    mixed = stored(placed.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                   .where("lo < hi").select("hub"), "mixed")
+    rest = (placed.join(_few(mixed), "hub").join(facts, "node")
             .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks"))))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rest = (rest.withColumn("task", F.concat_ws(":", F.col("hub").cast("string"),
@@ -285,5 +295,4 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
            .select("doc_id", "n_shingles",
                    F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id")))
     out = out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    drop_stored(pairs)
     return out, every

@@ -93,3 +93,21 @@ def test_blocks_split_large_buckets(spark, monkeypatch):
 def test_components(spark, links, want):
     df = spark.createDataFrame(links, "u long, v long")
     assert {r["node"]: r["component"] for r in components(df).collect()} == want
+
+
+def test_a_hub_with_many_unlike_partners(spark, monkeypatch):
+    """Near copies of one text that differ from each other: one hub, many blocks; with and without the broadcast."""
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        for k in range(3):
+            words[(i * 7 + k * 40) % 120] = f"x{i}_{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, f"alone {i} " + " ".join(f"q{i}_{k}" for k in range(20))) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    want = {r[0]: r[2] for r in brute(rows)}
+    for few in (200_000, 0):
+        monkeypatch.setattr(minhash, "FEW", few)
+        assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df)[0].collect()} == want
