@@ -15,6 +15,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetvolt import constants as K
 from fleetvolt.config import PowerBands, SectionSpec
@@ -255,10 +256,11 @@ def _logged(t: _T) -> DataFrame:
 def _overflow(t: _T) -> DataFrame:
     """The exported tables of the sections that overflow their preview, read back from CSV."""
     path = _scratch(t, "export")
-    export_overflow(_tables(t), path, PREVIEW_ROWS)
-    back = t.spark.read.option("header", True).csv(path)
-    return back.select(F.col("section").cast("string").alias("section"), F.col("ReportID").cast("long").alias("ReportID"), "DeviceID",
-                       F.col("Voltage").cast("double").alias("Voltage"), "PowerMode")
+    tables_ = _tables(t)
+    export_overflow(tables_, path, PREVIEW_ROWS)
+    columns = [f for f in tables_.schema.fields if f.name != "section"]
+    back = t.spark.read.schema(StructType([*columns, tables_.schema["section"]])).option("header", True).csv(path)
+    return back.select("section", "ReportID", "DeviceID", "Voltage", "PowerMode")
 
 
 def _coerced_times(t: _T) -> DataFrame:
