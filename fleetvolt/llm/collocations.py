@@ -6,8 +6,9 @@ run of 1 to ``LONGEST`` words, both with numpy over an Arrow batch. Every run ha
 values of their own.
 
 1. The tasks count the fingerprints of single words, then of pairs, then of all longer runs; the shuffle adds up
-   (language, words, fingerprint, check fingerprint) -> count, smallest pointer. A pointer is a 32-bit hash of the
-   language and text that holds an occurrence, so most pointers lead to few texts. No phrase is text yet.
+   (fingerprint, check fingerprint) -> count, smallest pointer. Both fingerprints include the language and the number of words. A
+   pointer is a 32-bit hash of the language and text that holds an occurrence, so most pointers lead to few texts. No
+   phrase is text yet, and the shuffled rows are four numbers.
 2. A run can be frequent only if the shorter runs inside it are. The frequent words and then the frequent pairs set bits of a
    bitmap of at most ``PLACES`` bits, which the tasks look up before they count longer runs. A bit that two runs share
    only lets a run be counted that was not needed; no frequent run is lost, at any size.
@@ -41,10 +42,10 @@ BLANKS = b" \t"
 LONGEST = 4
 PLACES = 1 << 27             # bits of a bitmap: 16 MB
 SPAN = 1 << 18               # bytes that are hashed at once
-HELD = 1 << 19               # runs that a task holds before it adds them up
+HELD = 1 << 20               # runs that a task holds before it adds them up
 SALTS = 64
 
-_COUNTED = "lang string, words int, fp long, chk int, f long, ptr int"
+_COUNTED = "fp long, chk int, f long, ptr int"
 
 
 class _Base:
@@ -158,63 +159,65 @@ class _Bitmap:
         return (self.body[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
-def _seeds(langs: list[str]) -> np.ndarray:
-    return np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in langs], np.uint64)
+def _seed(lang: str) -> tuple[int, int]:
+    """What a language adds to the fingerprints of its runs."""
+    raw = hashlib.blake2b(lang.encode(), digest_size=12).digest()
+    return int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:], "little")
+
+
+#: Fingerprints of the empty run, to which the language's are added.
+_EMPTY = (0x2545F4914F6CDD1D, 0x9E3779B9)
 
 
 def _count(sizes: tuple[int, ...], inner: int, sent):
     """Counts of the runs of ``sizes`` words whose runs of ``inner`` words are all in the bitmap ``sent`` (None: every run).
     With single words the empty run counts too: its count is the number of words of the language."""
-    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("fp", pa.int64()), ("chk", pa.int32()),
-                        ("f", pa.int64()), ("ptr", pa.int32())])
+    schema = pa.schema([("fp", pa.int64()), ("chk", pa.int32()), ("f", pa.int64()), ("ptr", pa.int32())])
 
     def run(batches):
         cutter = Cutter()
         held: list[tuple] = []
-        names: dict[str, int] = {}
 
         def added_up():
-            code, size, fp, chk, f, ptr = (np.concatenate(x) for x in zip(*held))
+            fp, chk, f, ptr = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            langs = list(names)
-            order = np.argsort(fp ^ _seeds(langs)[code])
-            code, size, fp, chk, f, ptr = (x[order] for x in (code, size, fp, chk, f, ptr))
+            order = np.argsort(fp)
+            fp, chk, f, ptr = (x[order] for x in (fp, chk, f, ptr))
             new = np.ones(len(order), bool)
-            new[1:] = (fp[1:] != fp[:-1]) | (chk[1:] != chk[:-1]) | (code[1:] != code[:-1]) | (size[1:] != size[:-1])
+            new[1:] = (fp[1:] != fp[:-1]) | (chk[1:] != chk[:-1])
             at = np.flatnonzero(new)
             f, ptr = np.add.reduceat(f, at), np.minimum.reduceat(ptr, at)
-            lang = pa.DictionaryArray.from_arrays(pa.array(code[at], pa.int32()), pa.array(langs, pa.string())).cast(pa.string())
             out = pa.RecordBatch.from_arrays(
-                [lang, pa.array(size[at]), pa.array(fp[at].view(np.int64)), pa.array(chk[at].view(np.int32)), pa.array(f), pa.array(ptr)],
-                schema=schema)
+                [pa.array(fp[at].view(np.int64)), pa.array(chk[at].view(np.int32)), pa.array(f), pa.array(ptr)], schema=schema)
             for k in range(0, len(at), 1 << 16):
                 yield out.slice(k, 1 << 16)
 
-        def take(code, size, fp, chk, ptr, f=None):
-            held.append((code, np.full(len(fp), size, np.int32), fp, chk, np.ones(len(fp), np.int64) if f is None else f, ptr))
-
         for batch in batches:
             ptr = batch.column("ptr").to_numpy()
             lang = batch.column("lang").dictionary_encode()
-            own = np.array([names.setdefault(x, len(names)) for x in lang.dictionary.to_pylist()], np.int32)
-            code = own[lang.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(0, np.int32)
+            seeds = [_seed(x) for x in lang.dictionary.to_pylist()]
+            code = lang.indices.to_numpy(zero_copy_only=False)
+            one = np.array([x for x, _ in seeds], np.uint64)[code]          # of each text
+            two = np.array([x for _, x in seeds], np.uint32)[code]
             for words in cutter.spans(batch.column("text")):
-                known = None
+                text_of, known = words[3], None
                 if sent is not None:            # at every place, also those whose run ends before the span
+                    inside = cutter.one.runs(words[0], inner)
                     known = np.zeros(len(words[0]) + max(sizes), bool)
-                    known[:max(0, len(words[0]) - inner + 1)] = sent.value.has(cutter.one.runs(words[0], inner))
+                    known[:len(inside)] = sent.value.has(inside ^ one[text_of[:len(inside)]])
                 for size in sizes:
                     begin = cutter.begins(words, size)
                     for k in range(size - inner + 1 if known is not None else 0):
                         begin = begin[known[begin + k]]
-                    text = words[3][begin]
-                    take(code[text], size, *cutter.runs(words, size, begin), ptr[text])
+                    text = text_of[begin]
+                    fp, chk = cutter.runs(words, size, begin)
+                    held.append((fp ^ one[text], chk ^ two[text], np.ones(len(fp), np.int64), ptr[text]))
                 if sent is None and len(text):
                     mine, some, count = np.unique(code[text], return_index=True, return_counts=True)
-                    take(mine, 0, np.zeros(len(mine), np.uint64), np.zeros(len(mine), np.uint32), ptr[text[some]], count.astype(np.int64))
-                if sum(len(x[2]) for x in held) >= HELD:
+                    held.append((one[text[some]] ^ np.uint64(_EMPTY[0]), two[text[some]] ^ np.uint32(_EMPTY[1]), count.astype(np.int64), ptr[text[some]]))
+                if sum(len(x[0]) for x in held) >= HELD:
                     yield from added_up()
-        if sum(len(x[2]) for x in held):
+        if sum(len(x[0]) for x in held):
             yield from added_up()
 
     return run
@@ -237,37 +240,42 @@ def _bitmap(spark, frequent: DataFrame) -> _Bitmap:
 
 
 def _cut_out(batches):
-    """The phrases under the pointers: of each text the runs whose fingerprints are wanted from it."""
+    """The phrases under the pointers: of each text the runs whose fingerprints are wanted from it. The empty run is that of
+    the text's language."""
     cutter = Cutter()
     schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("fp", pa.int64()), ("chk", pa.int32()), ("phrase", pa.string())])
     lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        for row, (lang, wanted) in enumerate(zip(langs, batch.column("wanted").to_pylist())):
-            open_ = {(w["words"], w["fp"], w["chk"]) for w in wanted}
-            sizes = {size: np.array([k[1] for k in open_ if k[0] == size], np.int64) for size in {k[0] for k in open_}}
-            found: dict[tuple, str] = {}
+        for row, (lang, wanted) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("wanted").to_pylist())):
+            open_ = {(w["fp"], w["chk"]) for w in wanted}
+            want = np.array([fp for fp, _ in open_], np.int64)
+            one, two = (kind(x) for kind, x in zip((np.uint64, np.uint32), _seed(lang)))
+            found: dict[tuple, tuple] = {}
+            none = (int((one ^ np.uint64(_EMPTY[0])).view(np.int64)), int((two ^ np.uint32(_EMPTY[1])).view(np.int32)))
+            if none in open_:
+                found[none] = (0, "")
             for words in cutter.spans(batch.column("text").slice(row, 1)):
                 body, begins, ends = words[7], words[4], words[5]
-                for size, want in sizes.items():
+                for size in range(1, LONGEST + 1):
                     at = cutter.begins(words, size)
-                    fp = cutter.one.runs(words[0], size, at).view(np.int64)
+                    fp = (cutter.one.runs(words[0], size, at) ^ one).view(np.int64)
                     hits = np.flatnonzero(np.isin(fp, want))
-                    chk = cutter.two.runs(words[1], size, at[hits]).view(np.int32)
+                    chk = (cutter.two.runs(words[1], size, at[hits]) ^ two).view(np.int32)
                     pairs, once = np.unique(np.stack([fp[hits], chk.astype(np.int64)]), axis=1, return_index=True)
                     for (a, b), k in zip(pairs.T.tolist(), once.tolist()):
-                        if (size, a, b) in open_ and (size, a, b) not in found:
+                        if (a, b) in open_ and (a, b) not in found:
                             i = int(at[hits[k]])
-                            found[size, a, b] = b" ".join(body[begins[j]:ends[j]].tobytes().translate(lower)
-                                                          for j in range(i, i + size)).decode("utf-8", "replace")
+                            found[a, b] = (size, b" ".join(body[begins[j]:ends[j]].tobytes().translate(lower)
+                                                           for j in range(i, i + size)).decode("utf-8", "replace"))
             if found:
-                keys = list(found)
+                fps, chks = zip(*found)
+                sizes, names = zip(*found.values())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys), pa.string()), *(pa.array(x, t) for x, t in zip(zip(*keys), (pa.int32(), pa.int64(), pa.int32()))),
-                     pa.array(list(found.values()), pa.string())], schema=schema)
+                    [pa.array([lang] * len(fps), pa.string()), pa.array(sizes, pa.int32()), pa.array(fps, pa.int64()), pa.array(chks, pa.int32()),
+                     pa.array(names, pa.string())], schema=schema)
 
 
-RUN = ["lang", "words", "fp", "chk"]
+RUN = ["fp", "chk"]
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30) -> DataFrame:
@@ -292,18 +300,14 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> DataFrame:
         if inner < 2:
             sent = spark.sparkContext.broadcast(_bitmap(spark, level))
     runs = levels[0].unionByName(levels[1]).unionByName(levels[2])
-    totals = runs.where("words = 0").groupBy("lang").agg(F.sum("f").alias("f"))
-    wanted = runs.where("words > 0")
     # The texts under the pointers, once each: at most as many as there are frequent runs, and each asks for at most
     # the runs it holds.
-    asked = stored(wanted.groupBy("lang", "ptr").agg(F.collect_list(F.struct("words", "fp", "chk")).alias("wanted")), "asked")
-    held = (rows.join(asked.select("lang", "ptr"), ["lang", "ptr"], "left_semi").dropDuplicates(["ptr", "lang", "text"])
-            .join(asked, ["lang", "ptr"]))
+    asked = stored(runs.groupBy("ptr").agg(F.collect_list(F.struct(*RUN)).alias("wanted")), "asked")
+    held = (rows.join(asked.select("ptr"), "ptr", "left_semi").dropDuplicates(["ptr", "lang", "text"]).join(asked, "ptr"))
     phrases = (held.select("lang", "text", "wanted").repartition(F.col("lang"), F.xxhash64("text"))
                .mapInArrow(_cut_out, "lang string, words int, fp long, chk int, phrase string"))
-    named = (wanted.select(*RUN, "f").join(phrases, RUN).dropDuplicates([*RUN, "phrase"])
-             .groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")))
-    out = stored(named.unionByName(totals.select("lang", F.lit(0).alias("words"), F.lit("").alias("phrase"), "f")), "phrases")
+    out = stored(runs.select(*RUN, "f").join(phrases, RUN).dropDuplicates([*RUN, "lang", "phrase"])
+                 .groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")), "phrases")
     for t in (*levels, asked):
         drop_stored(t)
     return out
