@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +61,12 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def worker_cache() -> dict:
+    """A dictionary of this Python worker that outlives a task. The functions of this folder are shipped with every task, so
+    module-level state of their own does not."""
+    return sys.modules.setdefault("fleetvolt_worker_cache", types.ModuleType("fleetvolt_worker_cache")).__dict__
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches small enough for very long texts (rows and bytes per batch)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

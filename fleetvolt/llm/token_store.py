@@ -18,7 +18,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetvolt.llm.common import bounded_batches, scratch_path, stored
+from fleetvolt.llm.common import bounded_batches, scratch_path, stored, worker_cache
 from fleetvolt.llm.files import new_file, read_file
 
 FRAME_BYTES = 1 << 20
@@ -258,10 +257,12 @@ class _Encoder:
                 else b"".join(map(self.known.__getitem__, w)) for t, w in zip(texts, words)]
 
 
-@lru_cache(maxsize=1)
 def _encoder(path: str) -> _Encoder:
     """The encoder of this worker process: its tasks share what they have learnt."""
-    return _Encoder(path)
+    cache = worker_cache()
+    if cache.get("encoder_path") != path:
+        cache.update(encoder=_Encoder(path), encoder_path=path)
+    return cache["encoder"]
 
 
 def _portions(texts: pa.Array, chars: int = 2_000_000):
