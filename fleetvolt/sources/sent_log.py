@@ -8,7 +8,6 @@ writers exactly one adds a date, and a re-run or a retried job adds nothing twic
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from fleetvolt import schemas
