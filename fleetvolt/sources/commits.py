@@ -39,6 +39,13 @@ def create_new(spark: SparkSession, path: str, content: bytes) -> bool:
             return True
         except FileExistsError:
             return False
+        except OSError:                      # a file system without hard links
+            try:
+                with open(local, "xb") as f:
+                    f.write(content)
+                return True
+            except FileExistsError:
+                return False
         finally:
             os.unlink(draft)
     try:
