@@ -6,9 +6,10 @@ pre-tokens' frequencies times their pieces. The counts of the most frequent shor
 ``FREQUENT``, a bounded table) are broadcast, which takes the hot keys out of the join; the frequencies
 of all other pre-tokens are joined to the full table of counts.
 
-Cutting: a text is split into runs of non-space characters, each with the space before it, and runs of
-white space, neither of which a pre-token crosses; each distinct run is cut by the pre-token pattern
-once. Where a text has characters beyond ``PLAIN``, whose classes may differ between Unicode versions, or
+Cutting: a text is split into units that no pre-token crosses, and each distinct unit is cut by the pre-token pattern
+once. A unit is a run of non-space characters with the space before it, or a run of white space. Where spaces and line
+ends stand alone, as in most texts, plain splitting gives the units; other texts are split by a pattern. Where a text has
+characters beyond ``PLAIN``, whose classes may differ between Unicode versions, or
 the control characters 0x1c-0x1f, the tokenizer's own pre-tokenizer cuts it.
 """
 
@@ -18,18 +19,39 @@ import re
 from collections import Counter
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetvolt.llm.common import bounded_batches, stored
+from fleetvolt.llm.common import bounded_batches, stored, worker_cache
 
 FREQUENT = 131_072
 SHORT_BYTES = 64
 PLAIN = "\u0557"
 _RUNS = r" ?[^\s]+|\s+(?!\S)|\s+"
-#: Runs that a task may hold before it hands on what it counted, or forgets what it looked up.
-_COUNTED, _MEMORY = 250_000, 150_000
+#: A run that is letters and marks after them: two pre-tokens at most, as no mark is an apostrophe.
+_SIMPLE = r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)"
+#: Runs that a task may hold before it hands on what it counted, and that a generation of looked-up runs holds.
+_COUNTED, _MEMORY = 150_000, 60_000
+#: Rows of a batch of counts.
+_ROWS = 40_000
+#: Marks the sum of a run that has pre-tokens beyond the frequent ones.
+_RARE = 1 << 40
+
+
+def _tokenizer(path: str):
+    """The tokenizer of this worker process, loaded once. It works in the task's own thread: threads of its own would each hold
+    memory of their own."""
+    import os
+
+    from tokenizers import Tokenizer
+
+    cache = worker_cache()
+    if cache.get("tokenizer_path") != path:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        cache.update(tokenizer=Tokenizer.from_file(path), tokenizer_path=path)
+    return cache["tokenizer"]
 
 
 class _Cutter:
@@ -43,34 +65,90 @@ class _Cutter:
         self.split = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.runs = re.compile(_RUNS)
         self.pattern = regex.compile(PATTERN)
+        self.simple = re.compile(_SIMPLE)
         # Python's own \s also takes the separators 0x1c-0x1f for white space; the tokenizer does not.
         self.odd = re.compile(f"[^\x00-\x1b\x20-{PLAIN}]")
+        # Texts without these, and without spaces or line ends side by side, need no pattern.
+        self.uneven = re.compile(f"[^\n\x20-\x7e\xa1-{PLAIN}]")
 
     @cached_property
     def tokenizer(self):
         """Only texts with odd characters need it, and it takes much memory."""
-        from tokenizers import Tokenizer
-
-        return Tokenizer.from_file(self.path)
+        return _tokenizer(self.path)
 
-    def parts(self, text: str) -> tuple[int, list[str]]:
-        """(special tokens, runs) of a text. A text with odd characters gives its pre-tokens."""
-        specials, texts = 0, [text]
+    def parts(self, text: str) -> tuple[int, int, list[str]]:
+        """(special tokens, line ends, units) of a text. A unit is written without the space before it; one that has no space
+        before it begins with a zero character. Line ends that stand alone are only counted."""
+        specials, lines, texts = 0, 0, [text]
         if self.split is not None and "<" in text:
             pieces = self.split.split(text)
             specials, texts = len(pieces) // 2, pieces[::2]
-        runs: list[str] = []
+        units: list[str] = []
         for t in texts:
+            if not t:
+                continue
+            if not (self.uneven.search(t) or "  " in t or " \n" in t or "\n " in t or "\n\n" in t or t[0] in " \n" or t[-1] in " \n"):
+                lines += t.count("\n")
+                units += f"\0{t}".replace("\n", " \0").split(" ")
+                continue
             if self.odd.search(t):
-                runs += [t[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(t)]
+                runs = [t[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(t)]
             else:
-                runs += self.runs.findall(t)
-        return specials, runs
+                runs = self.runs.findall(t)
+            units += [r[1:] if r[0] == " " and len(r) > 1 else f"\0{r}" for r in runs]
+        return specials, lines, units
+
+    def cut_unit(self, unit: str) -> list[str]:
+        return self.cut(unit[1:] if unit[0] == "\0" else f" {unit}")
 
     def cut(self, run: str) -> list[str]:
+        simple = self.simple.fullmatch(run)
+        if simple:
+            word, marks = simple.groups()
+            return [word, marks] if marks else [word]
         return [run] if self.odd.search(run) else self.pattern.findall(run)
 
 
+#: The unit of a line end that stands alone.
+_LINE_END = "\0\n"
+
+
+class _Known(dict):
+    """Pieces of each unit's frequent pre-tokens, with ``_RARE`` added if it has others, which ``rare`` lists. Two generations
+    of units are kept, so what comes often is looked up once."""
+
+    def __init__(self, cutter: _Cutter, frequent: dict[str, int]):
+        super().__init__()
+        self.cutter, self.frequent = cutter, frequent
+        self.rare: dict[str, list[str]] = {}
+        self.before: dict[str, int] = {}
+        self.rare_before: dict[str, list[str]] = {}
+
+    def age(self) -> None:
+        if len(self) > _MEMORY:
+            self.before, self.rare_before, self.rare = dict(self), self.rare, {}
+            self.clear()
+
+    def __missing__(self, unit: str) -> int:
+        total = self.before.get(unit)
+        if total is not None:
+            if total & _RARE:
+                self.rare[unit] = self.rare_before[unit]
+        else:
+            total, others = 0, []
+            for w in self.cutter.cut_unit(unit):
+                n = self.frequent.get(w)
+                if n is None:
+                    others.append(w)
+                else:
+                    total += n
+            if others:
+                self.rare[unit] = others
+                total += _RARE
+        self[unit] = total
+        return total
+
+
 def special_strings(path: str) -> list[str]:
     from tokenizers import Tokenizer
 
@@ -86,19 +164,25 @@ def pretoken_frequencies(texts: DataFrame, path: str) -> DataFrame:
         cutter, seen = _Cutter(path, special), Counter()
 
         def flushed():
+            """The pre-tokens of what was seen, which is given up unit by unit; the shuffle adds up repeated ones."""
             words: Counter = Counter()
-            for run, n in seen.items():
-                for w in cutter.cut(run):
+            while seen:
+                unit, n = seen.popitem()
+                for w in cutter.cut_unit(unit):
                     words[w] += n
-            seen.clear()
-            return pa.RecordBatch.from_pydict({"pretoken": list(words), "freq": list(words.values())})
+                if len(words) >= _ROWS or not seen:
+                    yield pa.RecordBatch.from_pydict({"pretoken": list(words), "freq": list(words.values())})
+                    words.clear()
+
         for batch in batches:
             for text in batch.column("text"):
-                seen.update(cutter.parts(text.as_py() or "")[1])
+                _, lines, units = cutter.parts(text.as_py() or "")
+                seen.update(units)
+                if lines:
+                    seen[_LINE_END] += lines
                 if len(seen) > _COUNTED:
-                    yield flushed()
-        if seen:
-            yield flushed()
+                    yield from flushed()
+        yield from flushed()
 
     bounded_batches(texts.sparkSession)
     return (texts.select("text").mapInArrow(count, "pretoken string, freq long")
@@ -109,11 +193,9 @@ def piece_counts(pretokens: DataFrame, path: str) -> DataFrame:
     """Add ``pieces`` to (pretoken, freq): each distinct pre-token is encoded once."""
 
     def encode(batches):
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = _tokenizer(path)
         for batch in batches:
-            found = tokenizer.encode_batch(batch.column("pretoken").to_pylist(), add_special_tokens=False)
+            found = tokenizer.encode_batch_fast(batch.column("pretoken").to_pylist(), add_special_tokens=False)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("pretoken"), batch.column("freq"), pa.array([len(e.ids) for e in found], pa.int32())],
                 names=["pretoken", "freq", "pieces"])
@@ -148,26 +230,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     special = special_strings(path)
 
     def sums(batches):
-        cutter, frequent = _Cutter(path, special), table.value
-        rare: dict[str, list[str]] = {}
-
-        class Known(dict):
-            """Pieces of a run's frequent pre-tokens; its other pre-tokens go to ``rare``."""
-
-            def __missing__(self, run):
-                total, others = 0, []
-                for w in cutter.cut(run):
-                    n = frequent.get(w)
-                    if n is None:
-                        others.append(w)
-                    else:
-                        total += n
-                if others:
-                    rare[run] = others
-                self[run] = total
-                return total
-
-        known = Known()
+        known = _Known(_Cutter(path, special), table.value)
         schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_bytes", pa.int64()), ("rows", pa.int64()),
                             ("n", pa.int64()), ("pretoken", pa.string())])
         for batch in batches:
@@ -175,16 +238,18 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
             for doc_id, key, size, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "size")),
                                                batch.column("text")):
                 text = text.as_py() or ""
-                n, runs = cutter.parts(text)
+                n, lines, runs = known.cutter.parts(text)
                 others: Counter = Counter()
+                if lines:
+                    n += lines * (known[_LINE_END] & (_RARE - 1))
+                    others.update({w: lines for w in known.rare.get(_LINE_END, ())})
                 for at in range(0, len(runs), 100_000):
-                    if len(known) > _MEMORY:
-                        known.clear()
-                        rare.clear()
+                    known.age()
                     part = runs[at:at + 100_000]
-                    n += sum(map(known.__getitem__, part))
-                    for r in filter(rare.__contains__, part):
-                        others.update(rare[r])
+                    found = np.fromiter(map(known.__getitem__, part), np.int64, len(part))
+                    n += int((found & (_RARE - 1)).sum())
+                    for k in np.flatnonzero(found >= _RARE).tolist():
+                        others.update(known.rare[part[k]])
                 rows.append((doc_id, key, size, 1, n, None))
                 rows += [(doc_id, key, None, None, c, w) for w, c in others.items()]
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)

@@ -37,6 +37,22 @@ def test_tricky_texts_with_few_frequent_pretokens(spark, monkeypatch):
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
+def test_spaces_and_line_ends_in_every_neighbourhood():
+    """Units cut one by one give the tokenizer's pre-tokens, for all short texts of these characters and some long ones."""
+    import itertools
+    import random
+
+    cutter = token_counts._Cutter(PATH, token_counts.special_strings(PATH))
+    random.seed(3)
+    texts = ["".join(x) for n in range(1, 7) for x in itertools.product("a \n.", repeat=n)]
+    texts += ["".join(random.choice("ab1.,'é \n\t\xa0\x85ßÀ!s") for _ in range(40)) for _ in range(3000)]
+    texts += ["It's the\nfirst line's end.\nDon't 'stop' now, 3 x 4!", "l'été à\nla plage."]
+    for text in texts:
+        want = sorted(text[a:b] for _, (a, b) in cutter.tokenizer.pre_tokenizer.pre_tokenize_str(text))
+        specials, lines, units = cutter.parts(text)
+        assert specials == 0 and sorted([w for u in units for w in cutter.cut_unit(u)] + ["\n"] * lines) == want, repr(text)
+
+
 def test_no_documents(no_docs):
     assert token_counts.count_tokens(no_docs, PATH).count() == 0
 
