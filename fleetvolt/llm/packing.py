@@ -5,12 +5,11 @@ boundaries for which padding every document to its bucket's boundary adds the fe
 all. Inside a bucket the documents, in a shuffled order, fill batches of as many rows as the token
 budget allows at the boundary's length.
 
-The histogram has a row for every length that occurs. A corpus of W words has at most sqrt(2 W) + 1
-lengths, so it takes at least 137 billion words, all lengths different, to exceed ``MOST`` rows. Only
-then lengths share bins, so that the driver's histogram stays bounded: a bin for every length up to
-``EXACT`` and ``EXACT`` bins for each doubling beyond (64-bit lengths: under 250,000 bins). Counts, sums and
-the largest length of each bin are exact there too; boundaries are then optimal among the bins' largest
-lengths only.
+The histogram has a row for every length that occurs, whatever the input's size: a corpus of W words has at
+most sqrt(2 W) + 1 lengths (137 billion words, all lengths different, make 524,288 of them), so the boundaries are
+optimal among all lengths for every table. Only a caller who sets ``MOST`` lets lengths share bins beyond that many
+rows: a bin for every length up to ``EXACT`` and ``EXACT`` bins for each doubling beyond. Counts, sums and the largest
+length of each bin are exact there too; boundaries are then optimal among the bins' largest lengths only.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from fleetvolt.llm.common import blocks_for, drop_stored, hash_place, running_before, stored, unnamed_row, word_count
 
 EXACT = 4096
-MOST = 1 << 19               # rows of the histogram on the driver
+MOST: int | None = None      # rows of the histogram beyond which lengths share bins (None: never)
 
 
 def length_bin(length: Column) -> Column:
@@ -97,7 +96,7 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 16_384, seed: int = 5
     sized = stored(docs.select("doc_id", word_count(F.col("text")).alias("n_tokens"))
                    .withColumn("__order", F.xxhash64("doc_id", "n_tokens", F.lit(seed), unnamed_row("doc_id"))), "sized")
     lengths = stored(sized.groupBy("n_tokens").agg(F.count("*").alias("n")), "lengths")
-    key = F.col("n_tokens") if lengths.count() <= MOST else length_bin(F.col("n_tokens"))
+    key = F.col("n_tokens") if MOST is None or lengths.count() <= MOST else length_bin(F.col("n_tokens"))
     found = (lengths.groupBy(key.alias("bin"))
              .agg(F.max("n_tokens").alias("top"), F.sum("n").alias("n"), F.sum(F.col("n_tokens") * F.col("n")).alias("total"))
              .select("top", "n", "total").toArrow())

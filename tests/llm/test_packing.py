@@ -92,3 +92,12 @@ def test_rows_without_id_spread_over_the_ranges(spark):
     assert len(sizes) == 40 and sizes[-1] <= 1.5 * sizes[20]
     same = placed.where("doc_id IS NOT NULL AND h != xxhash64(doc_id, size, 5, CAST(NULL AS BIGINT))").count()
     assert same == 0                       # rows with an id keep their place on every layout
+
+
+def test_boundaries_are_optimal_among_more_lengths_than_any_bound(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(packing, "word_count", lambda text: text.cast("long"))     # lengths without their words
+    top = (1 << 19) + 11                                                            # lengths 0 to top, once each
+    docs = spark.range(top + 1).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    out = packing.pack(docs, 2, 10**9)
+    assert [r[0] for r in out.select("pad_to").distinct().orderBy("pad_to").collect()] == [(top - 1) // 2, top]
