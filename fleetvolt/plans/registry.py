@@ -212,14 +212,19 @@ def _device_list(t: _T) -> DataFrame:
 
 
 def _snapshot_files(t: _T, days: list[date]) -> str:
-    """Snapshot files of the original layout, one for each of ``days``, in a new folder."""
-    folder = _scratch(t, "files")
+    """Snapshot files of the original layout, one for each of ``days``, in a new folder.
+
+    The lines are stored by date first, so the one task that puts a date's file together only copies its lines: joins and
+    windows of all partitions would otherwise run, and hold memory, in that task."""
+    folder, stored = _scratch(t, "files"), _scratch(t, "lines")
     snaps = J.multi_date_snapshot(t.readings, t.assets, t.orgs, days, BANDS)
+    line = F.to_csv(F.struct(*CURRENT_FILE_COLUMNS), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    snaps.select(line.alias("value"), "report_date").write.partitionBy("report_date").parquet(stored)
+    snaps = t.spark.read.schema("value string, report_date date").parquet(stored)
     for d in days:
         rows = snaps.where(F.col("report_date") == date_lit(d))
-        line = F.to_csv(F.struct(*CURRENT_FILE_COLUMNS), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
         head = ["### METADATA ###", "query_time,1.5", "### DATA ###", ",".join(CURRENT_FILE_COLUMNS), "cut,short"]
-        lines = t.spark.createDataFrame([(x,) for x in head], "value string").coalesce(1).unionByName(rows.select(line.alias("value")))
+        lines = t.spark.createDataFrame([(x,) for x in head], "value string").coalesce(1).unionByName(rows.select("value"))
         part = f"{folder}/day={d}"
         lines.coalesce(1).write.text(part)
         move_part(t.spark, part, f"{folder}/{K.SNAPSHOT_PREFIX}{d.day}{d:%b%y}_{K.SOURCE_CURRENT}{K.SNAPSHOT_SUFFIX}")
@@ -231,7 +236,8 @@ def _read_files(t: _T) -> DataFrame:
     folder, wanted = _snapshot_files(t, WEEK_DATES), WEEK_DATES[2:5]
     rows, runs = read_snapshot_files(t.spark, folder, K.SOURCE_CURRENT, wanted)
     bad = malformed_lines(t.spark, folder, K.SOURCE_CURRENT, wanted)
-    return rows.join(runs.drop("source"), "report_date").join(bad.drop("source"), "report_date")
+    # A row for each file: rows are never dealt by their few dates.
+    return rows.join(F.broadcast(runs.drop("source")), "report_date").join(F.broadcast(bad.drop("source")), "report_date")
 
 
 def _load_or_compute(t: _T) -> DataFrame:

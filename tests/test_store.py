@@ -450,3 +450,28 @@ def test_lookup_of_few_assets_passes_over_row_groups(spark, tmp_dir):
         assert len(found.collect()) == 400
         read[path] = _metric(found, "numOutputRows")
     assert read[sorted_] * 5 < read[plain]
+
+
+def test_a_snapshot_file_is_put_together_from_stored_lines(spark, tmp_dir, monkeypatch):
+    """The one task of a file holds no join or window over all partitions, and the rows read are not dealt by their dates."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from fleetvolt.plans import registry as R
+
+    t, tables = R._T(spark, tmp_dir), _tables(spark)
+    t.readings, t.assets, t.orgs = tables.readings, tables.assets, tables.organizations
+    monkeypatch.setattr(R, "_scratch", lambda t, name: os.path.join(tmp_dir, name))
+    plans, text = [], DataFrameWriter.text
+
+    def watched(self, path, *args, **kw):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        text(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "text", watched)
+    out = R._read_files(t)
+    assert len(plans) == len(R.WEEK_DATES) and not any("Join" in p or "Window" in p for p in plans)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2
+    want = J.multi_date_snapshot(t.readings, t.assets, t.orgs, R.WEEK_DATES[2:5], R.BANDS)
+    cols = ["report_date", "ReportID", "AssetId", "EventTimeUTC", "Voltage", "PowerMode"]
+    assert rows(out, *cols) == rows(want, *cols) and out.count() == 9
+    assert rows(out.select("query_seconds", "n_lines").distinct()) == [(1.5, 1)]
