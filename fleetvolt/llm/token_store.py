@@ -140,9 +140,11 @@ class TokenFileReader:
                     yield doc_id, int(d["start"]), ids[a:a + int(d["n"])]
 
 
-#: The word tokenizer's pre-tokens inside a word of printable ASCII and Latin-1 letters, already lower-cased.
-_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
+#: The word tokenizer's pre-tokens of printable ASCII and Latin-1 letters, already lower-cased.
+_PIECES = r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
 _PLAIN = r"[!-~\u00a1\u00ab\u00bb\u00bf-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+#: A text of such words and ASCII white space.
+_PLAIN_TEXT = r"[\t-\r -~\u00a1\u00ab\u00bb\u00bf-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*"
 #: A word that is letters and marks after them: two pre-tokens at most.
 _SIMPLE = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)"
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -164,9 +166,11 @@ class _Encoder:
     lower case changes) is cut into pre-tokens by the tokenizer's own pattern, and each distinct pre-token goes to the
     model once. All other words go to the tokenizer as they are, many at a time; texts with the control characters
     that Python, but not the tokenizer, takes for white space, and texts for any other tokenizer, are encoded as a whole.
+    A text of plain words only is cut into pre-tokens at once, without its words.
     """
 
-    MEMORY = 250_000         # new words, and new pre-tokens, of a generation; the one before it is kept beside it
+    MEMORY = 250_000         # new words of a generation; the one before it is kept beside it
+    PIECES = 500_000         # new pre-tokens of a generation, likewise
     TOGETHER = 2_000
 
     def __init__(self, path: str):
@@ -178,7 +182,7 @@ class _Encoder:
         self.simple = re.compile(_SIMPLE)
         self.model = self.tokenizer.model
         self.odd = re.compile("[\x1c-\x1f]")
-        self.plain, self.cut = re.compile(_PLAIN), re.compile(_PIECES)
+        self.plain, self.cut, self.plain_text = re.compile(_PLAIN), re.compile(_PIECES), re.compile(_PLAIN_TEXT)
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -238,11 +242,18 @@ class _Encoder:
                 self.known[word] = ids[a:b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.pieces) > self.PIECES:
+            self.pieces, self.pieces_before = {}, self.pieces
+        cut = [self.cut.findall(t.lower()) if self.by_word and "<|" not in t and self.plain_text.fullmatch(t) else None for t in texts]
+        for piece in set().union(*(p for p in cut if p is not None)).difference(self.pieces):
+            self._piece(piece)
+        others = iter(self._by_words([t for t, p in zip(texts, cut) if p is None]))
+        return [next(others) if p is None else b"".join(map(self.pieces.__getitem__, p)) for p in cut]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         words = [None if not self.by_word or self.odd.search(t) else t.split() for t in texts]
         if len(self.known) > self.MEMORY:
             self.known, self.known_before = {}, self.known
-        if len(self.pieces) > self.MEMORY:
-            self.pieces, self.pieces_before = {}, self.pieces
         others = []
         for word in set().union(*(w for w in words if w is not None)).difference(self.known):
             ids = self.known_before.get(word)

@@ -81,6 +81,15 @@ def test_another_tokenizer_encodes_whole_texts():
         e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
 
 
+def test_plain_texts_are_cut_without_their_words():
+    texts = ["Don't stop, l'École.\tWe'LL x'S 'tis 12a3--b\n\x0b ÀÉ?!", "", " \r\n", "a a. A, \x0c(ÿö«b»)", "a|b <c> ''s 'Re'VE"]
+    mixed = [texts[0], "a <|endoftext|> b.", texts[3], "tail \x1c x", "naïve “quoted” 中文", texts[1], texts[4]]
+    encoder = token_store._Encoder(PATH)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == library(texts)
+    assert not encoder.known and encoder.pieces
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(mixed)] == library(mixed)
+
+
 def test_no_documents(no_docs):
     assert token_store.token_round_trip(no_docs, PATH).count() == 0
 
